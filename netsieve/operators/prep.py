@@ -61,7 +61,7 @@ def null_counts(df: DataFrame, cols=None) -> DataFrame:
     """(column, n_null) for columns with at least one null/NaN; one aggregate pass."""
     cols = list(cols or df.columns)
     agg = df.agg(*[F.count_if(_is_missing(df, c)).alias(c) for c in cols])
-    long = agg.unpivot([], cols, "column", "n_null")
+    long = agg.unpivot([], cols, "column_name", "n_null")
     return long.where(F.col("n_null") > 0)
 
 
@@ -79,17 +79,17 @@ def medians(df: DataFrame, cols, exact: bool = True, accuracy: int = 1_000_000)
     shuffle for all columns, skew-safe.  ``exact=False``: percentile_approx."""
     cols = list(cols)
     if not cols:
-        return df.sparkSession.createDataFrame([], "column string, median double")
+        return df.sparkSession.createDataFrame([], "column_name string, median double")
     if not exact:
         aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]
-        return df.agg(*aggs).unpivot([], cols, "column", "median").where(F.col("median").isNotNull())
+        return df.agg(*aggs).unpivot([], cols, "column_name", "median").where(F.col("median").isNotNull())
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols],
                      F.monotonically_increasing_id().alias("_rid"))
-    long = base.unpivot(["_rid"], cols, "column", "v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    ranked = positional_index(long, ["v", "_rid"], ["column"], n_groups=len(cols), count_col="_n")
+    long = base.unpivot(["_rid"], cols, "column_name", "v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    ranked = positional_index(long, ["v", "_rid"], ["column_name"], n_groups=len(cols), count_col="_n")
     mid = ranked.where((F.col("_pos") == F.floor((F.col("_n") + 1) / 2))
                        | (F.col("_pos") == F.floor(F.col("_n") / 2) + 1))
-    return mid.groupBy("column").agg(F.avg("v").alias("median"))
+    return mid.groupBy("column_name").agg(F.avg("v").alias("median"))
 
 
 def modes(df: DataFrame, cols) -> DataFrame:
@@ -97,11 +97,11 @@ def modes(df: DataFrame, cols) -> DataFrame:
     Counts are partially aggregated map-side, so a hot value never sits on one task."""
     cols = list(cols)
     if not cols:
-        return df.sparkSession.createDataFrame([], "column string, mode string, n long")
+        return df.sparkSession.createDataFrame([], "column_name string, mode string, n long")
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-              .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("column").agg(
+              .unpivot([], cols, "column_name", "value").where(F.col("value").isNotNull()))
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("column_name").agg(
         F.min_by("value", F.struct((-F.col("n")).alias("k"), F.col("value").alias("v"))).alias("mode"),
         F.max("n").alias("n"))
 
@@ -113,7 +113,7 @@ def scaler_stats(df: DataFrame, cols) -> DataFrame:
     for c in cols:
         aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}")]
     row = df.agg(*aggs)
-    parts = [F.struct(F.lit(c).alias("column"), F.col(f"m__{c}").alias("mean"),
+    parts = [F.struct(F.lit(c).alias("column_name"), F.col(f"m__{c}").alias("mean"),
                       F.col(f"s__{c}").alias("std")) for c in cols]
     long = row.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
     return long.withColumn("divisor", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
@@ -123,9 +123,9 @@ def vocabulary(df: DataFrame, cols) -> DataFrame:
     """(column, category, idx): sorted distinct values per column, idx from 0."""
     cols = list(cols)
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-              .unpivot([], cols, "column", "category").distinct())
+              .unpivot([], cols, "column_name", "category").distinct())
     from pyspark.sql import Window
-    w = Window.partitionBy("column").orderBy("category")
+    w = Window.partitionBy("column_name").orderBy("category")
     return long.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
 
 
@@ -240,21 +240,21 @@ class Preprocessor:
         med_cols = [c for c in num if nulls.get(c, 0) > 0]
         mode_cols = [c for c in cat if nulls.get(c, 0) > 0]
         st.medians = {c: 0.0 for c in med_cols}
-        st.medians.update({r["column"]: float(r["median"])
+        st.medians.update({r["column_name"]: float(r["median"])
                            for r in medians(d, med_cols, self.exact_median).collect()})
         st.modes = {c: ("false" if c in bools else UNKNOWN) for c in mode_cols}
-        st.modes.update({r["column"]: r["mode"] for r in modes(d, mode_cols).collect()})
+        st.modes.update({r["column_name"]: r["mode"] for r in modes(d, mode_cols).collect()})
         imp = impute_exprs(d, st)
         filled = d.select(*[imp[c].alias(c) for c in num + cat], F.col(self.target))
         if num:
             clean = filled.select(*[inf_to_zero(c).alias(c) for c in num])
             for r in scaler_stats(clean, num).collect():
-                st.means[r["column"]] = float(r["mean"]) if r["mean"] is not None else 0.0
-                st.divisors[r["column"]] = float(r["divisor"]) if r["divisor"] is not None else 1.0
+                st.means[r["column_name"]] = float(r["mean"]) if r["mean"] is not None else 0.0
+                st.divisors[r["column_name"]] = float(r["divisor"]) if r["divisor"] is not None else 1.0
         if cat:
             vocab: dict = {c: [] for c in cat}
-            for r in vocabulary(filled, cat).orderBy("column", "idx").collect():
-                vocab[r["column"]].append(r["category"])
+            for r in vocabulary(filled, cat).orderBy("column_name", "idx").collect():
+                vocab[r["column_name"]].append(r["category"])
             st.vocab = vocab
         st.labels = label_classes(filled, self.target)
         return PreprocessorModel(st)
@@ -302,10 +302,11 @@ class PreprocessorModel:
         vec_inputs = [f"__n_{c}" for c in num]
         if cat:
             invalid = "keep" if st.handle_unknown == "ignore" else "error"
-            idx = StringIndexerModel.from_arrays_of_labels(
-                [st.vocab[c] for c in cat], inputCols=[f"__c_{c}" for c in cat],
-                outputCols=[f"__i_{c}" for c in cat], handleInvalid=invalid)
-            t = idx.transform(t)
+            # one indexer per column: the multi-column factory pads unequal label lists
+            for c in cat:
+                t = StringIndexerModel.from_labels(
+                    st.vocab[c], inputCol=f"__c_{c}", outputCol=f"__i_{c}",
+                    handleInvalid=invalid).transform(t)
             enc = OneHotEncoder(inputCols=[f"__i_{c}" for c in cat],
                                 outputCols=[f"__o_{c}" for c in cat], dropLast=True).fit(t)
             t = enc.transform(t)
@@ -324,3 +325,26 @@ class PreprocessorModel:
     @classmethod
     def load(cls, path: str, spark) -> "PreprocessorModel":
         return cls(PrepState.from_json(spark.read.json(path).first()["state"]))
+
+
+# ------------------------------------------------------------------ dummies (get_dummies form)
+
+def dummies(df: DataFrame, cols, keep=()) -> DataFrame:
+    """0/1 INT column ``<col>_<value>`` per distinct non-null value seen in ``df``
+    (vocabulary from one distinct pass per call)."""
+    cols = list(cols)
+    vocab = (vocabulary(df.select(*cols).na.drop("all"), cols).where(F.col("category").isNotNull())
+             .orderBy("column_name", "category").collect()) if cols else []
+    out = [F.col(k) for k in keep]
+    for r in vocab:
+        c, v = r["column_name"], r["category"]
+        out.append(F.col(c).cast("string").eqNullSafe(F.lit(v)).cast("int").alias(f"{c}_{v}"))
+    return df.select(*out)
+
+
+def align_dummies(df: DataFrame, expected, keep=()) -> DataFrame:
+    """Force dummy columns onto the training list: absent -> 0, unexpected dropped."""
+    have = set(df.columns)
+    return df.select(*[F.col(k) for k in keep],
+                     *[(F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)) if n in have
+                        else F.lit(0.0)).alias(n) for n in expected])

@@ -11,18 +11,35 @@ holding a third of 100 TB would sit on one executor.  Instead:
 4. running sum of the counts over the partitions of each group gives the offset;
 5. position = offset + (id - first id) + 1.
 
-Both uses of the range-partitioned frame sit in one plan, so Spark reuses the one
-exchange.  The small statistics side is broadcast only when its row bound
-(partitions + groups) is known to be small; otherwise it is a shuffle join.
+The range partitioner samples its bounds with a seed tied to the RDD, so two plans over
+the same input may cut different ranges.  The tagged frame is therefore persisted once
+(memory, spilling to disk); the statistics are computed from that copy and written with a
+reliable ``checkpoint()`` (a small table in ``spark.checkpoint.dir``), which cuts their
+lineage, and the final join reads the persisted frame.  If an executor is lost, its
+blocks are recomputed from lineage: same bounds (same RDD), and a unique sort key makes
+the ids come out identical.  The small statistics side is broadcast only when its row
+bound (partitions + groups) is known to be small; otherwise it is a shuffle join.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import checkpoint_root
+
 # statistics rows are ~40 bytes; 1e6 rows stay well under a broadcast budget of 64 MB
 BROADCAST_ROWS = 1_000_000
 
+_PERSISTED: list = []
+
+
+def release() -> None:
+    """Unpersist the tagged frames kept for positional indexes (call after the results
+    that use them have been computed)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def hash_order(uid_col: str, seed: int = 42) -> Column:
     """Deterministic pseudo-random order key: md5(uid | seed).  Same value in DuckDB."""
@@ -49,7 +66,9 @@ def positional_index(df: DataFrame, order_cols, group_cols=(), *, n_groups: int
     n = _parts(df, num_partitions)
     srt = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
              .withColumn("_rk_pid", F.spark_partition_id())
-             .withColumn("_rk_id", F.monotonically_increasing_id()))
+             .withColumn("_rk_id", F.monotonically_increasing_id())
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    _PERSISTED.append(srt)
     stats = (srt.groupBy(*group_cols, "_rk_pid")
              .agg(F.min("_rk_id").alias("_rk_first"), F.count(F.lit(1)).alias("_rk_cnt")))
     before = Window.partitionBy(*group_cols).orderBy("_rk_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -58,7 +77,8 @@ def positional_index(df: DataFrame, order_cols, group_cols=(), *, n_groups: int
             F.coalesce(F.sum("_rk_cnt").over(before), F.lit(0)).alias("_rk_off")]
     if count_col:
         sel.append(F.sum("_rk_cnt").over(Window.partitionBy(*group_cols)).alias(count_col))
-    stats = stats.select(*sel)
+    checkpoint_root(df.sparkSession)
+    stats = stats.select(*sel).checkpoint(eager=True)
     if n_groups is not None and n + n_groups <= BROADCAST_ROWS:
         stats = F.broadcast(stats)
     cond = F.col("_rk_pid") == F.col("_rk_spid")
