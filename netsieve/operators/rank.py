@@ -96,3 +96,34 @@ def limit_per_group(df: DataFrame, order_cols, group_cols, quota: Column, **kw)
     """Rows whose position within their group is <= ``quota`` (a column expression)."""
     ranked = positional_index(df, order_cols, group_cols, pos_col="_lpg_pos", **kw)
     return ranked.where(F.col("_lpg_pos") <= quota).drop("_lpg_pos")
+
+
+def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups: int | None = None,
+                 num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` within each group under ``order_cols`` (a
+    total order).  Same device as :func:`positional_index`: range partitions, a sum per
+    (group, partition), offsets from the small statistics, local sums inside each range."""
+    group_cols = list(group_cols)
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    keys = [F.col(c) for c in group_cols] + order
+    n = _parts(df, num_partitions)
+    srt = (df.repartitionByRange(n, *keys).withColumn("_rs_pid", F.spark_partition_id())
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    _PERSISTED.append(srt)
+    stats = srt.groupBy(*group_cols, "_rs_pid").agg(*[F.sum(c).alias(f"_rs_t_{c}") for c in sum_cols])
+    before = Window.partitionBy(*group_cols).orderBy("_rs_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sel = [F.col(g).alias(f"_rs_g{i}") for i, g in enumerate(group_cols)] + [F.col("_rs_pid").alias("_rs_spid")]
+    sel += [F.coalesce(F.sum(f"_rs_t_{c}").over(before), F.lit(0)).alias(f"_rs_o_{c}") for c in sum_cols]
+    checkpoint_root(df.sparkSession)
+    stats = stats.select(*sel).checkpoint(eager=True)
+    if n_groups is not None and n + n_groups <= BROADCAST_ROWS:
+        stats = F.broadcast(stats)
+    inside = Window.partitionBy(*group_cols, "_rs_pid").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = srt.select("*", *[F.sum(c).over(inside).alias(f"_rs_l_{c}") for c in sum_cols])
+    cond = F.col("_rs_pid") == F.col("_rs_spid")
+    for i, g in enumerate(group_cols):
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_rs_g{i}"))
+    j = local.join(stats, cond, "inner")
+    return j.select(*[F.col(c) for c in df.columns],
+                    *[(F.col(f"_rs_o_{c}") + F.col(f"_rs_l_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
