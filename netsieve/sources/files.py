@@ -138,14 +138,17 @@ def _group_by_header(spark: SparkSession, paths) -> dict:
     return groups
 
 
-def _typed(df: DataFrame, raw_names, with_label: bool) -> DataFrame:
-    """Trim/rename, cast per declared type, add file columns and the label."""
+META = ("_metadata.file_path", "_metadata.file_name", "_metadata.file_block_start")
+
+
+def _typed(df: DataFrame, raw_names, with_label: bool, meta=META) -> DataFrame:
+    """Trim/rename, cast per declared type, add file columns and the label.  ``meta``
+    names the columns holding file path, file name and split start."""
     cols = []
     for i, raw in enumerate(raw_names):
         cols.append(_cast(F.col(f"_c{i}"), _declared(raw)).alias(canonical_name(raw)))
-    out = df.select(*cols, F.col("_metadata.file_path").alias("file_path"),
-                    F.col("_metadata.file_name").alias("file_name"),
-                    F.col("_metadata.file_block_start").alias("_block"))
+    out = df.select(*cols, F.col(meta[0]).alias("file_path"), F.col(meta[1]).alias("file_name"),
+                    F.col(meta[2]).alias("_block"))
     if with_label:
         if "label" in out.columns:
             out = out.withColumn("label", label_normalize("label"))

@@ -23,8 +23,9 @@ def _fs(spark, path):
 
 
 def write_csv_files(spark: SparkSession, flows: DataFrame, tag: str, header: bool = True,
-                    drop: dict | None = None) -> str:
+                    drop: dict | None = None, columns=None) -> str:
     """flows -> <dir>/<source_file>.csv; ``drop`` maps a source file to columns it lacks."""
+    columns = list(columns or CSV_COLUMNS)
     out_dir = scratch_dir(spark, tag)
     stage = f"{out_dir}/_stage"
     drop = drop or {}
@@ -32,7 +33,7 @@ def write_csv_files(spark: SparkSession, flows: DataFrame, tag: str, header: boo
     for i, (src, missing) in enumerate(groups):
         part = flows.where(~F.col("source_file").isin(list(drop))) if src is None \
             else flows.where(F.col("source_file") == src)
-        cols = [F.col(c).alias(SOURCE_NAMES.get(c, c)) for c in CSV_COLUMNS if c not in missing]
+        cols = [F.col(c).alias(SOURCE_NAMES.get(c, c)) for c in columns if c not in missing]
         (part.select("source_file", *cols).repartition("source_file")
              .sortWithinPartitions("source_file", "uid")
              .write.option("header", str(header).lower()).partitionBy("source_file")
