@@ -46,9 +46,14 @@ def choose_pivots(train: DataFrame, vec: str, id_col: str, m: int | None, seed:
     n = train.count()
     if m is None:
         m = int(min(MAX_PIVOTS, max(1, round(np.sqrt(n)))))
+    # rows whose hash falls under a threshold: about 2m rows reach the driver, with no
+    # global sort (a top-m sort would merge m rows from every partition on one task)
+    frac = min(1.0, 2.0 * m / max(n, 1))
+    h = F.conv(F.substring(hash_order(id_col, seed), 1, 12), 16, 10).cast("double") / float(16 ** 12)
     rows = (train.select(_as_double_array(train, vec).alias("v"), hash_order(id_col, seed).alias("_h"), id_col)
-                 .orderBy("_h", id_col).limit(m).collect())
-    return np.array([r["v"] for r in rows], dtype=np.float64)
+                 .where(h < F.lit(frac)).collect())
+    rows.sort(key=lambda r: (r["_h"], r[id_col]))
+    return np.array([r["v"] for r in rows[:m]], dtype=np.float64)
 
 
 def _nearest_pivot_udf(pivots: np.ndarray):

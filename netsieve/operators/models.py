@@ -95,7 +95,7 @@ class Logistic(_SparkML):
         C = float(p.get("C", 1.0))
         return LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=1.0 / (C * max(n, 1)),
                                   elasticNetParam=0.0, standardization=False, family="multinomial",
-                                  tol=float(p.get("tol", 1e-6)))
+                                  tol=float(p.get("tol", 1e-4)))
 
 
 # ------------------------------------------------------------------ Gaussian naive Bayes

@@ -119,11 +119,18 @@ def scaler_stats(df: DataFrame, cols) -> DataFrame:
     return long.withColumn("divisor", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
 
 
-def vocabulary(df: DataFrame, cols) -> DataFrame:
-    """(column, category, idx): sorted distinct values per column, idx from 0."""
+def vocabulary(df: DataFrame, cols, large: bool = False) -> DataFrame:
+    """(column, category, idx): sorted distinct values per column, idx from 0.
+
+    A fitted vocabulary is model state collected to the driver, so it is driver-sized
+    and a per-column window is enough.  ``large=True`` numbers categories with the
+    range-partitioned positional index instead, for a table that stays distributed."""
     cols = list(cols)
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
               .unpivot([], cols, "column_name", "category").distinct())
+    if large:
+        ranked = positional_index(long, ["category"], ["column_name"], n_groups=len(cols), pos_col="_vpos")
+        return ranked.select("column_name", "category", (F.col("_vpos") - 1).cast("int").alias("idx"))
     from pyspark.sql import Window
     w = Window.partitionBy("column_name").orderBy("category")
     return long.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))

@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from .rank import hash_order, limit_per_group, positional_index
 
-# up to this n, an exact draw is a TakeOrderedAndProject (n rows per task at most)
-TAKE_ORDERED_MAX = 100_000
+# A TakeOrderedAndProject keeps n rows per input partition and merges them on one task:
+# used only while n x partitions stays below this many rows.
+TAKE_ORDERED_ROWS = 5_000_000
 
 
 def sample_exact_n(df: DataFrame, n: int, seed: int = 42, uid: str = "uid") -> DataFrame:
     """Exactly min(n, rows) rows, uniform under the hash order."""
     keyed = df.withColumn("_sx_h", hash_order(uid, seed))
-    if n <= TAKE_ORDERED_MAX:
+    if n * max(1, df.rdd.getNumPartitions()) <= TAKE_ORDERED_ROWS:
         return keyed.orderBy("_sx_h", uid).limit(n).drop("_sx_h")
     ranked = positional_index(keyed, ["_sx_h", uid], pos_col="_sx_pos")
     return ranked.where(F.col("_sx_pos") <= n).drop("_sx_h", "_sx_pos")

@@ -129,9 +129,14 @@ def _split_header(line: str) -> list[str]:
 
 
 def _group_by_header(spark: SparkSession, paths) -> dict:
+    """Files grouped by header line; headers read concurrently (I/O-bound, one small read
+    per file through the cluster's file system)."""
+    from concurrent.futures import ThreadPoolExecutor
+    paths = list(paths)
+    with ThreadPoolExecutor(max_workers=min(32, max(1, len(paths)))) as pool:
+        lines = list(pool.map(lambda p: read_header(spark, p), paths))
     groups: dict = {}
-    for p in paths:
-        line = read_header(spark, p)
+    for p, line in zip(paths, lines):
         if line is None or not line.strip():
             continue           # empty file: nothing to read
         groups.setdefault(tuple(_split_header(line)), []).append(p)
