@@ -48,10 +48,15 @@ def choose_pivots(train: DataFrame, vec: str, id_col: str, m: int | None, seed:
         m = int(min(MAX_PIVOTS, max(1, round(np.sqrt(n)))))
     # rows whose hash falls under a threshold: about 2m rows reach the driver, with no
     # global sort (a top-m sort would merge m rows from every partition on one task)
+    # The salt keeps this draw independent of the samplers' and splits' hash order (a
+    # split may already have sent the smallest md5(uid|seed) values elsewhere).
     frac = min(1.0, 2.0 * m / max(n, 1))
-    h = F.conv(F.substring(hash_order(id_col, seed), 1, 12), 16, 10).cast("double") / float(16 ** 12)
-    rows = (train.select(_as_double_array(train, vec).alias("v"), hash_order(id_col, seed).alias("_h"), id_col)
+    key = hash_order(id_col, f"{seed}|pivots")
+    h = F.conv(F.substring(key, 1, 12), 16, 10).cast("double") / float(16 ** 12)
+    rows = (train.select(_as_double_array(train, vec).alias("v"), key.alias("_h"), id_col)
                  .where(h < F.lit(frac)).collect())
+    if not rows:                                   # tiny inputs: any m rows will do
+        rows = train.select(_as_double_array(train, vec).alias("v"), key.alias("_h"), id_col).limit(m).collect()
     rows.sort(key=lambda r: (r["_h"], r[id_col]))
     return np.array([r["v"] for r in rows[:m]], dtype=np.float64)
 

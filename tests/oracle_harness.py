@@ -26,7 +26,18 @@ def duck_connect(sf_dir: str):
     return con
 
 
+STRICT = bool(int(__import__("os").environ.get("STRICT", "0")))
+
+
 def _norm(v):
+    if STRICT:
+        if isinstance(v, float):
+            return ("f", repr(v))
+        if isinstance(v, decimal.Decimal):
+            return ("d", str(v))
+        if isinstance(v, (list, tuple)):
+            return tuple(_norm(x) for x in v)
+        return (type(v).__name__, v) if not isinstance(v, (_dt.datetime, _dt.date)) else v.isoformat()
     if v is None:
         return None
     if isinstance(v, bool):
