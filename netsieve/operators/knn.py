@@ -1,20 +1,23 @@
 """Exact k-nearest-neighbour classification without an all-pairs join.
 
-Pivot pruning (metric-space indexing):
+Pivot pruning (metric-space indexing) over bounded blocks:
 
-1. m pivots = the first m training rows in hash order (m grows with the data);
+1. m pivots = training rows drawn by a salted hash threshold (m grows with the data);
 2. every training row gets its nearest pivot (its *cell*) and the distance to it; per
    cell the radius r_c (largest such distance) and size n_c -- a table of m rows;
 3. per query q, with D_c = d(q, pivot_c): every point of cell c lies within D_c + r_c,
    so walking cells by D_c + r_c until k (+1 when the query is itself a training row)
    points are covered bounds the k-th neighbour distance by U(q);
 4. a point in cell c is at least D_c - r_c away, so only cells with D_c - r_c <= U(q)
-   can hold a neighbour: the query is joined (equi-join on cell) with those cells only;
-5. exact squared distances on the candidate pairs, top k per query by (distance, id)
-   (a rank filter Spark limits map-side), majority vote, vote ties to the smallest class.
-
-Steps 2-3 are numpy over Arrow batches (pivots travel with the function); distances on
-candidate pairs are a JVM-side left fold, identical in any SQL engine.
+   can hold a neighbour;
+5. training rows are packed per cell into blocks of at most ``BLOCK`` rows and queries
+   per own cell into blocks of at most ``BLOCK`` (positions from the range-partitioned
+   index, so no group is unbounded); a query block meets the train blocks of the union
+   of its members' candidate cells (an equi-join on cell id);
+6. each block pair is one numpy distance matrix (summed over dimensions left to right,
+   the same arithmetic as a SQL fold) keeping k candidates per query; a rank filter
+   (limited map-side by Spark) keeps the global k by (distance, id); majority vote,
+   vote ties to the smallest class.
 """
 
 from __future__ import annotations
@@ -27,11 +30,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 from .rank import hash_order
 
 MAX_PIVOTS = 4096
-
-
-def sq_dist(a, b):
-    """Squared Euclidean distance of two DOUBLE arrays, summed left to right."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, z: acc + z)
+BLOCK = 256
 
 
 def _as_double_array(df: DataFrame, col: str):
@@ -110,34 +109,83 @@ class KNNClassifier:
         return KNNModel(self, train, vec, label_col, id_col)
 
 
+def _block_topk_udf(dim: int, k: int, exclude_self: bool):
+    out_t = ArrayType(StructType([StructField("qi", IntegerType()), StructField("ti", IntegerType()),
+                                  StructField("d2", DoubleType())]))
+
+    @F.pandas_udf(out_t)
+    def topk(q_ids: pd.Series, q_flat: pd.Series, t_ids: pd.Series, t_flat: pd.Series) -> pd.Series:
+        res = []
+        for qi_, qf, ti_, tf in zip(q_ids, q_flat, t_ids, t_flat):
+            Q = np.asarray(qf, dtype=np.float64).reshape(-1, dim)
+            T = np.asarray(tf, dtype=np.float64).reshape(-1, dim)
+            D = np.zeros((len(Q), len(T)))
+            for j in range(dim):                 # left-to-right sum, like a SQL fold
+                diff = Q[:, j][:, None] - T[:, j][None, :]
+                D = D + diff * diff
+            if exclude_self:
+                D[np.asarray(qi_)[:, None] == np.asarray(ti_)[None, :]] = np.inf
+            kk = min(k, D.shape[1])
+            order = np.argsort(D, axis=1, kind="stable")[:, :kk]      # ties: block order = id order
+            rows = []
+            for a in range(len(Q)):
+                for b in order[a]:
+                    if np.isfinite(D[a, b]):
+                        rows.append((a, int(b), float(D[a, b])))
+            res.append(rows)
+        return pd.Series(res)
+    return topk
+
+
 class KNNModel:
     def __init__(self, est: KNNClassifier, train: DataFrame, vec: str, label_col: str, id_col: str):
+        from .rank import positional_index
         self.k, self.vec, self.label_col, self.id_col = est.k, vec, label_col, id_col
         t = train.select(F.col(id_col).alias("_t_id"), _as_double_array(train, vec).alias("_t_v"),
                          F.col(label_col).alias("_t_label"))
         self.pivots = choose_pivots(t, "_t_v", "_t_id", est.m, est.seed)
         cell = _nearest_pivot_udf(self.pivots)
-        self.train = t.withColumn("_t_cell", cell("_t_v")).select(
-            "_t_id", "_t_v", "_t_label", F.col("_t_cell.cell").alias("_cell"),
-            F.col("_t_cell.dist").alias("_pdist"))
+        cells = t.withColumn("_tc", cell("_t_v")).select(
+            "_t_id", "_t_v", "_t_label", F.col("_tc.cell").alias("_cell"), F.col("_tc.dist").alias("_pdist"))
         stats = {r["_cell"]: (r["r"], r["n"]) for r in
-                 self.train.groupBy("_cell").agg(F.max("_pdist").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
+                 cells.groupBy("_cell").agg(F.max("_pdist").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
         m = len(self.pivots)
         self.radius = np.array([stats.get(i, (0.0, 0))[0] for i in range(m)], dtype=np.float64)
         self.size = np.array([stats.get(i, (0.0, 0))[1] for i in range(m)], dtype=np.int64)
+        ranked = positional_index(cells, ["_t_id"], ["_cell"], n_groups=m, pos_col="_tpos")
+        packed = ranked.groupBy("_cell", F.floor((F.col("_tpos") - 1) / BLOCK).alias("_tblk")).agg(
+            F.sort_array(F.collect_list(F.struct("_t_id", "_t_label", "_t_v"))).alias("_ts"))
+        self.train = packed.select(
+            "_cell", F.transform("_ts", lambda x: x["_t_id"]).alias("_t_ids"),
+            F.transform("_ts", lambda x: x["_t_label"]).alias("_t_labels"),
+            F.flatten(F.transform("_ts", lambda x: x["_t_v"])).alias("_t_flat"))
 
     def neighbours(self, queries: DataFrame, exclude_self: bool = False) -> DataFrame:
         """(query id, train id, label, squared distance, rank) for the k nearest."""
+        from .rank import positional_index
+        m = len(self.pivots)
         q = queries.select(F.col(self.id_col).alias("_q_id"), _as_double_array(queries, self.vec).alias("_q_v"))
         need = self.k + (1 if exclude_self else 0)
         cands = _candidate_cells_udf(self.pivots, self.radius, self.size, need)
-        qc = q.select("_q_id", "_q_v", F.explode(cands("_q_v")).alias("_cell"))
-        pairs = qc.join(self.train, "_cell")
-        if exclude_self:
-            pairs = pairs.where(F.col("_q_id") != F.col("_t_id"))
-        pairs = pairs.select("_q_id", "_t_id", "_t_label", sq_dist(F.col("_q_v"), F.col("_t_v")).alias("d2"))
+        near = _nearest_pivot_udf(self.pivots)
+        q = q.select("_q_id", "_q_v", near("_q_v")["cell"].alias("_qcell"), cands("_q_v").alias("_cands"))
+        rq = positional_index(q, ["_q_id"], ["_qcell"], n_groups=m, pos_col="_qpos")
+        qb = rq.groupBy("_qcell", F.floor((F.col("_qpos") - 1) / BLOCK).alias("_qblk")).agg(
+            F.sort_array(F.collect_list(F.struct("_q_id", "_q_v"))).alias("_qs"),
+            F.array_distinct(F.flatten(F.collect_list("_cands"))).alias("_cands"))
+        qb = qb.select(F.transform("_qs", lambda x: x["_q_id"]).alias("_q_ids"),
+                       F.flatten(F.transform("_qs", lambda x: x["_q_v"])).alias("_q_flat"),
+                       F.explode("_cands").alias("_cell"))
+        pairs = qb.join(self.train, "_cell")
+        topk = _block_topk_udf(self.pivots.shape[1], self.k, exclude_self)
+        hits = pairs.select("_q_ids", "_t_ids", "_t_labels",
+                            F.explode(topk("_q_ids", "_q_flat", "_t_ids", "_t_flat")).alias("h"))
+        cand = hits.select(F.element_at("_q_ids", F.col("h.qi") + 1).alias("_q_id"),
+                           F.element_at("_t_ids", F.col("h.ti") + 1).alias("_t_id"),
+                           F.element_at("_t_labels", F.col("h.ti") + 1).alias("_t_label"),
+                           F.col("h.d2").alias("d2"))
         w = Window.partitionBy("_q_id").orderBy("d2", "_t_id")
-        return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= self.k)
+        return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= self.k)
 
     def transform(self, queries: DataFrame, exclude_self: bool = False, keep=None) -> DataFrame:
         nb = self.neighbours(queries, exclude_self)
