@@ -26,6 +26,27 @@ from .knn import KNNClassifier
 SPARK_MAX_DEPTH = 30
 
 
+ROWS_PER_PARTITION = 500_000
+
+
+def ready_for_fit(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Persist a training frame sized for iterative fitting.
+
+    Iterative estimators (LR, GMM, SVM, CV) read their input once per iteration: the
+    lineage behind it (splits, ranks, joins) must be computed once, and the partitions
+    must neither be thousands of slivers (task overhead per iteration) nor a few giant
+    ones.  Target: about ``rows_per_partition`` rows each, at least the cluster's
+    parallelism; fewer partitions come from ``coalesce`` (no shuffle)."""
+    from pyspark import StorageLevel
+    sc = df.sparkSession.sparkContext
+    cur = df.rdd.getNumPartitions()
+    n = df.count()
+    want = max(sc.defaultParallelism, -(-n // rows_per_partition))
+    if cur > want:
+        df = df.coalesce(want)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _vec_len(df: DataFrame, vec: str) -> int:
     meta = df.schema[vec].metadata.get("ml_attr", {})
     if "num_attrs" in meta:

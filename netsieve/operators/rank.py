@@ -52,6 +52,15 @@ def _parts(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _range(df: DataFrame, keys, num_partitions: int | None) -> DataFrame:
+    """Range partitioning on ``keys``.  Without an explicit count, AQE may merge adjacent
+    ranges into fewer partitions: merged ranges stay contiguous and in key order, and
+    the partition id and row id below come from the same task, so positions hold."""
+    if num_partitions:
+        return df.repartitionByRange(int(num_partitions), *keys)
+    return df.repartitionByRange(*keys)
+
+
 def positional_index(df: DataFrame, order_cols, group_cols=(), *, n_groups: int | None = None,
                      num_partitions: int | None = None, pos_col: str = "_pos",
                      count_col: str | None = None) -> DataFrame:
@@ -63,8 +72,8 @@ def positional_index(df: DataFrame, order_cols, group_cols=(), *, n_groups: int
     group_cols = list(group_cols)
     order_cols = list(order_cols)
     keys = [F.col(c) if isinstance(c, str) else c for c in group_cols + order_cols]
-    n = _parts(df, num_partitions)
-    srt = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    n = _parts(df, num_partitions)          # upper bound on partitions (AQE only merges)
+    srt = (_range(df, keys, num_partitions).sortWithinPartitions(*keys)
              .withColumn("_rk_pid", F.spark_partition_id())
              .withColumn("_rk_id", F.monotonically_increasing_id())
              .persist(StorageLevel.MEMORY_AND_DISK))
@@ -107,7 +116,7 @@ def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(c) for c in group_cols] + order
     n = _parts(df, num_partitions)
-    srt = (df.repartitionByRange(n, *keys).withColumn("_rs_pid", F.spark_partition_id())
+    srt = (_range(df, keys, num_partitions).withColumn("_rs_pid", F.spark_partition_id())
              .persist(StorageLevel.MEMORY_AND_DISK))
     _PERSISTED.append(srt)
     stats = srt.groupBy(*group_cols, "_rs_pid").agg(*[F.sum(c).alias(f"_rs_t_{c}") for c in sum_cols])

@@ -31,7 +31,8 @@ def grid_search(estimator, grid: dict, df: DataFrame, label: str = "label_idx",
     for name, values in grid.items():
         builder = builder.addGrid(est.getParam(name), list(values))
     maps = builder.build()
-    folds = stratified_folds(df, label, k, seed, uid)
+    from .models import ready_for_fit
+    folds = ready_for_fit(stratified_folds(df, label, k, seed, uid))
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="fold",
                         numFolds=k, parallelism=parallelism, seed=seed, collectSubModels=False)

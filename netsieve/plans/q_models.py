@@ -28,8 +28,8 @@ def signal_frames(spark, sf):
     parts = split_stratified(sig, "label")
     prep = Preprocessor("label", SIG_CAT, SIG_NUM).fit(parts.where(F.col("split") == "train"))
     feats = prep.transform(parts, keep=["uid", "split"])
-    train = feats.where(F.col("split") == "train")
-    test = feats.where(F.col("split") == "test")
+    train = M.ready_for_fit(feats.where(F.col("split") == "train"))
+    test = M.ready_for_fit(feats.where(F.col("split") == "test"))
     return train, test, prep
 
 
@@ -112,7 +112,6 @@ def q_ml_knn(spark, sf):
 def q_ml_train_all(spark, sf):
     """Fit every enabled model of the default settings; training seconds and test accuracy."""
     train, test, _ = signal_frames(spark, sf)
-    train = train.cache()
     n_classes = train.select("label_idx").distinct().count()
     cfg = {k: dict(v) for k, v in DEFAULT_CONFIG["training"]["models"].items()}
     cfg["gmm"]["n_components"] = min(cfg["gmm"]["n_components"], n_classes)
@@ -123,7 +122,6 @@ def q_ml_train_all(spark, sf):
         secs = time.time() - t0
         acc = _predictions(model, test).agg(F.avg((F.col("actual") == F.col("predicted")).cast("double"))).first()[0]
         rows.append((name, float(secs), float(acc)))
-    train.unpersist()
     return spark.createDataFrame(rows, "model string, training_seconds double, accuracy double")
 
 

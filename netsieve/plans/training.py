@@ -89,9 +89,9 @@ def run_training(spark: SparkSession, config: dict | None = None, frame: DataFra
     parts = parts.persist()
     prep = Preprocessor(target, feats.get("categorical_columns"), feats.get("numerical_columns")).fit(
         parts.where(F.col("split") == "train"))
-    data = prep.transform(parts, keep=["uid", "split"]).persist()
-    train = data.where(F.col("split") == "train")
-    test = data.where(F.col("split") == "test")
+    data = prep.transform(parts, keep=["uid", "split"])
+    train = M.ready_for_fit(data.where(F.col("split") == "train"))
+    test = M.ready_for_fit(data.where(F.col("split") == "test"))
     n_classes = len(prep.state.labels)
     model_cfg = {k: dict(v) for k, v in tr.get("models", {}).items()}
     if "gmm" in model_cfg:

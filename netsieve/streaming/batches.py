@@ -135,8 +135,9 @@ def stream_fit_snapshots(spark: SparkSession, folder: str, model_configs: dict,
         parts = split_stratified(df, target).cache()
         train = parts.where(F.col("split") == "train")
         prep = Preprocessor(target, categorical, numerical).fit(train)
-        feats = prep.transform(parts, keep=["uid", "split"]).cache()
-        tr, te = feats.where(F.col("split") == "train"), feats.where(F.col("split") == "test")
+        feats = prep.transform(parts, keep=["uid", "split"])
+        tr = M.ready_for_fit(feats.where(F.col("split") == "train"))
+        te = M.ready_for_fit(feats.where(F.col("split") == "test"))
         n_tr, n_te = tr.count(), te.count()
         rows = []
         for name, est in M.build_models(model_configs).items():
@@ -148,7 +149,8 @@ def stream_fit_snapshots(spark: SparkSession, folder: str, model_configs: dict,
             acc = (model.transform(te).agg(F.avg((F.col("prediction") == F.col("label_idx")).cast("double")))
                    .first()[0])
             rows.append((name, n_tr, n_te, float(acc) if acc is not None else None))
-        feats.unpersist()
+        tr.unpersist()
+        te.unpersist()
         parts.unpersist()
         return spark.createDataFrame(rows, "model string, n_train long, n_test long, accuracy double")
 

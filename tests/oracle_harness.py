@@ -94,7 +94,8 @@ if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from netsieve.session import get_session
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
+    spark = get_session("local[8]", shuffle_partitions=int(os.environ.get("SHUFFLE", "8")),
+                        extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     from netsieve.plans import catalog
     keys = sys.argv[1:] or sorted(catalog.queries())
