@@ -151,9 +151,10 @@ def q_prep_onehot_align(spark, sf):
 
 
 @register("prep_label_index", f"""
-select uid, label, cast(case label when 'benign' then 0 when 'malicious' then 1 when 'scan' then 2
-                       else -1 end as double) as label_idx
-from (select uid, {NORM_SQL} as label from flows) t""", F1)
+with cls as (select label as cls, row_number() over (order by label) - 1 as idx
+             from (select distinct label from flows_signal) c)
+select uid, label, cast(coalesce(idx, -1) as double) as label_idx
+from (select uid, {NORM_SQL} as label from flows) t left join cls on t.label = cls.cls""", ("flows_signal",))
 def q_prep_label_index(spark, sf):
     """Labels indexed with classes fitted elsewhere (flows_signal); unseen -> -1."""
     classes = prep.label_classes(fixtures.flows_signal(spark, sf), "label")
