@@ -110,6 +110,18 @@ def q_eval_summary(spark, sf):
     return acc.select("model", r6("accuracy").alias("accuracy")).orderBy(F.desc("accuracy"))
 
 
+@register("sink_comparison_csv", "with " + _MODELS_SQL + " select model, round(avg(cast(actual = predicted as double)),"
+          " 6) as accuracy from scored group by model", F2)
+def q_sink_comparison_csv(spark, sf):
+    """The model comparison table written as one headed CSV file in the shared folder and
+    read back: the file holds exactly the summary's rows."""
+    from ..session import scratch_dir
+    from ..sources.sinks import write_comparison_csv
+    path = scratch_dir(spark, "comparison")
+    write_comparison_csv(q_eval_summary(spark, sf), path)
+    return spark.read.option("header", "true").schema("model string, accuracy double").csv(path)
+
+
 # ---------------------------------------------------------------- ROC
 
 def class_scores(spark, sf):

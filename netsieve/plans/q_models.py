@@ -87,6 +87,21 @@ def q_ml_gaussian_nb(spark, sf):
     return model.transform(sig).select("uid", "label", F.col("prediction").alias("predicted"))
 
 
+@register("sink_models", _NB_SQL, ("flows_signal",))
+def q_sink_models(spark, sf):
+    """Models saved under their names in the shared folder, then loaded by name (an
+    estimator from the settings where none is saved, disabled ones skipped).  The loaded
+    Gaussian NB scores every flows_signal row exactly as the fitted one."""
+    from ..session import scratch_dir
+    from ..sources.sinks import load_models, save_models
+    sig = fixtures.flows_signal(spark, sf)
+    out_dir = scratch_dir(spark, "models")
+    save_models(spark, {"gaussian_nb": M.GaussianNB().fit(sig, SIG_NUM, "label")}, out_dir)
+    loaded = load_models(spark, out_dir, {"gaussian_nb": {}, "svm": {"enabled": False}})
+    model = loaded["gaussian_nb"]
+    return model.transform(sig).select("uid", "label", F.col("prediction").alias("predicted"))
+
+
 _KNN_SQL = """
 with e as (select vec_id, label, cast(embedding as double[]) as v from embeddings),
 p as (select a.vec_id as q, b.vec_id as t, b.label as tl,
