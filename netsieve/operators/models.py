@@ -37,14 +37,14 @@ def ready_for_fit(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -
     must neither be thousands of slivers (task overhead per iteration) nor a few giant
     ones.  Target: about ``rows_per_partition`` rows each, at least the cluster's
     parallelism; fewer partitions come from ``coalesce`` (no shuffle)."""
-    from pyspark import StorageLevel
+    from .rank import track
     sc = df.sparkSession.sparkContext
     cur = df.rdd.getNumPartitions()
     n = df.count()
     want = max(sc.defaultParallelism, -(-n // rows_per_partition))
     if cur > want:
         df = df.coalesce(want)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return track(df)
 
 
 def _vec_len(df: DataFrame, vec: str) -> int:

@@ -35,12 +35,19 @@ _PERSISTED: list = []
 
 
 def release() -> None:
-    """Unpersist the tagged frames kept for positional indexes (call after the results
-    that use them have been computed)."""
+    """Unpersist the frames kept by this package (positional-index tags, fit frames);
+    call after the results that use them have been computed."""
     while _PERSISTED:
         _PERSISTED.pop().unpersist()
 
 
+def track(df: DataFrame) -> DataFrame:
+    """Persist ``df`` (memory, spilling to disk) and remember it for ``release``."""
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
 def hash_order(uid_col: str, seed: int = 42) -> Column:
     """Deterministic pseudo-random order key: md5(uid | seed).  Same value in DuckDB."""
     return F.md5(F.concat(F.col(uid_col).cast("string"), F.lit("|"), F.lit(str(seed))))
@@ -75,9 +82,8 @@ def positional_index(df: DataFrame, order_cols, group_cols=(), *, n_groups: int
     n = _parts(df, num_partitions)          # upper bound on partitions (AQE only merges)
     srt = (_range(df, keys, num_partitions).sortWithinPartitions(*keys)
              .withColumn("_rk_pid", F.spark_partition_id())
-             .withColumn("_rk_id", F.monotonically_increasing_id())
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    _PERSISTED.append(srt)
+             .withColumn("_rk_id", F.monotonically_increasing_id()))
+    srt = track(srt)
     stats = (srt.groupBy(*group_cols, "_rk_pid")
              .agg(F.min("_rk_id").alias("_rk_first"), F.count(F.lit(1)).alias("_rk_cnt")))
     before = Window.partitionBy(*group_cols).orderBy("_rk_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -116,9 +122,7 @@ def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(c) for c in group_cols] + order
     n = _parts(df, num_partitions)
-    srt = (_range(df, keys, num_partitions).withColumn("_rs_pid", F.spark_partition_id())
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    _PERSISTED.append(srt)
+    srt = track(_range(df, keys, num_partitions).withColumn("_rs_pid", F.spark_partition_id()))
     stats = srt.groupBy(*group_cols, "_rs_pid").agg(*[F.sum(c).alias(f"_rs_t_{c}") for c in sum_cols])
     before = Window.partitionBy(*group_cols).orderBy("_rs_pid").rowsBetween(Window.unboundedPreceding, -1)
     sel = [F.col(g).alias(f"_rs_g{i}") for i, g in enumerate(group_cols)] + [F.col("_rs_pid").alias("_rs_spid")]

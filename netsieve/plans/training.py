@@ -19,6 +19,7 @@ from ..operators import evaluate as ev
 from ..operators import models as M
 from ..operators.aggregates import class_distribution
 from ..operators.prep import Preprocessor
+from ..operators.rank import track
 from ..operators.sampling import sample_balanced, sample_fraction, sample_stratified_cap
 from ..operators.split import split_stratified, split_time
 from ..session import scratch_dir
@@ -86,7 +87,7 @@ def run_training(spark: SparkSession, config: dict | None = None, frame: DataFra
         parts = split_time(df, "timestamp")
     else:
         parts = split_stratified(df, target, seed=seed)
-    parts = parts.persist()
+    parts = track(parts)
     prep = Preprocessor(target, feats.get("categorical_columns"), feats.get("numerical_columns")).fit(
         parts.where(F.col("split") == "train"))
     data = prep.transform(parts, keep=["uid", "split"])
@@ -112,7 +113,7 @@ def run_training(spark: SparkSession, config: dict | None = None, frame: DataFra
         pred = model.transform(test).select(F.lit(name).alias("model"),
                                             F.col("label_idx").cast("int").alias("actual"),
                                             F.col("prediction").cast("int").alias("predicted"))
-        pred = pred.persist()
+        pred = track(pred)
         pred.count()
         timings.append((name, float(fit_s), float(time.time() - t0)))
         scored.append(pred)
