@@ -17,7 +17,7 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from ..functions.coerce import duration_seconds, inf_to_zero
 from ..functions.labels import label_normalize
-from .rank import positional_index
+from .rank import positional_index, running_sums
 
 UNKNOWN = "unknown"
 
@@ -75,20 +75,29 @@ def null_count_dict(df: DataFrame, cols) -> dict[str, int]:
 
 def medians(df: DataFrame, cols, exact: bool = True, accuracy: int = 1_000_000) -> DataFrame:
     """(column, median) over non-null, non-NaN values; the mean of the two middle values
-    for an even count.  Exact: a positional index over (column, value) -- one range
-    shuffle for all columns, skew-safe.  ``exact=False``: percentile_approx."""
+    for an even count.  ``exact=False``: percentile_approx.
+
+    Exact: values are first counted per (column, value), partially aggregated map-side,
+    so only distinct values travel and a hot value is one row.  Running counts over the
+    distinct values in order (range-partitioned, skew-safe; see rank.running_sums) then
+    locate the middle position(s): the value v holds positions (cum - count, cum]."""
     cols = list(cols)
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, median double")
     if not exact:
         aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]
         return df.agg(*aggs).unpivot([], cols, "column_name", "median").where(F.col("median").isNotNull())
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in cols],
-                     F.monotonically_increasing_id().alias("_rid"))
-    long = base.unpivot(["_rid"], cols, "column_name", "v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    ranked = positional_index(long, ["v", "_rid"], ["column_name"], n_groups=len(cols), count_col="_n")
-    mid = ranked.where((F.col("_pos") == F.floor((F.col("_n") + 1) / 2))
-                       | (F.col("_pos") == F.floor(F.col("_n") / 2) + 1))
+    base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    long = base.unpivot([], cols, "column_name", "v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sums(counts, ["v"], ["_c"], ["column_name"], n_groups=len(cols),
+                       prefix="_cum", total_prefix="_n")
+    before, upto, n = F.col("_cum_c") - F.col("_c"), F.col("_cum_c"), F.col("_n_c")
+
+    def holds(k):
+        return (before < k) & (k <= upto)
+
+    mid = cum.where(holds(F.floor((n + 1) / 2)) | holds(F.floor(n / 2) + 1))
     return mid.groupBy("column_name").agg(F.avg("v").alias("median"))
 
 

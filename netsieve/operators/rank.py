@@ -114,10 +114,12 @@ def limit_per_group(df: DataFrame, order_cols, group_cols, quota: Column, **kw)
 
 
 def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups: int | None = None,
-                 num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:
+                 num_partitions: int | None = None, prefix: str = "cum_",
+                 total_prefix: str | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` within each group under ``order_cols`` (a
     total order).  Same device as :func:`positional_index`: range partitions, a sum per
-    (group, partition), offsets from the small statistics, local sums inside each range."""
+    (group, partition), offsets from the small statistics, local sums inside each range.
+    With ``total_prefix``, each row also gets its group's totals (from the statistics)."""
     group_cols = list(group_cols)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(c) for c in group_cols] + order
@@ -127,6 +129,9 @@ def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups
     before = Window.partitionBy(*group_cols).orderBy("_rs_pid").rowsBetween(Window.unboundedPreceding, -1)
     sel = [F.col(g).alias(f"_rs_g{i}") for i, g in enumerate(group_cols)] + [F.col("_rs_pid").alias("_rs_spid")]
     sel += [F.coalesce(F.sum(f"_rs_t_{c}").over(before), F.lit(0)).alias(f"_rs_o_{c}") for c in sum_cols]
+    if total_prefix:
+        whole = Window.partitionBy(*group_cols)
+        sel += [F.sum(f"_rs_t_{c}").over(whole).alias(f"_rs_T_{c}") for c in sum_cols]
     checkpoint_root(df.sparkSession)
     stats = stats.select(*sel).checkpoint(eager=True)
     if n_groups is not None and n + n_groups <= BROADCAST_ROWS:
@@ -138,5 +143,7 @@ def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups
     for i, g in enumerate(group_cols):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_rs_g{i}"))
     j = local.join(stats, cond, "inner")
+    totals = [F.col(f"_rs_T_{c}").alias(f"{total_prefix}{c}") for c in sum_cols] if total_prefix else []
     return j.select(*[F.col(c) for c in df.columns],
-                    *[(F.col(f"_rs_o_{c}") + F.col(f"_rs_l_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
+                    *[(F.col(f"_rs_o_{c}") + F.col(f"_rs_l_{c}")).alias(f"{prefix}{c}") for c in sum_cols],
+                    *totals)

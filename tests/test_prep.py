@@ -55,6 +55,25 @@ def test_median_exact_and_skewed(spark):
     assert got["y"] == statistics.median([v * 2 for v in vals if v])
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_median_matches_brute_force(spark, seed):
+    import random
+    import statistics
+    rnd = random.Random(seed)
+    n = rnd.randint(1, 80)
+    pool = [float(rnd.randint(-5, 5)) for _ in range(4)] + [None, float("nan")]
+    xs = [rnd.choice(pool) if rnd.random() < 0.5 else rnd.uniform(-100, 100) for _ in range(n)]
+    ys = [float(rnd.randint(0, 3)) if i % 2 else None for i in range(n)]
+    df = spark.createDataFrame(list(zip(xs, ys)), "x double, y double").repartition(5)
+    got = {r["column_name"]: r["median"] for r in medians(df, ["x", "y"]).collect()}
+    for c, vals in (("x", xs), ("y", ys)):
+        clean = [v for v in vals if v is not None and not math.isnan(v)]
+        if clean:
+            assert got[c] == pytest.approx(statistics.median(clean), rel=1e-12, abs=1e-12)
+        else:
+            assert c not in got
+
+
 def test_modes_tie_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "c string")
     assert modes(df, ["c"]).first()["mode"] == "a"
