@@ -113,6 +113,52 @@ def limit_per_group(df: DataFrame, order_cols, group_cols, quota: Column, **kw)
     return ranked.where(F.col("_lpg_pos") <= quota).drop("_lpg_pos")
 
 
+def _local_sums(srt: DataFrame, group_cols, sum_cols) -> DataFrame:
+    """Add ``_rs_l_<c>``: inclusive running sums of ``sum_cols`` inside each partition of
+    ``srt``, restarting at each group.  ``srt`` is sorted within its partitions by (group,
+    order), so one pass over each partition's Arrow batches, carrying the running totals
+    across batches, is enough: no second shuffle (a window over (group, partition id)
+    would re-distribute the rows, since a range partitioning does not satisfy it)."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+    from pyspark.sql.types import ByteType, IntegerType, ShortType
+
+    integral = (ByteType, ShortType, IntegerType, LongType)
+    types = {c: LongType() if isinstance(srt.schema[c].dataType, integral) else DoubleType() for c in sum_cols}
+    schema = StructType(list(srt.schema.fields) + [StructField(f"_rs_l_{c}", types[c]) for c in sum_cols])
+    groups, sums = list(group_cols), list(sum_cols)
+
+    def same_as(pdf, key):
+        m = np.ones(len(pdf), dtype=bool)
+        for g, v in zip(groups, key):
+            col = pdf[g]
+            m &= (col.isna() if pd.isna(v) else (col == v).fillna(False)).to_numpy(dtype=bool)
+        return m
+
+    def run(batches):
+        carry_key, carry = None, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            vals = pdf[sums].astype({c: "int64" if isinstance(types[c], LongType) else "float64" for c in sums})
+            if groups:
+                cs = vals.groupby([pdf[g] for g in groups], sort=False, dropna=False).cumsum()
+            else:
+                cs = vals.cumsum()
+            first = tuple(pdf[g].iloc[0] for g in groups)
+            if carry is not None and all((pd.isna(a) and pd.isna(b)) or a == b for a, b in zip(first, carry_key)):
+                head = same_as(pdf, first)
+                # groups are contiguous: only the leading run continues the carried group
+                stop = len(head) if head.all() else int(np.argmin(head))
+                cs.iloc[:stop] = cs.iloc[:stop].to_numpy() + carry
+            carry_key = tuple(pdf[g].iloc[-1] for g in groups)
+            carry = cs.iloc[-1].to_numpy()
+            yield pdf.assign(**{f"_rs_l_{c}": cs[c].to_numpy() for c in sums})
+
+    return srt.mapInPandas(run, schema)
+
+
 def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups: int | None = None,
                  num_partitions: int | None = None, prefix: str = "cum_",
                  total_prefix: str | None = None) -> DataFrame:
@@ -124,7 +170,8 @@ def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(c) for c in group_cols] + order
     n = _parts(df, num_partitions)
-    srt = track(_range(df, keys, num_partitions).withColumn("_rs_pid", F.spark_partition_id()))
+    srt = track(_range(df, keys, num_partitions).sortWithinPartitions(*keys)
+                .withColumn("_rs_pid", F.spark_partition_id()))
     stats = srt.groupBy(*group_cols, "_rs_pid").agg(*[F.sum(c).alias(f"_rs_t_{c}") for c in sum_cols])
     before = Window.partitionBy(*group_cols).orderBy("_rs_pid").rowsBetween(Window.unboundedPreceding, -1)
     sel = [F.col(g).alias(f"_rs_g{i}") for i, g in enumerate(group_cols)] + [F.col("_rs_pid").alias("_rs_spid")]
@@ -136,9 +183,7 @@ def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups
     stats = stats.select(*sel).checkpoint(eager=True)
     if n_groups is not None and n + n_groups <= BROADCAST_ROWS:
         stats = F.broadcast(stats)
-    inside = Window.partitionBy(*group_cols, "_rs_pid").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = srt.select("*", *[F.sum(c).over(inside).alias(f"_rs_l_{c}") for c in sum_cols])
+    local = _local_sums(srt, group_cols, sum_cols)
     cond = F.col("_rs_pid") == F.col("_rs_spid")
     for i, g in enumerate(group_cols):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_rs_g{i}"))
