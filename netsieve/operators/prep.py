@@ -128,15 +128,29 @@ def scaler_stats(df: DataFrame, cols) -> DataFrame:
     return long.withColumn("divisor", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
 
 
-def vocabulary(df: DataFrame, cols, large: bool = False) -> DataFrame:
+def vocabulary(df: DataFrame, cols, large: bool = False, max_categories: int | None = None) -> DataFrame:
     """(column, category, idx): sorted distinct values per column, idx from 0.
 
     A fitted vocabulary is model state collected to the driver, so it is driver-sized
     and a per-column window is enough.  ``large=True`` numbers categories with the
-    range-partitioned positional index instead, for a table that stays distributed."""
+    range-partitioned positional index instead, for a table that stays distributed.
+
+    ``max_categories`` (off by default) keeps only the most frequent categories of each
+    column (ties to the smaller value), so a high-cardinality column cannot grow the
+    fitted state; the rest encode like unseen categories (all zero).  Counts are
+    partially aggregated, and the per-column top list is a rank filter that Spark
+    limits on the map side, so no column's full value set meets on one task."""
     cols = list(cols)
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-              .unpivot([], cols, "column_name", "category").distinct())
+              .unpivot([], cols, "column_name", "category"))
+    if max_categories:
+        from pyspark.sql import Window
+        counts = long.groupBy("column_name", "category").agg(F.count(F.lit(1)).alias("_n"))
+        top = Window.partitionBy("column_name").orderBy(F.desc("_n"), F.col("category").asc_nulls_first())
+        long = (counts.withColumn("_r", F.row_number().over(top))
+                      .where(F.col("_r") <= int(max_categories)).select("column_name", "category"))
+    else:
+        long = long.distinct()
     if large:
         ranked = positional_index(long, ["category"], ["column_name"], n_groups=len(cols), pos_col="_vpos")
         return ranked.select("column_name", "category", (F.col("_vpos") - 1).cast("int").alias("idx"))
@@ -234,8 +248,13 @@ class Preprocessor:
     """fit(train) -> PreprocessorModel; the model transforms train, val and test alike."""
 
     def __init__(self, target: str = "label", categorical=None, numerical=None,
-                 drop_na: bool = False, handle_unknown: str = "ignore", exact_median: bool = True):
+                 drop_na: bool = False, handle_unknown: str = "ignore", exact_median: bool = True,
+                 max_categories: int | None = None):
+        if max_categories is not None and handle_unknown == "error":
+            raise ValueError("max_categories encodes rare categories as unknown; "
+                             "it cannot be combined with handle_unknown='error'")
         self.target = target
+        self.max_categories = max_categories
         self.categorical = categorical
         self.numerical = numerical
         self.drop_na = drop_na
@@ -269,7 +288,8 @@ class Preprocessor:
                 st.divisors[r["column_name"]] = float(r["divisor"]) if r["divisor"] is not None else 1.0
         if cat:
             vocab: dict = {c: [] for c in cat}
-            for r in vocabulary(filled, cat).orderBy("column_name", "idx").collect():
+            for r in vocabulary(filled, cat, max_categories=self.max_categories) \
+                    .orderBy("column_name", "idx").collect():
                 vocab[r["column_name"]].append(r["category"])
             st.vocab = vocab
         st.labels = label_classes(filled, self.target)

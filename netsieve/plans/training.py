@@ -88,7 +88,8 @@ def run_training(spark: SparkSession, config: dict | None = None, frame: DataFra
     else:
         parts = split_stratified(df, target, seed=seed)
     parts = track(parts)
-    prep = Preprocessor(target, feats.get("categorical_columns"), feats.get("numerical_columns")).fit(
+    prep = Preprocessor(target, feats.get("categorical_columns"), feats.get("numerical_columns"),
+                        max_categories=feats.get("max_categories")).fit(
         parts.where(F.col("split") == "train"))
     data = prep.transform(parts, keep=["uid", "split"])
     train = M.ready_for_fit(data.where(F.col("split") == "train"))

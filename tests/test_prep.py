@@ -89,3 +89,24 @@ def test_transform_equals_fit_rows(spark):
     col_a = [x[0] for x in a.values()]
     assert abs(sum(col_a) / len(col_a)) < 1e-12       # scaled column has mean 0
     assert math.isclose(sum(x * x for x in col_a) / len(col_a), 1.0)   # population std 1
+
+
+def test_max_categories_keeps_most_frequent(spark):
+    from netsieve.operators.prep import vocabulary
+    rows = [(f"u{i}", float(i), "hot" if i % 2 else f"rare{i}", "x" if i % 3 else "y", "a")
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "uid string, a double, c string, d string, label string")
+    voc = {(r["column_name"], r["category"]): r["idx"]
+           for r in vocabulary(df, ["c", "d"], max_categories=2).collect()}
+    # c: 'hot' (100) then the smallest of the single rare values; d: both values
+    assert voc == {("c", "hot"): 0, ("c", "rare0"): 1, ("d", "x"): 0, ("d", "y"): 1}
+    plan = vocabulary(df, ["c"], max_categories=2)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    m = Preprocessor("label", ["c"], ["a"], max_categories=2).fit(df)
+    assert m.state.vocab["c"] == ["hot", "rare0"]
+    out = m.transform(df, keep=["uid"]).select("uid", vector_to_array("features").alias("f")).collect()
+    by = {r["uid"]: r["f"] for r in out}
+    assert list(by["u2"][1:]) == [0.0, 0.0]                 # rare, not kept -> all zero
+    assert list(by["u1"][1:]) == [1.0, 0.0]
+    with pytest.raises(ValueError):
+        Preprocessor("label", ["c"], ["a"], handle_unknown="error", max_categories=2)
