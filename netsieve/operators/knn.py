@@ -18,6 +18,13 @@ Pivot pruning (metric-space indexing) over bounded blocks:
    the same arithmetic as a SQL fold) keeping k candidates per query; a rank filter
    (limited map-side by Spark) keeps the global k by (distance, id); majority vote,
    vote ties to the smallest class.
+
+Duplicates.  Before all this, each distinct training vector keeps only its k + 1
+smallest ids.  A further copy is never a neighbour: its k + 1 twins lie at the same
+distance from any query with smaller ids, so even with the query itself excluded k rows
+rank before it.  The answer is unchanged, and a vector repeated across a third of the
+data costs k + 1 rows instead of a quadratic block-pair count in its cell.  The rank
+filter is limited map-side, so the hot vector never meets on one task in full.
 """
 
 from __future__ import annotations
@@ -143,6 +150,8 @@ class KNNModel:
         self.k, self.vec, self.label_col, self.id_col = est.k, vec, label_col, id_col
         t = train.select(F.col(id_col).alias("_t_id"), _as_double_array(train, vec).alias("_t_v"),
                          F.col(label_col).alias("_t_label"))
+        twins = Window.partitionBy("_t_v").orderBy("_t_id")
+        t = t.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= self.k + 1).drop("_twin")
         self.pivots = choose_pivots(t, "_t_v", "_t_id", est.m, est.seed)
         cell = _nearest_pivot_udf(self.pivots)
         cells = t.withColumn("_tc", cell("_t_v")).select(

@@ -113,3 +113,30 @@ def test_registry_extension(frames):
         assert list(built) == ["constant"]
     finally:
         M.REGISTRY.pop("constant")
+
+
+@pytest.mark.parametrize("exclude_self", [True, False])
+def test_knn_exact_with_hot_duplicate(spark, exclude_self):
+    """A third of the training vectors identical: still equal to brute force."""
+    rng = np.random.default_rng(7)
+    n = 240
+    vecs = rng.normal(size=(n, 3)).round(1)
+    vecs[::3] = [0.5, -0.5, 0.0]
+    labels = [int(x) for x in rng.integers(0, 3, size=n)]
+    ids = list(range(n))
+    df = spark.createDataFrame([(i, vecs[i].tolist(), labels[i]) for i in ids],
+                               "vec_id long, embedding array<double>, label int").repartition(6)
+    want = brute_knn(vecs, labels, ids, 5, exclude_self)
+    model = KNNClassifier(5, pivots=5).fit(df, vec="embedding", label_col="label", id_col="vec_id")
+    got = {r["vec_id"]: r["prediction"] for r in model.transform(df, exclude_self=exclude_self).collect()}
+    assert got == want
+    nb = model.neighbours(df, exclude_self)
+    want_nb = {}
+    for i in ids:
+        d = ((vecs - vecs[i]) ** 2).sum(axis=1)
+        order = [j for j in sorted(ids, key=lambda j: (d[j], j)) if not (exclude_self and j == i)]
+        want_nb[i] = sorted(order[:5])
+    got_nb = {}
+    for r in nb.collect():
+        got_nb.setdefault(r["_q_id"], []).append(r["_t_id"])
+    assert {k: sorted(v) for k, v in got_nb.items()} == want_nb
