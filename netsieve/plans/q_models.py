@@ -87,6 +87,31 @@ def q_ml_gaussian_nb(spark, sf):
     return model.transform(sig).select("uid", "label", F.col("prediction").alias("predicted"))
 
 
+class FlowSignalNB:
+    """A user model as the registry expects one: built from settings, ``fit(df, features,
+    label)`` returns a model with ``transform``.  It fixes its own feature list (the five
+    flows_signal numerics) and delegates to the Gaussian NB."""
+
+    def __init__(self, var_smoothing: float = 1e-9, **_):
+        self.var_smoothing = var_smoothing
+
+    def fit(self, df, features="features", label="label_idx"):
+        return M.GaussianNB(var_smoothing=self.var_smoothing).fit(df, SIG_NUM, label)
+
+
+@register("ml_model_registry", _NB_SQL, ("flows_signal",))
+def q_ml_model_registry(spark, sf):
+    """A user model added to the registry by name, instantiated from a model config by
+    build_models (disabled entries skipped), then fitted and applied like a built-in."""
+    M.register_model("flow_signal_nb", FlowSignalNB)
+    built = M.build_models({"flow_signal_nb": {"var_smoothing": 1e-9}, "svm": {"enabled": False}})
+    if sorted(built) != ["flow_signal_nb"]:
+        raise RuntimeError(f"unexpected models {sorted(built)}")
+    sig = fixtures.flows_signal(spark, sf)
+    model = built["flow_signal_nb"].fit(sig, label="label")
+    return model.transform(sig).select("uid", "label", F.col("prediction").alias("predicted"))
+
+
 @register("sink_models", _NB_SQL, ("flows_signal",))
 def q_sink_models(spark, sf):
     """Models saved under their names in the shared folder, then loaded by name (an
