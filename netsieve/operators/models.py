@@ -300,14 +300,20 @@ class GMMClassifier:
     reference's estimator regularises); softmax over classes; argmax (uniform priors)."""
 
     def __init__(self, n_components: int = 5, reg_covar: float = 1e-6, max_iter: int = 100,
-                 random_state: int = 42, **_):
+                 random_state: int = 42, parallelism: int = 4, **_):
         self.k, self.reg, self.max_iter, self.seed = int(n_components), reg_covar, max_iter, random_state
+        self.parallelism = int(parallelism)
 
     def fit(self, df: DataFrame, features="features", label: str = "label_idx"):
+        """The per-class mixtures are independent chains of small EM jobs; they are fitted
+        from driver threads (as OneVsRest's ``parallelism``) so they share the executors.
+        Each fit is seeded, so the result does not depend on the interleaving."""
+        from concurrent.futures import ThreadPoolExecutor
+        from pyspark.util import inheritable_thread_target
         counts = {r[0]: int(r[1]) for r in df.groupBy(label).count().collect()}
         classes = sorted(counts)
-        params = []
-        for c in classes:
+
+        def one(c):
             part = df.where(F.col(label) == c).select(features)
             k = max(1, min(self.k, counts[c]))
             comps = []
@@ -321,7 +327,10 @@ class GMMClassifier:
                     mu = np.array(g.mean.toArray())
                     cov = np.array(g.cov.toArray())
                     comps.append((math.log(max(w[j], 1e-300)), mu, cov + self.reg * np.eye(len(mu))))
-            params.append(comps)
+            return comps
+
+        with ThreadPoolExecutor(max_workers=max(1, min(len(classes), self.parallelism))) as pool:
+            params = list(pool.map(inheritable_thread_target(one), classes))
         return GMMModel(classes, params, features)
 
 
