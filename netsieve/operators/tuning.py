@@ -22,7 +22,7 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, uid:
 
 def grid_search(estimator, grid: dict, df: DataFrame, label: str = "label_idx",
                 features: str = "features", k: int = 5, metric: str = "accuracy",
-                parallelism: int = 2, seed: int = 42, uid: str = "uid"):
+                parallelism: int = 4, seed: int = 42, uid: str = "uid"):
     """Returns (best model, table of (params, mean, std, is_best)).
 
     ``grid`` maps estimator Param names to value lists."""
