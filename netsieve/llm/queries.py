@@ -33,3 +33,39 @@ def op2_token_counts(spark, sf_dir):
     from .tokens import token_counts
     docs = load(spark, sf_dir, "documents")
     return token_counts(docs, vocabulary(), scratch_dir(spark, "token-cache"))
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    """Benchmark windows found in every document through shard suffix arrays."""
+    from .suffix import contamination_report
+    return contamination_report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = rf"coalesce(regexp_extract_all(translate(text, {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+ORACLE["op4_decontamination"] = f"""
+with b as (select row_number() over () item_no, item_id, {_WORDS} w from benchmark),
+bw as (select item_no, cast(item_id as varchar) item_id, k, i j, array_to_string(w[i:i + k - 1], ' ') g
+       from (select item_no, item_id, w, least(len(w), 10) k, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) i
+             from b where len(w) > 0)),
+d as (select doc_id, row_number() over () rid, {_WORDS} w from documents),
+ks as (select distinct k from bw),
+dw as (select rid, k, i, array_to_string(w[i:i + k - 1], ' ') g
+       from (select rid, w, k, unnest(generate_series(1, len(w) - k + 1)) i from d, ks where len(w) >= k)),
+hit as (select rid, i, k, item_id from dw join bw using (k, g)),
+words as (select rid, count(distinct p) n_hit
+          from (select rid, unnest(generate_series(i, i + k - 1)) p from (select distinct rid, i, k from hit)) group by rid),
+items as (select rid, count(*) n_items, string_agg(item_id, ',' order by item_id) ids
+          from (select distinct rid, item_id from hit) group by rid),
+runs as (select rid, max(n) longest from (
+           select rid, max(i + k) - min(i) n from (
+             select *, i - row_number() over (partition by rid, item_no, diag order by i) isl
+             from (select rid, item_no, dw.i - bw.j diag, dw.i, k from dw join bw using (k, g)))
+           group by rid, item_no, diag, isl) group by rid)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated,
+       coalesce(longest, 0) as longest
+from d left join words using (rid) left join items using (rid) left join runs using (rid)
+"""
