@@ -69,3 +69,44 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
        coalesce(longest, 0) as longest
 from d left join words using (rid) left join items using (rid) left join runs using (rid)
 """
+
+
+@query
+def op8_source_mix(spark, sf_dir):
+    """Words taken of every document by the golden-ratio schedule of source blocks."""
+    from .mixing import mix_report
+    return mix_report(load(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_source_mix"] = r"""
+with s as (select doc_id, source, len(coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])) as size,
+                  md5(coalesce(cast(doc_id as varchar), '~') || '|17') as key from documents),
+p as (select source, sum(size)::bigint source_size from s group by source),
+r as (select *, row_number() over (order by source nulls last) - 1 src from p),
+w as (select *, ([5.0, 2.0, 1.0]::double[])[src % 3 + 1] w, source_size * 2.0::double cap from r),
+q as (select *, cap / w ratio, (sum(source_size) over ())::double * 1.5::double goal from w),
+l as (select *, (goal - coalesce(sum(cap) over (order by ratio, src rows between unbounded preceding and 1 preceding), 0.0))
+                / sum(w) over (order by ratio, src rows between current row and unbounded following) rate from q),
+m as (select *, min(case when ratio > rate then rate end) over () lvl from l),
+t as (select source, src, source_size,
+             case when ratio <= rate or lvl is null then cap else least(cap, lvl * w) end target,
+             cast(ceil(source_size / 128.0::double) as bigint) blocks from m),
+t2 as (select *, case when source_size > 0 then target / source_size::double * blocks else 0.0::double end slots from t),
+t3 as (select *, sum(slots) over (order by src rows between unbounded preceding and current row) / sum(slots) over () hi from t2),
+t4 as (select *, coalesce(lag(hi) over (order by src), 0.0) lo from t3),
+pt as (select slot, x - floor(x) u from (
+         select slot, (floor(slot / 1048576.0::double) * 0.607787409740351::double) % 1.0::double
+                      + (slot % 1048576)::double * 0.6180339887498949::double x
+         from (select unnest(generate_series(0, (select cast(floor(sum(slots) + 0.5) as bigint) from t2) - 1)) slot))),
+k as (select src, blocks, row_number() over (partition by src order by slot) - 1 rnk from pt join t4 on u >= lo and u < hi),
+times as (select src, rnk % blocks block, count(*) times from k where rnk // blocks < 2 group by all),
+d as (select doc_id, s.source, size, source_size, target, src,
+             coalesce(sum(size) over (partition by src order by key, size, doc_id rows between unbounded preceding and 1 preceding), 0)::bigint pos
+      from s join t4 on s.source is not distinct from t4.source),
+pc as (select *, unnest(generate_series(pos // 128, (pos + size - 1) // 128)) block from d where size > 0),
+g as (select doc_id, source, size, source_size, target, pos,
+             sum((least(pos + size, (block + 1) * 128) - greatest(pos, block * 128)) * coalesce(times, 0)) taken
+      from pc left join times using (src, block) group by doc_id, source, size, source_size, target, pos)
+select doc_id, source, size::bigint as size, source_size, target, taken::bigint as taken from g
+union all select doc_id, source, size::bigint, source_size, target, 0::bigint from d where size = 0
+"""
