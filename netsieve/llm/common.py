@@ -56,8 +56,8 @@ def fresh(name: str, columns) -> str:
 
 def row_key(*cols) -> F.Column:
     """128-bit hex key of a row from nullable columns (a null differs from every text)."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~"))
-                                    for c in cols]))
+    cols = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("~")) for c in cols]))
 
 
 def pieces(batches, text_col: str, max_bytes: int = PIECE_BYTES):

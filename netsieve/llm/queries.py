@@ -110,3 +110,10 @@ g as (select doc_id, source, size, source_size, target, pos,
 select doc_id, source, size::bigint as size, source_size, target, taken::bigint as taken from g
 union all select doc_id, source, size::bigint, source_size, target, 0::bigint from d where size = 0
 """
+
+
+@query
+def op7_near_duplicates(spark, sf_dir):
+    """Near-duplicate class of every document by Order MinHash and banded alignment."""
+    from .near import classes
+    return classes(load(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links")
