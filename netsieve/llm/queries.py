@@ -117,3 +117,10 @@ def op7_near_duplicates(spark, sf_dir):
     """Near-duplicate class of every document by Order MinHash and banded alignment."""
     from .near import classes
     return classes(load(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "n_links")
+
+
+@query
+def op3_language(spark, sf_dir):
+    """Language of every text by script, trigram scores and Viterbi over its words."""
+    from .language import languages
+    return languages(load(spark, sf_dir, "documents"))
