@@ -124,3 +124,48 @@ def op3_language(spark, sf_dir):
     """Language of every text by script, trigram scores and Viterbi over its words."""
     from .language import languages
     return languages(load(spark, sf_dir, "documents"))
+
+
+@query
+def op6_secrets(spark, sf_dir):
+    """Secrets of every text; weak parts only where complementary parts are in scope."""
+    from .secrets import secret_report
+    return secret_report(load(spark, sf_dir, "documents"))
+
+
+def _secrets_sql() -> str:
+    from .secrets import KINDS, NEEDS, SCOPE
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    kinds = ", ".join(f"({i}, {quote(k)}, {quote(r)}, {str(w).lower()}, {quote(p)})" for i, (k, r, w, p) in enumerate(KINDS))
+    found = []
+    for i, (k, _, _, p) in enumerate(KINDS):
+        kept = "true"
+        if k == "assign":
+            kept = f"length(regexp_extract(m[i], {quote(p)}, 2)) >= 8"
+        if k == "key":
+            kept = "length(m[i]) = 40 and regexp_matches(m[i], '[a-z]') and regexp_matches(m[i], '[A-Z]') and regexp_matches(m[i], '[0-9]')"
+        found.append(f"""select rid, {i} k, s + length(m[i]) "end", s "start" from (
+            select rid, m, i, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) s
+            from (select rid, m, g, unnest(generate_series(1, len(m))) i from (
+              select rid, regexp_extract_all(text, {quote(p)}) m, string_split_regex(text, {quote(p)}) g from t)))
+            where {kept}""")
+    needs = " or ".join("(w.role = '" + r + "' and " + " and ".join(
+        f"exists (select 1 from f o where o.rid = w.rid and o.role = '{n}' and abs(o.start - w.start) <= {SCOPE})" for n in ns) + ")"
+        for r, ns in NEEDS.items())
+    return f"""
+with t as (select row_number() over () rid, doc_id, coalesce(text, '') as text from documents),
+kinds(k, kind, role, weak, pat) as (values {kinds}),
+f0 as (select a.*, kind, role, weak from ({' union all '.join(found)}) a join kinds using (k)),
+f as (select * from f0 w where not weak or not exists (
+      select 1 from f0 b where b.rid = w.rid and not b.weak and b.start <= w.start and b."end" >= w."end")),
+r as (select * from f w where not weak or {needs}),
+s as (select rid, count(*) filter (where k = 0) n_assign, count(*) filter (where k = 1) n_access, count(*) filter (where k = 2) n_hex,
+             string_agg(concat(kind, ':', start::bigint, ':', "end"::bigint), ',' order by start, k) filter (where k < 3) base,
+             string_agg(concat(kind, ':', start::bigint, ':', "end"::bigint), ',' order by start, k) spans from r group by rid)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from t left join s using (rid)
+"""
+
+
+ORACLE["op6_secrets"] = _secrets_sql()
