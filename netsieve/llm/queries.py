@@ -169,3 +169,10 @@ from t left join s using (rid)
 
 
 ORACLE["op6_secrets"] = _secrets_sql()
+
+
+@query
+def op10_personal_data(spark, sf_dir):
+    """Personal data of every text by fixed patterns and a trained random field."""
+    from .pii import pii_report
+    return pii_report(load(spark, sf_dir, "documents"))
