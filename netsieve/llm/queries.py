@@ -176,3 +176,18 @@ def op10_personal_data(spark, sf_dir):
     """Personal data of every text by fixed patterns and a trained random field."""
     from .pii import pii_report
     return pii_report(load(spark, sf_dir, "documents"))
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    """Toxicity categories of every text by a classifier chain."""
+    from .toxicity import categories_of, toxicity
+    labels = categories_of(load(spark, sf_dir, "labels"))
+    return toxicity(load(spark, sf_dir, "documents"), labels, ["toxic", "toxic_junk"])
+
+
+@query
+def op9_quality(spark, sf_dir):
+    """Quality of every document by co-training of a text and a metadata view."""
+    from .quality import quality
+    return quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
