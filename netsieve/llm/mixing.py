@@ -54,12 +54,14 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, bloc
     by_ratio = Window.orderBy("ratio", "src")
     rest = by_ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     every = Window.partitionBy(F.lit(1))
     t = (t.withColumn("goal", F.sum("source_size").over(every) * share)
          .withColumn("rate", (F.col("goal") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(rest))
          .withColumn("free", F.when(F.col("ratio") > F.col("rate"), F.col("rate")))
-         .withColumn("level", F.min("free").over(every))
-         .withColumn("target", F.when(F.col("free").isNull() | F.col("level").isNull(), F.col("cap"))
+         # the first source that its share does not fill sets the level of all behind it
+         .withColumn("level", F.first("free", ignorenulls=True).over(whole))
+         .withColumn("target", F.when(F.col("level").isNull(), F.col("cap"))
                      .otherwise(F.least(F.col("cap"), F.col("level") * F.col("w"))))
          .withColumn("blocks", F.ceil(F.col("source_size") / float(block)).cast("long"))
          .withColumn("slots", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") * F.col("blocks"))

@@ -87,9 +87,9 @@ w as (select *, ([5.0, 2.0, 1.0]::double[])[src % 3 + 1] w, source_size * 2.0::d
 q as (select *, cap / w ratio, (sum(source_size) over ())::double * 1.5::double goal from w),
 l as (select *, (goal - coalesce(sum(cap) over (order by ratio, src rows between unbounded preceding and 1 preceding), 0.0))
                 / sum(w) over (order by ratio, src rows between current row and unbounded following) rate from q),
-m as (select *, min(case when ratio > rate then rate end) over () lvl from l),
+m as (select *, (select rate from l where ratio > rate order by ratio, src limit 1) lvl from l),
 t as (select source, src, source_size,
-             case when ratio <= rate or lvl is null then cap else least(cap, lvl * w) end target,
+             case when lvl is null then cap else least(cap, lvl * w) end target,
              cast(ceil(source_size / 128.0::double) as bigint) blocks from m),
 t2 as (select *, case when source_size > 0 then target / source_size::double * blocks else 0.0::double end slots from t),
 t3 as (select *, sum(slots) over (order by src rows between unbounded preceding and current row) / sum(slots) over () hi from t2),
