@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, functions as F
 from .common import _U, mix, pieces, text_bytes, word_hashes, word_spans, WORD_BYTE
 
 SLOT_BITS = 18
-MAX_FEATURES = 8192
+MAX_FEATURES = 4096
+PREFIXES = (5, 7)
 _SYMBOL = ~WORD_BYTE & (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
 
 
 def slots_of(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, slot) of every word and every run of symbols of the texts."""
+    """(text number, slot) of every word, the first PREFIXES bytes of every longer word, and
+    every run of symbols of the texts."""
     buf, off = text_bytes(arr)
     docs, slots = [], []
-    for i, table in enumerate((WORD_BYTE, _SYMBOL)):
-        start, end = word_spans(buf, off, table)
+    a, b = word_spans(buf, off)
+    heads = [(a[b - a > k], a[b - a > k] + k) for k in PREFIXES]
+    for i, (start, end) in enumerate([(a, b), word_spans(buf, off, _SYMBOL), *heads]):
         h = mix(word_hashes(buf, start, end) + _U(i))
         docs.append(np.searchsorted(off, start, side="right") - 1)
         slots.append((h >> _U(64 - SLOT_BITS)).astype(np.int64))
@@ -70,14 +73,30 @@ def select_features(sample: DataFrame, most: int = MAX_FEATURES) -> np.ndarray:
     return lookup
 
 
-def presence(arr: pa.Array, lookup: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, feature) of the selected features that each text holds, each once."""
+def weighted(arr: pa.Array, lookup: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, feature, log2(1 + occurrences)) of the selected features of each text."""
     doc, slot = slots_of(arr)
     f = lookup[slot].astype(np.int64)
     on = f >= 0
     width = max(1, int(lookup.max()) + 1)
-    key = np.unique(doc[on] * width + f[on])
-    return key // width, key % width
+    key, n = np.unique(doc[on] * width + f[on], return_counts=True)
+    return key // width, key % width, np.log2(1 + n).astype(np.float32)
+
+
+def packed(x, n: int) -> list:
+    """Features of ``n`` texts as two binary arrays (features, values), a row a text."""
+    rows, cols, vals = x
+    cut = np.searchsorted(rows, np.arange(n + 1))
+    return [pa.array([v[i:j].astype(t).tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary())
+            for v, t in ((cols, np.int32), (vals, np.float32))]
+
+
+def unpacked(cols: list, vals: list):
+    """Features of the texts of two lists of binaries, as of :func:`weighted`."""
+    c = [np.frombuffer(v, np.int32) for v in cols]
+    rows = np.repeat(np.arange(len(c)), [len(v) for v in c]).astype(np.int64)
+    none = [np.zeros(0, np.int32)]
+    return rows, np.concatenate(c or none).astype(np.int64), np.frombuffer(b"".join(vals), np.float32)
 
 
 def sigmoid(x):
@@ -95,13 +114,16 @@ class Linear:
     def __init__(self, w, v, b):
         self.w, self.v, self.b = w, v, b
 
-    def margin(self, rows, cols, n, dense):
-        return np.bincount(rows, weights=self.w[cols], minlength=n)[:n] + dense @ self.v + self.b
+    def margin(self, x, dense):
+        rows, cols, vals = x
+        n = len(dense)
+        return np.bincount(rows, weights=vals * self.w[cols], minlength=n)[:n] + dense @ self.v + self.b
 
 
-def fit_logistic(rows, cols, n_cols: int, dense, y, l2: float = 1.0, steps: int = 120) -> Linear:
-    """Penalised logistic regression by Adam on the whole (bounded) sample.  ``rows, cols``
-    list the present features; a sample of one class gives a constant model."""
+def fit_logistic(x, n_cols: int, dense, y, l2: float = 1.0, steps: int = 120) -> Linear:
+    """Penalised logistic regression by Adam on the whole (bounded) sample.  ``x`` lists the
+    features (row, feature, value); a sample of one class gives a constant model."""
+    rows, cols, vals = x
     n = len(y)
     y = np.asarray(y, float)
     prior = (y.sum() + 0.5) / (n + 1)
@@ -109,23 +131,24 @@ def fit_logistic(rows, cols, n_cols: int, dense, y, l2: float = 1.0, steps: int
     b = np.array([np.log(prior / (1 - prior))])
     if n == 0 or y.min() == y.max():
         return Linear(w, v, float(b[0]))
-    state = [[x, np.zeros_like(x), np.zeros_like(x)] for x in (w, v, b)]
+    state = [[p, np.zeros_like(p), np.zeros_like(p)] for p in (w, v, b)]
     for t in range(1, steps + 1):
-        g = y - sigmoid(np.bincount(rows, weights=w[cols], minlength=n)[:n] + dense @ v + b[0])
-        grads = (np.bincount(cols, weights=g[rows], minlength=n_cols)[:n_cols] - l2 * w, dense.T @ g - l2 * v, np.array([g.sum()]))
-        for (x, m, s), d in zip(state, grads):
+        g = y - sigmoid(np.bincount(rows, weights=vals * w[cols], minlength=n)[:n] + dense @ v + b[0])
+        grads = (np.bincount(cols, weights=vals * g[rows], minlength=n_cols)[:n_cols] - l2 * w, dense.T @ g - l2 * v, np.array([g.sum()]))
+        for (p, m, s), d in zip(state, grads):
             d = d / n
             m += 0.1 * (d - m)
             s += 0.01 * (d * d - s)
-            x += 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-9)
+            p += 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-9)
     return Linear(w, v, float(b[0]))
 
 
-def take(rows, cols, keep):
-    """The (row, feature) pairs of the kept rows (a mask), renumbered."""
+def take(x, keep):
+    """The features of the kept rows (a mask), renumbered."""
+    rows, cols, vals = x
     number = np.cumsum(keep) - 1
     on = keep[rows]
-    return number[rows[on]], cols[on]
+    return number[rows[on]], cols[on], vals[on]
 
 
 def best_threshold(p, y) -> float:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import _U, code_points, mix, pieces, prepare, text_bytes, word_hashes
-from .linear import best_threshold, bounded_sample, fit_logistic, logit, presence, select_features, sigmoid, take
+from .linear import best_threshold, bounded_sample, fit_logistic, packed, select_features, sigmoid, take, unpacked, weighted
 
 MAX_LABELLED = 6000              # bounds of the training samples
 MAX_POOL = 6000
@@ -48,8 +48,8 @@ def _layout(arr: pa.Array) -> np.ndarray:
     return np.stack([np.clip(f, 0, _BINS - 1).astype(np.int64) for f in figures], axis=1)
 
 
-def metadata(source: list, lang: list, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, feature) of the page-metadata view."""
+def metadata(source: list, lang: list, arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, feature, 1) of the page-metadata view."""
     n = len(arr)
     cols = []
     for i, values in enumerate((source, lang)):
@@ -61,7 +61,7 @@ def metadata(source: list, lang: list, arr: pa.Array) -> tuple[np.ndarray, np.nd
     for i in range(_N_LAYOUT):
         cols.append(META_SLOTS + i * _BINS + lay[:, i])
     key = np.unique(np.repeat(np.arange(n), len(cols)) * 4096 + np.stack(cols, axis=1).reshape(-1))
-    return key // 4096, key % 4096
+    return key // 4096, key % 4096, np.ones(len(key), np.float32)
 
 
 META_WIDTH = META_SLOTS + _N_LAYOUT * _BINS
@@ -78,8 +78,8 @@ class Views:
         """(text view, metadata view, combined) probabilities of good quality."""
         n = len(arr)
         none = np.zeros((n, 0))
-        a = self.text.margin(*presence(arr, self.lookup), n, none) * self.cal_text[0] + self.cal_text[1]
-        b = self.meta.margin(*metadata(source, lang, arr), n, none) * self.cal_meta[0] + self.cal_meta[1]
+        a = self.text.margin(weighted(arr, self.lookup), none) * self.cal_text[0] + self.cal_text[1]
+        b = self.meta.margin(metadata(source, lang, arr), none) * self.cal_meta[0] + self.cal_meta[1]
         return sigmoid(a), sigmoid(b), sigmoid((a + b) / 2)
 
 
@@ -87,12 +87,13 @@ def _calibrate(margin, y):
     """Platt scaling: slope and constant of a one-column logistic model."""
     if not len(y) or y.min() == y.max():
         return 1.0, 0.0
-    m = fit_logistic(np.zeros(0, np.int64), np.zeros(0, np.int64), 1, margin[:, None], y, l2=0.1)
+    none = np.zeros(0, np.int64)
+    m = fit_logistic((none, none, np.zeros(0)), 1, margin[:, None], y, l2=0.1)
     return float(m.v[0]), m.b
 
 
 def _co_train(xs, widths, y, pool, rounds=ROUNDS):
-    """Models of both views after the rounds; ``xs``: (rows, cols) per view over labelled then
+    """Models of both views after the rounds; ``xs``: the features per view over labelled then
     pool rows, ``y`` the labels, ``pool`` the number of pool rows."""
     n = len(y)
     total = n + pool
@@ -101,13 +102,13 @@ def _co_train(xs, widths, y, pool, rounds=ROUNDS):
 
     def fit(v):
         on = known[v] >= 0
-        return fit_logistic(*take(*xs[v], on), widths[v], none[on], known[v][on])
+        return fit_logistic(take(xs[v], on), widths[v], none[on], known[v][on])
 
     models = [fit(v) for v in (0, 1)]
     hand = int(np.ceil(HANDED * pool))
     for _ in range(rounds if pool else 0):
         for v in (0, 1):
-            p = sigmoid(models[v].margin(*xs[v], total, none))
+            p = sigmoid(models[v].margin(xs[v], none))
             free = np.flatnonzero(known[1 - v] < 0)
             for cls, conf in ((1.0, p), (0.0, 1 - p)):
                 sure = free[conf[free] >= CONFIDENT]
@@ -137,24 +138,20 @@ def fit_views(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED,
 
     def extract(batches):
         for b in pieces(batches, "text"):
-            cut = np.arange(b.num_rows + 1)
-            packed = []
-            for rows, cols in (presence(b.column(0), shared.value), metadata(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(0))):
-                at = np.searchsorted(rows, cut)
-                packed.append(pa.array([cols[i:j].astype(np.int32).tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()))
-            yield pa.RecordBatch.from_arrays([*packed, b.column(3), b.column(4)], names=["a", "b", "y", "fold"])
-
-    got = sample.mapInArrow(extract, "a binary, b binary, y int, fold long").toArrow()
+            text = weighted(b.column(0), shared.value)
+            meta = metadata(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(0))
+            yield pa.RecordBatch.from_arrays([*packed(text, b.num_rows), *packed(meta, b.num_rows), b.column(3), b.column(4)],
+                                             names=["a", "av", "b", "bv", "y", "fold"])
+
+    got = sample.mapInArrow(extract, "a binary, av binary, b binary, bv binary, y int, fold long").toArrow()
     y, fold = np.asarray(got["y"]).astype(float), np.asarray(got["fold"])
     order = np.argsort(y < 0, kind="stable")                             # labelled first
     n_lab = int((y >= 0).sum())
     widths = [max(1, int(lookup.max()) + 1), META_WIDTH]
-    raw = [[np.frombuffer(v, np.int32) for v in got[c].to_pylist()] for c in ("a", "b")]
+    raw = [[got[c].to_pylist() for c in view] for view in (("a", "av"), ("b", "bv"))]
 
     def pairs(values, rows):
-        kept = [values[i] for i in rows]
-        cols = np.concatenate(kept).astype(np.int64) if kept else np.zeros(0, np.int64)
-        return np.repeat(np.arange(len(kept)), [len(x) for x in kept]), cols
+        return unpacked([values[0][i] for i in rows], [values[1][i] for i in rows])
 
     labelled_rows, pool_rows = order[:n_lab], order[n_lab:]
     out = np.zeros((2, n_lab))
@@ -165,7 +162,7 @@ def fit_views(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED,
         models = _co_train(xs, widths, y[labelled_rows[~test]], len(pool_rows))
         for v in (0, 1):
             k = int(test.sum())
-            out[v, test] = models[v].margin(*pairs(raw[v], labelled_rows[test]), k, np.zeros((k, 0)))
+            out[v, test] = models[v].margin(pairs(raw[v], labelled_rows[test]), np.zeros((k, 0)))
     truth = y[labelled_rows]
     cal = [_calibrate(out[v], truth) for v in (0, 1)]
     both = sigmoid(sum(out[v] * cal[v][0] + cal[v][1] for v in (0, 1)) / 2)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import pieces, prepare
-from .linear import best_threshold, bounded_sample, fit_logistic, logit, presence, select_features, sigmoid, take
+from .linear import best_threshold, bounded_sample, fit_logistic, logit, packed, select_features, sigmoid, take, unpacked, weighted
 
 MAX_LABELLED = 8000              # bound of the training sample
 FOLDS = 4
@@ -27,10 +27,10 @@ class Chain:
     def probabilities(self, arr: pa.Array) -> np.ndarray:
         """Texts x categories."""
         n = len(arr)
-        rows, cols = presence(arr, self.lookup)
+        x = weighted(arr, self.lookup)
         out = np.zeros((n, len(self.models)))
         for c, m in enumerate(self.models):
-            out[:, c] = sigmoid(m.margin(rows, cols, n, logit(out[:, :c])))
+            out[:, c] = sigmoid(m.margin(x, logit(out[:, :c])))
         return out
 
 
@@ -51,18 +51,14 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list, at_most: int
 
     def extract(batches):
         for b in pieces(batches, "text"):
-            rows, cols = presence(b.column(0), shared.value)
-            cut = np.searchsorted(rows, np.arange(b.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([pa.array([cols[a:z].astype(np.int32).tobytes() for a, z in zip(cut[:-1], cut[1:])], pa.binary()),
-                                              *b.columns[1:]], names=["x", "fold", *ys])
+            yield pa.RecordBatch.from_arrays([*packed(weighted(b.column(0), shared.value), b.num_rows), *b.columns[1:]],
+                                             names=["x", "v", "fold", *ys])
 
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS))
     got = (sample.select(F.coalesce("text", F.lit("")).alias("text"), fold.alias("fold"), *ys)
-           .mapInArrow(extract, "x binary, fold long, " + ", ".join(f"{y} int" for y in ys)).toArrow())
-    x = [np.frombuffer(v, np.int32) for v in got["x"].to_pylist()]
-    n = len(x)
-    rows = np.repeat(np.arange(n), [len(v) for v in x])
-    cols = np.concatenate(x).astype(np.int64) if n else np.zeros(0, np.int64)
+           .mapInArrow(extract, "x binary, v binary, fold long, " + ", ".join(f"{y} int" for y in ys)).toArrow())
+    n = got.num_rows
+    x = unpacked(got["x"].to_pylist(), got["v"].to_pylist())
     width = max(1, int(lookup.max()) + 1)
     folds = np.asarray(got["fold"])
     models, cuts, earlier = [], [], np.zeros((n, 0))
@@ -71,9 +67,9 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list, at_most: int
         out = np.zeros(n)
         for f in range(FOLDS):
             inside, outside = folds == f, folds != f
-            m = fit_logistic(*take(rows, cols, outside), width, earlier[outside], y[outside])
-            out[inside] = sigmoid(m.margin(*take(rows, cols, inside), int(inside.sum()), earlier[inside]))
-        models.append(fit_logistic(rows, cols, width, earlier, y))
+            m = fit_logistic(take(x, outside), width, earlier[outside], y[outside])
+            out[inside] = sigmoid(m.margin(take(x, inside), earlier[inside]))
+        models.append(fit_logistic(x, width, earlier, y))
         cuts.append(best_threshold(out, y) if n and 0 < y.sum() < n else 1.1)
         earlier = np.column_stack([earlier, logit(out)])
     return Chain(categories, lookup, models, cuts)
