@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import pieces, prepare
+from .common import pieces, prepare, stored
 
 CACHE_SCHEMA = StructType([StructField("digest", StringType()), StructField("n_bytes", LongType()),
                            StructField("n_tokens", LongType()), StructField("tokenizer", StringType())])
@@ -93,13 +93,13 @@ def token_counts(docs: DataFrame, vocabulary: str, cache_path: str, limit: int =
     change the count); its digest is SHA-256.  A repeated content is encoded once, a
     repeated row is counted each time; an empty table gives an empty result; other columns
     are not read.  The content is shuffled by digest once, after map-side de-duplication, so
-    a third of all rows with one text is one row a task; the last join is a plain shuffle
-    join that adaptive execution splits.
+    a third of all rows with one text is one row a task; the last join reads the run's counts
+    as a written table, so that adaptive execution can split a hot digest.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     digest = F.sha2(text.cast("binary"), 256)
     cache = fill_cache(docs.select(digest.alias("digest"), text.alias("text")), cache_path, vocabulary)
     keyed = docs.select(F.col("doc_id"), digest.alias("digest"))
-    return (keyed.join(cache, "digest", "left")
+    return (keyed.join(stored(cache, "token-counts"), "digest", "left")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
