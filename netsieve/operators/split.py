@@ -1,7 +1,7 @@
 """Train / validation / test splits with exact sizes.
 
 Both splits need only small driver-side arithmetic (sizes from one count or one
-class-count aggregate); row assignment is a positional index computed on the cluster.
+class-count aggregate); rows are assigned by comparing keys with thresholds (threshold.py).
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ import math
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from .rank import hash_order, positional_index
+from .sampling import class_quotas
+from .threshold import beyond, hash_cuts, value_thresholds
 
 
 def time_split_sizes(n: int, val_size: float = 0.15, test_size: float = 0.15):
@@ -32,16 +33,21 @@ def _time_key(df: DataFrame, ts_col: str):
 
 
 def split_time(df: DataFrame, ts_col: str, val_size: float = 0.15, test_size: float = 0.15,
-               tiebreak: str = "uid", split_col: str = "split") -> DataFrame:
-    """Sort by (time, tiebreak), nulls last; first rows train, then val, last test."""
+               tiebreak="uid", split_col: str = "split") -> DataFrame:
+    """Sort by (time, tiebreak), nulls last; first rows train, then val, last test.  The two
+    threshold keys are found first; rows are labelled by comparison, without moving."""
+    key = _time_key(df, ts_col)
     n = df.count()
     val_start, test_start = time_split_sizes(n, val_size, test_size)
-    keyed = df.withColumn("_ts_key", _time_key(df, ts_col))
-    ranked = positional_index(keyed, [F.col("_ts_key").asc_nulls_last(), F.col(tiebreak)],
-                              pos_col="_ts_pos")
-    label = (F.when(F.col("_ts_pos") <= val_start, F.lit("train"))
-             .when(F.col("_ts_pos") <= test_start, F.lit("val")).otherwise(F.lit("test")))
-    return ranked.withColumn(split_col, label).drop("_ts_key", "_ts_pos")
+    _, at = value_thresholds(df, key, [val_start, test_start], tiebreak)
+    dtype = df.select(key.alias("k")).schema["k"].dataType
+
+    def after(k):
+        return F.lit(n > 0) if k < 1 else beyond(key, tiebreak, at.get(k), dtype)
+
+    label = (F.when(after(test_start), F.lit("test")).when(after(val_start), F.lit("val"))
+             .otherwise(F.lit("train")))
+    return df.withColumn(split_col, label)
 
 
 # ---------------------------------------------------------------- stratified
@@ -83,17 +89,14 @@ def stratified_quotas(counts: dict, val_size: float = 0.15, test_size: float = 0
 
 
 def split_stratified(df: DataFrame, target: str, val_size: float = 0.15, test_size: float = 0.15,
-                     seed: int = 42, uid: str = "uid", split_col: str = "split") -> DataFrame:
-    """Per class, in hash order md5(uid|seed): first n_test rows test, next n_val val, rest train."""
+                     seed: int = 42, uid="uid", split_col: str = "split") -> DataFrame:
+    """Per class, in hash order md5(uid|seed): first n_test rows test, next n_val val, rest
+    train; two threshold keys a class decide, so no row is moved."""
     counts = {r[0]: int(r[1]) for r in df.groupBy(target).count().collect()}
     if None in counts:
         raise ValueError("stratify target has nulls")
     quotas = stratified_quotas(counts, val_size, test_size)
-    keyed = df.withColumn("_ss_h", hash_order(uid, seed))
-    ranked = positional_index(keyed, ["_ss_h", uid], [target], n_groups=len(counts),
-                              pos_col="_ss_pos")
-    tmap = F.create_map(*[x for k, (t, _) in quotas.items() for x in (F.lit(k), F.lit(t))])
-    vmap = F.create_map(*[x for k, (t, v) in quotas.items() for x in (F.lit(k), F.lit(t + v))])
-    label = (F.when(F.col("_ss_pos") <= tmap[F.col(target)], F.lit("test"))
-             .when(F.col("_ss_pos") <= vmap[F.col(target)], F.lit("val")).otherwise(F.lit("train")))
-    return ranked.withColumn(split_col, label).drop("_ss_h", "_ss_pos")
+    table = class_quotas(df, target, {k: [t, t + v] for k, (t, v) in quotas.items()})
+    cut = hash_cuts(df, [target], table, sum(counts.values()), uid, seed)
+    names = F.array(F.lit("test"), F.lit("val"), F.lit("train"))
+    return cut.withColumn(split_col, F.element_at(names, F.col("_cut") + 1)).drop("_cut")

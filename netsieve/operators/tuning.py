@@ -7,17 +7,17 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
-from .rank import hash_order, positional_index
+from .sampling import class_counts, class_quotas
+from .threshold import hash_cuts
 
 
-def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, uid: str = "uid",
+def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, uid="uid",
                      fold_col: str = "fold") -> DataFrame:
-    """fold = (position within class, in hash order) mod k: every fold holds each class
-    in proportion (sizes differ by at most one)."""
-    n_classes = df.select(label).distinct().count()
-    keyed = df.withColumn("_fold_h", hash_order(uid, seed))
-    ranked = positional_index(keyed, ["_fold_h", uid], [label], n_groups=n_classes, pos_col="_fold_pos")
-    return ranked.withColumn(fold_col, ((F.col("_fold_pos") - 1) % k).cast("int")).drop("_fold_h", "_fold_pos")
+    """Fold 0..k-1 of every row: each class, in hash order, is cut at k - 1 threshold keys
+    into runs whose sizes differ by at most one row."""
+    counts = class_counts(df, label)
+    table = class_quotas(df, label, {c: [n * (i + 1) // k for i in range(k - 1)] for c, n in counts.items()})
+    return hash_cuts(df, [label], table, sum(counts.values()), uid, seed, cut_col=fold_col)
 
 
 def grid_search(estimator, grid: dict, df: DataFrame, label: str = "label_idx",
