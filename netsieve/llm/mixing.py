@@ -23,8 +23,8 @@ SEED = 17
 PHI = 0.6180339887498949
 PHI_20 = 0.607787409740351
 CELLS = 1024                     # of the interval join of points and sources
-SLOT_CHUNK = 65_536              # slots ranked together
-BUCKET_ROWS = 4_096              # documents ordered together
+SLOT_CHUNK = 4_096               # slots ranked together
+BUCKET_ROWS = 512                # documents ordered together
 BROADCAST_SOURCES = 10_000
 
 
