@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# 'D days HH:MM:SS.ffffff' (days part optional), the text form of a time delta.
-TIMEDELTA_RE = r"^\s*(?:(-?\d+)\s+days?,?\s+)?(\d{1,2}):(\d{2}):(\d{2}(?:\.\d+)?)\s*$"
+# 'D days HH:MM:SS.ffffff' (days part optional; a negative delta is written
+# '-1 days +23:59:59.5'), the text form of a time delta.
+TIMEDELTA_RE = r"^\s*(?:(-?\d+)\s+days?,?\s+)?\+?(\d{1,2}):(\d{2}):(\d{2}(?:\.\d+)?)\s*$"
 FIRST_NUMBER_RE = r"([\d.]+)"
 
 

@@ -104,9 +104,10 @@ def _candidate_cells_udf(pivots: np.ndarray, radius: np.ndarray, size: np.ndarra
 
 
 class KNNClassifier:
-    """k nearest neighbours, Euclidean, uniform vote (sklearn's defaults)."""
+    """k nearest neighbours, Euclidean; votes are equal, or by inverse distance."""
 
-    def __init__(self, n_neighbors: int = 5, pivots: int | None = None, seed: int = 42, **_):
+    def __init__(self, n_neighbors: int = 5, pivots: int | None = None, seed: int = 42, weights: str = "uniform"):
+        self.weights = weights
         self.k = int(n_neighbors)
         self.m = pivots
         self.seed = seed
@@ -148,10 +149,12 @@ class KNNModel:
     def __init__(self, est: KNNClassifier, train: DataFrame, vec: str, label_col: str, id_col: str):
         from .rank import positional_index
         self.k, self.vec, self.label_col, self.id_col = est.k, vec, label_col, id_col
+        self.weights = est.weights
         t = train.select(F.col(id_col).alias("_t_id"), _as_double_array(train, vec).alias("_t_v"),
                          F.col(label_col).alias("_t_label"))
         twins = Window.partitionBy("_t_v").orderBy("_t_id")
         t = t.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= self.k + 1).drop("_twin")
+        self.classes = sorted(r[0] for r in t.select("_t_label").distinct().collect() if r[0] is not None)
         self.pivots = choose_pivots(t, "_t_v", "_t_id", est.m, est.seed)
         cell = _nearest_pivot_udf(self.pivots)
         cells = t.withColumn("_tc", cell("_t_v")).select(
@@ -198,9 +201,17 @@ class KNNModel:
 
     def transform(self, queries: DataFrame, exclude_self: bool = False, keep=None) -> DataFrame:
         nb = self.neighbours(queries, exclude_self)
-        votes = nb.groupBy("_q_id", "_t_label").agg(F.count(F.lit(1)).alias("votes"))
+        vote = F.lit(1.0)
+        if self.weights == "distance":               # training rows at distance 0 outvote all others
+            zero = F.max((F.col("d2") == 0).cast("int")).over(Window.partitionBy("_q_id"))
+            nb = nb.withColumn("_zero", zero)
+            vote = F.when(F.col("_zero") == 1, (F.col("d2") == 0).cast("double")).otherwise(1 / F.sqrt("d2"))
+        votes = nb.groupBy("_q_id", "_t_label").agg(F.sum(vote).alias("votes"))
         pred = votes.groupBy("_q_id").agg(
-            F.min_by("_t_label", F.struct((-F.col("votes")).alias("v"), F.col("_t_label").alias("l")))
-            .alias("prediction"))
+            F.min_by("_t_label", F.struct((-F.col("votes")).alias("v"), F.col("_t_label").alias("l"))).alias("prediction"),
+            F.map_from_entries(F.collect_list(F.struct(F.col("_t_label"), F.col("votes")))).alias("votes"))
         keep = keep if keep is not None else queries.columns
-        return queries.select(*keep).join(pred.withColumnRenamed("_q_id", self.id_col), self.id_col, "left")
+        out = queries.select(*keep).join(pred.withColumnRenamed("_q_id", self.id_col), self.id_col, "left")
+        total = F.aggregate(F.map_values("votes"), F.lit(0.0), lambda a, b: a + b)
+        share = [F.coalesce(F.try_element_at("votes", F.lit(c)) / total, F.lit(0.0)) for c in self.classes]
+        return out.withColumn("scores", F.array(*share)).drop("votes")

@@ -27,24 +27,39 @@ SPARK_MAX_DEPTH = 30
 
 
 ROWS_PER_PARTITION = 500_000
+MIN_ROWS = 1_000
+# settings that say how to run, not what to compute
+RUN_SETTINGS = {"n_jobs": None, "verbose": None}
 
 
 def ready_for_fit(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Persist a training frame sized for iterative fitting.
 
     Iterative estimators (LR, GMM, SVM, CV) read their input once per iteration: the
-    lineage behind it (splits, ranks, joins) must be computed once, and the partitions
-    must neither be thousands of slivers (task overhead per iteration) nor a few giant
-    ones.  Target: about ``rows_per_partition`` rows each, at least the cluster's
-    parallelism; fewer partitions come from ``coalesce`` (no shuffle)."""
+    lineage behind it (splits, joins) must be computed once, and the partitions must
+    neither be thousands of slivers (task overhead per iteration) nor a few giant ones.
+    The frame is persisted first and counted from that copy.  Target: about
+    ``rows_per_partition`` rows each, and a partition per core once there are MIN_ROWS rows
+    for each; fewer partitions come from ``coalesce``, more from one repartition."""
     from .rank import track
-    sc = df.sparkSession.sparkContext
-    cur = df.rdd.getNumPartitions()
-    n = df.count()
-    want = max(sc.defaultParallelism, -(-n // rows_per_partition))
-    if cur > want:
-        df = df.coalesce(want)
-    return track(df)
+    kept = track(df)
+    n = kept.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    want = max(1, -(-n // rows_per_partition), min(cores, n // MIN_ROWS))
+    cur = kept.rdd.getNumPartitions()
+    if cur > max(want, cores):
+        return kept.coalesce(max(want, cores))
+    return track(kept.repartition(want)) if cur < want else kept
+
+
+def strict(model: str, given: dict, accepted: dict) -> None:
+    """Raise on a setting that ``model`` does not have, or on a value it cannot honour.
+    ``accepted`` maps a name to None (any value) or to the values that are honoured."""
+    for k, v in given.items():
+        if k not in accepted:
+            raise ValueError(f"{model}: unknown setting {k!r}")
+        if accepted[k] is not None and v not in accepted[k]:
+            raise ValueError(f"{model}: {k}={v!r} is not supported (supported: {accepted[k]})")
 
 
 def _vec_len(df: DataFrame, vec: str) -> int:
@@ -95,15 +110,26 @@ class _SparkMLModel:
 
 
 class RandomForest(_SparkML):
-    """n_estimators trees, gini; max_depth None -> Spark's limit of 30."""
+    """n_estimators trees; max_depth None grows to Spark's limit of 30, and a depth beyond
+    that is refused.  min_samples_split has no counterpart beyond its default of 2."""
+
+    def __init__(self, **params):
+        strict("random_forest", params, {
+            "n_estimators": None, "max_depth": None, "random_state": None, "seed": None, "min_samples_leaf": None,
+            "min_samples_split": [2], "criterion": ["gini", "entropy"], "max_features": None, **RUN_SETTINGS})
+        depth = params.get("max_depth")
+        if depth is not None and int(depth) > SPARK_MAX_DEPTH:
+            raise ValueError(f"random_forest: max_depth={depth} is beyond Spark's limit of {SPARK_MAX_DEPTH}")
+        super().__init__(**params)
 
     def _estimator(self, n):
         p = self.params
-        depth = p.get("max_depth")
-        depth = SPARK_MAX_DEPTH if depth is None else min(int(depth), SPARK_MAX_DEPTH)
+        depth = SPARK_MAX_DEPTH if p.get("max_depth") is None else int(p["max_depth"])
+        subset = {None: "all"}.get(p.get("max_features", "sqrt"), str(p.get("max_features", "sqrt")))
         return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), maxDepth=depth,
-                                      impurity="gini", seed=int(p.get("random_state", p.get("seed", 42))),
-                                      minInstancesPerNode=max(1, int(p.get("min_samples_leaf", 1))))
+                                      impurity=p.get("criterion", "gini"), featureSubsetStrategy=subset,
+                                      seed=int(p.get("random_state", p.get("seed", 42))), maxMemoryInMB=1024,
+                                      cacheNodeIds=True, minInstancesPerNode=max(1, int(p.get("min_samples_leaf", 1))))
 
 
 class Logistic(_SparkML):
@@ -111,10 +137,16 @@ class Logistic(_SparkML):
     mean(loss) + regParam |w|^2 / 2 with regParam = 1 / (C n)."""
     _needs_n = True
 
+    def __init__(self, **params):
+        strict("logistic_regression", params, {
+            "C": None, "max_iter": None, "tol": None, "random_state": None, "solver": ["lbfgs"],
+            "multi_class": ["auto", "multinomial"], "penalty": ["l2", None, "none"], **RUN_SETTINGS})
+        super().__init__(**params)
+
     def _estimator(self, n):
         p = self.params
-        C = float(p.get("C", 1.0))
-        return LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=1.0 / (C * max(n, 1)),
+        reg = 0.0 if p.get("penalty", "l2") in (None, "none") else 1.0 / (float(p.get("C", 1.0)) * max(n, 1))
+        return LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=reg,
                                   elasticNetParam=0.0, standardization=False, family="multinomial",
                                   tol=float(p.get("tol", 1e-4)))
 
@@ -123,35 +155,45 @@ class Logistic(_SparkML):
 
 class GaussianNB:
     """Per class: prior, mean and population variance of each feature (+ var_smoothing x
-    the largest feature variance); predict the class of largest log likelihood."""
+    the largest feature variance); predict the class of largest log likelihood.  One pass:
+    the overall variances follow from the class moments."""
 
-    def __init__(self, var_smoothing: float = 1e-9, **_):
+    def __init__(self, var_smoothing: float = 1e-9):
         self.var_smoothing = var_smoothing
 
     def fit(self, df: DataFrame, features="features", label: str = "label_idx"):
-        cols, base = _feature_columns(df, features)
-        stats = base.groupBy(label).agg(F.count(F.lit(1)).alias("_n"),
-                                        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-                                        *[F.var_pop(c).alias(f"v_{i}") for i, c in enumerate(cols)])
-        overall = base.agg(*[F.var_pop(c).alias(f"v_{i}") for i, c in enumerate(cols)]).first()
-        eps = self.var_smoothing * max([overall[f"v_{i}"] or 0.0 for i in range(len(cols))] + [0.0])
-        rows = sorted(stats.collect(), key=lambda r: r[label])
-        n = sum(r["_n"] for r in rows)
-        classes = [r[label] for r in rows]
-        theta = np.array([[r[f"m_{i}"] for i in range(len(cols))] for r in rows], dtype=float)
-        var = np.array([[r[f"v_{i}"] for i in range(len(cols))] for r in rows], dtype=float) + eps
-        prior = np.array([r["_n"] / n for r in rows])
-        return GaussianNBModel(features, cols, classes, theta, var, prior)
-
-
-def _feature_columns(df: DataFrame, features):
-    """(column names, frame) -- a vector column is split into f_0..f_{d-1}."""
-    if isinstance(features, (list, tuple)):
-        return list(features), df
-    d = _vec_len(df, features)
-    arr = vector_to_array(features)
-    cols = [f"_f_{i}" for i in range(d)]
-    return cols, df.select("*", *[arr[i].alias(c) for i, c in enumerate(cols)])
+        if isinstance(features, (list, tuple)):
+            cols = list(features)
+            stats = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
+                                          F.array(*[F.avg(c) for c in cols]).alias("mean"),
+                                          F.array(*[F.var_pop(c) for c in cols]).alias("var"))
+            rows = [(r[label], r["n"], np.array(r["mean"], float), np.array(r["var"], float)) for r in stats.collect()]
+        else:
+            from pyspark.ml.stat import Summarizer
+            s = Summarizer.metrics("count", "mean", "variance").summary(F.col(features))
+            cols = None
+            rows = [(r[label], r["s"]["count"], r["s"]["mean"].toArray(),
+                     r["s"]["variance"].toArray() * (r["s"]["count"] - 1) / r["s"]["count"])
+                    for r in df.groupBy(label).agg(s.alias("s")).collect()]
+        rows.sort(key=lambda r: r[0])
+        n = np.array([r[1] for r in rows], float)
+        theta, var = np.stack([r[2] for r in rows]), np.stack([r[3] for r in rows])
+        prior = n / n.sum()
+        mean = prior @ theta
+        eps = self.var_smoothing * float((prior @ (var + (theta - mean) ** 2)).max(initial=0.0))
+        return GaussianNBModel(features, cols, [r[0] for r in rows], theta, var + eps, prior)
+
+
+def _nb_udf(theta: np.ndarray, var: np.ndarray, prior: np.ndarray):
+    """Joint log likelihoods of a vector column, a batch at a time."""
+    const = np.log(prior) - 0.5 * np.log(2.0 * np.pi * var).sum(axis=1)
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def score(v: pd.Series) -> pd.Series:
+        x = np.stack(v.to_numpy()).astype(np.float64)
+        out = np.stack([const[k] - 0.5 * ((x - theta[k]) ** 2 / var[k]).sum(axis=1) for k in range(len(prior))], axis=1)
+        return pd.Series(list(out))
+    return score
 
 
 class GaussianNBModel:
@@ -159,34 +201,28 @@ class GaussianNBModel:
         self.features, self.cols, self.classes = features, cols, classes
         self.theta, self.var, self.prior = theta, var, prior
 
-    def jll_columns(self):
+    def jll(self) -> F.Column:
+        """Array of joint log likelihoods: expressions over a few columns, numpy over a vector."""
+        if self.cols is None:
+            return _nb_udf(self.theta, self.var, self.prior)(vector_to_array(self.features))
         out = []
         for k in range(len(self.classes)):
             e = F.lit(float(math.log(self.prior[k]) - 0.5 * np.sum(np.log(2.0 * np.pi * self.var[k]))))
-            quad = None
+            quad = F.lit(0.0)
             for i, c in enumerate(self.cols):
-                t = (F.col(c) - F.lit(float(self.theta[k, i]))) ** 2 / F.lit(float(self.var[k, i]))
-                quad = t if quad is None else quad + t
+                quad = quad + (F.col(c) - F.lit(float(self.theta[k, i]))) ** 2 / F.lit(float(self.var[k, i]))
             out.append(e - F.lit(0.5) * quad)
-        return out
+        return F.array(*out)
 
-    def transform(self, df: DataFrame, label_type=DoubleType()) -> DataFrame:
-        _, base = _feature_columns(df, self.features)
-        jll = self.jll_columns()
-        best = F.greatest(*[F.struct(j.alias("j"), F.lit(-k).alias("neg_k")) for k, j in enumerate(jll)]) \
-            if len(jll) > 1 else F.struct(jll[0].alias("j"), F.lit(0).alias("neg_k"))
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = df.withColumn("_jll", self.jll()).withColumn("_best", F.array_max("_jll"))
         cls = F.array(*[F.lit(c) for c in self.classes])
-        out = base.withColumn("_best", best).withColumn(
-            "prediction", F.element_at(cls, (-F.col("_best.neg_k") + 1).cast("int")))
+        out = out.withColumn("prediction", F.element_at(cls, F.array_position("_jll", F.col("_best")).cast("int")))
         # normalised class probabilities from the joint log likelihoods
-        mx = F.col("_best.j")
-        exps = [F.exp(j - mx) for j in jll]
-        tot = exps[0]
-        for e in exps[1:]:
-            tot = tot + e
-        out = out.withColumn("scores", F.array(*[e / tot for e in exps]))
-        drop = ["_best"] + ([] if isinstance(self.features, (list, tuple)) else self.cols)
-        return out.drop(*drop)
+        exps = F.transform("_jll", lambda j: F.exp(j - F.col("_best")))
+        out = out.withColumn("_exp", exps)
+        total = F.aggregate("_exp", F.lit(0.0), lambda a, b: a + b)
+        return out.withColumn("scores", F.transform("_exp", lambda e: e / total)).drop("_jll", "_best", "_exp")
 
 
 def merge_moments(parts: DataFrame, keys, n="n", mean="mean", m2="m2") -> DataFrame:
@@ -218,10 +254,15 @@ def _rff_udf(W: np.ndarray, b: np.ndarray):
 class SVM:
     """kernel='rbf': z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma I), b ~ U(0, 2 pi)
     (random Fourier features), then one-vs-rest linear SVMs; gamma='scale' is
-    1 / (n_features * var(X)).  kernel='linear' skips the map."""
+    1 / (n_features * var(X)).  kernel='linear' skips the map.  ``scores`` are the margins
+    of the classes; with ``probability`` a multinomial logistic model of the margins,
+    fitted on the training rows, turns them into probabilities."""
 
     def __init__(self, kernel: str = "rbf", C: float = 1.0, gamma="scale", n_components: int = 200,
-                 max_iter: int = 50, random_state: int = 42, **_):
+                 max_iter: int = 50, random_state: int = 42, probability: bool = False):
+        if kernel not in ("rbf", "linear"):
+            raise ValueError(f"svm: kernel={kernel!r} is not supported (supported: rbf, linear)")
+        self.probability = bool(probability)
         self.kernel, self.C, self.gamma = kernel, float(C), gamma
         self.D, self.max_iter, self.seed = int(n_components), int(max_iter), int(random_state)
 
@@ -237,27 +278,36 @@ class SVM:
             rng = np.random.default_rng(self.seed)
             W = rng.normal(0.0, math.sqrt(2.0 * float(gamma)), size=(self.D, d))
             b = rng.uniform(0.0, 2.0 * math.pi, size=self.D)
-            mapper = _rff_udf(W, b)
+            mapper = (W, b)
         n = df.count()
         feats = _map(df, features, mapper)
         svc = LinearSVC(maxIter=self.max_iter, regParam=1.0 / (self.C * max(n, 1)), standardization=False)
         ovr = OneVsRest(classifier=svc, featuresCol="_svm_x", labelCol=label, parallelism=4)
-        return SVMModel(ovr.fit(feats), features, mapper)
+        model = ovr.fit(feats)
+        platt = None
+        if self.probability:
+            margins = model.transform(feats).select("rawPrediction", label)
+            platt = LogisticRegression(featuresCol="rawPrediction", labelCol=label, probabilityCol="_svm_p", predictionCol="_svm_c",
+                                       rawPredictionCol="_svm_r", family="multinomial", maxIter=50).fit(margins)
+        return SVMModel(model, features, mapper, platt)
 
 
 def _map(df, features, mapper):
     if mapper is None:
         return df.withColumn("_svm_x", F.col(features))
-    return df.withColumn("_svm_x", array_to_vector(mapper(vector_to_array(features))))
+    return df.withColumn("_svm_x", array_to_vector(_rff_udf(*mapper)(vector_to_array(features))))
 
 
 class SVMModel:
-    def __init__(self, model, features, mapper):
-        self.model, self.features, self.mapper = model, features, mapper
+    def __init__(self, model, features, mapper, platt=None):
+        self.model, self.features, self.mapper, self.platt = model, features, mapper, platt
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = self.model.transform(_map(df, self.features, self.mapper))
-        return out.drop("_svm_x", "rawPrediction")
+        if self.platt is None:
+            return out.withColumn("scores", vector_to_array("rawPrediction")).drop("_svm_x", "rawPrediction")
+        out = self.platt.transform(out).withColumn("scores", vector_to_array("_svm_p"))
+        return out.drop("_svm_x", "rawPrediction", "_svm_p", "_svm_c", "_svm_r")
 
 
 # ------------------------------------------------------------------ GMM classifier
@@ -300,7 +350,8 @@ class GMMClassifier:
     reference's estimator regularises); softmax over classes; argmax (uniform priors)."""
 
     def __init__(self, n_components: int = 5, reg_covar: float = 1e-6, max_iter: int = 100,
-                 random_state: int = 42, parallelism: int = 4, **_):
+                 random_state: int = 42, parallelism: int = 4, covariance_type: str = "full"):
+        strict("gmm", {"covariance_type": covariance_type}, {"covariance_type": ["full"]})
         self.k, self.reg, self.max_iter, self.seed = int(n_components), reg_covar, max_iter, random_state
         self.parallelism = int(parallelism)
 
@@ -335,19 +386,26 @@ class GMMClassifier:
 
 
 def _moments(part: DataFrame, features: str):
+    """Mean and population covariance: the mean first, then one Arrow pass of centred outer
+    products, summed per cell (d x d rows reach the driver)."""
     from pyspark.ml.stat import Summarizer
-    d = _vec_len(part, features)
-    row = part.select(Summarizer.metrics("mean").summary(F.col(features)).alias("s")).first()
-    mu = np.array(row["s"]["mean"].toArray())
-    # population covariance from one aggregate of outer products
-    arr = vector_to_array(features)
-    aggs = [F.avg(arr[i] * arr[j]).alias(f"c_{i}_{j}") for i in range(d) for j in range(i, d)]
-    cr = part.agg(*aggs).first()
-    cov = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            cov[i, j] = cov[j, i] = cr[f"c_{i}_{j}"] - mu[i] * mu[j]
-    return mu, cov
+    row = part.select(Summarizer.metrics("count", "mean").summary(F.col(features)).alias("s")).first()
+    n, mu = row["s"]["count"], row["s"]["mean"].toArray()
+    d = len(mu)
+
+    def outer(batches):
+        total = np.zeros((d, d))
+        for b in batches:
+            x = np.stack(b["x"].to_numpy()).astype(np.float64) - mu
+            total += x.T @ x
+        yield pd.DataFrame({"cell": np.arange(d * d), "v": total.reshape(-1)})
+
+    cells = (part.select(vector_to_array(features).alias("x")).mapInPandas(outer, "cell long, v double")
+             .groupBy("cell").agg(F.sum("v").alias("v")).collect())
+    cov = np.zeros(d * d)
+    for r in cells:
+        cov[r["cell"]] = r["v"] / n
+    return mu, cov.reshape(d, d)
 
 
 class GMMModel:
@@ -368,13 +426,18 @@ class GMMModel:
 
 
 class KNN:
-    """Registry adapter around the exact pivot-pruned kNN."""
+    """Registry adapter around the exact pivot-pruned kNN.  Rows are told apart by
+    ``id_col``; ``weights='distance'`` votes by inverse distance."""
 
-    def __init__(self, n_neighbors: int = 5, **kw):
-        self.est = KNNClassifier(n_neighbors, **kw)
+    def __init__(self, n_neighbors: int = 5, weights: str = "uniform", id_col: str = "uid", **kw):
+        strict("knn", {"weights": weights, **kw}, {
+            "weights": ["uniform", "distance"], "metric": ["minkowski", "euclidean"], "p": [2], "algorithm": None,
+            "leaf_size": None, "pivots": None, "seed": None, **RUN_SETTINGS})
+        self.id_col = id_col
+        self.est = KNNClassifier(n_neighbors, weights=weights, **{k: kw[k] for k in ("pivots", "seed") if k in kw})
 
-    def fit(self, df: DataFrame, features="features", label: str = "label_idx", id_col: str = "uid"):
-        return _KNNAdapter(self.est.fit(df, features, label, id_col))
+    def fit(self, df: DataFrame, features="features", label: str = "label_idx", id_col: str | None = None):
+        return _KNNAdapter(self.est.fit(df, features, label, id_col or self.id_col))
 
 
 class _KNNAdapter:
@@ -403,12 +466,15 @@ def register_model(name: str, factory) -> None:
 
 
 def build_models(model_configs: dict, seed: int = 42) -> dict:
-    """Instantiate every enabled model from its settings (``enabled: false`` skipped)."""
+    """Instantiate every enabled model from its settings (``enabled: false`` skipped).  An
+    unknown name or setting is an error."""
     out = {}
     for name, cfg in model_configs.items():
         cfg = dict(cfg or {})
-        if not cfg.pop("enabled", True) or name not in REGISTRY:
+        if not cfg.pop("enabled", True):
             continue
+        if name not in REGISTRY:
+            raise ValueError(f"unknown model {name!r}; known: {sorted(REGISTRY)}")
         if name in ("random_forest", "logistic_regression", "svm"):
             cfg.setdefault("random_state", seed)
         out[name] = REGISTRY[name](**cfg)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+import statistics
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
+from pyspark.util import inheritable_thread_target
 
 from .sampling import class_counts, class_quotas
 from .threshold import hash_cuts
@@ -20,32 +24,71 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, uid=
     return hash_cuts(df, [label], table, sum(counts.values()), uid, seed, cut_col=fold_col)
 
 
-def grid_search(estimator, grid: dict, df: DataFrame, label: str = "label_idx",
+def grid_search(model, grid: dict, df: DataFrame, label: str = "label_idx",
                 features: str = "features", k: int = 5, metric: str = "accuracy",
-                parallelism: int = 4, seed: int = 42, uid: str = "uid"):
+                parallelism: int = 4, seed: int = 42, uid="uid"):
     """Returns (best model, table of (params, mean, std, is_best)).
 
-    ``grid`` maps estimator Param names to value lists."""
+    ``model`` is a Spark ML estimator (``grid`` then maps its Param names to values, run by
+    Spark's CrossValidator), or a registry name or factory of this package, whose settings
+    ``grid`` names; those are scored by accuracy on the same stratified folds."""
+    from .models import REGISTRY, ready_for_fit
+    folds = ready_for_fit(stratified_folds(df, label, k, seed, uid))
+    if isinstance(model, str):
+        if model not in REGISTRY:
+            raise ValueError(f"unknown model {model!r}; known: {sorted(REGISTRY)}")
+        model = REGISTRY[model]
+    if hasattr(model, "setFeaturesCol"):
+        return _spark_grid(model, grid, folds, label, features, k, metric, parallelism, seed)
+    if metric != "accuracy":
+        raise ValueError("only Spark ML estimators can be scored by another metric than accuracy")
+    return _factory_grid(model, grid, folds, label, features, k, parallelism)
+
+
+def _table(spark, names, combos, means, stds, best):
+    rows = [(", ".join(f"{n}={c[n]}" for n in names), float(m), None if s is None else float(s), i == best)
+            for i, (c, m, s) in enumerate(zip(combos, means, stds))]
+    return spark.createDataFrame(rows, "params string, mean_score double, std_score double, is_best boolean")
+
+
+def _first_best(means) -> int:
+    return max(range(len(means)), key=lambda i: (means[i], -i))
+
+
+def _spark_grid(estimator, grid, folds, label, features, k, metric, parallelism, seed):
     est = estimator.setFeaturesCol(features).setLabelCol(label)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(est.getParam(name), list(values))
     maps = builder.build()
-    from .models import ready_for_fit
-    folds = ready_for_fit(stratified_folds(df, label, k, seed, uid))
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="fold",
                         numFolds=k, parallelism=parallelism, seed=seed, collectSubModels=False)
     model = cv.fit(folds)
-    names = list(grid)
-    rows = []
-    best = max(range(len(maps)), key=lambda i: (model.avgMetrics[i], -i))
-    for i, pm in enumerate(maps):
-        params = {p.name: pm[p] for p in pm}
-        rows.append((", ".join(f"{n}={params[n]}" for n in names), float(model.avgMetrics[i]),
-                     float(model.stdMetrics[i]) if model.stdMetrics else None, i == best))
-    table = df.sparkSession.createDataFrame(
-        rows, "params string, mean_score double, std_score double, is_best boolean")
+    combos = [{p.name: v for p, v in pm.items()} for pm in maps]
+    stds = model.stdMetrics or [None] * len(maps)
+    table = _table(folds.sparkSession, list(grid), combos, model.avgMetrics, stds, _first_best(model.avgMetrics))
     return model.bestModel, table
 
 
+def _factory_grid(factory, grid, folds, label, features, k, parallelism):
+    """Every (settings, fold) pair is an independent fit; driver threads run ``parallelism``
+    of them at a time."""
+    names = list(grid)
+    combos = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
+
+    def score(task):
+        combo, f = task
+        model = factory(**combo).fit(folds.where(F.col("fold") != f), features, label)
+        right = (F.col("prediction") == F.col(label)).cast("double")
+        return model.transform(folds.where(F.col("fold") == f)).agg(F.avg(F.coalesce(right, F.lit(0.0)))).first()[0]
+
+    tasks = [(c, f) for c in combos for f in range(k)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        got = list(pool.map(inheritable_thread_target(score), tasks))
+    per = [[x for x in got[i * k:(i + 1) * k] if x is not None] for i in range(len(combos))]
+    means = [statistics.fmean(x) if x else 0.0 for x in per]
+    best = _first_best(means)
+    stds = [statistics.pstdev(x) if x else None for x in per]
+    model = factory(**combos[best]).fit(folds, features, label)
+    return model, _table(folds.sparkSession, names, combos, means, stds, best)

@@ -8,13 +8,13 @@ differs between engines.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from ..fixtures import with_fixtures
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
-NOTES: dict[str, str] = {}
 
 _MODULES = ["q_features", "q_aggregates", "q_sampling", "q_prep", "q_evaluate",
             "q_models", "q_sources", "q_stream"]
@@ -49,27 +49,20 @@ def positive_zero_rounds(sql: str) -> str:
         i = k + 1
 
 
-def register(key: str, sql: str | None = None, fixtures: tuple = (), note: str = ""):
+def register(key: str, sql: str | None = None, fixtures: tuple = ()):
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
         QUERIES[key] = fn
         if sql is not None:
             ORACLE[key] = with_fixtures(positive_zero_rounds(sql), *fixtures)
-        if note:
-            NOTES[key] = note
         return fn
     return deco
 
 
 def load_all() -> None:
-    import importlib
     for m in _MODULES:
-        try:
-            importlib.import_module(f"{__package__}.{m}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"{__package__}.{m}":
-                raise
+        importlib.import_module(f"{__package__}.{m}")
 
 
 def queries() -> dict[str, Callable]:

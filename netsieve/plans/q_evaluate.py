@@ -88,12 +88,10 @@ _MODELS_SQL = (f"scored as (select 'f2_model' as model, actual, predicted from p
 
 def scored_models(spark, sf):
     p = _pred(spark, sf)
-    maj = (p.groupBy("actual").count().orderBy(F.desc("count"), "actual").limit(1)
-             .select(F.col("actual").alias("maj")))
+    top = p.groupBy("actual").count().orderBy(F.desc("count"), "actual").first()
     base = p.select(F.lit("f2_model").alias("model"), "actual", "predicted")
-    majority = p.join(F.broadcast(maj), how="inner")   # one-row broadcast (a scalar)
-    return base.unionByName(majority.select(F.lit("majority").alias("model"), "actual",
-                                            F.col("maj").cast("int").alias("predicted")))
+    guess = F.lit(top["actual"] if top else None).cast("int")
+    return base.unionByName(p.select(F.lit("majority").alias("model"), "actual", guess.alias("predicted")))
 
 
 @register("eval_all", "with " + _MODELS_SQL + ", " + _report_sql("scored", "model") + " select * from rep", F2)
@@ -137,6 +135,30 @@ def class_scores(spark, sf):
     return ev.score_matrix_long(wide, cols, keep=["uid"])
 
 
+@register("roc_absent_class", "with s as (select cast(c as varchar) as class, score * (c + 1) as score, "
+          "cast(actual = c as int) as is_pos from predictions, (values (2), (7)) v(c)), a as (select class, score, "
+          "sum(is_pos) as pos, sum(1 - is_pos) as neg from s group by 1, 2), c as (select *, "
+          "sum(pos) over (partition by class order by score desc rows unbounded preceding) as tps, "
+          "sum(pos) over (partition by class) as p_all, sum(neg) over (partition by class) as n_all from a) "
+          "select class, round(sum(cast(neg as double) * (2 * tps - pos)) / nullif(2 * max(cast(p_all as double)) * "
+          "max(n_all), 0), 6) as auc from c group by class", F2)
+def q_roc_absent_class(spark, sf):
+    """AUC of a class that occurs (2) and of one that never does (7: no area, null)."""
+    p = _pred(spark, sf).select("actual", F.array(F.col("score") * 3, F.col("score") * 8).alias("scores"))
+    curve = ev.roc_curve(ev.model_scores_long(p, [2, 7], "actual"))
+    return ev.roc_auc(curve).select("class", r6("auc").alias("auc"))
+
+
+@register("eval_confusion_by_model", "with " + _MODELS_SQL + ", l as (select m.model, x.label from "
+          "(select distinct model from scored) m, (select actual as label from scored union select predicted from scored) x) "
+          "select l.model, l.label as actual, " + ", ".join(
+              f"cast(coalesce(sum(case when p.predicted = {v} then 1 else 0 end), 0) as bigint) as \"pred_{v}\""
+              for v in _LABELS) + " from l left join scored p on p.model = l.model and p.actual = l.label group by l.model, l.label", F2)
+def q_eval_confusion_by_model(spark, sf):
+    """The confusion matrix of every scored model."""
+    return ev.confusion_matrix(scored_models(spark, sf), by=["model"])
+
+
 _SCORES_SQL = ("s as (select cast(c as varchar) as class, case when c = 2 then score "
                "else cast(predicted = c as double) end as score, cast(actual = c as int) as is_pos "
                "from predictions, (values (0), (1), (2), (3)) v(c))")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,22 +43,23 @@ def get_session(master: str | None = None, app: str = "netsieve",
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of CORE_CONF to an existing session."""
     for k, v in CORE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):     # a static setting of a shared session stays
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a distributed file system path).  Only when it is
-    unset -- local tests -- do we create one, and register it with the context.
+    On a cluster it must be set (a folder that driver and executors share); only a local
+    master gets one of its own, registered with the context.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="netsieve-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -72,16 +72,7 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_root(spark)}/netsieve/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for the few driver-side file-system calls)."""
-    if path.startswith("file:"):
-        p = path[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    return path
-
-
-def ensure_local_dir(path: str) -> None:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(local_path(path), exist_ok=True)
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system that serves it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
