@@ -42,6 +42,15 @@ class NetworkTrafficFeatures(FeatureExtractor):
         self.fill_zero = fill_zero
         self.vocab = proto_vocabulary
 
+    def per_file(self) -> "NetworkTrafficFeatures":
+        return self if self.vocab is not None else NetworkTrafficFeatures(self.fill_zero, [])
+
+    def across_files(self, df: DataFrame) -> DataFrame:
+        """The protocol dummies over the values of all files."""
+        if self.vocab is not None or "proto" not in df.columns:
+            return df
+        return df.select("*", *[F.col("proto").eqNullSafe(F.lit(v)).cast("int").alias(f"proto_{v}") for v in proto_vocabulary(df)])
+
     def extract_features(self, df: DataFrame) -> DataFrame:
         cols = df.columns
         types = {f.name: f.dataType for f in df.schema.fields}

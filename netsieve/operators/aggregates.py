@@ -16,9 +16,11 @@ def class_counts_by_file(df: DataFrame, file_col: str = "source_file",
     """(file, label, n, label_total, min_class_total).
 
     The (file, label) aggregate is partial-then-final (map-side combine); the totals are
-    windows over that small result (files x classes rows), not over the data.
+    a window per class over that small result (files x classes rows), not over the data; the
+    smallest total is one number.
     """
     per = (df.where(F.col(label_col).isNotNull()).groupBy(file_col, label_col)
              .agg(F.count(F.lit(1)).alias("n")))
     totals = per.withColumn("label_total", F.sum("n").over(Window.partitionBy(label_col)))
-    return totals.withColumn("min_class_total", F.min("label_total").over(Window.partitionBy()))
+    least = totals.agg(F.min("label_total")).first()[0]
+    return totals.withColumn("min_class_total", F.lit(least).cast("long"))

@@ -17,9 +17,11 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from ..functions.coerce import duration_seconds, inf_to_zero
 from ..functions.labels import label_normalize
-from .rank import positional_index, running_sums
+from .rank import positional_index, released, running_sums, track
 
 UNKNOWN = "unknown"
+BRACKET = 5e-4              # half width of the percentile bracket, as a share of the rows
+ACCURACY = 10_000           # percentile_approx: rank error 1e-4, inside the bracket
 
 
 # ------------------------------------------------------------------ column selection
@@ -77,22 +79,35 @@ def medians(df: DataFrame, cols, exact: bool = True, accuracy: int = 1_000_000)
     """(column, median) over non-null, non-NaN values; the mean of the two middle values
     for an even count.  ``exact=False``: percentile_approx.
 
-    Exact: values are first counted per (column, value), partially aggregated map-side,
-    so only distinct values travel and a hot value is one row.  Running counts over the
-    distinct values in order (range-partitioned, skew-safe; see rank.running_sums) then
-    locate the middle position(s): the value v holds positions (cum - count, cum]."""
+    Exact: approximate percentiles bracket the middle of each column and the values below
+    the bracket are counted, so only the values inside it (a thousandth of the rows) are
+    counted per (column, value), partially aggregated map-side, and ordered: running counts
+    over them (range-partitioned, skew-safe; see rank.running_sums) locate the middle
+    position(s); the value v holds positions (cum - count, cum]."""
     cols = list(cols)
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, median double")
     if not exact:
         aggs = [F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]
         return df.agg(*aggs).unpivot([], cols, "column_name", "median").where(F.col("median").isNotNull())
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    long = base.unpivot([], cols, "column_name", "v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    base = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    # percentiles bracket the middle; values outside the brackets are only counted
+    sketch = base.agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, [0.5 - BRACKET, 0.5 + BRACKET], ACCURACY)
+                                 .alias("p")).alias(c) for c in cols]).first()
+    known = {c: (sketch[c]["n"], *sketch[c]["p"]) for c in cols if sketch[c]["n"]}
+    if not known:
+        return df.sparkSession.createDataFrame([], "column_name string, median double")
+    below = base.agg(*[F.count_if(F.col(c) < lo).alias(c) for c, (_, lo, _) in known.items()]).first()
+    inside = [F.when(F.col(c).between(lo, hi), F.col(c)).alias(c) for c, (_, lo, hi) in known.items()]
+    long = base.select(*inside).unpivot([], list(known), "column_name", "v").where("v is not null")
     counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_sums(counts, ["v"], ["_c"], ["column_name"], n_groups=len(cols),
-                       prefix="_cum", total_prefix="_n")
-    before, upto, n = F.col("_cum_c") - F.col("_c"), F.col("_cum_c"), F.col("_n_c")
+    cum = running_sums(counts, ["v"], ["_c"], ["column_name"], n_groups=len(known), prefix="_cum")
+
+    def fixed(values):
+        return F.element_at(F.create_map(*[x for c, v in values.items() for x in (F.lit(c), F.lit(v).cast("long"))]), F.col("column_name"))
+
+    upto = F.col("_cum_c") + fixed({c: below[c] for c in known})
+    before, n = upto - F.col("_c"), fixed({c: k for c, (k, _, _) in known.items()})
 
     def holds(k):
         return (before < k) & (k <= upto)
@@ -128,35 +143,22 @@ def scaler_stats(df: DataFrame, cols) -> DataFrame:
     return long.withColumn("divisor", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
 
 
-def vocabulary(df: DataFrame, cols, large: bool = False, max_categories: int | None = None) -> DataFrame:
+def vocabulary(df: DataFrame, cols) -> DataFrame:
     """(column, category, idx): sorted distinct values per column, idx from 0.
 
-    A fitted vocabulary is model state collected to the driver, so it is driver-sized
-    and a per-column window is enough.  ``large=True`` numbers categories with the
-    range-partitioned positional index instead, for a table that stays distributed.
-
-    ``max_categories`` (off by default) keeps only the most frequent categories of each
-    column (ties to the smaller value), so a high-cardinality column cannot grow the
-    fitted state; the rest encode like unseen categories (all zero).  Counts are
-    partially aggregated, and the per-column top list is a rank filter that Spark
-    limits on the map side, so no column's full value set meets on one task."""
+    Numbers come from the range-partitioned positional index, so a column with a category
+    per row (an id) is numbered like any other and stays distributed."""
     cols = list(cols)
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-              .unpivot([], cols, "column_name", "category"))
-    if max_categories:
-        from pyspark.sql import Window
-        counts = long.groupBy("column_name", "category").agg(F.count(F.lit(1)).alias("_n"))
-        top = Window.partitionBy("column_name").orderBy(F.desc("_n"), F.col("category").asc_nulls_first())
-        long = (counts.withColumn("_r", F.row_number().over(top))
-                      .where(F.col("_r") <= int(max_categories)).select("column_name", "category"))
-    else:
-        long = long.distinct()
-    if large:
-        ranked = positional_index(long, ["category"], ["column_name"], n_groups=len(cols), pos_col="_vpos")
-        return ranked.select("column_name", "category", (F.col("_vpos") - 1).cast("int").alias("idx"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("column_name").orderBy("category")
-    return long.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
+              .unpivot([], cols, "column_name", "category").distinct())
+    ranked = positional_index(long, ["category"], ["column_name"], n_groups=len(cols), pos_col="_vpos")
+    return ranked.select("column_name", "category", (F.col("_vpos") - 1).cast("int").alias("idx"))
+
+
+def label_index(df: DataFrame, target: str) -> DataFrame:
+    """(label, idx): sorted distinct labels, numbered from 0 without a one-task sort."""
+    labels = df.select(F.col(target).alias("label")).where("label is not null").distinct()
+    return positional_index(labels, ["label"], pos_col="_p").select("label", (F.col("_p") - 1).cast("int").alias("idx"))
 
 
 def label_classes(df: DataFrame, target: str) -> list[str]:
@@ -248,13 +250,10 @@ class Preprocessor:
     """fit(train) -> PreprocessorModel; the model transforms train, val and test alike."""
 
     def __init__(self, target: str = "label", categorical=None, numerical=None,
-                 drop_na: bool = False, handle_unknown: str = "ignore", exact_median: bool = True,
-                 max_categories: int | None = None):
-        if max_categories is not None and handle_unknown == "error":
-            raise ValueError("max_categories encodes rare categories as unknown; "
-                             "it cannot be combined with handle_unknown='error'")
+                 drop_na: bool = False, handle_unknown: str = "ignore", exact_median: bool = True):
+        if handle_unknown not in ("ignore", "error"):
+            raise ValueError(f"handle_unknown must be 'ignore' or 'error', not {handle_unknown!r}")
         self.target = target
-        self.max_categories = max_categories
         self.categorical = categorical
         self.numerical = numerical
         self.drop_na = drop_na
@@ -271,28 +270,33 @@ class Preprocessor:
         num, cat = select_features(d, self.target, self.categorical, self.numerical)
         bools = [c for c in cat if isinstance(d.schema[c].dataType, BooleanType)]
         st = PrepState(self.target, num, cat, bools, handle_unknown=self.handle_unknown)
-        nulls = null_count_dict(d, num + cat)
-        med_cols = [c for c in num if nulls.get(c, 0) > 0]
-        mode_cols = [c for c in cat if nulls.get(c, 0) > 0]
-        st.medians = {c: 0.0 for c in med_cols}
-        st.medians.update({r["column_name"]: float(r["median"])
-                           for r in medians(d, med_cols, self.exact_median).collect()})
-        st.modes = {c: ("false" if c in bools else UNKNOWN) for c in mode_cols}
-        st.modes.update({r["column_name"]: r["mode"] for r in modes(d, mode_cols).collect()})
-        imp = impute_exprs(d, st)
-        filled = d.select(*[imp[c].alias(c) for c in num + cat], F.col(self.target))
-        if num:
-            clean = filled.select(*[inf_to_zero(c).alias(c) for c in num])
-            for r in scaler_stats(clean, num).collect():
-                st.means[r["column_name"]] = float(r["mean"]) if r["mean"] is not None else 0.0
-                st.divisors[r["column_name"]] = float(r["divisor"]) if r["divisor"] is not None else 1.0
-        if cat:
-            vocab: dict = {c: [] for c in cat}
-            for r in vocabulary(filled, cat, max_categories=self.max_categories) \
-                    .orderBy("column_name", "idx").collect():
-                vocab[r["column_name"]].append(r["category"])
-            st.vocab = vocab
-        st.labels = label_classes(filled, self.target)
+        with released():
+            # the source is read once: every statistic below reads this pruned copy
+            d = track(d.select(*num, *cat, self.target))
+            nulls = null_count_dict(d, num + cat)
+            med_cols = [c for c in num if nulls.get(c, 0) > 0]
+            mode_cols = [c for c in cat if nulls.get(c, 0) > 0]
+            st.medians = {c: 0.0 for c in med_cols}
+            st.medians.update({r["column_name"]: float(r["median"])
+                               for r in medians(d, med_cols, self.exact_median).collect()})
+            st.modes = {c: ("false" if c in bools else UNKNOWN) for c in mode_cols}
+            st.modes.update({r["column_name"]: r["mode"] for r in modes(d, mode_cols).collect()})
+            imp = impute_exprs(d, st)
+            filled = d.select(*[imp[c].alias(c) for c in num + cat], F.col(self.target))
+            if num:
+                clean = filled.select(*[inf_to_zero(c).alias(c) for c in num])
+                for r in scaler_stats(clean, num).collect():
+                    st.means[r["column_name"]] = float(r["mean"]) if r["mean"] is not None else 0.0
+                    st.divisors[r["column_name"]] = float(r["divisor"]) if r["divisor"] is not None else 1.0
+            # the fitted vocabulary is model state: a feature per category, held by the driver
+            # like the coefficients that belong to it
+            st.vocab = {c: [] for c in cat}
+            if cat:
+                long = (filled.select(*cat).unpivot([], cat, "column_name", "category").distinct())
+                for r in long.collect():
+                    st.vocab[r["column_name"]].append(r["category"])
+                st.vocab = {c: sorted(v) for c, v in st.vocab.items()}
+            st.labels = label_classes(filled, self.target)
         return PreprocessorModel(st)
 
 

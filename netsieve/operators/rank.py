@@ -23,6 +23,9 @@ bound (partitions + groups) is known to be small; otherwise it is a shuffle join
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -32,6 +35,7 @@ from ..session import checkpoint_root
 BROADCAST_ROWS = 1_000_000
 
 _PERSISTED: list = []
+_LOCAL = threading.local()
 
 
 def release() -> None:
@@ -45,9 +49,26 @@ def track(df: DataFrame) -> DataFrame:
     """Persist ``df`` (memory, spilling to disk) and remember it for ``release``."""
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(out)
+    if getattr(_LOCAL, "frames", None) is not None:
+        _LOCAL.frames.append(out)
     return out
 
 
+@contextmanager
+def released():
+    """Unpersist on exit the frames that this thread tracked inside the block."""
+    mine: list = []
+    outer = getattr(_LOCAL, "frames", None)
+    _LOCAL.frames = mine
+    try:
+        yield
+    finally:
+        _LOCAL.frames = outer
+        for df in mine:
+            df.unpersist()
+            _PERSISTED[:] = [x for x in _PERSISTED if x is not df]
+
+
 def hash_order(uid_col: str, seed: int = 42) -> Column:
     """Deterministic pseudo-random order key: md5(uid | seed).  Same value in DuckDB."""
     return F.md5(F.concat(F.col(uid_col).cast("string"), F.lit("|"), F.lit(str(seed))))

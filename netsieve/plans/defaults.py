@@ -10,6 +10,7 @@ NUMERICAL = ["id_orig_p", "id_resp_p", "duration", "orig_bytes", "resp_bytes", "
              "orig_pkts", "orig_ip_bytes", "resp_pkts", "resp_ip_bytes", "total_bytes",
              "bytes_ratio", "total_pkts", "pkts_ratio", "bytes_per_sec", "pkts_per_sec"]
 
+# The reference's default settings (those that this package reads).
 DEFAULT_CONFIG = {
     "data": {
         "path": None,
@@ -19,7 +20,6 @@ DEFAULT_CONFIG = {
         "max_rows": None,
         "balance_classes": True,
         "cache_processed": False,
-        "batch_size": 3,
     },
     "features": {
         "extractors": ["network_traffic", "time_based"],
@@ -30,7 +30,8 @@ DEFAULT_CONFIG = {
     "training": {
         "output_dir": None,
         "seed": 42,
-        "hyperparameter_tuning": False,
+        "hyperparameter_tuning": False,      # then ``param_grids``: {model: {setting: values}}
+        "param_grids": {},
         "models": {
             "random_forest": {"enabled": True, "n_estimators": 100, "max_depth": 10},
             "logistic_regression": {"enabled": True, "max_iter": 1000},

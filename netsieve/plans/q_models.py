@@ -5,14 +5,14 @@ from __future__ import annotations
 import time
 
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..operators import models as M
 from ..operators.knn import KNNClassifier
-from ..operators.prep import Preprocessor
+from ..operators.prep import Preprocessor, PrepState, label_classes, label_index_expr
 from ..operators.split import split_stratified
 from ..operators.tuning import grid_search
 from .catalog import register
@@ -63,6 +63,29 @@ register("ml_gmm")(_model_query(
     "Per-class Gaussian mixtures, class = largest mixture log density: test-split predictions."))
 
 
+_GMM_F = ("orig_pkts", "duration")
+_GMM_SQL = """
+with d as (select uid, label, orig_pkts x, duration y from flows_signal),
+st as (select label, avg(x) mx, avg(y) my, var_pop(x) + 1e-6 vx, var_pop(y) + 1e-6 vy, covar_pop(x, y) c from d group by label),
+j as (select uid, d.label, st.label as cls,
+        -0.5 * (ln(vx * vy - c * c) + (vy * (x - mx) ** 2 - 2 * c * (x - mx) * (y - my) + vx * (y - my) ** 2) / (vx * vy - c * c)) as ll
+      from d, st),
+r as (select uid, label, cls, row_number() over (partition by uid order by ll desc, cls) as rk from j)
+select uid, label, cls as predicted from r where rk = 1"""
+
+
+@register("ml_gmm_single", _GMM_SQL, ("flows_signal",))
+def q_ml_gmm_single(spark, sf):
+    """One Gaussian a class over two features (the closed form of the mixture): the class of
+    the largest density, for all rows."""
+    sig = fixtures.flows_signal(spark, sf).select("uid", "label", array_to_vector(F.array(*_GMM_F)).alias("features"))
+    classes = label_classes(sig, "label")
+    number = label_index_expr(PrepState("label", [], [], labels=classes), "label")
+    model = M.GMMClassifier(n_components=1).fit(sig.withColumn("label_idx", number))
+    names = F.array(*[F.lit(c) for c in classes])
+    return model.transform(sig).select("uid", "label", F.element_at(names, (F.col("prediction") + 1).cast("int")).alias("predicted"))
+
+
 _NB_SQL = """
 with d as (select uid, label, """ + ", ".join(SIG_NUM) + """ from flows_signal),
 st as (select label, count(*) as n, """ + ", ".join(
@@ -150,8 +173,12 @@ def q_ml_knn(spark, sf):
 
 @register("ml_train_all")
 def q_ml_train_all(spark, sf):
-    """Fit every enabled model of the default settings; training seconds and test accuracy."""
+    """Fit and save every enabled model of the default settings; training seconds and test
+    accuracy."""
+    from ..session import scratch_dir
+    from ..sources.sinks import save_model
     train, test, _ = signal_frames(spark, sf)
+    out_dir = scratch_dir(spark, "train-all")
     n_classes = train.select("label_idx").distinct().count()
     cfg = {k: dict(v) for k, v in DEFAULT_CONFIG["training"]["models"].items()}
     cfg["gmm"]["n_components"] = min(cfg["gmm"]["n_components"], n_classes)
@@ -160,6 +187,7 @@ def q_ml_train_all(spark, sf):
         t0 = time.time()
         model = est.fit(train)
         secs = time.time() - t0
+        save_model(spark, model, f"{out_dir}/{name}")
         acc = _predictions(model, test).agg(F.avg((F.col("actual") == F.col("predicted")).cast("double"))).first()[0]
         rows.append((name, float(secs), float(acc)))
     return spark.createDataFrame(rows, "model string, training_seconds double, accuracy double")
@@ -167,11 +195,16 @@ def q_ml_train_all(spark, sf):
 
 @register("ml_tune")
 def q_ml_tune(spark, sf):
-    """Grid (trees x depth) with stratified 5-fold cross-validation on accuracy."""
+    """Grids of a Spark ML forest, the Gaussian NB and kNN, each with stratified 5-fold
+    cross-validation on accuracy."""
     train, _, _ = signal_frames(spark, sf)
-    _, table = grid_search(RandomForestClassifier(seed=42), {"numTrees": [5, 10], "maxDepth": [3, 6]},
-                           train, k=5)
-    return table
+    grids = {"random_forest": (RandomForestClassifier(seed=42), {"numTrees": [5, 10], "maxDepth": [3, 6]}),
+             "gaussian_nb": ("gaussian_nb", {"var_smoothing": [1e-9, 1e-3]}), "knn": ("knn", {"n_neighbors": [3, 7]})}
+    out = None
+    for name, (model, grid) in grids.items():
+        table = grid_search(model, grid, train, k=5)[1].withColumn("model", F.lit(name))
+        out = table if out is None else out.unionByName(table)
+    return out
 
 
 @register("feature_importance")

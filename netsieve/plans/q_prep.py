@@ -39,12 +39,16 @@ def _mode_sql(c):
             f"order by count(*) desc, {v} asc limit 1)")
 
 
-_IMP_NUM = {c: (f"cast(coalesce({c}, (select median({c}) from flows)) as double)" if c in MEDIAN_COLS
-                else f"cast({c} as double)") for c in RAW_NUM}
-_IMP_CAT = {c: (f"coalesce(cast({c} as varchar), {_mode_sql(c)})" if c in MODE_COLS
-                else f"cast({c} as varchar)") for c in CATEGORICAL}
-IMP_CTE = ("imp as (select uid, label, " + ", ".join(f"{e} as {c}" for c, e in _IMP_NUM.items()) + ", "
-           + ", ".join(f"{e} as {c}" for c, e in _IMP_CAT.items()) + " from flows)")
+def _imp_cte(stats: str = "flows", keep: str = "uid, label") -> str:
+    """CTE ``imp``: flows imputed with the medians and modes of table ``stats``."""
+    num = [f"cast(coalesce({c}, (select median({c}) from {stats})) as double) as {c}" if c in MEDIAN_COLS
+           else f"cast({c} as double) as {c}" for c in RAW_NUM]
+    cat = [f"coalesce(cast({c} as varchar), {_mode_sql(c).replace('from flows', 'from ' + stats)}) as {c}" if c in MODE_COLS
+           else f"cast({c} as varchar) as {c}" for c in CATEGORICAL]
+    return f"imp as (select {keep}, " + ", ".join(num + cat) + " from flows)"
+
+
+IMP_CTE = _imp_cte()
 # fixture vocabulary, as the fit finds it (sorted distinct values after imputation)
 VOCAB = {"proto": ["icmp", "tcp", "udp"], "service": ["-", "dns", "http"],
          "conn_state": ["REJ", "S0", "SF"], "local_orig": ["false", "true"],
@@ -90,19 +94,16 @@ def q_fit_scaler(spark, sf):
                                     for c in CATEGORICAL) + ") t", F1)
 def q_fit_vocabulary(spark, sf):
     """Sorted distinct categories per column after imputation."""
-    m = fitted(spark, sf)
-    imp = m.imputed(_flows(spark, sf))
-    return prep.vocabulary(imp, CATEGORICAL)
+    f = _flows(spark, sf)
+    st = prep.PrepState("label", [], CATEGORICAL, modes={r["column_name"]: r["mode"] for r in prep.modes(f, CATEGORICAL).collect()})
+    return prep.vocabulary(prep.PreprocessorModel(st).imputed(f), CATEGORICAL)
 
 
 @register("fit_label_index", f"select label, cast(row_number() over (order by label) - 1 as int) as idx "
           f"from (select distinct {NORM_SQL} as label from flows) t", F1)
 def q_fit_label_index(spark, sf):
     """Sorted distinct normalised labels -> 0..k-1."""
-    labels = _flows(spark, sf).select(label_normalize("label").alias("label")).distinct()
-    from pyspark.sql import Window
-    return labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1)
-                         .cast("int").alias("idx"))
+    return prep.label_index(_flows(spark, sf).select(label_normalize("label").alias("label")), "label")
 
 
 # ---------------------------------------------------------------- transforms
@@ -175,15 +176,43 @@ def q_prep_feature_names(spark, sf):
     return spark.createDataFrame(list(enumerate(names)), "position int, feature_name string")
 
 
-@register("prep_assemble")
+def _vector_sql(fit: str) -> str:
+    """The assembled features of table ``imp``, scaled with the statistics of table ``fit``."""
+    num = [f"({c} - (select avg({c}) from {fit})) / (select case when stddev_pop({c}) = 0 then 1 else stddev_pop({c}) end from {fit})"
+           for c in RAW_NUM]
+    hot = [f"cast({c} = '{v}' as double)" for c in CATEGORICAL for v in VOCAB[c]]
+    return "[" + ", ".join([f"round({e}, 6) + 0.0" for e in num] + hot) + "]::double[]"
+
+
+_LABEL_IDX = (f"cls as (select label as cls, row_number() over (order by label) - 1 as idx from "
+              f"(select distinct {NORM_SQL} as label from {{}}) c)")
+
+
+def _rounded(col="features"):
+    return F.transform(vector_to_array(col), lambda x: F.round(x, 6) + F.lit(0.0))
+
+
+@register("prep_assemble", "with " + IMP_CTE + ", " + _LABEL_IDX.format("flows") + ", n as (select *, " + NORM_SQL + " as norm from imp) "
+          "select uid, " + _vector_sql("imp") + " as features, cast(idx as double) as label_idx from n join cls on norm = cls", F1)
 def q_prep_assemble(spark, sf):
     """Scaled numeric block then one-hot block, as one vector (shown as an array)."""
     m = fitted(spark, sf)
     t = m.transform(_flows(spark, sf), keep=["uid"])
-    return t.select("uid", vector_to_array("features").alias("features"), "label_idx")
+    return t.select("uid", _rounded().alias("features"), "label_idx")
+
+
+_SPLIT_SQL = ("ranked as (select *, row_number() over (order by ts asc nulls last, uid) as pos, count(*) over () as n from flows), "
+              "starts as (select *, cast(floor(cast(n as double) * (1 - cast(0.15 as double))) as bigint) as test_start from ranked), "
+              "parts as (select *, case when pos <= cast(floor(cast(test_start as double) * (1 - cast(0.15 as double))) as bigint) "
+              "then 'train' when pos <= test_start then 'val' else 'test' end as split from starts), "
+              "train as (select * from parts where split = 'train')")
 
 
-@register("prep_fit_transform")
+@register("prep_fit_transform", "with " + _SPLIT_SQL + ", " + _imp_cte("train").replace("from flows)", "from parts)").replace(
+          "select uid, label,", "select uid, label, split,") + ", fit as (select * from imp where split = 'train'), "
+          + _LABEL_IDX.format("train") + ", n as (select *, " + NORM_SQL + " as norm from imp) "
+          "select uid, split, " + _vector_sql("fit") + " as features, cast(coalesce(idx, -1) as double) as label_idx "
+          "from n left join cls on norm = cls", F1)
 def q_prep_fit_transform(spark, sf):
     """Fit on the train part of a time split, transform train/val/test with that state."""
     f = _flows(spark, sf)
@@ -191,4 +220,4 @@ def q_prep_fit_transform(spark, sf):
     train = parts.where(F.col("split") == "train").drop("split")
     m = prep.Preprocessor("label", CATEGORICAL, NUMERICAL).fit(train)
     out = m.transform(parts, keep=["uid", "split"])
-    return out.select("uid", "split", vector_to_array("features").alias("features"), "label_idx")
+    return out.select("uid", "split", _rounded().alias("features"), "label_idx")

@@ -19,30 +19,32 @@ SIG_NUM = ["orig_pkts", "resp_pkts", "resp_bytes", "duration", "orig_bytes"]
           f"select label, count(*) as n from (select {NORM_SQL} as label from flows) t group by label",
           ("flows",))
 def q_stream_file_batches(spark, sf):
-    """Files streamed one per micro-batch; per-batch class counts, summed over batches."""
-    d = write_csv_files(spark, fixtures.flows(spark, sf), "stream-files")
-    per_batch = stream_file_batches(spark, d, batch_files=1)
+    """Files of two header layouts streamed four per micro-batch; per-batch class counts,
+    summed over batches."""
+    d = write_csv_files(spark, fixtures.flows(spark, sf), "stream-files", drop={"capture-3": ["service", "history"]})
+    per_batch = stream_file_batches(spark, d, batch_files=4)
     return per_batch.groupBy("label").agg(F.sum("n").alias("n"))
 
 
-@register("stream_nb_update", "select label, feature, count(*) as n, round(avg(v), 6) as mean, "
+@register("stream_nb_update", "select label, feature, count(v) as n, round(avg(v), 6) as mean, "
           "round(sqrt(var_pop(v)), 6) as std from (" + " union all ".join(
-              f"select label, '{c}' as feature, {c} as v from flows_signal" for c in SIG_NUM)
-          + ") t group by label, feature", ("flows_signal",))
+              f"select {NORM_SQL} as label, '{c}' as feature, {c} as v from flows" for c in SIG_NUM)
+          + ") t group by label, feature", ("flows",))
 def q_stream_nb_update(spark, sf):
-    """NB statistics merged across micro-batches (pairwise variance update) = one-shot.
+    """NB statistics of columns with nulls, merged across micro-batches (pairwise variance
+    update) = one-shot.
     The spread is shown as a standard deviation: at the scale of byte-count variances six
     decimals exceed what two summation orders agree on."""
-    d = write_csv_files(spark, fixtures.flows_signal(spark, sf), "stream-nb", columns=SIG_COLS)
-    m = stream_nb_update(spark, d, SIG_NUM, batch_files=1)
+    d = write_csv_files(spark, fixtures.flows(spark, sf), "stream-nb")
+    m = stream_nb_update(spark, d, SIG_NUM, batch_files=4)
     return m.select("label", "feature", "n", F.round("mean", 6).alias("mean"),
                     F.round(F.sqrt("var"), 6).alias("std"))
 
 
 @register("stream_fit_snapshots")
 def q_stream_fit_snapshots(spark, sf):
-    """Per micro-batch (2 files): split, preprocess, fit, save, test accuracy."""
+    """Per micro-batch (4 files): split, preprocess, fit, save, test accuracy."""
     d = write_csv_files(spark, fixtures.flows_signal(spark, sf), "stream-fit", columns=SIG_COLS)
     cfg = {"gaussian_nb": {}, "random_forest": {"n_estimators": 20, "max_depth": 8},
            "logistic_regression": {"max_iter": 100}}
-    return stream_fit_snapshots(spark, d, cfg, ["proto", "conn_state"], SIG_NUM, batch_files=2)
+    return stream_fit_snapshots(spark, d, cfg, ["proto", "conn_state"], SIG_NUM, batch_files=4)

@@ -1,17 +1,23 @@
 """Per-file feature cache: a Parquet table partitioned by (extractor, file_key).
 
-The key covers path, length, modification time and row cap, so an edited file, a
-same-named file elsewhere or a new cap never returns stale rows.  Only files missing
-from the manifest are scanned and featurised; their partitions are written with dynamic
-partition overwrite (a retried write replaces, never duplicates), then the manifest is
-appended.  Reads prune to the wanted partitions.
+The key covers path, length, modification time and row cap, and the extractor part covers
+the extractor's name and settings, so an edited file, a same-named file elsewhere, a new cap
+or another setting never returns stale rows.  What depends on all files together (protocol
+dummies) is not cached: it is derived after the read.  Only files missing from the manifest
+are scanned and featurised; their partitions are written with dynamic partition overwrite (a
+retried write replaces, never duplicates), then the manifest is appended.  Reads prune to the
+wanted partitions.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .files import row_cap_per_file, scan_flows
+from ..operators.rank import BROADCAST_ROWS
+from ..session import exists
+from .files import listed_path, plain_path, row_cap_per_file, scan_flows
 
 
 def file_keys(files: DataFrame, cap: int | None = None) -> DataFrame:
@@ -22,39 +28,38 @@ def file_keys(files: DataFrame, cap: int | None = None) -> DataFrame:
     return files.select("path", key.alias("file_key"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def _sized(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
 def cached_features(spark: SparkSession, files: DataFrame, extractor, cache_root: str,
                     cap: int | None = None) -> DataFrame:
-    """Features of ``files`` through ``extractor``, computing only cache misses."""
-    name = extractor.name
+    """Features of ``files`` through ``extractor``, computing only cache misses.  Every scanned
+    row must find its file's key; otherwise nothing is recorded and the run fails."""
+    per_file = extractor.per_file()
+    name = f"{extractor.name}-{hashlib.sha256(per_file.settings().encode()).hexdigest()[:12]}"
     manifest_path = f"{cache_root}/_manifest"
     data_path = f"{cache_root}/data"
     keys = file_keys(files, cap)
-    if _exists(spark, manifest_path):
+    missing = keys
+    if exists(spark, manifest_path):
         have = spark.read.parquet(manifest_path).where(F.col("extractor") == name).select("file_key")
         missing = keys.join(have, "file_key", "left_anti")
-    else:
-        missing = keys
-    todo = [(r["path"], r["file_key"]) for r in missing.collect()]   # one row per file
+    todo = [r["path"] for r in missing.select("path").collect()]       # the paths a scan is given
     if todo:
-        raw = scan_flows(spark, [p for p, _ in todo])
+        raw = scan_flows(spark, todo)
         if cap is not None:
             raw = row_cap_per_file(raw, cap)
-        feats = extractor.extract_features(raw.drop("_block"))
-        key_df = spark.createDataFrame(todo, "file_path string, file_key string")
-        # scan paths carry a scheme; match on the key table's form of the same path
-        out = (feats.join(F.broadcast(key_df.withColumnRenamed("file_path", "_kp")),
-                          F.col("file_path") == F.col("_kp")).drop("_kp")
-                    .withColumn("extractor", F.lit(name)))
+        feats = per_file.extract_features(raw.drop("_block"))
+        by_path = missing.select(listed_path("path").alias("_kp"), "file_key")
+        out = feats.join(_sized(by_path, len(todo)), plain_path("file_path") == F.col("_kp"), "left").drop("_kp")
+        lost = F.raise_error(F.concat(F.lit("no cache key for "), F.col("file_path")))
+        out = out.withColumn("file_key", F.when(F.col("file_key").isNotNull(), F.col("file_key")).otherwise(lost)) \
+                 .withColumn("extractor", F.lit(name))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("extractor", "file_key").parquet(data_path))
-        (spark.createDataFrame([(name, k, p) for p, k in todo], "extractor string, file_key string, path string")
-              .write.mode("append").parquet(manifest_path))
-    wanted = [r["file_key"] for r in keys.collect()]
-    return (spark.read.option("mergeSchema", "true").parquet(data_path)
-            .where((F.col("extractor") == name) & F.col("file_key").isin(wanted)))
+        (missing.select(F.lit(name).alias("extractor"), "file_key", "path").write.mode("append").parquet(manifest_path))
+    wanted = keys.select("file_key").distinct()
+    got = spark.read.option("mergeSchema", "true").parquet(data_path).where(F.col("extractor") == name)
+    got = got.join(_sized(wanted, keys.count()), "file_key", "left_semi")
+    return extractor.across_files(got)

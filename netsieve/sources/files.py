@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.coerce import duration_seconds
 from ..functions.labels import category_from_filename, label_from_filename, label_normalize
 from ..operators.rank import BROADCAST_ROWS
-from ..session import checkpoint_root
+from ..session import checkpoint_root, exists
 
 # Declared column types of a connection-log record (source header names).
 DECLARED_TYPES = {
@@ -55,14 +55,18 @@ def canonical_name(name: str) -> str:
     return name.strip().replace(".", "_").replace("-", "_")
 
 
-def _declared(name: str) -> str:
-    return DECLARED_TYPES.get(name.strip(), DECLARED_TYPES.get(canonical_name(name), "string"))
+_BY_CANONICAL = {canonical_name(k): v for k, v in DECLARED_TYPES.items()}
+
+
+def _declared(name: str) -> str | None:
+    """Declared type of a header name, dotted or underscored; None if it has none."""
+    return _BY_CANONICAL.get(canonical_name(name))
 
 
 def _cast(col: F.Column, kind: str) -> F.Column:
     if kind == "duration":
         return duration_seconds(col)
-    if kind == "string":
+    if kind in ("string", None):
         return col
     return col.try_cast(kind)
 
@@ -70,13 +74,12 @@ def _cast(col: F.Column, kind: str) -> F.Column:
 # ------------------------------------------------------------------ discovery
 
 def _list(spark: SparkSession, folder: str, pattern: str) -> DataFrame | None:
-    try:
-        df = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-              .option("recursiveFileLookup", "false").load(folder))
-        df = df.select("path", "length", "modificationTime")
-        return df if df.take(1) else None
-    except Exception:   # missing folder or no match
+    """Files of a folder that match, or None; only a missing folder counts as nothing there."""
+    if not exists(spark, folder):
         return None
+    df = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+          .option("recursiveFileLookup", "false").load(folder).select("path", "length", "modificationTime"))
+    return df if df.take(1) else None
 
 
 def discover_files(spark: SparkSession, data_path: str, pattern: str = "*.csv",
@@ -101,6 +104,16 @@ def discover_files(spark: SparkSession, data_path: str, pattern: str = "*.csv",
     return found.limit(num_files) if num_files is not None else found
 
 
+def plain_path(col) -> F.Column:
+    """One form of a path, whether listed (raw) or from ``_metadata`` (percent-encoded)."""
+    decoded = F.try_url_decode(F.replace(F.col(col), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "/")
+
+
+def listed_path(col) -> F.Column:
+    return F.regexp_replace(F.col(col), "^file:/+", "/")
+
+
 def file_inventory(files: DataFrame) -> DataFrame:
     """(filename, path, size_mb, category): one row per file."""
     name = F.element_at(F.split("path", "/"), -1)
@@ -147,13 +160,15 @@ META = ("_metadata.file_path", "_metadata.file_name", "_metadata.file_block_star
 
 
 def _typed(df: DataFrame, raw_names, with_label: bool, meta=META) -> DataFrame:
-    """Trim/rename, cast per declared type, add file columns and the label.  ``meta``
-    names the columns holding file path, file name and split start."""
+    """Trim/rename, cast per declared type, add file columns, a row id and the label.
+    ``meta`` names the columns holding file path, file name and split start.  ``row_id``
+    (file, split, row number of the task) tells any two rows apart and needs no id column."""
     cols = []
     for i, raw in enumerate(raw_names):
         cols.append(_cast(F.col(f"_c{i}"), _declared(raw)).alias(canonical_name(raw)))
+    row_id = F.concat_ws("#", F.col(meta[0]), F.col(meta[2]).cast("string"), F.monotonically_increasing_id().cast("string"))
     out = df.select(*cols, F.col(meta[0]).alias("file_path"), F.col(meta[1]).alias("file_name"),
-                    F.col(meta[2]).alias("_block"))
+                    F.col(meta[2]).alias("_block"), row_id.alias("row_id"))
     if with_label:
         if "label" in out.columns:
             out = out.withColumn("label", label_normalize("label"))
@@ -162,6 +177,25 @@ def _typed(df: DataFrame, raw_names, with_label: bool, meta=META) -> DataFrame:
     return out
 
 
+def infer_undeclared(df: DataFrame, names) -> DataFrame:
+    """Type the undeclared columns of a scan, as the reference's reader infers them: numbers
+    if every value is one, else true / false if every value is, else text (one aggregate over
+    those columns; a column without values stays text)."""
+    cols = [canonical_name(n) for n in names if _declared(n) is None]
+    if not cols:
+        return df
+    flags = ("true", "false")
+    checks = [F.struct(F.count(c).alias("n"), F.count(F.col(c).try_cast("double")).alias("num"),
+                       F.count_if(F.lower(F.trim(F.col(c))).isin(*flags)).alias("flag")).alias(c) for c in cols]
+    row = df.agg(*checks).first()
+    kind = {}
+    for c in cols:
+        r = row[c]
+        if r["n"]:
+            kind[c] = "double" if r["num"] == r["n"] else "boolean" if r["flag"] == r["n"] else None
+    return df.select(*[F.trim(F.col(c)).try_cast(kind[c]).alias(c) if kind.get(c) else F.col(c) for c in df.columns])
+
+
 def _read_group(spark: SparkSession, paths, n: int, header: bool) -> DataFrame:
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(n)]
                         + [StructField(EXTRA, StringType())])
@@ -172,19 +206,37 @@ def _read_group(spark: SparkSession, paths, n: int, header: bool) -> DataFrame:
     return df.where(F.col(EXTRA).isNull())
 
 
-def scan_flows(spark: SparkSession, paths, label: bool = True) -> DataFrame:
-    """Headered CSV files -> typed DataFrame (+ file_path, file_name, _block)."""
+def scan_flows(spark: SparkSession, paths, label: bool = True, infer: bool = True) -> DataFrame:
+    """Headered CSV files -> typed DataFrame (+ file_path, file_name, _block, row_id).  Columns
+    without a declared type are inferred per header group unless ``infer`` is off."""
     paths = list(paths)
-    parts = [_typed(_read_group(spark, ps, len(names), True), names, label)
-             for names, ps in sorted(_group_by_header(spark, paths).items(), key=lambda kv: kv[1][0])]
+    parts = []
+    for names, ps in sorted(_group_by_header(spark, paths).items(), key=lambda kv: kv[1][0]):
+        part = _typed(_read_group(spark, ps, len(names), True), names, label)
+        parts.append(infer_undeclared(part, names) if infer else part)
     if not parts:
         raise ValueError("no readable CSV file")
     out = parts[0]
     for p in parts[1:]:
+        out, p = _same_types(out, p)
         out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
+def _same_types(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cast columns whose types differ between header groups to text in both."""
+    ta, tb = dict(a.dtypes), dict(b.dtypes)
+    odd = {c for c in ta if c in tb and ta[c] != tb[c]}
+    if not odd:
+        return a, b
+    return tuple(d.select(*[F.col(c).cast("string").alias(c) if c in odd else F.col(c) for c in d.columns]) for d in (a, b))
+
+
+def peek(spark: SparkSession, paths, n: int = 5, label: bool = True) -> DataFrame:
+    """The first ``n`` rows of the first file (in path order); only its first split is read."""
+    return scan_flows(spark, [min(paths)], label, infer=False).limit(n)
+
+
 def scan_headerless(spark: SparkSession, paths, names, label: bool = True) -> DataFrame:
     """CSV without a header row; ``names`` name the columns in order."""
     return _typed(_read_group(spark, list(paths), len(names), False), names, label)

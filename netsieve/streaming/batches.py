@@ -1,44 +1,65 @@
 """File batches as Structured Streaming micro-batches.
 
-``readStream.csv(folder)`` with ``maxFilesPerTrigger = n`` and ``trigger(availableNow)``
-turns "process the files n at a time" into micro-batches; ``foreachBatch`` runs the
-batch job.  Every per-batch output is written to ``<sink>/batch_id=<id>`` with dynamic
-partition overwrite, so a retried batch replaces its own rows instead of adding them
-twice; a failing batch is recorded and the stream goes on.  A stream's CSV schema binds
-by position like any CSV schema, so one stream serves one header layout: keep files with
-another header in another folder (another stream).
+``readStream.text(folder)`` with ``maxFilesPerTrigger = n`` and ``trigger(availableNow)``
+turns "process the files n at a time" into micro-batches; ``foreachBatch`` runs the batch
+job.  A CSV schema binds by position, so the lines of a batch are parsed per header: the
+files of a batch are grouped by their header line, each group is parsed with its own columns,
+and the groups are unioned by name.  Every per-batch output is written to
+``<sink>/batch_id=<id>`` with dynamic partition overwrite, so a retried batch replaces its own
+rows instead of adding them twice.  A batch whose data the handler refuses (ValueError) is
+recorded in the status table and the stream goes on; any other error stops the stream, and
+the batch is run again when it is restarted.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import traceback
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.aggregates import class_distribution
 from ..operators.models import merge_moments
-from ..session import checkpoint_root, scratch_dir
-from ..sources.files import EXTRA, META, _split_header, _typed, read_header
+from ..operators.rank import released
+from ..session import checkpoint_root, exists, scratch_dir
+from ..sources.files import EXTRA, META, _group_by_header, _same_types, _typed
 
 log = logging.getLogger("netsieve.streaming")
 STREAM_META = ("_src_path", "_src_name", "_src_block")
 
 
-def _stream(spark: SparkSession, folder: str, pattern: str, batch_files: int):
-    first = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-             .load(folder).select("path").orderBy("path").limit(1).collect()]
-    if not first:
-        raise ValueError(f"no {pattern} file in {folder}")
-    names = _split_header(read_header(spark, first[0]))
-    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))]
-                        + [StructField(EXTRA, StringType())])
-    raw = (spark.readStream.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
-           .option("maxFilesPerTrigger", batch_files).option("pathGlobFilter", pattern).csv(folder))
+def _stream(spark: SparkSession, folder: str, pattern: str, batch_files: int) -> DataFrame:
+    raw = (spark.readStream.format("text").option("maxFilesPerTrigger", batch_files)
+           .option("pathGlobFilter", pattern).load(folder))
     # file metadata must be projected in the stream itself: a micro-batch frame has none
-    raw = raw.select("*", *[F.col(m).alias(a) for m, a in zip(META, STREAM_META)])
-    return raw, names
+    return raw.select("value", *[F.col(m).alias(a) for m, a in zip(META, STREAM_META)])
+
+
+def parse_lines(lines: DataFrame, label: bool = True) -> DataFrame | None:
+    """Typed rows of CSV lines (columns value and STREAM_META), each file under its own
+    header; None without any.  The files of a batch are few, their headers are read from
+    the files themselves.  Lines equal to the header of their file are not rows."""
+    spark = lines.sparkSession
+    paths = [r[0] for r in lines.select(STREAM_META[0]).distinct().collect()]
+    out = None
+    raw = {unquote(p): p for p in paths}                 # file metadata is percent-encoded
+    for names, group in sorted(_group_by_header(spark, raw).items()):
+        schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))] + [StructField(EXTRA, StringType())])
+        mine = lines.where(F.col(STREAM_META[0]).isin([raw[p] for p in group]))
+        rows = mine.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " ")).alias("r"), *STREAM_META).select("r.*", *STREAM_META)
+        header = F.lit(True)
+        for i, n in enumerate(names):
+            header = header & F.col(f"_c{i}").eqNullSafe(F.lit(n))
+        typed = _typed(rows.where(F.col(EXTRA).isNull() & ~header), names, label, STREAM_META)
+        if out is None:
+            out = typed
+        else:
+            out, typed = _same_types(out, typed)
+            out = out.unionByName(typed, allowMissingColumns=True)
+    return out
 
 
 def _write_batch(df: DataFrame, sink: str, batch_id: int) -> None:
@@ -46,34 +67,52 @@ def _write_batch(df: DataFrame, sink: str, batch_id: int) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
 
 
+STATUS = "status string, error string"
+
+
 def run_batches(spark: SparkSession, folder: str, handler, sink: str, pattern: str = "*.csv",
-                batch_files: int = 3, label: bool = True) -> str:
+                batch_files: int = 3, label: bool = True) -> DataFrame:
     """Run ``handler(typed_batch_df, batch_id) -> DataFrame | None`` on every micro-batch
-    of ``batch_files`` files; results land in ``sink`` partitioned by batch id."""
-    raw, names = _stream(spark, folder, pattern, batch_files)
-    status_sink = f"{sink}_status"
+    of ``batch_files`` files; results land in ``sink`` partitioned by batch id.  Returns the
+    status table (batch_id, status, error); failed batches are logged as warnings too."""
+    raw = _stream(spark, folder, pattern, batch_files)
+    status_sink = f"{sink.rstrip('/')}_status"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        typed = _typed(batch.where(F.col(EXTRA).isNull()), names, label, STREAM_META).drop("_block")
-        if typed.isEmpty():
-            return                                    # empty batch: skipped
-        try:
-            out = handler(typed, batch_id)
-            if out is not None:
-                _write_batch(out, sink, batch_id)
-            status = ("ok", "")
-        except Exception as e:                        # the stream goes on with the next batch
-            log.error("batch %s failed: %s", batch_id, e)
-            status = ("failed", traceback.format_exc(limit=3)[-2000:])
-        _write_batch(spark.createDataFrame([status], "status string, error string"), status_sink, batch_id)
-
-    ckpt = f"{checkpoint_root(spark)}/netsieve/streams/{sink.rstrip('/').rsplit('/', 1)[-1]}"
-    q = (raw.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
+        with released():
+            lines = batch.persist()
+            try:
+                typed = parse_lines(lines, label)
+                if typed is None or typed.isEmpty():
+                    return                            # empty batch: skipped
+                try:
+                    out = handler(typed.drop("_block"), batch_id)
+                    if out is not None:
+                        _write_batch(out, sink, batch_id)
+                    status = ("ok", "")
+                except ValueError:                    # the batch's own data: go on with the next
+                    status = ("failed", traceback.format_exc())
+                    log.warning("batch %s failed: %s", batch_id, status[1])
+                _write_batch(spark.createDataFrame([status], STATUS), status_sink, batch_id)
+            finally:
+                lines.unpersist()
+
+    tag = hashlib.sha256(sink.rstrip("/").encode()).hexdigest()[:24]
+    q = (raw.writeStream.foreachBatch(each).option("checkpointLocation", f"{checkpoint_root(spark)}/netsieve/streams/{tag}")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return sink
+    if not exists(spark, status_sink):
+        return spark.createDataFrame([], f"{STATUS}, batch_id int").select("batch_id", "status", "error")
+    return spark.read.schema(f"{STATUS}, batch_id int").parquet(status_sink).select("batch_id", "status", "error")
+
+
+def _results(spark: SparkSession, sink: str, schema: str) -> DataFrame:
+    """What the batches wrote (no rows if none did)."""
+    if not exists(spark, sink):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(sink)
 
 
 def stream_file_batches(spark: SparkSession, folder: str, batch_files: int = 3,
@@ -82,21 +121,20 @@ def stream_file_batches(spark: SparkSession, folder: str, batch_files: int = 3,
     sink = sink or scratch_dir(spark, "stream-class-dist")
     run_batches(spark, folder, lambda df, bid: class_distribution(df, label_col), sink,
                 batch_files=batch_files)
-    return spark.read.parquet(sink)
+    return _results(spark, sink, f"`{label_col}` string, n long, batch_id int")
 
 
 # ------------------------------------------------------------------ incremental NB statistics
 
 def batch_moments(df: DataFrame, features, label_col: str = "label") -> DataFrame:
-    """(label, feature, n, mean, m2) of one batch; m2 = n * population variance."""
-    aggs = [F.count(F.lit(1)).alias("n")]
+    """(label, feature, n, mean, m2) of one batch; n counts the values that are there (not
+    null), m2 = n * population variance.  A feature without values gives no row."""
+    aggs = []
     for f in features:
-        aggs += [F.avg(f).alias(f"mean__{f}"), (F.var_pop(f) * F.count(F.lit(1))).alias(f"m2__{f}")]
-    g = df.groupBy(label_col).agg(*aggs)
-    parts = [F.struct(F.lit(f).alias("feature"), F.col(f"mean__{f}").alias("mean"),
-                      F.col(f"m2__{f}").alias("m2")) for f in features]
-    return g.select(F.col(label_col).alias("label"), "n", F.explode(F.array(*parts)).alias("s")) \
-            .select("label", "s.feature", "n", "s.mean", "s.m2")
+        aggs.append(F.struct(F.lit(f).alias("feature"), F.count(f).alias("n"), F.avg(f).alias("mean"),
+                             (F.var_pop(f) * F.count(f)).alias("m2")))
+    g = df.groupBy(F.col(label_col).alias("label")).agg(F.array(*aggs).alias("all"))
+    return g.select("label", F.explode("all").alias("s")).select("label", "s.*").where("n > 0")
 
 
 def merged_moments(parts: DataFrame) -> DataFrame:
@@ -112,7 +150,7 @@ def stream_nb_update(spark: SparkSession, folder: str, features, batch_files: in
     sink = sink or scratch_dir(spark, "stream-nb")
     run_batches(spark, folder, lambda df, bid: batch_moments(df, features, label_col), sink,
                 batch_files=batch_files)
-    return merged_moments(spark.read.parquet(sink))
+    return merged_moments(_results(spark, sink, "label string, feature string, n long, mean double, m2 double, batch_id int"))
 
 
 # ------------------------------------------------------------------ per-batch model snapshots
@@ -121,10 +159,12 @@ def stream_fit_snapshots(spark: SparkSession, folder: str, model_configs: dict,
                          batch_files: int = 3, target: str = "label", models_dir: str | None = None,
                          sink: str | None = None) -> DataFrame:
     """Per batch: stratified split, preprocessor fitted on train, every model fitted and
-    saved under <models_dir>/batch=<id>/<name> (overwrite: idempotent), test accuracy.
+    saved under <models_dir>/batch=<id>/<name> (overwrite: idempotent), test accuracy.  The
+    frames a batch keeps are released with it.
     Returns (batch_id, model, n_train, n_test, accuracy)."""
     from ..operators import models as M
     from ..operators.prep import Preprocessor
+    from ..operators.rank import track
     from ..operators.split import split_stratified
     from ..sources.sinks import save_model
 
@@ -132,27 +172,22 @@ def stream_fit_snapshots(spark: SparkSession, folder: str, model_configs: dict,
     models_dir = models_dir or scratch_dir(spark, "stream-models")
 
     def handle(df: DataFrame, batch_id: int):
-        parts = split_stratified(df, target).cache()
+        ids = "uid" if "uid" in df.columns else "row_id"
+        parts = track(split_stratified(df, target, uid=ids))
         train = parts.where(F.col("split") == "train")
         prep = Preprocessor(target, categorical, numerical).fit(train)
-        feats = prep.transform(parts, keep=["uid", "split"])
+        feats = prep.transform(parts, keep=[ids, "split"])
         tr = M.ready_for_fit(feats.where(F.col("split") == "train"))
         te = M.ready_for_fit(feats.where(F.col("split") == "test"))
         n_tr, n_te = tr.count(), te.count()
         rows = []
         for name, est in M.build_models(model_configs).items():
             model = est.fit(tr)
-            try:
-                save_model(spark, model, f"{models_dir}/batch={batch_id}/{name}")
-            except TypeError:
-                pass
-            acc = (model.transform(te).agg(F.avg((F.col("prediction") == F.col("label_idx")).cast("double")))
-                   .first()[0])
+            save_model(spark, model, f"{models_dir}/batch={batch_id}/{name}")
+            right = F.coalesce((F.col("prediction") == F.col("label_idx")).cast("double"), F.lit(0.0))
+            acc = model.transform(te).agg(F.avg(right)).first()[0]
             rows.append((name, n_tr, n_te, float(acc) if acc is not None else None))
-        tr.unpersist()
-        te.unpersist()
-        parts.unpersist()
         return spark.createDataFrame(rows, "model string, n_train long, n_test long, accuracy double")
 
     run_batches(spark, folder, handle, sink, batch_files=batch_files)
-    return spark.read.parquet(sink)
+    return _results(spark, sink, "model string, n_train long, n_test long, accuracy double, batch_id int")

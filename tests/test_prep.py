@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from netsieve.operators.prep import Preprocessor, drop_null_target, medians, modes
+from netsieve.operators.prep import Preprocessor, drop_null_target, medians, modes, vocabulary
 
 SCHEMA = "uid string, a double, b double, c string, flag boolean, label string"
 
@@ -91,22 +91,21 @@ def test_transform_equals_fit_rows(spark):
     assert math.isclose(sum(x * x for x in col_a) / len(col_a), 1.0)   # population std 1
 
 
-def test_max_categories_keeps_most_frequent(spark):
-    from netsieve.operators.prep import vocabulary
-    rows = [(f"u{i}", float(i), "hot" if i % 2 else f"rare{i}", "x" if i % 3 else "y", "a")
-            for i in range(200)]
-    df = spark.createDataFrame(rows, "uid string, a double, c string, d string, label string")
-    voc = {(r["column_name"], r["category"]): r["idx"]
-           for r in vocabulary(df, ["c", "d"], max_categories=2).collect()}
-    # c: 'hot' (100) then the smallest of the single rare values; d: both values
-    assert voc == {("c", "hot"): 0, ("c", "rare0"): 1, ("d", "x"): 0, ("d", "y"): 1}
-    plan = vocabulary(df, ["c"], max_categories=2)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
-    m = Preprocessor("label", ["c"], ["a"], max_categories=2).fit(df)
-    assert m.state.vocab["c"] == ["hot", "rare0"]
-    out = m.transform(df, keep=["uid"]).select("uid", vector_to_array("features").alias("f")).collect()
-    by = {r["uid"]: r["f"] for r in out}
-    assert list(by["u2"][1:]) == [0.0, 0.0]                 # rare, not kept -> all zero
-    assert list(by["u1"][1:]) == [1.0, 0.0]
-    with pytest.raises(ValueError):
-        Preprocessor("label", ["c"], ["a"], handle_unknown="error", max_categories=2)
+def test_vocabulary_of_an_id_column(spark):
+    """A category per row: numbered completely and in order, by range partitions."""
+    df = spark.range(5000).select(F.concat(F.lit("u"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("uid"),
+                                  (F.col("id") % 3).cast("string").alias("c"))
+    out = vocabulary(df, ["uid", "c"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+    got = {(r["column_name"], r["category"]): r["idx"] for r in out.collect()}
+    assert got == {**{("uid", f"u{i:05d}"): i for i in range(5000)}, **{("c", str(i)): i for i in range(3)}}
+
+
+def test_median_of_hot_and_spread_values(spark):
+    import statistics
+    rows = [(float(i % 7 == 0) * 5.0 or 5.0 if i % 3 else float(i), float(i) if i % 4 else None, float("nan") if i % 2 else 1.5, None) for i in range(4001)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    got = {r["column_name"]: r["median"] for r in medians(df, ["a", "b", "c", "d"]).collect()}
+    want = {"a": statistics.median(r[0] for r in rows), "b": statistics.median(r[1] for r in rows if r[1] is not None), "c": 1.5}
+    assert got == want

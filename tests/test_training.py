@@ -28,3 +28,26 @@ def test_run_training(spark, tmpdir_path):
     assert 0 < n <= 500
     rep = out["report"].where(F.col("class") == "accuracy").count()
     assert rep == 3
+
+
+def test_run_training_without_ids(spark, tmpdir_path):
+    """Files without an id column, with repeated rows: the scan's row id tells rows apart."""
+    import os
+    import random
+    rng = random.Random(3)
+    for f in range(2):
+        with open(os.path.join(tmpdir_path, f"f{f}.csv"), "w") as out:
+            out.write("proto,orig_bytes,resp_bytes,label\n")
+            for _ in range(150):
+                bad = rng.random() < 0.4
+                out.write(f"{rng.choice(['tcp', 'udp'])},{rng.randrange(90, 99) if bad else rng.randrange(9)},1,{'malicious' if bad else 'benign'}\n")
+    cfg = {"data": {"path": tmpdir_path, "balance_classes": False},
+           "features": {"extractors": ["network_traffic"], "categorical_columns": ["proto"], "numerical_columns": ["orig_bytes", "resp_bytes"]},
+           "training": {"output_dir": f"file:{tmpdir_path}/models", "hyperparameter_tuning": True, "param_grids": {"knn": {"n_neighbors": [1, 3]}},
+                        "models": {"random_forest": {"enabled": False}, "logistic_regression": {"enabled": False}, "gmm": {"enabled": False}}}}
+    out = run_training(spark, cfg)
+    assert sum(r["count"] for r in out["splits"].collect()) == 300
+    assert {r["model"]: r["accuracy"] for r in out["summary"].collect()}.keys() == {"knn", "gaussian_nb"}
+    assert out["tuning"]["knn"].count() == 2
+    assert {r["model"] for r in out["confusion"].collect()} == {"knn", "gaussian_nb"}
+    assert {r["class"] for r in out["roc"].select("class").distinct().collect()} == {f"{m}/{c}" for m in ("knn", "gaussian_nb") for c in ("0.0", "1.0")}
