@@ -16,9 +16,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import code_points, partitions, pieces, prepare, shingles, text_bytes, text_offsets, words_of
 
 SHINGLE_WORDS = 5
-SCALE = 8                       # one shingle hash in SCALE is kept
+SCALE = 4                       # one shingle hash in SCALE is kept
 HASH_BITS = 48
 _U = np.uint64
+# 64 digits in code-point order, so hashes sort alike as numbers and as text
+DIGITS = np.frombuffer(b"-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz", np.uint8)
+WIDTH = HASH_BITS // 6
 
 
 def sketch_keys(arr: pa.Array, k: int = SHINGLE_WORDS, scale: int = SCALE) -> np.ndarray:
@@ -33,15 +36,13 @@ def sketch_keys(arr: pa.Array, k: int = SHINGLE_WORDS, scale: int = SCALE) -> np
 
 
 def _render(keys: np.ndarray, n: int) -> list[str]:
-    """Fingerprint text per document: its hashes, ascending, 12 hex digits each."""
-    digits = np.frombuffer(b"0123456789abcdef", np.uint8)
-    low = keys & _U((1 << HASH_BITS) - 1)
-    out = np.full((len(keys), 13), ord(","), np.uint8)
-    for i in range(12):
-        out[:, i] = digits[((low >> _U(44 - 4 * i)) & _U(15)).astype(np.int64)]
+    """Fingerprint text per document: its hashes, ascending, WIDTH digits of six bits each."""
+    out = np.empty((len(keys), WIDTH), np.uint8)
+    for i in range(WIDTH):
+        out[:, i] = DIGITS[((keys >> _U(HASH_BITS - 6 - 6 * i)) & _U(63)).astype(np.int64)]
     cut = np.searchsorted(keys, np.arange(n + 1).astype(np.uint64) << _U(HASH_BITS))
     flat = out.tobytes().decode("ascii")
-    return [flat[13 * a:max(13 * a, 13 * b - 1)] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    return [flat[WIDTH * a:WIDTH * b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
 
 def _overlap(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,7 +65,7 @@ def containment(common: np.ndarray, na: np.ndarray, same: np.ndarray) -> np.ndar
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  scale: int = SCALE, k: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fingerprint`` (comma-joined ascending hex hashes) of every whole text; no
+    """``doc_id, fingerprint`` (ascending hashes, WIDTH characters each) of every whole text; no
     shuffle.  A null or wordless text has the empty fingerprint; repeated rows are kept;
     other columns are not read.  Union of two fingerprints' hashes is the fingerprint of
     the two texts' shingles together (:func:`merge_fingerprints`)."""
@@ -82,12 +83,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _hashes(c: Column) -> Column:
-    return F.when(F.length(c) > 0, F.split(c, ",")).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(c, F.lit(f".{{{WIDTH}}}"), F.lit(0))
 
 
 def merge_fingerprints(a: Column, b: Column) -> Column:
     """Fingerprint of two texts' shingles together."""
-    return F.array_join(F.array_sort(F.array_union(_hashes(a), _hashes(b))), ",")
+    return F.array_join(F.array_sort(F.array_union(_hashes(a), _hashes(b))), "")
 
 
 def containment_of(a: Column, b: Column) -> Column:
