@@ -10,15 +10,19 @@ Pivot pruning (metric-space indexing) over bounded blocks:
    points are covered bounds the k-th neighbour distance by U(q);
 4. a point in cell c is at least D_c - r_c away, so only cells with D_c - r_c <= U(q)
    can hold a neighbour;
-5. training rows are packed per cell into blocks of at most ``BLOCK`` rows and queries
-   per own cell into blocks of at most ``BLOCK`` (positions from the range-partitioned
-   index, so no group is unbounded); a query block meets the train blocks of the union
-   of its members' candidate cells (an equi-join on cell id);
+5. training rows are packed per cell into blocks of about ``BLOCK`` rows and queries
+   per own cell likewise, by a hash of the id (the cell sizes are known, so no block is
+   unbounded and nothing is ordered for it); a query block meets the train blocks of the
+   union of its members' candidate cells (an equi-join on cell id);
 6. each block pair is one numpy distance matrix (summed over dimensions left to right,
    the same arithmetic as a SQL fold) keeping k candidates per query; a rank filter
    (limited map-side by Spark) keeps the global k by (distance, id); majority vote,
    vote ties to the smallest class.
 
+What pruning can do depends on the data.  In clustered data most cells are skipped; for
+vectors without structure in many dimensions all distances are alike, no exact method skips
+much, and the work is that of all block pairs (``share_of_cells`` tells).
+
 Duplicates.  Before all this, each distinct training vector keeps only its k + 1
 smallest ids.  A further copy is never a neighbour: its k + 1 twins lie at the same
 distance from any query with smaller ids, so even with the query itself excluded k rows
@@ -34,10 +38,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from .rank import hash_order
+from .rank import hash_order, track
 
 MAX_PIVOTS = 4096
-BLOCK = 256
+BLOCK = 512
+MIN_CELL = 128               # aimed rows of a cell at least
+SLICE = 1024                 # rows of a distance matrix against the pivots at once
 
 
 def _as_double_array(df: DataFrame, col: str):
@@ -51,7 +57,7 @@ def _as_double_array(df: DataFrame, col: str):
 def choose_pivots(train: DataFrame, vec: str, id_col: str, m: int | None, seed: int) -> np.ndarray:
     n = train.count()
     if m is None:
-        m = int(min(MAX_PIVOTS, max(1, round(np.sqrt(n)))))
+        m = int(min(MAX_PIVOTS, max(1, min(round(np.sqrt(n)), n // MIN_CELL))))
     # rows whose hash falls under a threshold: about 2m rows reach the driver, with no
     # global sort (a top-m sort would merge m rows from every partition on one task)
     # The salt keeps this draw independent of the samplers' and splits' hash order (a
@@ -67,39 +73,55 @@ def choose_pivots(train: DataFrame, vec: str, id_col: str, m: int | None, seed:
     return np.array([r["v"] for r in rows[:m]], dtype=np.float64)
 
 
+def _pivot_distances(x: np.ndarray, pivots: np.ndarray, p2: np.ndarray) -> np.ndarray:
+    d2 = (x ** 2).sum(axis=1)[:, None] - 2.0 * x @ pivots.T + p2[None, :]
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
+def _slices(v: pd.Series):
+    """A batch of vectors in slices, so that no matrix holds more than SLICE rows."""
+    for i in range(0, len(v), SLICE):
+        yield np.stack(v.iloc[i:i + SLICE].to_numpy()).astype(np.float64)
+
+
 def _nearest_pivot_udf(pivots: np.ndarray):
     schema = StructType([StructField("cell", IntegerType()), StructField("dist", DoubleType())])
     p2 = (pivots ** 2).sum(axis=1)
 
     @F.pandas_udf(schema)
     def nearest(v: pd.Series) -> pd.DataFrame:
-        x = np.stack(v.to_numpy()).astype(np.float64)
-        d2 = (x ** 2).sum(axis=1)[:, None] - 2.0 * x @ pivots.T + p2[None, :]
-        c = d2.argmin(axis=1)
-        # exact distance to the chosen pivot (the matrix form may lose digits)
-        dist = np.sqrt(((x - pivots[c]) ** 2).sum(axis=1))
-        return pd.DataFrame({"cell": c.astype(np.int32), "dist": dist})
+        cells, dists = [], []
+        for x in _slices(v):
+            c = _pivot_distances(x, pivots, p2).argmin(axis=1)
+            cells.append(c.astype(np.int32))
+            # exact distance to the chosen pivot (the matrix form may lose digits)
+            dists.append(np.sqrt(((x - pivots[c]) ** 2).sum(axis=1)))
+        return pd.DataFrame({"cell": np.concatenate(cells), "dist": np.concatenate(dists)})
     return nearest
 
 
 def _candidate_cells_udf(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, need: int):
+    """(own cell, cells that can hold a neighbour) of each query."""
     p2 = (pivots ** 2).sum(axis=1)
+    schema = StructType([StructField("cell", IntegerType()), StructField("cells", ArrayType(IntegerType()))])
 
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def cands(v: pd.Series) -> pd.Series:
-        x = np.stack(v.to_numpy()).astype(np.float64)
-        d2 = (x ** 2).sum(axis=1)[:, None] - 2.0 * x @ pivots.T + p2[None, :]
-        D = np.sqrt(np.maximum(d2, 0.0))
-        ub = D + radius[None, :]
-        order = np.argsort(ub, axis=1, kind="stable")
-        cum = np.cumsum(size[order], axis=1)
-        first = np.minimum((cum < need).sum(axis=1), ub.shape[1] - 1)
-        U = np.take_along_axis(ub, order, axis=1)[np.arange(len(x)), first]
-        if size.sum() < need:
-            U = np.full(len(x), np.inf)
-        slack = 1e-9 * (U + D.max(axis=1)) + 1e-12   # only widens the candidate set
-        keep = (D - radius[None, :]) <= (U + slack)[:, None]
-        return pd.Series([np.flatnonzero(k).astype(np.int32).tolist() for k in keep])
+    @F.pandas_udf(schema)
+    def cands(v: pd.Series) -> pd.DataFrame:
+        own, lists = [], []
+        for x in _slices(v):
+            D = _pivot_distances(x, pivots, p2)
+            own.append(D.argmin(axis=1).astype(np.int32))
+            ub = D + radius[None, :]
+            order = np.argsort(ub, axis=1, kind="stable")
+            cum = np.cumsum(size[order], axis=1)
+            first = np.minimum((cum < need).sum(axis=1), ub.shape[1] - 1)
+            U = np.take_along_axis(ub, order, axis=1)[np.arange(len(x)), first]
+            if size.sum() < need:
+                U = np.full(len(x), np.inf)
+            slack = 1e-9 * (U + D.max(axis=1)) + 1e-12   # only widens the candidate set
+            keep = ((D - radius[None, :]) <= (U + slack)[:, None]) & (size > 0)[None, :]
+            lists += [np.flatnonzero(k).astype(np.int32) for k in keep]
+        return pd.DataFrame({"cell": np.concatenate(own), "cells": lists})
     return cands
 
 
@@ -118,71 +140,85 @@ class KNNClassifier:
 
 
 def _block_topk_udf(dim: int, k: int, exclude_self: bool):
-    out_t = ArrayType(StructType([StructField("qi", IntegerType()), StructField("ti", IntegerType()),
-                                  StructField("d2", DoubleType())]))
+    out_t = StructType([StructField(n, ArrayType(t)) for n, t in (("qi", IntegerType()), ("ti", IntegerType()), ("d2", DoubleType()))])
 
     @F.pandas_udf(out_t)
-    def topk(q_ids: pd.Series, q_flat: pd.Series, t_ids: pd.Series, t_flat: pd.Series) -> pd.Series:
-        res = []
+    def topk(q_ids: pd.Series, q_flat: pd.Series, t_ids: pd.Series, t_flat: pd.Series) -> pd.DataFrame:
+        qi, ti, d2 = [], [], []
         for qi_, qf, ti_, tf in zip(q_ids, q_flat, t_ids, t_flat):
             Q = np.asarray(qf, dtype=np.float64).reshape(-1, dim)
             T = np.asarray(tf, dtype=np.float64).reshape(-1, dim)
             D = np.zeros((len(Q), len(T)))
             for j in range(dim):                 # left-to-right sum, like a SQL fold
                 diff = Q[:, j][:, None] - T[:, j][None, :]
-                D = D + diff * diff
+                D += diff * diff
             if exclude_self:
                 D[np.asarray(qi_)[:, None] == np.asarray(ti_)[None, :]] = np.inf
             kk = min(k, D.shape[1])
-            order = np.argsort(D, axis=1, kind="stable")[:, :kk]      # ties: block order = id order
-            rows = []
-            for a in range(len(Q)):
-                for b in order[a]:
-                    if np.isfinite(D[a, b]):
-                        rows.append((a, int(b), float(D[a, b])))
-            res.append(rows)
-        return pd.Series(res)
+            # rows up to the k-th distance, ties included; the few of them are then ordered
+            limit = np.partition(D, kk - 1, axis=1)[:, kk - 1]
+            a, b = np.nonzero((D <= limit[:, None]) & np.isfinite(D))
+            v = D[a, b]
+            o = np.lexsort((b, v, a))                            # ties: block order = id order
+            a, b, v = a[o], b[o], v[o]
+            rank = np.arange(len(a)) - np.searchsorted(a, a)
+            on = rank < kk
+            qi.append(a[on].astype(np.int32))
+            ti.append(b[on].astype(np.int32))
+            d2.append(v[on])
+        return pd.DataFrame({"qi": qi, "ti": ti, "d2": d2})
     return topk
 
 
+def _block_of(id_col: str, cell_col: str, sizes) -> F.Column:
+    """Block of a row inside its cell: a hash of the id over as many blocks as the cell's
+    size asks for."""
+    blocks = F.array(*[F.lit(max(1, -(-int(n) // BLOCK))) for n in sizes])
+    return F.pmod(F.xxhash64(id_col), F.element_at(blocks, F.col(cell_col) + 1)).cast("int")
+
+
 class KNNModel:
     def __init__(self, est: KNNClassifier, train: DataFrame, vec: str, label_col: str, id_col: str):
-        from .rank import positional_index
         self.k, self.vec, self.label_col, self.id_col = est.k, vec, label_col, id_col
         self.weights = est.weights
         t = train.select(F.col(id_col).alias("_t_id"), _as_double_array(train, vec).alias("_t_v"),
                          F.col(label_col).alias("_t_label"))
         twins = Window.partitionBy("_t_v").orderBy("_t_id")
-        t = t.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= self.k + 1).drop("_twin")
+        # read four times below: kept once
+        t = track(t.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= self.k + 1).drop("_twin"))
         self.classes = sorted(r[0] for r in t.select("_t_label").distinct().collect() if r[0] is not None)
         self.pivots = choose_pivots(t, "_t_v", "_t_id", est.m, est.seed)
         cell = _nearest_pivot_udf(self.pivots)
-        cells = t.withColumn("_tc", cell("_t_v")).select(
-            "_t_id", "_t_v", "_t_label", F.col("_tc.cell").alias("_cell"), F.col("_tc.dist").alias("_pdist"))
+        cells = track(t.withColumn("_tc", cell("_t_v")).select(
+            "_t_id", "_t_v", "_t_label", F.col("_tc.cell").alias("_cell"), F.col("_tc.dist").alias("_pdist")))
         stats = {r["_cell"]: (r["r"], r["n"]) for r in
                  cells.groupBy("_cell").agg(F.max("_pdist").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
         m = len(self.pivots)
         self.radius = np.array([stats.get(i, (0.0, 0))[0] for i in range(m)], dtype=np.float64)
         self.size = np.array([stats.get(i, (0.0, 0))[1] for i in range(m)], dtype=np.int64)
-        ranked = positional_index(cells, ["_t_id"], ["_cell"], n_groups=m, pos_col="_tpos")
-        packed = ranked.groupBy("_cell", F.floor((F.col("_tpos") - 1) / BLOCK).alias("_tblk")).agg(
+        packed = cells.groupBy("_cell", _block_of("_t_id", "_cell", self.size).alias("_tblk")).agg(
             F.sort_array(F.collect_list(F.struct("_t_id", "_t_label", "_t_v"))).alias("_ts"))
         self.train = packed.select(
             "_cell", F.transform("_ts", lambda x: x["_t_id"]).alias("_t_ids"),
             F.transform("_ts", lambda x: x["_t_label"]).alias("_t_labels"),
             F.flatten(F.transform("_ts", lambda x: x["_t_v"])).alias("_t_flat"))
 
+    def _queries(self, queries: DataFrame, need: int) -> DataFrame:
+        q = queries.select(F.col(self.id_col).alias("_q_id"), _as_double_array(queries, self.vec).alias("_q_v"))
+        cands = _candidate_cells_udf(self.pivots, self.radius, self.size, need)
+        return q.withColumn("_c", cands("_q_v")).select("_q_id", "_q_v", F.col("_c.cell").alias("_qcell"), F.col("_c.cells").alias("_cands"))
+
+    def share_of_cells(self, queries: DataFrame, exclude_self: bool = False) -> float:
+        """Mean share of the (non-empty) cells that a query cannot rule out."""
+        q = self._queries(queries, self.k + (1 if exclude_self else 0))
+        return (q.agg(F.avg(F.size("_cands"))).first()[0] or 0.0) / max(1, int((self.size > 0).sum()))
+
     def neighbours(self, queries: DataFrame, exclude_self: bool = False) -> DataFrame:
         """(query id, train id, label, squared distance, rank) for the k nearest."""
-        from .rank import positional_index
         m = len(self.pivots)
-        q = queries.select(F.col(self.id_col).alias("_q_id"), _as_double_array(queries, self.vec).alias("_q_v"))
-        need = self.k + (1 if exclude_self else 0)
-        cands = _candidate_cells_udf(self.pivots, self.radius, self.size, need)
-        near = _nearest_pivot_udf(self.pivots)
-        q = q.select("_q_id", "_q_v", near("_q_v")["cell"].alias("_qcell"), cands("_q_v").alias("_cands"))
-        rq = positional_index(q, ["_q_id"], ["_qcell"], n_groups=m, pos_col="_qpos")
-        qb = rq.groupBy("_qcell", F.floor((F.col("_qpos") - 1) / BLOCK).alias("_qblk")).agg(
+        q = track(self._queries(queries, self.k + (1 if exclude_self else 0)))
+        per = {r["_qcell"]: r["n"] for r in q.groupBy("_qcell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        qb = q.groupBy("_qcell", _block_of("_q_id", "_qcell", [per.get(i, 0) for i in range(m)]).alias("_qblk")).agg(
             F.sort_array(F.collect_list(F.struct("_q_id", "_q_v"))).alias("_qs"),
             F.array_distinct(F.flatten(F.collect_list("_cands"))).alias("_cands"))
         qb = qb.select(F.transform("_qs", lambda x: x["_q_id"]).alias("_q_ids"),
@@ -190,8 +226,8 @@ class KNNModel:
                        F.explode("_cands").alias("_cell"))
         pairs = qb.join(self.train, "_cell")
         topk = _block_topk_udf(self.pivots.shape[1], self.k, exclude_self)
-        hits = pairs.select("_q_ids", "_t_ids", "_t_labels",
-                            F.explode(topk("_q_ids", "_q_flat", "_t_ids", "_t_flat")).alias("h"))
+        hits = pairs.withColumn("h", topk("_q_ids", "_q_flat", "_t_ids", "_t_flat")).select(
+            "_q_ids", "_t_ids", "_t_labels", F.explode(F.arrays_zip("h.qi", "h.ti", "h.d2")).alias("h"))
         cand = hits.select(F.element_at("_q_ids", F.col("h.qi") + 1).alias("_q_id"),
                            F.element_at("_t_ids", F.col("h.ti") + 1).alias("_t_id"),
                            F.element_at("_t_labels", F.col("h.ti") + 1).alias("_t_label"),
