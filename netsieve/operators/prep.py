@@ -17,9 +17,11 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from ..functions.coerce import duration_seconds, inf_to_zero
 from ..functions.labels import label_normalize
-from .rank import positional_index, released, running_sums, track
+from ..session import scratch_dir
+from .rank import BROADCAST_ROWS, positional_index, released, running_sums, track
 
 UNKNOWN = "unknown"
+LIST_CATEGORIES = 10_000    # categories of a column that the driver holds as a list
 BRACKET = 5e-4              # half width of the percentile bracket, as a share of the rows
 ACCURACY = 10_000           # percentile_approx: rank error 1e-4, inside the bracket
 
@@ -178,6 +180,9 @@ class PrepState:
     means: dict = field(default_factory=dict)
     divisors: dict = field(default_factory=dict)
     vocab: dict = field(default_factory=dict)
+    # column -> {"path", "n"}: numbered categories of a column with more than LIST_CATEGORIES
+    # of them, a table that stays distributed
+    tables: dict = field(default_factory=dict)
     labels: list = field(default_factory=list)
     handle_unknown: str = "ignore"
 
@@ -225,6 +230,7 @@ def scale_exprs(st: PrepState, imputed: dict) -> dict:
 
 def onehot_columns(st: PrepState, imputed: dict) -> list:
     """Column form: one 0/1 DOUBLE per (column, known category); unknown -> all zero."""
+    _listed(st, "the column form")
     out = []
     for c in st.categorical:
         if c not in imputed:
@@ -242,7 +248,14 @@ def label_index_expr(st: PrepState, col: str) -> F.Column:
     return F.coalesce(F.try_element_at(m, F.col(col)), F.lit(-1.0))
 
 
+def _listed(st: PrepState, what: str) -> None:
+    if st.tables:
+        raise ValueError(f"{what} needs a name per category; {sorted(st.tables)} have more than {LIST_CATEGORIES}: "
+                         "use the vector form, whose categories are numbered in state.tables")
+
+
 def feature_names(st: PrepState) -> list[str]:
+    _listed(st, "a list of feature names")
     return list(st.numeric) + [f"{c}_{v}" for c in st.categorical for v in st.vocab.get(c, [])]
 
 
@@ -288,14 +301,20 @@ class Preprocessor:
                 for r in scaler_stats(clean, num).collect():
                     st.means[r["column_name"]] = float(r["mean"]) if r["mean"] is not None else 0.0
                     st.divisors[r["column_name"]] = float(r["divisor"]) if r["divisor"] is not None else 1.0
-            # the fitted vocabulary is model state: a feature per category, held by the driver
-            # like the coefficients that belong to it
+            # small vocabularies are model state on the driver; large ones are numbered by
+            # range partitions and written, and encoding joins them
             st.vocab = {c: [] for c in cat}
             if cat:
-                long = (filled.select(*cat).unpivot([], cat, "column_name", "category").distinct())
-                for r in long.collect():
+                long = track(filled.select(*cat).unpivot([], cat, "column_name", "category").distinct())
+                sizes = {r[0]: r[1] for r in long.groupBy("column_name").count().collect()}
+                large = [c for c in cat if sizes.get(c, 0) > LIST_CATEGORIES]
+                for r in long.where(~F.col("column_name").isin(large)).collect():
                     st.vocab[r["column_name"]].append(r["category"])
-                st.vocab = {c: sorted(v) for c, v in st.vocab.items()}
+                st.vocab = {c: sorted(v) for c, v in st.vocab.items() if c not in large}
+                for c in large:
+                    path = scratch_dir(df.sparkSession, "vocabulary")
+                    vocabulary(filled, [c]).select("category", "idx").write.parquet(path)
+                    st.tables[c] = {"path": path, "n": sizes[c]}
             st.labels = label_classes(filled, self.target)
         return PreprocessorModel(st)
 
@@ -344,11 +363,14 @@ class PreprocessorModel:
             invalid = "keep" if st.handle_unknown == "ignore" else "error"
             # one indexer per column: the multi-column factory pads unequal label lists
             for c in cat:
+                if c in st.tables:
+                    t = self._joined_index(t, c)
+                    continue
                 t = StringIndexerModel.from_labels(
                     st.vocab[c], inputCol=f"__c_{c}", outputCol=f"__i_{c}",
                     handleInvalid=invalid).transform(t)
             enc = OneHotEncoder(inputCols=[f"__i_{c}" for c in cat],
-                                outputCols=[f"__o_{c}" for c in cat], dropLast=True).fit(t)
+                                outputCols=[f"__o_{c}" for c in cat], dropLast=st.handle_unknown == "ignore").fit(t)
             t = enc.transform(t)
             vec_inputs += [f"__o_{c}" for c in cat]
         if vec_inputs:
@@ -358,7 +380,26 @@ class PreprocessorModel:
             out.append(F.col(label_col))
         return t.select(*out)
 
+    def _joined_index(self, t: DataFrame, c: str) -> DataFrame:
+        """``__i_<c>`` from the written vocabulary; an unseen category gets the number behind
+        the last, which the encoder drops (or is an error)."""
+        path, n = self.state.tables[c]["path"], self.state.tables[c]["n"]
+        voc = t.sparkSession.read.parquet(path).select(F.col("category").alias("__k"), F.col("idx").alias("__x"))
+        voc = F.broadcast(voc) if n <= BROADCAST_ROWS else voc
+        unseen = F.lit(n) if self.state.handle_unknown == "ignore" else F.raise_error(
+            F.concat(F.lit(f"unseen category in {c}: "), F.col(f"__c_{c}"))).cast("int")
+        size = n + (self.state.handle_unknown == "ignore")
+        meta = {"ml_attr": {"type": "nominal", "num_vals": size, "name": f"__i_{c}"}}
+        j = t.join(voc, F.col(f"__c_{c}") == F.col("__k"), "left")
+        idx = F.when(F.col("__x").isNotNull(), F.col("__x")).otherwise(unseen).cast("double")
+        return j.select(*t.columns, idx.alias(f"__i_{c}", metadata=meta))
+
     def save(self, path: str, spark) -> None:
+        for c, v in self.state.tables.items():           # the saved model owns its vocabularies
+            own = f"{path.rstrip('/')}_vocabulary/{c}"
+            if v["path"] != own:
+                spark.read.parquet(v["path"]).write.mode("overwrite").parquet(own)
+                v["path"] = own
         spark.createDataFrame([(self.state.to_json(),)], "state string").coalesce(1) \
             .write.mode("overwrite").json(path)
 

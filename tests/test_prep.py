@@ -109,3 +109,31 @@ def test_median_of_hot_and_spread_values(spark):
     got = {r["column_name"]: r["median"] for r in medians(df, ["a", "b", "c", "d"]).collect()}
     want = {"a": statistics.median(r[0] for r in rows), "b": statistics.median(r[1] for r in rows if r[1] is not None), "c": 1.5}
     assert got == want
+
+
+@pytest.mark.parametrize("unknown", ["ignore", "error"])
+def test_large_vocabularies_stay_distributed(spark, monkeypatch, tmpdir_path, unknown):
+    """An id as category: encoded by a join, to the same vectors as from lists."""
+    from netsieve.operators import prep
+    from netsieve.operators.prep import PreprocessorModel
+    df = spark.createDataFrame([(f"u{i:03d}", float(i), ["x", "y", None][i % 3], "a" if i % 2 else "b") for i in range(200)],
+                               "uid string, a double, c string, label string").withColumn("id", F.col("uid"))
+    def vectors(m, d):
+        return sorted((r["uid"], r["label_idx"], list(r["f"])) for r in m.transform(d, keep=["uid"]).select(
+            "uid", "label_idx", vector_to_array("features").alias("f")).collect())
+    lists = Preprocessor("label", ["id", "c"], ["a"], handle_unknown=unknown).fit(df)
+    monkeypatch.setattr(prep, "LIST_CATEGORIES", 50)
+    tables = Preprocessor("label", ["id", "c"], ["a"], handle_unknown=unknown).fit(df)
+    assert set(tables.state.tables) == {"id"} and "id" not in tables.state.vocab
+    assert vectors(tables, df) == vectors(lists, df)
+    assert {len(v[2]) for v in vectors(lists, df)} == {len(lists.feature_names())}
+    tables.save(f"{tmpdir_path}/m", spark)
+    again = PreprocessorModel.load(f"{tmpdir_path}/m", spark)
+    new = df.withColumn("id", F.lit("new"))
+    if unknown == "ignore":
+        assert vectors(again, new) == vectors(lists, new)
+    else:
+        with pytest.raises(Exception):
+            vectors(again, new)
+    with pytest.raises(ValueError):
+        tables.feature_names()
