@@ -6,6 +6,8 @@ the UTF-8 text; word hashes are 64-bit and the same in every task.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import apply_conf, scratch_dir
 
 # texts are handed to numpy in pieces of about this many bytes (a longer text is one piece)
-PIECE_BYTES = 2 * 1024 * 1024
+PIECE_BYTES = 1024 * 1024
+BLOCK_BYTES = 512 * 1024          # of text hashed at once
+TRIM_PIECES = 16                 # pieces after which a worker gives freed memory back
 
 _U = np.uint64
 
@@ -61,6 +65,7 @@ def row_key(*cols) -> F.Column:
 def pieces(batches, text_col: str, max_bytes: int = PIECE_BYTES):
     """Slice record batches so that each slice holds about ``max_bytes`` of text at most
     (one longer text makes a slice of its own)."""
+    count = 0
     for b in batches:
         if b.num_rows == 0:
             continue
@@ -71,6 +76,20 @@ def pieces(batches, text_col: str, max_bytes: int = PIECE_BYTES):
             j = min(n, max(i + 1, j))
             yield b.slice(i, j - i)
             i = j
+            count += 1
+            if count % TRIM_PIECES == 0:
+                trim()
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system: workers are used again for other stages, and what
+    they keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):    # another C library
+        pass
 
 
 def text_offsets(arr: pa.Array) -> np.ndarray:
@@ -164,7 +183,7 @@ def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     i, n = 0, len(start)
     with np.errstate(over="ignore"):
         while i < n:
-            j = max(i + 1, int(np.searchsorted(end, start[i] + PIECE_BYTES // 4, side="right")))
+            j = max(i + 1, int(np.searchsorted(end, start[i] + BLOCK_BYTES, side="right")))
             a, b = start[i], end[j - 1]
             p, pinv = _powers(int(b - a) + 1)
             acc = np.empty(int(b - a) + 1, np.uint64)

@@ -43,7 +43,7 @@ BUCKETS = 1 << 15                # hashed trigrams; a model has languages x BUCK
 DOCS_PER_LANGUAGE = 4000         # bound of the training sample
 SWITCH_PENALTY = 12.0
 SCRIPT_SHARE = 0.01              # of a language's training letters, for it to be a candidate
-PIECE = 4 * 1024 * 1024
+PIECE = 2 * 1024 * 1024
 UND = "und"
 _LIMIT = 0x30000
 _TABLES: list = []

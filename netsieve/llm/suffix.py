@@ -13,10 +13,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fresh, prepare, stored, words_of
+from .common import fresh, prepare, stored, trim, words_of
 
 WINDOW_WORDS = 10
-SHARD_WORDS = 1_000_000          # a longer text is a shard of its own
+SHARD_WORDS = 400_000            # a longer text is a shard of its own
 BLOCK_BYTES = 16 * 1024 * 1024   # benchmark text broadcast at once
 _U = np.uint64
 
@@ -204,6 +204,8 @@ def _shards(batches, at: int):
                 held, n = [], 0
     if held:
         yield pa.Table.from_batches(held)
+    held = None
+    trim()
 
 
 def _scan(df: DataFrame, text: str, tests: TestSuffixes, out: str, finish) -> DataFrame:

@@ -18,6 +18,7 @@ from .common import pieces, prepare, stored
 
 CACHE_SCHEMA = StructType([StructField("digest", StringType()), StructField("n_bytes", LongType()),
                            StructField("n_tokens", LongType()), StructField("tokenizer", StringType())])
+ENCODE_BYTES = 128 * 1024        # of text encoded at once: an encoding takes many times its text
 _LOADED: dict = {}
 
 
@@ -72,7 +73,7 @@ def fill_cache(docs: DataFrame, cache_path: str, vocabulary: str) -> DataFrame:
 
     def encode(batches):
         count = counter(vocabulary)
-        for b in pieces(batches, "text"):
+        for b in pieces(batches, "text", ENCODE_BYTES):
             texts = b.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
