@@ -29,6 +29,8 @@ def get_session(master: str | None = None, app: str = "netsieve",
     if master:
         b = b.master(master)
     b = b.config("spark.ui.enabled", "false")
+    # checkpoint files go with the frames that read them
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in CORE_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
@@ -69,7 +71,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder for written tables."""
-    return f"{checkpoint_root(spark)}/netsieve/{tag}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/netsieve/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application wrote with :func:`scratch_dir`; call when the
+    results that read them have been written elsewhere."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/netsieve/{spark.sparkContext.applicationId}")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
