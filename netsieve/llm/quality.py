@@ -120,7 +120,7 @@ def _co_train(xs, widths, y, pool, rounds=ROUNDS):
 
 def fit_views(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED, pool: int = MAX_POOL) -> Views:
     """Co-train on about ``labelled`` documents with a non-null quality (1 good, 0 not) and
-    about ``pool`` documents without, both by a hash of doc_id."""
+    about ``pool`` documents without, both by a hash of doc_id, one an id."""
     spark = docs.sparkSession
     # labels are taken by doc_id: of several, one
     lab = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -129,8 +129,10 @@ def fit_views(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED,
                        F.col("lang").cast("string").alias("lang"))
     n = base.count()
     share = min(1.0, pool / max(1, n))
-    in_pool = F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.lit(1 << 30)) < int(share * (1 << 30))
+    in_pool = F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # one row an id, so the bounds hold however often an id repeats
     sample = (base.join(F.broadcast(lab), F.col("doc_id") == F.col("l_id"), "left").where(F.col("y").isNotNull() | in_pool)
+              .groupBy("doc_id", "y").agg(F.min(F.struct("text", "source", "lang")).alias("d")).select("doc_id", "y", "d.*")
               .select("text", "source", "lang", F.coalesce("y", F.lit(-1)).alias("y"),
                       F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).alias("fold")))
     lookup = select_features(sample.where("y >= 0"))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import code_points, partitions, pieces, prepare, shingles, text_bytes, text_offsets, words_of
+from .common import partitions, pieces, prepare, shingles, words_of
 
 SHINGLE_WORDS = 5
 SCALE = 4                       # one shingle hash in SCALE is kept

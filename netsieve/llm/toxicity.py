@@ -37,14 +37,18 @@ class Chain:
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: list, at_most: int = MAX_LABELLED) -> Chain:
     """Learn a chain over the 0/1 columns ``categories`` of ``labels``, in their order.
 
-    The sample is about ``at_most`` labelled documents by a hash of doc_id; rows of labels
-    with a null in a category teach nothing, a label without a document neither.  Without
+    The sample is about ``at_most`` labelled documents by a hash of doc_id, one an id (of
+    several labels the largest, of several texts the smallest); rows of labels with a null in
+    a category teach nothing, a label without a document neither.  Without
     labels every probability is the prior 1/2 and nothing is flagged."""
     spark = docs.sparkSession
-    lab = bounded_sample(labels.where(" and ".join(f"`{c}` is not null" for c in ["doc_id", *categories])), at_most, "toxicity")
-    lab = lab.select(F.col("doc_id").alias("l_id"), *[F.col(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories)])
+    # one row an id on both sides, so the bound holds however often an id repeats
+    lab = (labels.where(" and ".join(f"`{c}` is not null" for c in ["doc_id", *categories])).groupBy("doc_id")
+           .agg(*[F.max(F.col(c).cast("int")).alias(f"y{i}") for i, c in enumerate(categories)]))
+    lab = bounded_sample(lab, at_most, "toxicity").withColumnRenamed("doc_id", "l_id")
     # at most about ``at_most`` rows of a few numbers
-    sample = docs.select("doc_id", "text").join(F.broadcast(lab), F.col("doc_id") == F.col("l_id"))
+    sample = (docs.select("doc_id", "text").join(F.broadcast(lab), F.col("doc_id") == F.col("l_id"))
+              .groupBy("doc_id", *[f"y{i}" for i in range(len(categories))]).agg(F.min("text").alias("text")))
     ys = [f"y{i}" for i in range(len(categories))]
     lookup = select_features(sample.select("text", F.col("y0").alias("y")))
     shared = spark.sparkContext.broadcast(lookup)
