@@ -13,7 +13,7 @@ from .threshold import hash_cuts
 def sample_exact_n(df: DataFrame, n: int, seed: int = 42, uid="uid") -> DataFrame:
     """Exactly min(n, rows) rows, uniform under the hash order."""
     quotas = df.sparkSession.createDataFrame([([int(n)],)], "_q array<long>")
-    cut = hash_cuts(df, [], quotas, df.count(), uid, seed)
+    cut = hash_cuts(df, [], quotas, df.count(), uid, seed, n_groups=1)
     return cut.where(F.col("_cut") == 0).drop("_cut")
 
 
@@ -83,7 +83,7 @@ def class_quotas(df: DataFrame, label_col: str, quotas: dict) -> DataFrame:
 def _per_class_then_cap(df, counts, size, label_col, seed, uid):
     quotas = stratified_quota_sizes(counts, size)
     table = class_quotas(df, label_col, {k: [q] for k, q in quotas.items()})
-    picked = hash_cuts(df, [label_col], table, sum(counts.values()), uid, seed).where(F.col("_cut") == 0).drop("_cut")
+    picked = hash_cuts(df, [label_col], table, sum(counts.values()), uid, seed, n_groups=len(quotas)).where(F.col("_cut") == 0).drop("_cut")
     if sum(quotas.values()) > size:
         return sample_exact_n(picked, size, seed, uid)
     return picked

@@ -97,6 +97,6 @@ def split_stratified(df: DataFrame, target: str, val_size: float = 0.15, test_si
         raise ValueError("stratify target has nulls")
     quotas = stratified_quotas(counts, val_size, test_size)
     table = class_quotas(df, target, {k: [t, t + v] for k, (t, v) in quotas.items()})
-    cut = hash_cuts(df, [target], table, sum(counts.values()), uid, seed)
+    cut = hash_cuts(df, [target], table, sum(counts.values()), uid, seed, n_groups=len(counts))
     names = F.array(F.lit("test"), F.lit("val"), F.lit("train"))
     return cut.withColumn(split_col, F.element_at(names, F.col("_cut") + 1)).drop("_cut")

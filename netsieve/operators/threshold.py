@@ -59,12 +59,13 @@ def _on(groups, left="", right="_g"):
 
 
 def hash_cuts(df: DataFrame, groups, quotas: DataFrame, n_rows: int, uid="uid", seed: int = 42,
-              cut_col: str = "_cut") -> DataFrame:
+              cut_col: str = "_cut", n_groups: int | None = None) -> DataFrame:
     """Add ``cut_col``: how many of its group's quotas a row's position exceeds.
 
     ``quotas`` has the group columns and ``_q``, an ascending array of positions (rows of a
     group without quotas get null).  Positions are by (md5(uid | seed), uid) inside a group;
-    ``n_rows`` (the rows of ``df``) only sets how finely hashes are counted.
+    ``n_rows`` (the rows of ``df``) only sets how finely hashes are counted; ``n_groups`` is
+    the rows of ``quotas``, where the caller has them at hand.
     """
     groups = list(groups)
     gs = [F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]
@@ -73,8 +74,10 @@ def hash_cuts(df: DataFrame, groups, quotas: DataFrame, n_rows: int, uid="uid",
     keyed = df.select(*gs, hash_key(uid, seed).alias("_h"), id_text(uid).alias("_u"))
     keyed = keyed.withColumn("_b", F.substring("_h", 1, digits) if digits else F.lit(""))
     checkpoint_root(df.sparkSession)
-    q = quotas.select(*gs, "_q").checkpoint(eager=True)
-    n_groups = q.count()
+    q = quotas.select(*gs, "_q")
+    if n_groups is None:
+        q = q.checkpoint(eager=True)
+        n_groups = q.count()
     count = keyed.groupBy(*names, "_b").agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*names).orderBy("_b"))
     count = count.withColumn("_to", upto).withColumn("_from", F.col("_to") - F.col("_n"))
@@ -133,9 +136,17 @@ def value_thresholds(df: DataFrame, value: F.Column, positions, uid="uid"):
         lo, hi = at[0::2], at[1::2]
         dtype = d.schema["_v"].dataType
         below = d.agg(*[F.count_if(F.col("_v") < _literal(v, dtype)).alias(f"c{i}") for i, v in enumerate(lo)]).first()
+        # the brackets are ordered side by side; a row may lie in several
+        member = F.array_compact(F.array(*[F.when(F.col("_v").between(_literal(lo[i], dtype), _literal(hi[i], dtype)), F.lit(i))
+                                           for i in range(len(known))]))
+        inside = d.select("_v", "_u", F.explode(member).alias("_i"))
+        ranked = positional_index(inside, ["_v", "_u"], ["_i"], n_groups=len(known), pos_col="_p")
+        hit = F.lit(False)
         for i, k in enumerate(known):
-            inside = d.where(F.col("_v").between(_literal(lo[i], dtype), _literal(hi[i], dtype)))
-            row = positional_index(inside, ["_v", "_u"], pos_col="_p").where(F.col("_p") == k - below[i]).first()
+            hit = hit | ((F.col("_i") == i) & (F.col("_p") == k - below[i]))
+        found = {r["_i"]: r for r in ranked.where(hit).collect()}
+        for i, k in enumerate(known):
+            row = found.get(i)
             if row is None:                          # outside its bracket: order all values
                 row = positional_index(d.where("_v is not null"), ["_v", "_u"], pos_col="_p").where(F.col("_p") == k).first()
             out[k] = (False, row["_v"], row["_u"])

@@ -21,7 +21,7 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42, uid=
     into runs whose sizes differ by at most one row."""
     counts = class_counts(df, label)
     table = class_quotas(df, label, {c: [n * (i + 1) // k for i in range(k - 1)] for c, n in counts.items()})
-    return hash_cuts(df, [label], table, sum(counts.values()), uid, seed, cut_col=fold_col)
+    return hash_cuts(df, [label], table, sum(counts.values()), uid, seed, cut_col=fold_col, n_groups=len(counts))
 
 
 def grid_search(model, grid: dict, df: DataFrame, label: str = "label_idx",
