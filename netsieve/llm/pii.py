@@ -2,8 +2,9 @@
 
 The field tags whitespace tokens with begin/inside labels from hashed word-shape features.
 It is trained here, by forward-backward in numpy, on the small table of ``pii_labels``.  Only
-tokens with a digit or an @ can carry a label, so a text decomposes exactly into runs of such
-tokens, and Viterbi steps through all runs of a batch together.
+tokens with a digit or an @, and short upper-case groups and lone separators that follow them,
+can carry a label, so a text decomposes exactly into runs of such tokens, and Viterbi steps
+through all runs of a batch together.
 """
 
 from __future__ import annotations
@@ -109,6 +110,26 @@ def tokens(buf: np.ndarray, off: np.ndarray):
     return start, end, np.searchsorted(start, off, side="left"), mark[end] > mark[start]
 
 
+def labelable(buf: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """Numbers of the tokens that can carry a label: the marked ones, and those that follow one
+    through nothing but groups of 1 to 4 upper-case letters (the bank code of a spaced IBAN) and
+    separators of at most 3 bytes."""
+    if not len(start):
+        return np.zeros(0, np.int64)
+
+    def inside(which):
+        at = np.concatenate([[0], np.cumsum(which)])
+        return at[end] - at[start]
+    size, upper = end - start, inside((buf >= 0x41) & (buf <= 0x5A))
+    plain = inside((buf < 0x80) & ~_IS_ALNUM[buf])
+    dash = (size == 3) & (buf[start] == 0xE2) & (buf[np.minimum(start + 1, len(buf) - 1)] == 0x80)
+    joins = ~marked & (((upper >= 1) & (upper <= 4) & (plain <= 1) & (upper + plain == size)) | ((plain == size) & (size <= 3)) | dash)
+    idx = np.arange(len(start))
+    last = np.maximum.accumulate(np.where(joins, -1, idx))
+    doc = np.searchsorted(first, idx, side="right") - 1
+    return np.flatnonzero(marked | (joins & (last >= 0) & marked[last] & (doc[last] == doc)))
+
+
 def features(buf: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, pick: np.ndarray) -> np.ndarray:
     """Feature slots (one row per picked token): own exact shape, collapsed shape, word,
     digit count and length; collapsed shape and word of the tokens on either side."""
@@ -180,7 +201,7 @@ def train(rows: list = LABELLED, rounds: int = ROUNDS, penalty: float = PENALTY)
     texts, spans = _read_labelled(rows)
     buf, off = text_bytes(pa.array(texts, pa.large_string()))
     start, end, first, marked = tokens(buf, off)
-    pick = np.flatnonzero(marked)
+    pick = labelable(buf, start, end, first, marked)
     feat = features(buf, start, end, first, pick)
     doc = np.searchsorted(first, pick, side="right") - 1
     gold = np.zeros(len(pick), np.int64)
@@ -302,13 +323,22 @@ def _valid(kind: str, s: str) -> bool:
     return 15 <= len(x) <= 34 and int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1 if x.isascii() else False
 
 
+def _account_ends(a: int, b: int, pick: set) -> list:
+    """Last tokens to try for an IBAN tagged a to b: b, those behind it in its run, those before it."""
+    more = b
+    while more + 1 in pick and more - a < 12:
+        more += 1
+    return [b, *range(b + 1, more + 1), *range(b - 1, a, -1)]
+
+
 def find_spans(tagger: Tagger, arr: pa.Array) -> list:
     """Per text: (base spans, all spans), each (start, kind number, end) in code points.  A
-    tagged span counts where it passes its check and meets no base span."""
+    tagged span counts where it passes its check and meets no base span; an IBAN may hold base
+    spans, and ends at the first of the token ends near the tagged one that passes."""
     buf, off = text_bytes(arr)
     n = len(arr)
     start, end, first, marked = tokens(buf, off)
-    pick = np.flatnonzero(marked)
+    pick = labelable(buf, start, end, first, marked)
     out: list = [([], []) for _ in range(n)]
     if not len(pick):
         return out
@@ -329,16 +359,21 @@ def find_spans(tagger: Tagger, arr: pa.Array) -> list:
         base = base_spans(t)
         extra = []
         if d in tagged:
+            able = set(pick[np.searchsorted(doc, d):np.searchsorted(doc, d, side="right")].tolist())
             raw = buf[off[d]:off[d + 1]]
             lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
             for _, a, kind, b in tagged[d]:
-                s, e = int(lead[start[a] - off[d]]), int(lead[end[b] - off[d]])
-                while s < e and not (t[s].isalnum() or t[s] in "(+"):
-                    s += 1
-                while e > s and not t[e - 1].isalnum():
-                    e -= 1
-                if s < e and _valid(kind, t[s:e]) and not any(x[0] < e and s < x[2] for x in base):
-                    extra.append((s, KINDS.index(kind), e))
+                for last in _account_ends(a, b, able) if kind == "iban" else [b]:
+                    s, e = int(lead[start[a] - off[d]]), int(lead[end[last] - off[d]])
+                    while s < e and not (t[s].isalnum() or t[s] in "(+"):
+                        s += 1
+                    while e > s and not t[e - 1].isalnum():
+                        e -= 1
+                    met = [x for x in base if x[0] < e and s < x[2]]
+                    if s < e and _valid(kind, t[s:e]) and all(kind == "iban" and s <= x[0] and x[2] <= e for x in met):
+                        if not any(x[0] < e and s < x[2] for x in extra):
+                            extra.append((s, KINDS.index(kind), e))
+                        break
         out[d] = (base, sorted(base + extra))
     return out
 

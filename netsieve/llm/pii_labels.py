@@ -32,6 +32,29 @@ account [iban:GB29NWBK60161331926819]
 iban: [iban:FR1420041010050500013M02606]
 pay to [iban:DE89 3704 0044 0532 0130 00] today
 to [iban:GB29 NWBK 6016 1331 9268 19] now
+to [iban:NL91 ABNA 0417 1643 00] now
+iban [iban:IE29 AIBK 9311 5212 3456 78] please
+konto [iban:LV80 BANK 0000 4351 9500 1], danke
+IBAN: [iban:BG80 BNBG 9661 1020 3456 78] and
+pay [iban:RO49 AAAA 1B31 0075 9384 0000] today
+the [iban:MT84 MALT 0110 0001 2345 MTLC AST0 01S] of
+to [iban:SC18 SSCB 1101 0000 0000 0000 1497 USD] by
+from [iban:ES91 2100 0418 4502 0005 1332] to
+call [phone:555 - 234 - 5678] now
+phone [phone:415 - 555 - 0134], please
+at [phone:(617) - 555-0162] or
+is [phone:(303) - 555 - 0119] and
+tel [phone:212 . 555 . 0147] der
+in 2019 - 2020 the
+from 1990 - 1995 and
+pages 12 - 15 of
+10 - 20 - 30 is
+at 10:30 - 11:45 on
+score 3 - 2 and 21 - 19
+about 100 - 200 rows
+FLIGHT 12 TO NYC AT 45
+in 1998 USA and 2004 UK
+100 USD or 250 EUR
 konto [iban:ES9121000418450200051332] und
 write to [email:john.smith@example.com] now
 mail [email:anna_22@mail.example.org].

@@ -112,3 +112,41 @@ def test_edges_and_masking(spark):
     assert awkward()[6] in clean and None in clean
     assert pii.pii_report(d.where("false")).count() == 0 and pii.redact(d.where("false")).count() == 0
     assert pii.masked("0123456789", [(1, 0, 4), (3, 1, 6), (8, 2, 9)]) == "0[EMAIL]67[CARD]9"
+
+
+def iban(country, account):
+    x = "".join(str(int(c, 36)) for c in account + country + "00")
+    s = f"{country}{98 - int(x) % 97:02d}{account}"
+    return " ".join(s[i:i + 4] for i in range(0, len(s), 4))
+
+
+def test_spaced_ibans_with_letter_groups_are_whole():
+    rng = random.Random(3)
+    tagger = pii.train()
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    banks = {"GB": 14, "NL": 10, "IE": 14, "LV": 13, "BG": 14, "RO": 16, "GI": 15}
+    texts, want = ["to GB29 NWBK 6016 1331 9268 19 now"], ["GB29 NWBK 6016 1331 9268 19"]
+    for country, n in banks.items():
+        for i in range(20):
+            want.append(iban(country, "".join(rng.choice("ABCDEFGHIKLMNOPRSTUVW") for _ in range(4)) + digits(n)))
+            texts.append(["pay to %s today", "IBAN: %s.", "konto %s, danke", "the %s", "%s"][i % 5] % want[-1])
+    got = pii.find_spans(tagger, pa.array(texts))
+    hit = [("iban", w) in [(pii.KINDS[k], t[s:e]) for s, k, e in every] for t, w, (_, every) in zip(texts, want, got)]
+    assert hit[0] and sum(hit) >= 0.97 * len(hit), [w for w, h in zip(want, hit) if not h]
+    assert pii.masked(texts[0], got[0][1]) == "to [IBAN] now"
+    wrong = [t.replace(w, w[:2] + f"{(int(w[2:4]) + 1) % 100:02d}" + w[4:]) for t, w in zip(texts, want)]
+    assert sum(any(k == 5 for _, k, _ in every) for _, every in pii.find_spans(tagger, pa.array(wrong))) <= 0.05 * len(wrong)
+
+
+def test_numbers_with_lone_separators():
+    tagger = pii.train()
+    want = {"ring 555 - 123 - 4567 now": [("phone", "555 - 123 - 4567")], "at (212) - 555-0187 please": [("phone", "(212) - 555-0187")],
+            "from 1987 - 1999 in": [], "pages 7 - 9 of 12": [], "took 30 USD and 45 EUR": []}
+    assert {t: found(tagger, t) for t in want} == want
+
+
+def test_tokens_that_can_carry_labels():
+    buf, off = pii.text_bytes(pa.array(["NWBK GB29 NWBK 60 - – ab AB", "AB 7 ABCDE AB", "", "AB, (3) USD. ..."], pa.large_string()))
+    start, end, first, marked = pii.tokens(buf, off)
+    got = [buf[start[i]:end[i]].tobytes().decode() for i in pii.labelable(buf, start, end, first, marked)]
+    assert got == ["GB29", "NWBK", "60", "-", "–", "7", "(3)", "USD.", "..."]
