@@ -191,3 +191,71 @@ def op9_quality(spark, sf_dir):
     """Quality of every document by co-training of a text and a metadata view."""
     from .quality import quality
     return quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query
+def op11_centroid_clusters(spark, sf_dir):
+    """Exact clusters of all embeddings in 5 rounds of 40 centroids with ns-bounds."""
+    from .clustering import cluster_report
+    return cluster_report(load(spark, sf_dir, "embeddings"))
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Rounds of plain assignment: distances as inner products of whole numbers, exact in doubles."""
+    parts = [f"""e as materialized (
+  select row_number() over () rid, vec_id, list_transform(embedding, x -> floor(256.0::double * x::double)) v
+  from (select vec_id, embedding from embeddings
+        where len(embedding) = {dim} and len(list_filter(embedding, x -> x is not null and isfinite(x))) = {dim}))""",
+             f"""c0 as materialized (
+  select (row_number() over (order by h nulls last, v) - 1)::int c, v from (
+    select sha256('2:' || vec_id::varchar) h, v from e order by h nulls last, v limit {k}))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} as materialized (
+  select rid, any_value(vec_id) vec_id, min({{'d': list_inner_product(e.v, e.v) - 2 * list_inner_product(e.v, c.v) + list_inner_product(c.v, c.v), 'c': c}}) m
+  from e, c{r} c group by rid)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} as materialized (
+  select o.c, case when s.v is null then o.v else s.v end v from c{r} o left join (
+    select c, list(((t - ((t % n) + n) % n) // n)::double order by i) v from (
+      select m.c c, i, sum(x::hugeint) t, count(*)::hugeint n
+      from (select m, unnest(v) x, unnest(range(1, {dim + 1})) i from a{r} join e using (rid)) group by all) group by c) s on s.c = o.c)""")
+    return "with " + ",\n".join(parts) + f"""
+select vec_id, m.c::int as cluster, m.d::bigint as distance, (sum(m.d::bigint) over (partition by m.c))::bigint as cluster_inertia,
+       (sum(m.d::bigint) over ())::bigint as inertia,
+       sha256(array_to_string(list_transform(c.v, x -> x::bigint::varchar), ',')) as centroid_sha256
+from a{rounds} a join c{rounds} c on c.c = a.m.c
+"""
+
+
+ORACLE["op11_centroid_clusters"] = _clusters_sql()
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    """Fill-in-middle form of every text, and the text restored from it."""
+    from .middle import middle_report
+    return middle_report(load(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_fill_in_middle"] = """
+with h as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) x from documents),
+n as (select doc_id, t, length(t) n, list_transform([1, 9, 17, 25], i -> ('0x' || substr(x, i, 8))::bigint) h from h),
+c as (select *, least(h[1] % (n + 1), h[2] % (n + 1)) a, greatest(h[1] % (n + 1), h[2] % (n + 1)) b,
+             case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h[3] % 100 >= 90 then 'plain'
+                  when h[4] % 100 < 20 then 'spm' else 'psm' end form from n),
+o as (select *, left(t, a) p, substr(t, a + 1, b - a) m, substr(t, b + 1) s from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then a end::bigint as prefix_chars,
+       case when form <> 'plain' then b - a end::bigint as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from o
+"""
+
+
+@query
+def op13_byte_bpe(spark, sf_dir):
+    """Ids of every text by a file of ranks, and the bytes they decode to."""
+    import public_tokenizers
+    from .bpe import bpe_report
+    return bpe_report(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
