@@ -6,8 +6,8 @@ from the left the longest one is taken that is compatible with the token before
 none is, the search steps back.  Two adjacent tokens are compatible if merging their joined
 bytes gives just them.  A sequence whose neighbours are all compatible is the result of the
 merges: the first merge over a border between tokens would have been made in that pair alone
-too.  A place from which the search has stepped back is never entered again (the encoding of
-what lies before it is unique), so the work is linear in the piece.
+too.  A place from which the search has stepped back is never entered again (what leads to it is
+the one encoding of the bytes before it), so the work is linear in the piece.
 """
 
 from __future__ import annotations
@@ -42,13 +42,18 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merged(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """What the merges make of a short piece: again and again the adjacent pair whose joined bytes
     have the lowest rank (the leftmost of equals) becomes one."""
+    none = 1 << 62
+    rank = ranks.get
     parts = [piece[i:i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        joined = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-        at = min((r, i) for i, r in enumerate(joined) if r is not None)[1] if any(r is not None for r in joined) else -1
-        if at < 0:
-            break
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    joined = [rank(piece[i:i + 2], none) for i in range(len(piece) - 1)]     # of each part and the next
+    while joined and (low := min(joined)) < none:
+        i = joined.index(low)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        del joined[i]
+        if i < len(joined):
+            joined[i] = rank(parts[i] + parts[i + 1], none)
+        if i:
+            joined[i - 1] = rank(parts[i - 1] + parts[i], none)
     return parts
 
 
@@ -88,6 +93,7 @@ class ByteBpe:
         self.trie.make_automaton()
         self.shorter = _Memo(self._shorter, self.most)
         self.fits = _Memo(self._fits, PAIRS)
+        self.alone = _Memo(self._alone, self.most)
         self.words = _Memo(lambda p: tuple(self.piece_ids(p.encode())), WORDS, lambda p: len(p) <= WORD_BYTES)
 
     def _shorter(self, token: int) -> int:
@@ -95,6 +101,10 @@ class ByteBpe:
         t = self.token[token]
         return next((self.ranks[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.ranks), -1)
 
+    def _alone(self, token: int) -> bool:
+        """Whether merging a token's bytes gives the token: some tokens no merges reach."""
+        return merged(self.token[token], self.ranks) == [self.token[token]]
+
     def _fits(self, pair: int) -> bool:
         a, b = (self.token[x] for x in divmod(pair, self.most))
         return merged(a + b, self.ranks) == [a, b]
@@ -104,7 +114,7 @@ class ByteBpe:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n, size, shorter, fits, most = len(piece), self.size, self.shorter, self.fits, self.most
+        n, size, shorter, fits, alone, most = len(piece), self.size, self.shorter, self.fits, self.alone, self.most
         longest = [-1] * n
         for end, t in self.trie.iter(piece.decode("latin-1")):
             longest[end + 1 - size[t]] = t               # ends ascend: the last one is the longest
@@ -113,7 +123,7 @@ class ByteBpe:
         at, t = 0, longest[0] if n else -1
         while at < n:
             last = out[-1] * most if out else -1
-            while t >= 0 and (dead[at + size[t]] or (last >= 0 and not fits[last + t])):
+            while t >= 0 and (dead[at + size[t]] or not (fits[last + t] if out else alone[t])):
                 t = shorter[t]
             if t >= 0:
                 out.append(t)

@@ -203,9 +203,9 @@ def op11_centroid_clusters(spark, sf_dir):
 def _clusters_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
     """Rounds of plain assignment: distances as inner products of whole numbers, exact in doubles."""
     parts = [f"""e as materialized (
-  select row_number() over () rid, vec_id, list_transform(embedding, x -> floor(256.0::double * x::double)) v
+  select row_number() over () rid, vec_id, list_transform(embedding, lambda x: floor(256.0::double * x::double)) v
   from (select vec_id, embedding from embeddings
-        where len(embedding) = {dim} and len(list_filter(embedding, x -> x is not null and isfinite(x))) = {dim}))""",
+        where len(embedding) = {dim} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {dim}))""",
              f"""c0 as materialized (
   select (row_number() over (order by h nulls last, v) - 1)::int c, v from (
     select sha256('2:' || vec_id::varchar) h, v from e order by h nulls last, v limit {k}))"""]
@@ -222,7 +222,7 @@ def _clusters_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
     return "with " + ",\n".join(parts) + f"""
 select vec_id, m.c::int as cluster, m.d::bigint as distance, (sum(m.d::bigint) over (partition by m.c))::bigint as cluster_inertia,
        (sum(m.d::bigint) over ())::bigint as inertia,
-       sha256(array_to_string(list_transform(c.v, x -> x::bigint::varchar), ',')) as centroid_sha256
+       sha256(array_to_string(list_transform(c.v, lambda x: x::bigint::varchar), ',')) as centroid_sha256
 from a{rounds} a join c{rounds} c on c.c = a.m.c
 """
 
@@ -239,7 +239,7 @@ def op12_fill_in_middle(spark, sf_dir):
 
 ORACLE["op12_fill_in_middle"] = """
 with h as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) x from documents),
-n as (select doc_id, t, length(t) n, list_transform([1, 9, 17, 25], i -> ('0x' || substr(x, i, 8))::bigint) h from h),
+n as (select doc_id, t, length(t) n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(x, i, 8))::bigint) h from h),
 c as (select *, least(h[1] % (n + 1), h[2] % (n + 1)) a, greatest(h[1] % (n + 1), h[2] % (n + 1)) b,
              case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h[3] % 100 >= 90 then 'plain'
                   when h[4] % 100 < 20 then 'spm' else 'psm' end form from n),
