@@ -26,9 +26,9 @@ from .common import fresh, pieces, prepare
 
 ENCODE_BYTES = 256 * 1024        # of text encoded at once
 LONG_TEXT = 1 << 20              # characters beyond which a text is split into pieces bit by bit
-PAIRS = 1 << 18                  # remembered pairs of tokens
-WORDS = 1 << 17                  # remembered pieces, of at most WORD_BYTES bytes
-WORD_BYTES = 64
+PAIRS = 1 << 18                  # remembered pairs of tokens (new ones; as many old ones stay)
+WORDS = 1 << 18                  # remembered pieces of at most WORD_CHARS characters (likewise)
+WORD_CHARS = 32
 IDS = 1 << 16                    # ids decoded at once
 _LOADED: dict = {}
 
@@ -58,21 +58,31 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 
 class _Memo(dict):
-    """Results by key, computed when missing; forgotten all at once at ``most`` entries."""
+    """Results by key, computed when missing.  At ``most`` entries they become the old ones, from
+    which a key still in use comes back; what was old before is forgotten."""
 
-    def __init__(self, compute, most: int, keep=lambda key: True):
+    def __init__(self, compute, most: int):
         super().__init__()
-        self.compute, self.most, self.keep = compute, most, keep
+        self.compute, self.most, self.old = compute, most, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
-        if self.keep(key):
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
+class _Words(_Memo):
+    """A memo of pieces that keeps no long ones."""
+
+    def __missing__(self, key):
+        return super().__missing__(key) if len(key) <= WORD_CHARS else self.compute(key)
+
+
 class ByteBpe:
     """Encoder and decoder of one file of ranks and one splitting pattern."""
 
@@ -94,7 +104,7 @@ class ByteBpe:
         self.shorter = _Memo(self._shorter, self.most)
         self.fits = _Memo(self._fits, PAIRS)
         self.alone = _Memo(self._alone, self.most)
-        self.words = _Memo(lambda p: tuple(self.piece_ids(p.encode())), WORDS, lambda p: len(p) <= WORD_BYTES)
+        self.words = _Words(lambda p: tuple(self.piece_ids(p.encode())), WORDS)
 
     def _shorter(self, token: int) -> int:
         """The longest token that is a proper prefix of this one, or -1."""
