@@ -71,10 +71,9 @@ select uid, source_file from (
   select uid, source_file, row_number() over (partition by source_file, {_SHARD_SQL} order by uid) as pos from flows) t
 where pos <= 1000""", F1)
 def q_src_row_cap_per_file(spark, sf):
-    """The first 1,000 rows of every file, in file order."""
+    """The first 1,000 rows of every file, in file order; reading stops there."""
     d = _csv_dir(spark, sf, "rowcap")
-    scan = files.scan_flows(spark, _paths(spark, d))
-    capped = files.row_cap_per_file(scan, 1000)
+    capped = files.scan_flows(spark, _paths(spark, d), cap=1000)
     return capped.select("uid", F.regexp_replace("file_name", FILE_RE, "").alias("source_file"))
 
 
@@ -140,3 +139,15 @@ def q_src_skip_bad_lines(spark, sf):
     names = ["uid", "proto", "service"]
     paths = [r["path"] for r in files.discover_files(spark, path, "part-*").collect()]
     return files.scan_headerless(spark, paths, names).select(*names)
+
+
+_QUOTED_SQL = """'say "' || history || '", ' || chr(10) || chr(10) || uid || chr(10) || '"' """
+
+
+@register("src_scan_quoted", f"select uid, {_QUOTED_SQL} as history, proto, orig_bytes from flows", F1)
+def q_src_scan_quoted(spark, sf):
+    """CSV whose quoted fields hold quotes, commas and line breaks, read in splits."""
+    text = F.concat(F.lit('say "'), F.col("history"), F.lit('", \n\n'), F.col("uid"), F.lit('\n"'))
+    d = write_csv_files(spark, fixtures.flows(spark, sf).withColumn("history", text), "quoted",
+                        columns=["uid", "history", "proto", "orig_bytes"])
+    return files.scan_flows(spark, _paths(spark, d)).select("uid", "history", "proto", "orig_bytes")

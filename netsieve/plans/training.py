@@ -50,9 +50,7 @@ def load_flows(spark: SparkSession, cfg: dict) -> tuple[DataFrame, int]:
         root = data.get("cache_dir") or scratch_dir(spark, "feature-cache")
         df = fcache.cached_features(spark, files, ex, root, cap).drop("extractor", "file_key")
     else:
-        raw = fsrc.scan_flows(spark, paths)
-        if cap is not None:
-            raw = fsrc.row_cap_per_file(raw, cap)
+        raw = fsrc.scan_flows(spark, paths, cap=cap)
         df = ex.extract_features(raw.drop("_block"))
     return df, len(paths)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.rank import BROADCAST_ROWS
 from ..session import exists
-from .files import listed_path, plain_path, row_cap_per_file, scan_flows
+from .files import _declared, infer, listed_path, plain_path, scan_flows
 
 
 def file_keys(files: DataFrame, cap: int | None = None) -> DataFrame:
@@ -47,9 +47,8 @@ def cached_features(spark: SparkSession, files: DataFrame, extractor, cache_root
         missing = keys.join(have, "file_key", "left_anti")
     todo = [r["path"] for r in missing.select("path").collect()]       # the paths a scan is given
     if todo:
-        raw = scan_flows(spark, todo)
-        if cap is not None:
-            raw = row_cap_per_file(raw, cap)
+        # columns without a declared type are kept as text: files of later runs may hold other values
+        raw = scan_flows(spark, todo, infer=False, cap=cap)
         feats = per_file.extract_features(raw.drop("_block"))
         by_path = missing.select(listed_path("path").alias("_kp"), "file_key")
         out = feats.join(_sized(by_path, len(todo)), plain_path("file_path") == F.col("_kp"), "left").drop("_kp")
@@ -62,4 +61,6 @@ def cached_features(spark: SparkSession, files: DataFrame, extractor, cache_root
     wanted = keys.select("file_key").distinct()
     got = spark.read.option("mergeSchema", "true").parquet(data_path).where(F.col("extractor") == name)
     got = got.join(_sized(wanted, keys.count()), "file_key", "left_semi")
+    own = {"label", "file_path", "file_name", "row_id", "extractor", "file_key"}
+    got = infer(got, [c for c in got.columns if c not in own and _declared(c) is None])
     return extractor.across_files(got)

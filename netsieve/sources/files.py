@@ -4,12 +4,15 @@ Scans read every column as STRING and cast per cell with ``try_cast`` (a bad tok
 null, never a lost file).  Files are grouped by their header line and each group is read
 with its own schema: a CSV schema binds by position, so one schema over files with
 different headers would silently shift columns.  Groups are unioned by name.
+
+Quoting is the usual one: a doubled quote inside quotes is a quote, and a line break inside
+quotes belongs to its field.  Files with such line breaks are found by their quotes and read
+through :mod:`records`; all others by Spark's CSV reader.
 """
 
 from __future__ import annotations
 
-import csv
-import io
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -18,6 +21,8 @@ from ..functions.coerce import duration_seconds
 from ..functions.labels import category_from_filename, label_from_filename, label_normalize
 from ..operators.rank import BROADCAST_ROWS
 from ..session import checkpoint_root, exists
+from . import records as rec
+from .csv_source import BOM, HeadsSource, LeadingSource, blank, fields, reachable, reader
 
 # Declared column types of a connection-log record (source header names).
 DECLARED_TYPES = {
@@ -124,49 +129,86 @@ def file_inventory(files: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ scans
 
-def read_header(spark: SparkSession, path: str) -> str | None:
-    """First line of a file through the cluster's file system (a metadata-sized read)."""
+HEADS_BY_DRIVER = 64             # headers read by the driver itself; more are read in tasks
+
+
+def read_header(spark: SparkSession, path: str) -> list[str] | None:
+    """Fields of the first record of a file through the cluster's file system (a read of its first
+    lines); None for an empty file."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    stream = fs.open(p)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        held = b""
+        while (line := lines.readLine()) is not None:
+            held += line.encode()
+            if held.startswith(BOM):
+                held = held[len(BOM):]
+            if blank(held):
+                held = b""
+            elif held.count(b'"') % 2 == 0:
+                return fields(held)
+            else:
+                held += b"\n"
+        return fields(held) if held else None
     finally:
         stream.close()
 
 
-def _split_header(line: str) -> list[str]:
-    return next(csv.reader(io.StringIO(line)))
-
-
 def _group_by_header(spark: SparkSession, paths) -> dict:
-    """Files grouped by header line; headers read concurrently (I/O-bound, one small read
-    per file through the cluster's file system)."""
-    from concurrent.futures import ThreadPoolExecutor
+    """Files grouped by header: of a few files the driver reads them (concurrently, one small read a
+    file), of many the tasks of a data source do."""
     paths = list(paths)
-    with ThreadPoolExecutor(max_workers=min(32, max(1, len(paths)))) as pool:
-        lines = list(pool.map(lambda p: read_header(spark, p), paths))
+    if len(paths) > HEADS_BY_DRIVER and all(reachable(p) for p in paths):
+        found = {r["path"]: r["header"] for r in reader(spark, HeadsSource, paths).select("path", "header").collect()}
+        heads = [found[p] for p in paths]
+    else:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=min(32, max(1, len(paths)))) as pool:
+            heads = list(pool.map(lambda p: read_header(spark, p), paths))
     groups: dict = {}
-    for p, line in zip(paths, lines):
-        if line is None or not line.strip():
-            continue           # empty file: nothing to read
-        groups.setdefault(tuple(_split_header(line)), []).append(p)
+    for p, head in zip(paths, heads):
+        if head is not None:       # else an empty file: nothing to read
+            groups.setdefault(tuple(head), []).append(p)
     return groups
 
 
+def literal(path: str) -> str:
+    """A path whose name holds glob characters, as a path to read."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+
+
+def column_names(raw_names) -> list[str]:
+    """Canonical names of a header's columns; a name that is taken (also by the columns a scan adds)
+    gets the next free number behind it, as ``name_1``."""
+    out: list[str] = []
+    taken = {"file_path", "file_name", "_block", "row_id"}
+    for raw in raw_names:
+        name = first = canonical_name(raw)
+        n = 0
+        while name.lower() in taken:
+            n += 1
+            name = f"{first}_{n}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 META = ("_metadata.file_path", "_metadata.file_name", "_metadata.file_block_start")
 
 
-def _typed(df: DataFrame, raw_names, with_label: bool, meta=META) -> DataFrame:
+def _typed(df: DataFrame, raw_names, with_label: bool, meta=META, line=None) -> DataFrame:
     """Trim/rename, cast per declared type, add file columns, a row id and the label.
-    ``meta`` names the columns holding file path, file name and split start.  ``row_id``
-    (file, split, row number of the task) tells any two rows apart and needs no id column."""
+    ``meta`` names the columns holding file path, file name and split start.  ``row_id`` (file,
+    split, number of the row) tells any two rows of one scan apart and needs no id column.  The
+    number is ``line``, or by default counted by the task: the same on every read of a listing with
+    the same split sizes, but not to be stored and compared with that of another scan."""
     cols = []
-    for i, raw in enumerate(raw_names):
-        cols.append(_cast(F.col(f"_c{i}"), _declared(raw)).alias(canonical_name(raw)))
-    row_id = F.concat_ws("#", F.col(meta[0]), F.col(meta[2]).cast("string"), F.monotonically_increasing_id().cast("string"))
+    for i, (raw, name) in enumerate(zip(raw_names, column_names(raw_names))):
+        cols.append(_cast(F.col(f"_c{i}"), _declared(raw)).alias(name))
+    number = F.monotonically_increasing_id() if line is None else F.col(line)
+    row_id = F.concat_ws("#", F.col(meta[0]), F.col(meta[2]).cast("string"), number.cast("string"))
     out = df.select(*cols, F.col(meta[0]).alias("file_path"), F.col(meta[1]).alias("file_name"),
                     F.col(meta[2]).alias("_block"), row_id.alias("row_id"))
     if with_label:
@@ -181,7 +223,12 @@ def infer_undeclared(df: DataFrame, names) -> DataFrame:
     """Type the undeclared columns of a scan, as the reference's reader infers them: numbers
     if every value is one, else true / false if every value is, else text (one aggregate over
     those columns; a column without values stays text)."""
-    cols = [canonical_name(n) for n in names if _declared(n) is None]
+    return infer(df, [c for n, c in zip(names, column_names(names)) if _declared(n) is None])
+
+
+def infer(df: DataFrame, cols) -> DataFrame:
+    """Text columns typed by their values (see :func:`infer_undeclared`)."""
+    cols = [c for c in cols if dict(df.dtypes).get(c) == "string"]
     if not cols:
         return df
     flags = ("true", "false")
@@ -196,24 +243,81 @@ def infer_undeclared(df: DataFrame, names) -> DataFrame:
     return df.select(*[F.trim(F.col(c)).try_cast(kind[c]).alias(c) if kind.get(c) else F.col(c) for c in df.columns])
 
 
+CSV = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
+
+
+def _text_schema(n: int) -> StructType:
+    return StructType([StructField(f"_c{i}", StringType()) for i in range(n)] + [StructField(EXTRA, StringType())])
+
+
 def _read_group(spark: SparkSession, paths, n: int, header: bool) -> DataFrame:
-    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(n)]
-                        + [StructField(EXTRA, StringType())])
-    df = (spark.read.schema(schema).option("header", str(header).lower()).option("mode", "PERMISSIVE")
-          .option("enforceSchema", "true").csv(list(paths)))
+    df = (spark.read.schema(_text_schema(n)).option("header", str(header).lower()).option("enforceSchema", "true")
+          .options(**CSV).csv([literal(p) for p in paths]))
     # a row with more fields than the header is dropped (its surplus lands in _extra);
     # a shorter row is null-padded and kept
     return df.where(F.col(EXTRA).isNull())
 
 
-def scan_flows(spark: SparkSession, paths, label: bool = True, infer: bool = True) -> DataFrame:
+def parsed(rows: DataFrame, n: int, keep, header=None, value: str = "value") -> DataFrame:
+    """``_c0 ...`` and the columns ``keep`` of CSV records given as text; records that are blank, hold
+    surplus fields, or equal ``header`` at the beginning of a file are left out."""
+    text = F.regexp_replace(F.col(value), "\r$", "")
+    names = [f"_c{i}" for i in range(n)]
+    ddl = ", ".join(f"{c} string" for c in [*names, EXTRA])
+    out = (rows.where(F.trim(text) != "").select(F.from_csv(text, ddl, {**CSV, "multiLine": "true"}).alias("r"), *keep)
+           .select("r.*", *keep).where(F.col(EXTRA).isNull()))
+    if header is not None:
+        same = F.lit(True)
+        for c, h in zip(names, header):
+            same &= F.col(c).eqNullSafe(F.lit(h if h != "" else None))
+        out = out.where(~(same & (F.col(keep[2]) == 0)))
+    return out.drop(EXTRA)
+
+
+def _broken(spark: SparkSession, paths):
+    """(paths of files with line breaks inside quotes, quote counts of the splits of all)."""
+    paths = list(paths)
+    if not paths:
+        return [], None
+    checkpoint_root(spark)
+    counts = rec.quote_counts(rec.read_lines(spark, [literal(p) for p in paths])).checkpoint()
+    found = {r["p"] for r in counts.where("odd > 0").select(plain_path("_path").alias("p")).distinct().collect()}
+    return [p for p in paths if "/" + p.removeprefix("file:").lstrip("/") in found or p in found], counts
+
+
+def _read_broken(spark: SparkSession, paths, counts: DataFrame, names, label: bool, header: bool) -> DataFrame:
+    """A header group of files with line breaks inside quotes, read in splits."""
+    rows = rec.records(rec.read_lines(spark, [literal(p) for p in paths]), counts)
+    rows = parsed(rows, len(names), [*rec.LINE_META, "line"], names if header else None)
+    return _typed(rows, names, label, rec.LINE_META, "line")
+
+
+def scan_flows(spark: SparkSession, paths, label: bool = True, infer: bool = True, cap: int | None = None,
+               quoted_breaks: bool = True) -> DataFrame:
     """Headered CSV files -> typed DataFrame (+ file_path, file_name, _block, row_id).  Columns
-    without a declared type are inferred per header group unless ``infer`` is off."""
+    without a declared type are inferred per header group unless ``infer`` is off.
+
+    With ``cap`` only the first ``cap`` rows of every file are read (see :func:`scan_leading`).  Line
+    breaks inside quotes are looked for by one count of quotes over the files; where no field can
+    hold any (connection logs do not), ``quoted_breaks=False`` spares that pass."""
     paths = list(paths)
+    if cap is not None and all(reachable(p) for p in paths):
+        return scan_leading(spark, paths, cap, label, infer)
+    broken, counts = _broken(spark, paths) if quoted_breaks else ([], None)
     parts = []
     for names, ps in sorted(_group_by_header(spark, paths).items(), key=lambda kv: kv[1][0]):
-        part = _typed(_read_group(spark, ps, len(names), True), names, label)
+        part = None
+        if plain := [p for p in ps if p not in broken]:
+            part = _typed(_read_group(spark, plain, len(names), True), names, label)
+        if torn := [p for p in ps if p in broken]:
+            more = _read_broken(spark, torn, counts, names, label, True)
+            part = more if part is None else part.unionByName(more)
         parts.append(infer_undeclared(part, names) if infer else part)
+    out = _union(parts)
+    return out if cap is None else row_cap_per_file(out, cap)
+
+
+def _union(parts) -> DataFrame:
     if not parts:
         raise ValueError("no readable CSV file")
     out = parts[0]
@@ -223,6 +327,21 @@ def scan_flows(spark: SparkSession, paths, label: bool = True, infer: bool = Tru
     return out
 
 
+def scan_leading(spark: SparkSession, paths, cap: int, label: bool = True, infer: bool = True) -> DataFrame:
+    """The first ``cap`` rows of every headered CSV file, typed as by :func:`scan_flows`: one task a
+    file, which stops reading at the cap."""
+    parts = []
+    for names, ps in sorted(_group_by_header(spark, paths).items(), key=lambda kv: kv[1][0]):
+        rows = reader(spark, LeadingSource, ps, width=len(names), cap=cap, header=True)
+        uri = F.create_map(*[F.lit(x) for p in ps for x in (p, quote(p, safe="/:~!$&'()*+,;=@-._"))]) if len(ps) <= 1000 else None
+        path = F.element_at(uri, F.col("path")) if uri is not None else F.col("path")
+        rows = rows.select(*[f"_c{i}" for i in range(len(names))], path.alias("_path"),
+                           F.element_at(F.split("path", "/"), -1).alias("_name"), F.lit(0).cast("long").alias("_block"), "line")
+        part = _typed(rows, names, label, rec.LINE_META, "line")
+        parts.append(infer_undeclared(part, names) if infer else part)
+    return _union(parts)
+
+
 def _same_types(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Cast columns whose types differ between header groups to text in both."""
     ta, tb = dict(a.dtypes), dict(b.dtypes)
@@ -233,20 +352,27 @@ def _same_types(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def peek(spark: SparkSession, paths, n: int = 5, label: bool = True) -> DataFrame:
-    """The first ``n`` rows of the first file (in path order); only its first split is read."""
-    return scan_flows(spark, [min(paths)], label, infer=False).limit(n)
+    """The first ``n`` rows of the first file (in path order); reading stops there."""
+    return scan_flows(spark, [min(paths)], label, infer=False, cap=n).limit(n)
 
 
-def scan_headerless(spark: SparkSession, paths, names, label: bool = True) -> DataFrame:
+def scan_headerless(spark: SparkSession, paths, names, label: bool = True, quoted_breaks: bool = True) -> DataFrame:
     """CSV without a header row; ``names`` name the columns in order."""
-    return _typed(_read_group(spark, list(paths), len(names), False), names, label)
+    paths = list(paths)
+    broken, counts = _broken(spark, paths) if quoted_breaks else ([], None)
+    plain = [p for p in paths if p not in broken]
+    parts = [_typed(_read_group(spark, plain, len(names), False), names, label)] if plain else []
+    if broken:
+        parts.append(_read_broken(spark, broken, counts, names, label, False))
+    return _union(parts)
 
 
 # ------------------------------------------------------------------ per-file row cap
 
 def row_cap_per_file(df: DataFrame, cap: int, path_col: str = "file_path",
                      block_col: str = "_block") -> DataFrame:
-    """At most ``cap`` leading rows of each file, in file order.
+    """At most ``cap`` leading rows of each file of a whole scan, in file order (where files can be
+    opened by tasks, :func:`scan_leading` reads no more than these).
 
     A file split is read in order by one task, so within a split the scan-time
     ``monotonically_increasing_id`` is consecutive.  One aggregate per (file, split)

@@ -46,7 +46,7 @@ def write_csv_files(spark: SparkSession, flows: DataFrame, tag: str, header: boo
         cols = [F.col(c).alias(SOURCE_NAMES.get(c, c)) for c in columns if c not in missing]
         (part.withColumn("_shard", shard()).select(*keys, *cols).repartition(*keys)
              .sortWithinPartitions(*keys, "uid")
-             .write.option("header", str(header).lower()).partitionBy(*keys).csv(f"{stage}/g{i}"))
+             .write.option("header", str(header).lower()).option("escape", '"').partitionBy(*keys).csv(f"{stage}/g{i}"))
     _, fs = _fs(spark, stage)
     path = spark._jvm.org.apache.hadoop.fs.Path
     for st in fs.globStatus(path(f"{stage}/g*/source_file=*/_shard=*/part-*.csv")):

@@ -19,21 +19,21 @@ import traceback
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.aggregates import class_distribution
 from ..operators.models import merge_moments
 from ..operators.rank import released
 from ..session import checkpoint_root, exists, scratch_dir
-from ..sources.files import EXTRA, META, _group_by_header, _same_types, _typed
+from ..sources import records as rec
+from ..sources.files import META, _group_by_header, _same_types, _typed, infer_undeclared, parsed
 
 log = logging.getLogger("netsieve.streaming")
-STREAM_META = ("_src_path", "_src_name", "_src_block")
+STREAM_META = rec.LINE_META
 
 
 def _stream(spark: SparkSession, folder: str, pattern: str, batch_files: int) -> DataFrame:
     raw = (spark.readStream.format("text").option("maxFilesPerTrigger", batch_files)
-           .option("pathGlobFilter", pattern).load(folder))
+           .option("pathGlobFilter", pattern).option("lineSep", "\n").load(folder))
     # file metadata must be projected in the stream itself: a micro-batch frame has none
     return raw.select("value", *[F.col(m).alias(a) for m, a in zip(META, STREAM_META)])
 
@@ -41,19 +41,20 @@ def _stream(spark: SparkSession, folder: str, pattern: str, batch_files: int) ->
 def parse_lines(lines: DataFrame, label: bool = True) -> DataFrame | None:
     """Typed rows of CSV lines (columns value and STREAM_META), each file under its own
     header; None without any.  The files of a batch are few, their headers are read from
-    the files themselves.  Lines equal to the header of their file are not rows."""
+    the files themselves.  Line breaks inside quotes and undeclared columns are treated as in a
+    scan of files."""
     spark = lines.sparkSession
-    paths = [r[0] for r in lines.select(STREAM_META[0]).distinct().collect()]
+    checkpoint_root(spark)
+    counts = rec.quote_counts(lines).checkpoint()
+    paths = [r[0] for r in counts.select(STREAM_META[0]).distinct().collect()]
+    if rec.files_with_broken_lines(counts):
+        lines = rec.records(lines, counts)
     out = None
     raw = {unquote(p): p for p in paths}                 # file metadata is percent-encoded
     for names, group in sorted(_group_by_header(spark, raw).items()):
-        schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))] + [StructField(EXTRA, StringType())])
         mine = lines.where(F.col(STREAM_META[0]).isin([raw[p] for p in group]))
-        rows = mine.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " ")).alias("r"), *STREAM_META).select("r.*", *STREAM_META)
-        header = F.lit(True)
-        for i, n in enumerate(names):
-            header = header & F.col(f"_c{i}").eqNullSafe(F.lit(n))
-        typed = _typed(rows.where(F.col(EXTRA).isNull() & ~header), names, label, STREAM_META)
+        rows = parsed(mine, len(names), list(STREAM_META), names)
+        typed = infer_undeclared(_typed(rows, names, label, STREAM_META), names)
         if out is None:
             out = typed
         else:
