@@ -143,7 +143,7 @@ def _secrets_sql() -> str:
         if k == "assign":
             kept = f"length(regexp_extract(m[i], {quote(p)}, 2)) >= 8"
         if k == "key":
-            kept = "length(m[i]) = 40 and regexp_matches(m[i], '[a-z]') and regexp_matches(m[i], '[A-Z]') and regexp_matches(m[i], '[0-9]')"
+            kept = "regexp_matches(m[i], '[a-z]') and regexp_matches(m[i], '[A-Z]') and regexp_matches(m[i], '[0-9]')"
         found.append(f"""select rid, {i} k, s + length(m[i]) "end", s "start" from (
             select rid, m, i, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) s
             from (select rid, m, g, unnest(generate_series(1, len(m))) i from (

@@ -19,7 +19,7 @@ def brute(t):
         for m in re.finditer(pattern, t, re.ASCII):
             if kind == "assign" and len(m.group(2)) < 8:
                 continue
-            if kind == "key" and not (len(m.group()) == 40 and all(re.search(c, m.group()) for c in ("[a-z]", "[A-Z]", "[0-9]"))):
+            if kind == "key" and not (all(re.search(c, m.group()) for c in ("[a-z]", "[A-Z]", "[0-9]"))):
                 continue
             parts.append((m.start(), n, m.end(), kind, role, weak))
     strong = [p for p in parts if not p[5]]
@@ -74,3 +74,18 @@ def test_no_python_in_the_plan(spark):
 
 def test_empty(spark):
     assert secrets.secret_report(docs(spark, ["x"]).where("false")).count() == 0
+
+
+def test_weak_secrets_of_any_length_with_a_login_and_an_endpoint_in_scope(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    texts, want = [], []
+    for n in (20, 32, 40, 44, 64, 88):
+        for tail in ("", "=", "=="):
+            token = "aB3" + "".join(rng.choice(letters + "_-") for _ in range(n - 4)) + "x" + tail
+            texts.append(f"login: someone at https://host.example/a {token} end")
+            want.append(f"key:{texts[-1].index(token)}:{texts[-1].index(token) + len(token)}")
+    texts += ["aB3" + "x" * 40, "login: me abc-def", "plain words only"]           # alone, or not random: not reported
+    got = {r["doc_id"]: r["spans"] for r in secrets.secret_report(docs(spark, texts)).collect()}
+    assert all(w in got[i].split(",") for i, w in enumerate(want))
+    assert all("key:" not in got[len(want) + i] for i in range(3))
