@@ -37,7 +37,7 @@ SCRIPTS = [
     ("georgian", [(0x10A0, 0x10FF)]),
     ("hangul", [(0x1100, 0x11FF), (0x3130, 0x318F), (0xAC00, 0xD7AF)]),
     ("kana", [(0x3040, 0x30FF), (0x31F0, 0x31FF)]),
-    ("han", [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2FFFF)]),
+    ("han", [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x33FFF)]),
 ]
 BUCKETS = 1 << 15                # hashed trigrams; a model has languages x BUCKETS floats
 DOCS_PER_LANGUAGE = 4000         # bound of the training sample
@@ -45,33 +45,36 @@ SWITCH_PENALTY = 12.0
 SCRIPT_SHARE = 0.01              # of a language's training letters, for it to be a candidate
 PIECE = 2 * 1024 * 1024
 UND = "und"
-_LIMIT = 0x30000
+MAX_LANGUAGES = 400              # learned: those with the most training documents (a model has BUCKETS floats each)
+_LIMIT = 0x34000                 # no letter stands beyond
 _TABLES: list = []
 
 
 def _tables():
-    """(script number per code point, 0 for non-letters; lower case per code point)."""
+    """(script number per code point, 0 for what is no letter or mark; lower case per code point;
+    whether a code point is a letter)."""
     if not _TABLES:
         cat = [unicodedata.category(chr(c))[0] for c in range(_LIMIT)]
-        letter = np.array([c in "LM" for c in cat])
-        script = np.where(letter, len(SCRIPTS) + 1, 0).astype(np.uint8)
+        part = np.array([c in "LM" for c in cat])            # a mark belongs to a word, but makes none
+        letter = np.array([c == "L" for c in cat])
+        script = np.where(part, len(SCRIPTS) + 1, 0).astype(np.uint8)
         for i, (_, ranges) in enumerate(SCRIPTS):
             for a, b in ranges:
-                script[a:b + 1] = np.where(letter[a:b + 1], i + 1, 0)
+                script[a:b + 1] = np.where(part[a:b + 1], i + 1, 0)
         lower = np.arange(_LIMIT, dtype=np.uint32)
         for c in range(_LIMIT):
             if cat[c] == "L":
                 x = chr(c).lower()
                 if len(x) == 1:
                     lower[c] = ord(x)
-        _TABLES[:] = [script, lower]
+        _TABLES[:] = [script, lower, letter]
     return _TABLES
 
 
 def words(texts: list):
     """Words of texts (null as empty): trigram bucket per letter, word starts among the
     letters, script per word, first word per text, code-point start and end per word."""
-    script, lower = _tables()
+    script, lower, letter = _tables()
     texts = [t or "" for t in texts]
     cp = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     begin = np.concatenate([[0], np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))])
@@ -81,6 +84,12 @@ def words(texts: list):
     start, end = edge[:-1], edge[1:]
     on = cls[start] > 0 if len(start) else np.zeros(0, bool)
     start, end = start[on], end[on]
+    letters = np.concatenate([[0], np.cumsum(letter[cp])])
+    some = letters[end] > letters[start]
+    if not some.all():                                       # runs of marks alone
+        for a, b in zip(start[~some].tolist(), end[~some].tolist()):
+            cls[a:b] = 0
+        start, end = start[some], end[some]
     at = np.flatnonzero(cls)
     c = lower[cp[at]]
     length = end - start
@@ -112,10 +121,12 @@ class Model:
 
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """Learn from at most about ``per_language`` documents of each non-null ``lang`` with
-    crc32(doc_id) mod 4 other than 2, chosen by a hash of doc_id.  Null texts teach nothing."""
+    crc32(doc_id) mod 4 other than 2, chosen by a hash of doc_id; of more than MAX_LANGUAGES values
+    of ``lang`` those with the most documents are learned.  Null texts teach nothing."""
     spark = docs.sparkSession
     train = docs.where(F.col("lang").isNotNull() & ~held_out()).select("doc_id", "text", "lang")
-    per = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     langs = sorted(per)
     if not langs:
         return Model([], np.zeros((0, BUCKETS)), np.zeros((0, len(SCRIPTS) + 2)), np.zeros(0))

@@ -65,3 +65,23 @@ def test_identified_keeps_every_text_with_a_letter(spark):
     want = [t for t in ((x[1] if isinstance(x, tuple) else x) for x in awkward()) if any(c.isalpha() for c in t or "")]
     assert sorted(kept) == sorted(want)
     assert got.where("lang is null").count() == 0
+
+
+def test_marks_alone_are_no_letters_and_far_letters_are(spark):
+    from netsieve.llm import language
+    train = [("der hund und die katze im haus", "de"), ("the dog and the cat in the house", "en"), ("今日は天気", "ja")]
+    rows = [(i, t, g) for i, (t, g) in enumerate(train * 8)]
+    odd = {900: "́̂ ́", 901: "\U00030000\U00030001", 902: "123 ́!", 903: "á̂", 904: "\U000E0100"}
+    df = spark.createDataFrame(rows + [(k, v, None) for k, v in odd.items()], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language.languages(df).collect()}
+    assert [got[k]["lang_pred"] == "und" for k in sorted(odd)] == [True, False, True, False, True]
+    assert got[900]["score"] == 0.0
+
+
+def test_many_values_of_lang_are_bounded(spark, monkeypatch):
+    from netsieve.llm import language
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    rows = [(i, "the dog and the cat", "en") for i in range(40)] + [(100 + i, "der hund und die katze", "de") for i in range(40)]
+    rows += [(200 + i, "dirty value", f"x{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(language.fit(df).languages) == ["de", "en"]
