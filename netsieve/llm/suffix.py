@@ -75,8 +75,8 @@ class TestSuffixes:
 
     __test__ = False
 
-    def __init__(self, item_ids: list[str], texts: pa.Array, window: int):
-        self.items = item_ids
+    def __init__(self, item_ids: list[list[str]], texts: pa.Array, window: int):
+        self.items = item_ids                                  # of each text, all that have it
         self.words, self.first = words_of(texts)
         self.words = np.where(self.words == 0, _U(1), self.words)
         n = np.diff(self.first)
@@ -170,19 +170,27 @@ def shard_matches(tests: TestSuffixes, texts: pa.Array):
     return n_words, hits, np.stack([d, item[head], p[head] - text_first[d], sfx[head] - tests.first[item[head]], length], axis=1)
 
 
-def _blocks(benchmark: DataFrame, window: int) -> list[TestSuffixes]:
-    """The benchmark in blocks of at most about BLOCK_BYTES of text (its size is measured)."""
-    b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
-                         F.coalesce("text", F.lit("")).alias("text"))
-    total = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // BLOCK_BYTES))
-    out = []
-    for k in range(n):
-        part = b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else b
-        t = part.toArrow()
-        out.append(TestSuffixes(t["item_id"].to_pylist(), pa.concat_arrays(t["text"].cast(pa.large_string()).chunks)
-                                if t.num_rows else pa.array([], pa.large_string()), window))
-    return out
+class _Blocks:
+    """The benchmark in blocks of about BLOCK_BYTES of distinct texts, each with the list of its
+    item ids.  Repeated rows and texts are one, so a block grows with no item's repeats; one block
+    at a time is collected, broadcast and released."""
+
+    def __init__(self, benchmark: DataFrame, window: int):
+        b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+        self.texts = stored(b.groupBy("text").agg(F.array_sort(F.collect_set("item_id")).alias("ids")), "benchmark-texts")
+        self.window = window
+        total = self.texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.n = max(1, -(-total // BLOCK_BYTES))
+
+    def __len__(self):
+        return self.n
+
+    def __iter__(self):
+        for k in range(self.n):
+            part = self.texts.where(F.pmod(F.xxhash64("text"), F.lit(self.n)) == k) if self.n > 1 else self.texts
+            t = part.toArrow()
+            texts = pa.concat_arrays(t["text"].cast(pa.large_string()).chunks) if t.num_rows else pa.array([], pa.large_string())
+            yield TestSuffixes(t["ids"].to_pylist(), texts, self.window)
 
 
 def _shards(batches, at: int):
@@ -246,7 +254,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     """
     prepare(docs.sparkSession)
     names = contamination_names(docs.columns)
-    blocks = _blocks(benchmark, window)
+    blocks = _Blocks(benchmark, window)
     carry = [fresh("_hits", docs.columns), fresh("_items", docs.columns), fresh("_longest", docs.columns)]
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     types = docs.schema
@@ -264,7 +272,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
             if len(matches):
                 np.maximum.at(longest, matches[:, 0], matches[:, 4])
                 for d, i in np.unique(matches[:, :2], axis=0).tolist():
-                    ids[d].add(tests.items[i])
+                    ids[d].update(tests.items[i])
             if not first:
                 old_iv, old_ids, old_long = (table.column(width + i).to_pylist() for i in range(3))
                 iv = [np.concatenate([x, np.frombuffer(o, np.int64).reshape(-1, 2)]) for x, o in zip(iv, old_iv)]
@@ -292,26 +300,36 @@ def contamination_names(columns) -> list[str]:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """The rows of ``docs`` (all columns) in which no benchmark window occurs."""
+    """The rows of ``docs`` (all columns) in which no benchmark window occurs: null and wordless texts
+    stay, repeated rows stay or go together, with an empty benchmark all stay; an empty table gives
+    an empty result; columns of any name pass through."""
     n_hit = contamination_names(docs.columns)[1]
     return contamination(docs, benchmark, window).where(F.col(n_hit) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def verbatim_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """Maximal verbatim matches of at least a window: ``doc_id, item_id, doc_word,
-    item_word, n_words`` (word positions from 0)."""
+    item_word, n_words`` (word positions from 0).
+
+    Null or wordless texts and items match nothing; of items that repeat in id and text one
+    counts (a null item_id is the empty string); repeated documents each match; an empty table on
+    either side gives an empty result; other columns are not read."""
     prepare(docs.sparkSession)
     src = docs.select("doc_id", "text")
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def finish(table, n_words, hits, matches, tests):
-        return pa.table([table.column(0).take(pa.array(matches[:, 0])),
-                         pa.array([tests.items[i] for i in matches[:, 1].tolist()], pa.string()),
-                         *[pa.array(matches[:, c], pa.int64()) for c in (2, 3, 4)]],
+        ids = [tests.items[i] for i in matches[:, 1].tolist()]
+        row = np.repeat(np.arange(len(ids)), [len(x) for x in ids])        # a match for each item of the text
+        m = matches[row]
+        return pa.table([table.column(0).take(pa.array(m[:, 0])), pa.array([y for x in ids for y in x], pa.string()),
+                         *[pa.array(m[:, c], pa.int64()) for c in (2, 3, 4)]],
                         names=["doc_id", "item_id", "doc_word", "item_word", "n_words"])
 
     parts = [_scan(src, "text", t, f"doc_id {kind}, item_id string, doc_word long, item_word long, n_words long", finish)
-             for t in _blocks(benchmark, window)]
+             for t in _Blocks(benchmark, window)]
+    if len(parts) > 1:                                         # written, so that each block is released
+        parts = [stored(p, "verbatim") for p in parts]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

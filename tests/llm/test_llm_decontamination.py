@@ -73,3 +73,22 @@ def test_empty_tables(spark):
     got = suffix.contamination_report(docs(spark, awkward()), b).collect()
     assert len(got) == len(awkward()) and not any(r["contaminated"] for r in got)
     assert suffix.contamination_report(docs(spark, ["x"]).where("false"), b).count() == 0
+
+
+def test_repeated_benchmark_rows_and_blocks(spark, monkeypatch):
+    """A third of the benchmark is one row, another text has many ids: blocks hold distinct texts,
+    results equal those of one block."""
+    rng = random.Random(17)
+    items = [(f"i{k}", word_text(rng, 30, 3000)) for k in range(12)]
+    items += [items[0]] * 40 + [(f"same{k}", items[1][1]) for k in range(5)]
+    bench = spark.createDataFrame(items, "item_id string, text string").repartition(4)
+    texts = [word_text(rng, 40, 3000) + " " + items[k][1] + " " + word_text(rng, 20, 3000) for k in range(12)] + [word_text(rng, 90, 3000)]
+    d = docs(spark, texts)
+    one = sorted(map(tuple, suffix.contamination_report(d, bench).collect()))
+    matches = sorted(map(tuple, suffix.verbatim_matches(d, bench).collect()))
+    assert len(suffix._Blocks(bench, 10)) == 1 and suffix._Blocks(bench, 10).texts.count() == 12
+    assert [r[3] for r in one] == [1, 6, *[1] * 10, 0] and len(matches) >= 17
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", 600)
+    assert len(suffix._Blocks(bench, 10)) > 2
+    assert sorted(map(tuple, suffix.contamination_report(d, bench).collect())) == one
+    assert sorted(map(tuple, suffix.verbatim_matches(d, bench).collect())) == matches
