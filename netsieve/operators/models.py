@@ -2,7 +2,7 @@
 ``model.transform(df)`` adds ``prediction`` (DOUBLE class index) and, where the model
 scores classes, ``scores`` (ARRAY<DOUBLE>, one per class index).
 
-random_forest, logistic_regression: Spark ML.  gaussian_nb: class statistics from one
+random_forest: Spark ML.  logistic_regression: Newton steps (logistic.py).  gaussian_nb: class statistics from one
 aggregate, scoring by column expressions.  knn: see knn.py.  svm: random Fourier
 features (RBF kernel approximation) + one-vs-rest LinearSVC.  gmm: one Spark ML
 GaussianMixture per class, scored as a mixture log-density in an Arrow UDF.
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from .knn import KNNClassifier
+from .logistic import LogisticModel, fit_multinomial
 
 SPARK_MAX_DEPTH = 30
 
@@ -132,23 +133,21 @@ class RandomForest(_SparkML):
                                       cacheNodeIds=True, minInstancesPerNode=max(1, int(p.get("min_samples_leaf", 1))))
 
 
-class Logistic(_SparkML):
-    """Multinomial, L2 with C: the penalty C * sum(loss) + |w|^2 / 2 equals Spark's
-    mean(loss) + regParam |w|^2 / 2 with regParam = 1 / (C n)."""
-    _needs_n = True
+class Logistic:
+    """Multinomial, C * sum(loss) + |w|^2 / 2, to the optimum by Newton steps (logistic.py);
+    ``max_iter`` bounds the steps."""
 
     def __init__(self, **params):
         strict("logistic_regression", params, {
-            "C": None, "max_iter": None, "tol": None, "random_state": None, "solver": ["lbfgs"],
+            "C": None, "max_iter": None, "tol": None, "random_state": None, "solver": ["lbfgs", "newton-cg"],
             "multi_class": ["auto", "multinomial"], "penalty": ["l2", None, "none"], **RUN_SETTINGS})
-        super().__init__(**params)
+        self.params = params
 
-    def _estimator(self, n):
+    def fit(self, df: DataFrame, features: str = "features", label: str = "label_idx") -> LogisticModel:
         p = self.params
-        reg = 0.0 if p.get("penalty", "l2") in (None, "none") else 1.0 / (float(p.get("C", 1.0)) * max(n, 1))
-        return LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=reg,
-                                  elasticNetParam=0.0, standardization=False, family="multinomial",
-                                  tol=float(p.get("tol", 1e-4)))
+        return LogisticModel(features, *fit_multinomial(
+            df, features, label, float(p.get("C", 1.0)), p.get("penalty", "l2") not in (None, "none"),
+            int(p.get("max_iter", 100)), float(p.get("tol", 1e-4))))
 
 
 # ------------------------------------------------------------------ Gaussian naive Bayes

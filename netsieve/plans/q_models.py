@@ -55,6 +55,24 @@ register("ml_random_forest")(_model_query(
 register("ml_logistic")(_model_query(
     "logistic_regression", {"max_iter": 1000},
     "Multinomial logistic regression, L2 with C = 1: test-split predictions."))
+_LR_STEPS = 12
+_LR_SQL = "with d as (select uid, ln(1 + orig_pkts) x, (label <> 'benign')::int y from flows_signal),\ns0 as (select 0.0::double w, 0.0::double b)" + "".join(f""",
+p{i} as (select x, y, 1 / (1 + exp(-(w * x + b))) p, w from d, s{i}),
+h{i} as (select sum((p - y) * x) + any_value(w) / 2 gw, sum(p - y) gb, sum(p * (1 - p) * x * x) + 0.5 hww, sum(p * (1 - p) * x) hwb, sum(p * (1 - p)) hbb from p{i}),
+s{i + 1} as (select w - (hbb * gw - hwb * gb) / (hww * hbb - hwb * hwb) w, b - (hww * gb - hwb * gw) / (hww * hbb - hwb * hwb) b from s{i}, h{i})"""
+    for i in range(_LR_STEPS)) + f"\nselect uid, round(1 / (1 + exp(-(w * x + b))), 6) as p from d, s{_LR_STEPS}"
+
+
+@register("ml_logistic_binary", _LR_SQL, ("flows_signal",))
+def q_ml_logistic_binary(spark, sf):
+    """Probability of an attack from one feature (two classes), for all rows; in SQL, Newton steps for
+    the difference of the two classes' coefficients, whose penalty is half as large."""
+    sig = fixtures.flows_signal(spark, sf).select("uid", F.array(F.log1p("orig_pkts")).alias("features"),
+                                                  (F.col("label") != "benign").cast("double").alias("label_idx"))
+    model = M.Logistic().fit(sig)
+    return model.transform(sig).select("uid", F.round(F.col("scores")[1], 6).alias("p"))
+
+
 register("ml_svm")(_model_query(
     "svm", {"kernel": "rbf", "C": 1.0},
     "RBF SVM via random Fourier features + one-vs-rest LinearSVC: test-split predictions."))
