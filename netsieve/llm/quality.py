@@ -1,9 +1,11 @@
 """Operator 9, quality by co-training of two views.
 
 A text-content classifier (words and symbol runs) and a page-metadata classifier (source,
-language, size and layout figures) start from the labelled documents.  In each round each
-labels a pool of unlabelled documents and hands its most confident labels to the other.  The
-views are calibrated on out-of-fold predictions and combined to score all documents.
+language, size and layout figures) start from the labelled documents.  In each round both score
+every unlabelled document; of each class, a view hands the other the documents that it is surest
+of: those above a threshold that comes from a quantile sketch of its scores over all of them.
+The other view is fitted again with a bounded sample of what it was handed.  The views are
+calibrated on out-of-fold predictions and combined to score all documents.
 """
 
 from __future__ import annotations
@@ -12,13 +14,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import _U, code_points, mix, pieces, prepare, text_bytes, word_hashes
-from .linear import best_threshold, bounded_sample, fit_logistic, packed, select_features, sigmoid, take, unpacked, weighted
+from .common import _U, code_points, mix, pieces, prepare, stored, text_bytes, word_hashes
+from .linear import best_threshold, bounded_sample, fit_logistic, packed, select_features, sigmoid, unpacked, weighted
 
-MAX_LABELLED = 6000              # bounds of the training samples
-MAX_POOL = 6000
+MAX_LABELLED = 6000              # bound of the sample of labelled documents
+MAX_HANDED = 1500                # bound of the sample of pseudo-labelled documents a view and class is fitted with
 ROUNDS = 3
-HANDED = 0.05                    # share of the pool each view hands over a round, per class
+HANDED = 0.05                    # share of the unlabelled documents each view hands over, per class, times the round
+SKETCH = 10_000                  # accuracy of the quantiles: within 1 / SKETCH of the share asked for
 CONFIDENT = 0.9
 FOLDS = 4
 META_SLOTS = 1024                # hashed source and language
@@ -92,88 +95,121 @@ def _calibrate(margin, y):
     return float(m.v[0]), m.b
 
 
-def _co_train(xs, widths, y, pool, rounds=ROUNDS):
-    """Models of both views after the rounds; ``xs``: the features per view over labelled then
-    pool rows, ``y`` the labels, ``pool`` the number of pool rows."""
-    n = len(y)
-    total = n + pool
-    known = [np.concatenate([y, np.full(pool, -1.0)]) for _ in xs]      # each view's own labels
-    none = np.zeros((total, 0))
+def _fit(x, width, y):
+    return fit_logistic(x, width, np.zeros((len(y), 0)), y)
 
-    def fit(v):
-        on = known[v] >= 0
-        return fit_logistic(take(xs[v], on), widths[v], none[on], known[v][on])
 
-    models = [fit(v) for v in (0, 1)]
-    hand = int(np.ceil(HANDED * pool))
-    for _ in range(rounds if pool else 0):
-        for v in (0, 1):
-            p = sigmoid(models[v].margin(xs[v], none))
-            free = np.flatnonzero(known[1 - v] < 0)
-            for cls, conf in ((1.0, p), (0.0, 1 - p)):
-                sure = free[conf[free] >= CONFIDENT]
-                sure = sure[np.argsort(-conf[sure], kind="stable")[:hand]]
-                known[1 - v][sure] = cls
-        models = [fit(v) for v in (0, 1)]
-    return models
-
-
-def fit_views(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED, pool: int = MAX_POOL) -> Views:
-    """Co-train on about ``labelled`` documents with a non-null quality (1 good, 0 not) and
-    about ``pool`` documents without, both by a hash of doc_id, one an id."""
+class _Rows:
+    """Features of both views of a bounded sample, and what each row is: its label, fold, and, per
+    view, the class that the other view handed it over with (-1: not)."""
+
+    def __init__(self, got: pa.Table):
+        self.raw = [[got[c].to_pylist() for c in view] for view in (("a", "av"), ("b", "bv"))]
+        self.y, self.fold = np.asarray(got["y"]).astype(float), np.asarray(got["fold"])
+        self.handed = [np.asarray(got[c]) for c in ("to_text", "to_meta")] if "to_text" in got.column_names else []
+
+    def pairs(self, view, rows):
+        values = self.raw[view]
+        return unpacked([values[0][i] for i in rows], [values[1][i] for i in rows])
+
+
+def _joined(one, n, two):
+    """Features (row, feature, value) of ``n`` rows and then of others."""
+    return tuple(np.concatenate([np.asarray(x), np.asarray(y) + (n if i == 0 else 0)]) for i, (x, y) in enumerate(zip(one, two)))
+
+
+def _models(lab: _Rows, rows, handed: _Rows | None, widths):
+    """Both views' models of the labelled ``rows`` and the rows handed over."""
+    out = []
+    for v in (0, 1):
+        x, y = lab.pairs(v, rows), lab.y[rows]
+        if handed is not None:
+            extra = np.flatnonzero(handed.handed[v] >= 0)
+            x, y = _joined(x, len(rows), handed.pairs(v, extra)), np.concatenate([y, handed.handed[v][extra]])
+        out.append(_fit(x, widths[v], y))
+    return out
+
+
+def fit_views(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED, handed: int = MAX_HANDED) -> Views:
+    """Co-train on about ``labelled`` documents with a non-null quality (1 good, 0 not), by a hash of
+    doc_id, one an id, and all others without a label.
+
+    Every unlabelled document is scored in each of ROUNDS rounds and counts in the thresholds; of
+    those above one, about ``handed`` by a hash of the row are fitted with."""
     spark = docs.sparkSession
     # labels are taken by doc_id: of several, one
     lab = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     lab = bounded_sample(lab, labelled, "quality").select(F.col("doc_id").alias("l_id"), (F.col("quality") > 0).cast("int").alias("y"))
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("source").cast("string").alias("source"),
                        F.col("lang").cast("string").alias("lang"))
-    n = base.count()
-    share = min(1.0, pool / max(1, n))
-    in_pool = F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.lit(1 << 30)) < int(share * (1 << 30)))
-    # one row an id, so the bounds hold however often an id repeats
-    sample = (base.join(F.broadcast(lab), F.col("doc_id") == F.col("l_id"), "left").where(F.col("y").isNotNull() | in_pool)
-              .groupBy("doc_id", "y").agg(F.min(F.struct("text", "source", "lang")).alias("d")).select("doc_id", "y", "d.*")
-              .select("text", "source", "lang", F.coalesce("y", F.lit(-1)).alias("y"),
-                      F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).alias("fold")))
-    lookup = select_features(sample.where("y >= 0"))
+    # one row an id, so the bound holds however often an id repeats
+    sample = (base.join(F.broadcast(lab), F.col("doc_id") == F.col("l_id")).groupBy("doc_id", "y")
+              .agg(F.min(F.struct("text", "source", "lang")).alias("d"))
+              .select("d.*", "y", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).alias("fold")))
+    lookup = select_features(sample)
     shared = spark.sparkContext.broadcast(lookup)
+    widths = [max(1, int(lookup.max()) + 1), META_WIDTH]
 
     def extract(batches):
         for b in pieces(batches, "text"):
             text = weighted(b.column(0), shared.value)
             meta = metadata(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(0))
-            yield pa.RecordBatch.from_arrays([*packed(text, b.num_rows), *packed(meta, b.num_rows), b.column(3), b.column(4)],
-                                             names=["a", "av", "b", "bv", "y", "fold"])
-
-    got = sample.mapInArrow(extract, "a binary, av binary, b binary, bv binary, y int, fold long").toArrow()
-    y, fold = np.asarray(got["y"]).astype(float), np.asarray(got["fold"])
-    order = np.argsort(y < 0, kind="stable")                             # labelled first
-    n_lab = int((y >= 0).sum())
-    widths = [max(1, int(lookup.max()) + 1), META_WIDTH]
-    raw = [[got[c].to_pylist() for c in view] for view in (("a", "av"), ("b", "bv"))]
-
-    def pairs(values, rows):
-        return unpacked([values[0][i] for i in rows], [values[1][i] for i in rows])
-
-    labelled_rows, pool_rows = order[:n_lab], order[n_lab:]
-    out = np.zeros((2, n_lab))
+            yield pa.RecordBatch.from_arrays([*packed(text, b.num_rows), *packed(meta, b.num_rows), *b.columns[3:]],
+                                             names=["a", "av", "b", "bv", *b.schema.names[3:]])
+
+    features = "a binary, av binary, b binary, bv binary"
+    train = _Rows(sample.mapInArrow(extract, f"{features}, y int, fold long").toArrow())
+    every = np.arange(len(train.y))
+    free = base.join(F.broadcast(lab.select("l_id")), F.col("doc_id") == F.col("l_id"), "left_anti")
+    key = F.xxhash64("doc_id", "source", "lang", "text")
+    pseudo = None
+    models = _models(train, every, None, widths)
+    one_class = not len(every) or train.y.min() == train.y.max()
+    for r in range(0 if one_class else ROUNDS):
+        now = spark.sparkContext.broadcast(models)
+
+        def score(batches, now=now):
+            text, meta = now.value
+            for b in pieces(batches, "text"):
+                none = np.zeros((b.num_rows, 0))
+                p = [sigmoid(text.margin(weighted(b.column(0), shared.value), none)),
+                     sigmoid(meta.margin(metadata(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(0)), none))]
+                yield pa.RecordBatch.from_arrays([b.column(3), *[pa.array(x.astype(np.float32)) for x in p]], names=["k", "p0", "p1"])
+
+        scored = stored(free.select("text", "source", "lang", key.alias("k")).mapInArrow(score, "k long, p0 float, p1 float"), "quality-scores")
+        share = min(0.5, HANDED * (r + 1))
+        cuts = scored.agg(*[F.percentile_approx(f"p{v}", [share, 1 - share], SKETCH).alias(f"q{v}") for v in (0, 1)], F.count(F.lit(1)).alias("n")).first()
+        if not cuts["n"]:
+            break
+        # what view v is sure of goes to the other view
+        sure = [F.when(F.col(f"p{v}") >= F.lit(float(max(CONFIDENT, cuts[f"q{v}"][1]))), 1)
+                .when(F.col(f"p{v}") <= F.lit(float(min(1 - CONFIDENT, cuts[f"q{v}"][0]))), 0).otherwise(-1) for v in (0, 1)]
+        given = scored.select("k", sure[1].alias("to_text"), sure[0].alias("to_meta"))
+        counts = given.agg(*[F.count_if(F.col(c) == cls).alias(f"{c}{cls}") for c in ("to_text", "to_meta") for cls in (0, 1)]).first()
+        place = F.pmod(F.xxhash64("k", F.lit(f"handed {r}")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        for c in ("to_text", "to_meta"):
+            rate = F.when(F.col(c) == 1, F.lit(handed / max(1, counts[f"{c}1"]))).otherwise(F.lit(handed / max(1, counts[f"{c}0"])))
+            given = given.withColumn(c, F.when((F.col(c) >= 0) & (place < rate), F.col(c)).otherwise(-1))
+        # one row a key: rows that repeat are one here
+        given = given.where("to_text >= 0 or to_meta >= 0").dropDuplicates(["k"])
+        picked = (free.withColumn("k", key).join(F.broadcast(given.withColumnRenamed("k", "g")), F.col("k") == F.col("g"))
+                  .groupBy("k", "to_text", "to_meta").agg(F.min(F.struct("text", "source", "lang")).alias("d"))
+                  .select("d.*", F.lit(-1).alias("y"), F.lit(0).cast("long").alias("fold"), "to_text", "to_meta"))
+        pseudo = _Rows(picked.mapInArrow(extract, f"{features}, y int, fold long, to_text int, to_meta int").toArrow())
+        models = _models(train, every, pseudo, widths)
+    out = np.zeros((2, len(every)))
     for f in range(FOLDS):                                               # out-of-fold margins
-        test = fold[labelled_rows] == f
-        train = np.concatenate([labelled_rows[~test], pool_rows])
-        xs = [pairs(r, train) for r in raw]
-        models = _co_train(xs, widths, y[labelled_rows[~test]], len(pool_rows))
+        test = np.flatnonzero(train.fold == f)
+        part = _models(train, np.flatnonzero(train.fold != f), pseudo, widths)
         for v in (0, 1):
-            k = int(test.sum())
-            out[v, test] = models[v].margin(pairs(raw[v], labelled_rows[test]), np.zeros((k, 0)))
-    truth = y[labelled_rows]
-    cal = [_calibrate(out[v], truth) for v in (0, 1)]
+            out[v, test] = part[v].margin(train.pairs(v, test), np.zeros((len(test), 0)))
+    cal = [_calibrate(out[v], train.y) for v in (0, 1)]
     both = sigmoid(sum(out[v] * cal[v][0] + cal[v][1] for v in (0, 1)) / 2)
-    models = _co_train([pairs(r, order) for r in raw], widths, truth, len(pool_rows))
-    cut = 1 - best_threshold(1 - both, 1 - truth) if n_lab and 0 < truth.sum() < n_lab else 0.5
+    cut = 0.5 if one_class else 1 - best_threshold(1 - both, 1 - train.y)
     return Views(lookup, models[0], models[1], cal[0], cal[1], cut)
 
 
-def quality(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED, pool: int = MAX_POOL) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED, handed: int = MAX_HANDED) -> DataFrame:
     """``doc_id, p_text, p_meta, score, good`` of every whole text: the calibrated views, their
     combination, and whether the score reaches the cut with the best out-of-fold F1 for
     finding poor documents.
@@ -182,7 +218,7 @@ def quality(docs: DataFrame, labels: DataFrame, labelled: int = MAX_LABELLED, po
     without usable labels every score is near 1/2; an empty table gives an empty result; other
     columns are not read."""
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(fit_views(docs, labels, labelled, pool))
+    shared = docs.sparkSession.sparkContext.broadcast(fit_views(docs, labels, labelled, handed))
 
     def run(batches):
         views = shared.value

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,21 +60,47 @@ def test_later_categories_use_earlier_ones(spark):
     assert out.where("first = (a = 1) and second = (b = 1) and third = (c = 1)").count() >= 390
 
 
-def test_co_training_learns_from_the_other_view():
-    rng = np.random.default_rng(0)
-    n, pool = 60, 600
-    truth = rng.integers(0, 2, n + pool).astype(float)
-    views = []
-    for v in range(2):                        # ten features of each class, three shown by a row
-        cols = (truth[:, None] * 10 + rng.integers(0, 10, (n + pool, 3))).astype(np.int64).reshape(-1)
-        rows = np.repeat(np.arange(n + pool), 3)
-        on = (rows >= n) | (v == 0)           # the second view shows nothing of the labelled rows
-        views.append((rows[on], cols[on], np.ones(int(on.sum()))))
+def test_co_training_learns_from_the_other_view(spark, monkeypatch):
+    """Metadata of the labelled documents tells nothing; that of the others follows their class, and
+    only the text view's labels can teach it."""
+    rng = random.Random(0)
+    rows, labels = [], []
+    for i in range(1200):
+        good = rng.random() < 0.5
+        words = [rng.choice([f"good{k}" if good else f"poor{k}" for k in range(10)]) for _ in range(6)]
+        known = i < 80
+        rows.append((i, " ".join(words), "same" if known else ("wiki" if good else "spam"), "en"))
+        if known:
+            labels.append((i, int(good)))
+    truth = {r[0]: "good" in r[1] for r in rows}
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(4)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
 
     def errors(rounds):
-        m = quality._co_train(views, [20, 20], truth[:n], pool, rounds)[1]
-        return int(((linear.sigmoid(m.margin(views[1], np.zeros((n + pool, 0)))) > 0.5) != truth)[n:].sum())
-    assert errors(0) > 0.3 * pool and errors(3) < 0.02 * pool
+        monkeypatch.setattr(quality, "ROUNDS", rounds)
+        views = quality.fit_views(d, lab)                 # before calibration, which the labelled rows could not give
+        rest = rows[80:]
+        x = quality.metadata([r[2] for r in rest], [r[3] for r in rest], pa.array([r[1] for r in rest]))
+        p = linear.sigmoid(views.meta.margin(x, np.zeros((len(rest), 0))))
+        return sum((q > 0.5) != truth[r[0]] for q, r in zip(p, rest))
+    assert errors(0) > 0.3 * 1120 and errors(3) < 0.02 * 1120
+
+
+def test_every_unlabelled_document_counts_in_the_thresholds(spark, monkeypatch):
+    """What is scored in a round is the whole table without the labelled sample, whatever its size."""
+    seen = []
+    keep = quality.stored
+
+    def watch(df, tag):
+        out = keep(df, tag)
+        if tag == "quality-scores":
+            seen.append(out.count())
+        return out
+    monkeypatch.setattr(quality, "stored", watch)
+    d, lab = load(spark, SF1, "documents"), load(spark, SF1, "labels").where("quality is not null")
+    quality.fit_views(d, lab, handed=200)
+    free = d.join(lab.select("doc_id").distinct(), "doc_id", "left_anti").count()
+    assert len(seen) == quality.ROUNDS and all(n == free for n in seen)
 
 
 def test_logistic_and_threshold():
