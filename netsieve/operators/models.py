@@ -21,6 +21,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from .forest import ForestModel, Grower, fit_forest
 from .knn import KNNClassifier
 from .logistic import LogisticModel, fit_multinomial
 
@@ -111,21 +112,30 @@ class _SparkMLModel:
 
 
 class RandomForest(_SparkML):
-    """n_estimators trees; max_depth None grows to Spark's limit of 30, and a depth beyond
-    that is refused.  min_samples_split has no counterpart beyond its default of 2."""
+    """n_estimators trees.  Up to Spark's depth of 30 the forest is Spark ML's; max_depth None (no
+    bound), a larger one or min_samples_split above 2 grows it by subtree hand-off (forest.py)."""
 
     def __init__(self, **params):
         strict("random_forest", params, {
             "n_estimators": None, "max_depth": None, "random_state": None, "seed": None, "min_samples_leaf": None,
-            "min_samples_split": [2], "criterion": ["gini", "entropy"], "max_features": None, **RUN_SETTINGS})
-        depth = params.get("max_depth")
-        if depth is not None and int(depth) > SPARK_MAX_DEPTH:
-            raise ValueError(f"random_forest: max_depth={depth} is beyond Spark's limit of {SPARK_MAX_DEPTH}")
+            "min_samples_split": None, "criterion": ["gini", "entropy"], "max_features": None, "bootstrap": [True, False], **RUN_SETTINGS})
+        split = params.get("min_samples_split", 2)
+        if isinstance(split, float) or split < 2:
+            raise ValueError(f"random_forest: min_samples_split={split!r} is not supported (a whole number from 2)")
         super().__init__(**params)
 
+    def fit(self, df: DataFrame, features: str = "features", label: str = "label_idx"):
+        p = self.params
+        depth = p.get("max_depth")
+        if depth is not None and int(depth) <= SPARK_MAX_DEPTH and p.get("min_samples_split", 2) == 2 and p.get("bootstrap", True):
+            return super().fit(df, features, label)
+        grower = Grower(0, p.get("criterion", "gini"), None if depth is None else int(depth), int(p.get("min_samples_split", 2)),
+                        max(1, int(p.get("min_samples_leaf", 1))), p.get("max_features", "sqrt"), int(p.get("random_state", p.get("seed", 42))))
+        return ForestModel(features, *fit_forest(df, features, label, int(p.get("n_estimators", 100)), grower, p.get("bootstrap", True)))
+
     def _estimator(self, n):
         p = self.params
-        depth = SPARK_MAX_DEPTH if p.get("max_depth") is None else int(p["max_depth"])
+        depth = int(p["max_depth"])
         subset = {None: "all"}.get(p.get("max_features", "sqrt"), str(p.get("max_features", "sqrt")))
         return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), maxDepth=depth,
                                       impurity=p.get("criterion", "gini"), featureSubsetStrategy=subset,

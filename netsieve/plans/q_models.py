@@ -55,6 +55,34 @@ register("ml_random_forest")(_model_query(
 register("ml_logistic")(_model_query(
     "logistic_regression", {"max_iter": 1000},
     "Multinomial logistic regression, L2 with C = 1: test-split predictions."))
+_STUMP_F = ("orig_pkts", "duration")
+_STUMP_SQL = """
+with d as (select uid, label, orig_pkts::double v0, duration::double v1 from flows_signal),
+l as (select 0 f, v0 v, label from d union all select 1, v1, label from d),
+c as (select f, v, label, count(*) n from l group by all),
+t as (select label, count(*) n from d group by label),
+g as (select x.f, x.v, t.label, t.n, sum(coalesce(c.n, 0)) over (partition by x.f, t.label order by x.v) ln
+      from (select distinct f, v from l) x cross join t left join c on c.f = x.f and c.v = x.v and c.label = t.label),
+s as (select f, v, sum(ln * ln)::double / sum(ln) + sum((n - ln) * (n - ln))::double / sum(n - ln) gain from g group by f, v having sum(n - ln) > 0),
+b as (select f, v from s order by round(gain, 9) desc, f, v limit 1),
+e as (select uid, d.label, (case when b.f = 0 then v0 else v1 end) <= b.v side from d, b),
+m as (select side, label, row_number() over (partition by side order by count(*) desc, label) k from e group by side, label)
+select uid, e.label, m.label as predicted from e join m on m.side = e.side and m.k = 1"""
+
+
+@register("ml_decision_stump", _STUMP_SQL, ("flows_signal",))
+def q_ml_decision_stump(spark, sf):
+    """One tree of one split, exact: the best cut of two features over all rows, and the larger class
+    on each side."""
+    sig = fixtures.flows_signal(spark, sf).select("uid", "label", F.array(*[F.col(c).cast("double") for c in _STUMP_F]).alias("features"))
+    classes = label_classes(sig, "label")
+    number = label_index_expr(PrepState("label", [], [], labels=classes), "label")
+    stump = M.RandomForest(n_estimators=1, max_depth=1, bootstrap=False, max_features=None)
+    out = stump.fit(sig.withColumn("label_idx", number)).transform(sig)
+    names = F.array(*[F.lit(c) for c in classes])
+    return out.select("uid", "label", F.element_at(names, (F.col("prediction") + 1).cast("int")).alias("predicted"))
+
+
 _LR_STEPS = 12
 _LR_SQL = "with d as (select uid, ln(1 + orig_pkts) x, (label <> 'benign')::int y from flows_signal),\ns0 as (select 0.0::double w, 0.0::double b)" + "".join(f""",
 p{i} as (select x, y, 1 / (1 + exp(-(w * x + b))) p, w from d, s{i}),
@@ -238,9 +266,12 @@ def q_feature_importance(spark, sf):
 
 @register("project_2d")
 def q_project_2d(spark, sf):
-    """Two principal components of the preprocessed features, with the class."""
-    train, test, _ = signal_frames(spark, sf)
-    allf = train.unionByName(test)
+    """Two principal components of the preprocessed features, with the class, for all rows (of every
+    split; the preprocessor is fitted on the training rows)."""
+    sig = fixtures.flows_signal(spark, sf)
+    parts = split_stratified(sig, "label")
+    prep = Preprocessor("label", SIG_CAT, SIG_NUM).fit(parts.where(F.col("split") == "train"))
+    allf = M.ready_for_fit(prep.transform(parts, keep=["uid"]))
     pca = PCA(k=2, inputCol="features", outputCol="pc").fit(allf)
     arr = vector_to_array("pc")
     return pca.transform(allf).select("uid", F.col("label_idx").alias("label"),

@@ -11,8 +11,8 @@ from netsieve.plans.q_models import FlowSignalNB, signal_frames
 from netsieve.sources.sinks import load_model, load_models, save_model
 
 
-@pytest.mark.parametrize("cfg", [{"nosuch": {}}, {"knn": {"weights": "other"}}, {"gaussian_nb": {"typo": 1}}, {"random_forest": {"max_depth": 40}},
-                                 {"random_forest": {"min_samples_split": 9}}, {"svm": {"kernel": "poly"}}, {"gmm": {"covariance_type": "diag"}},
+@pytest.mark.parametrize("cfg", [{"nosuch": {}}, {"knn": {"weights": "other"}}, {"gaussian_nb": {"typo": 1}}, {"random_forest": {"min_samples_split": 0.5}},
+                                 {"random_forest": {"min_samples_split": 1}}, {"svm": {"kernel": "poly"}}, {"gmm": {"covariance_type": "diag"}},
                                  {"logistic_regression": {"solver": "saga"}}])
 def test_refused(cfg):
     with pytest.raises((ValueError, TypeError)):
