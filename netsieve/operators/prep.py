@@ -21,6 +21,7 @@ from ..session import scratch_dir
 from .rank import BROADCAST_ROWS, positional_index, released, running_sums, track
 
 UNKNOWN = "unknown"
+PARTS = ("numeric", "categorical", "labels")
 LIST_CATEGORIES = 10_000    # categories of a column that the driver holds as a list
 BRACKET = 5e-4              # half width of the percentile bracket, as a share of the rows
 ACCURACY = 10_000           # percentile_approx: rank error 1e-4, inside the bracket
@@ -251,7 +252,7 @@ def label_index_expr(st: PrepState, col: str) -> F.Column:
 def _listed(st: PrepState, what: str) -> None:
     if st.tables:
         raise ValueError(f"{what} needs a name per category; {sorted(st.tables)} have more than {LIST_CATEGORIES}: "
-                         "use the vector form, whose categories are numbered in state.tables")
+                         "use the vector form, feature_table() and onehot_long()")
 
 
 def feature_names(st: PrepState) -> list[str]:
@@ -273,7 +274,12 @@ class Preprocessor:
         self.handle_unknown = handle_unknown
         self.exact_median = exact_median
 
-    def fit(self, df: DataFrame) -> "PreprocessorModel":
+    def fit(self, df: DataFrame, parts=PARTS) -> "PreprocessorModel":
+        """Fit what ``parts`` names: "numeric" (medians, scaler), "categorical" (modes, vocabularies),
+        "labels".  The model knows the columns of those parts only; no statistic of the others is
+        computed and their columns are not read."""
+        if unknown := set(parts) - set(PARTS):
+            raise ValueError(f"unknown parts {sorted(unknown)}; known: {PARTS}")
         if self.target not in df.columns:
             raise ValueError(f"target column {self.target!r} not found")
         d = df
@@ -281,6 +287,7 @@ class Preprocessor:
             d = drop_null_target(d, self.target)
         d = normalise_inputs(d, self.target)
         num, cat = select_features(d, self.target, self.categorical, self.numerical)
+        num, cat = (num if "numeric" in parts else []), (cat if "categorical" in parts else [])
         bools = [c for c in cat if isinstance(d.schema[c].dataType, BooleanType)]
         st = PrepState(self.target, num, cat, bools, handle_unknown=self.handle_unknown)
         with released():
@@ -315,7 +322,8 @@ class Preprocessor:
                     path = scratch_dir(df.sparkSession, "vocabulary")
                     vocabulary(filled, [c]).select("category", "idx").write.parquet(path)
                     st.tables[c] = {"path": path, "n": sizes[c]}
-            st.labels = label_classes(filled, self.target)
+            if "labels" in parts:
+                st.labels = label_classes(filled, self.target)
         return PreprocessorModel(st)
 
 
@@ -341,6 +349,37 @@ class PreprocessorModel:
     def feature_names(self) -> list[str]:
         return feature_names(self.state)
 
+    def feature_table(self, spark) -> DataFrame:
+        """``position, column_name, category, name`` of every element of the features vector, however many
+        there are (category null for a number); the names of :meth:`feature_names` in a table."""
+        st, at = self.state, len(self.state.numeric)
+        out = spark.createDataFrame([(i, c, None, c) for i, c in enumerate(st.numeric)], "position long, column_name string, category string, name string")
+        listed = []
+        for c in st.categorical:
+            if c in st.tables:
+                voc = spark.read.parquet(st.tables[c]["path"])
+                out = out.unionByName(voc.select((F.col("idx") + at).cast("long").alias("position"), F.lit(c).alias("column_name"), "category",
+                                                 F.concat(F.lit(f"{c}_"), "category").alias("name")))
+                at += st.tables[c]["n"]
+            else:
+                listed += [(at + i, c, v, f"{c}_{v}") for i, v in enumerate(st.vocab.get(c, []))]
+                at += len(st.vocab.get(c, []))
+        return out.unionByName(spark.createDataFrame(listed, out.schema))
+
+    def onehot_long(self, df: DataFrame, keep=()) -> DataFrame:
+        """``keep`` columns, ``position, name, value``: the cells of the one-hot columns that are 1, a row a
+        cell, whatever the number of categories (an unseen one has no row)."""
+        d = normalise_inputs(df, None)
+        imp = impute_exprs(d, self.state)
+        cat = [c for c in self.state.categorical if c in imp]
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), imp[c].alias("category")) for c in cat])
+        cells = d.select(*keep, F.explode(pairs).alias("cell")).select(*keep, F.col("cell.column_name").alias("c_name"), F.col("cell.category").alias("c_cat"))
+        names = self.feature_table(df.sparkSession).where(F.col("category").isNotNull())
+        n = sum(len(v) for v in self.state.vocab.values()) + sum(v["n"] for v in self.state.tables.values())
+        names = F.broadcast(names) if n <= BROADCAST_ROWS else names
+        return (cells.join(names, (F.col("c_name") == F.col("column_name")) & (F.col("c_cat") == F.col("category")))
+                .select(*keep, "position", "name", F.lit(1.0).alias("value")))
+
     def transform(self, df: DataFrame, keep=(), features_col: str = "features",
                   label_col: str = "label_idx") -> DataFrame:
         """Assembled output: ``keep`` columns, ``features`` vector (scaled numerics, then

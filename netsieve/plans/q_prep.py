@@ -25,10 +25,10 @@ def _flows(spark, sf):
     return fixtures.flows(spark, sf)
 
 
-def fitted(spark, sf, source=None):
+def fitted(spark, sf, parts=prep.PARTS, source=None):
     """Preprocessor fitted on flows with the default column lists."""
     df = source if source is not None else _flows(spark, sf)
-    return prep.Preprocessor("label", CATEGORICAL, NUMERICAL).fit(df)
+    return prep.Preprocessor("label", CATEGORICAL, NUMERICAL).fit(df, parts)
 
 
 # ---- DuckDB text shared by the oracles -------------------------------------------------
@@ -121,7 +121,7 @@ def q_prep_impute(spark, sf):
     f"else stddev_pop({c}) over () end, 6) as {c}" for c in RAW_NUM) + " from imp", F1)
 def q_prep_scale(spark, sf):
     """(x - mean) / std with the fitted statistics."""
-    m = fitted(spark, sf)
+    m = fitted(spark, sf, ["numeric"])
     return m.scaled_columns(_flows(spark, sf)).select("uid", *[F.round(c, 6).alias(c) for c in RAW_NUM])
 
 
@@ -132,7 +132,7 @@ def _onehot_sql_cols(vocab):
 @register("prep_onehot", "with " + IMP_CTE + " select uid, " + _onehot_sql_cols(VOCAB) + " from imp", F1)
 def q_prep_onehot(spark, sf):
     """One 0/1 column per fitted category (column form of the encoder)."""
-    m = fitted(spark, sf)
+    m = fitted(spark, sf, ["categorical"])
     return m.onehot_frame(_flows(spark, sf), keep=["uid"])
 
 

@@ -137,3 +137,34 @@ def test_large_vocabularies_stay_distributed(spark, monkeypatch, tmpdir_path, un
             vectors(again, new)
     with pytest.raises(ValueError):
         tables.feature_names()
+
+
+@pytest.mark.parametrize("limit", [10_000, 50])
+def test_feature_table_and_long_onehot_of_any_size(spark, monkeypatch, limit):
+    """Names and cells of the column form, also where a list of them is refused."""
+    from netsieve.operators import prep
+    df = spark.createDataFrame([(f"u{i:03d}", float(i), ["x", "y", None][i % 3], i % 2 == 0, "a" if i % 2 else "b") for i in range(200)],
+                               "uid string, a double, c string, flag boolean, label string").withColumn("id", F.col("uid"))
+    lists = Preprocessor("label", ["id", "c", "flag"], ["a"]).fit(df)
+    names = lists.feature_names()
+    wide = {(r["uid"], k) for r in lists.onehot_frame(df, ["uid"]).collect() for k, v in r.asDict().items() if k != "uid" and v == 1.0}
+    monkeypatch.setattr(prep, "LIST_CATEGORIES", limit)
+    m = Preprocessor("label", ["id", "c", "flag"], ["a"]).fit(df)
+    table = m.feature_table(spark).orderBy("position").collect()
+    assert [r["name"] for r in table] == names and [r["position"] for r in table] == list(range(len(names)))
+    cells = m.onehot_long(df, ["uid"])
+    assert {(r["uid"], r["name"]) for r in cells.collect()} == wide and cells.columns == ["uid", "position", "name", "value"]
+    vec = {r["uid"]: list(r["f"]) for r in m.transform(df, keep=["uid"]).select("uid", vector_to_array("features").alias("f")).collect()}
+    assert all(vec[r["uid"]][r["position"]] == 1.0 for r in cells.collect())
+    assert m.onehot_long(df.withColumn("id", F.lit("new")).withColumn("c", F.lit("new")), ["uid"]).select("name").distinct().count() == 2
+
+
+def test_only_the_parts_asked_for_are_fitted(spark):
+    df = spark.createDataFrame([(float(i) if i % 3 else None, "x" if i % 2 else "y", "a") for i in range(30)], "n double, c string, label string")
+    whole = Preprocessor("label", ["c"], ["n"]).fit(df).state
+    num = Preprocessor("label", ["c"], ["n"]).fit(df, ["numeric"]).state
+    cat = Preprocessor("label", ["c"], ["n"]).fit(df, ["categorical"]).state
+    assert (num.means, num.divisors, num.medians) == (whole.means, whole.divisors, whole.medians) and not num.vocab and not num.labels
+    assert cat.vocab == whole.vocab and cat.categorical == ["c"] and not cat.means and not cat.labels
+    with pytest.raises(ValueError, match="unknown parts"):
+        Preprocessor("label").fit(df, ["other"])
