@@ -28,12 +28,15 @@ BUCKET_ROWS = 512                # documents ordered together
 BROADCAST_SOURCES = 10_000
 
 
-def document_sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, key``: words (runs of other than space and \\t..\\r) and the
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def document_sizes(docs: DataFrame, keep=()) -> DataFrame:
+    """``doc_id, source, size, key`` and ``keep``: words (runs of other than space and \\t..\\r) and the
     shuffle key of every document; null texts have size 0."""
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.lit(f"|{SEED}")))
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-                       .cast("long").alias("size"), key.alias("key"))
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
+                       .cast("long").alias("size"), key.alias("key"), *keep)
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, block: int = BLOCK_WORDS) -> DataFrame:
@@ -150,3 +153,38 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block: in
                   F.sum(F.col("words") * F.coalesce("times", F.lit(0))).cast("long").alias("taken")))
     empty = placed.where(F.col("size") == 0).select(*out, F.lit(0).cast("long").alias("taken"))
     return taken.select(*out, "taken").unionByName(empty)
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, block: int = BLOCK_WORDS) -> DataFrame:
+    """The mix itself: ``slot, place, doc_id, source, n_words, text``, a row a piece of a document in a
+    slot.
+
+    Slots are joined to the blocks of equal words that :func:`slot_schedule` names for them; in order of
+    slot and place (of a piece's first word in its block) the texts are the mix.  A piece is the words of
+    a document that fall into a block, with single spaces between them, so the words taken of a document
+    are those that :func:`mix_report` counts.  Null and empty texts have no piece; a null source is a
+    source; repeated rows are separate documents; an empty table gives an empty result; other columns
+    are not read.  Texts are cut before the join, which is on (source, block), so a hot source spreads
+    over all tasks."""
+    spark = docs.sparkSession
+    prepare(spark)
+    sizes = stored(document_sizes(docs, keep=("text",)), "mix-texts")
+    targets = stored(source_targets(sizes, weights, share, block), "mix-targets")
+    n_sources, slots = targets.agg(F.count(F.lit(1)), F.sum("slots")).first()
+    schedule = (slot_schedule(targets, int(math.floor((slots or 0.0) + 0.5)), n_sources)
+                .where(F.col("epoch") < MAX_REPEAT).select("slot", "src", "block"))
+    placed = document_places(sizes, targets, sizes.count(), n_sources).where(F.col("size") > 0)
+    end = F.col("at") + F.col("size")
+
+    def piece(b):
+        first = F.greatest(F.col("at"), b * block)
+        n = (F.least(end, (b + 1) * block) - first).cast("int")
+        return F.struct(b.alias("block"), (first - b * block).alias("place"), n.alias("n_words"),
+                        F.array_join(F.slice("words", (first - F.col("at") + 1).cast("int"), n), " ").alias("text"))
+
+    blocks = F.sequence(F.floor(F.col("at") / block), F.floor((end - 1) / block))
+    pieces = (placed.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+              .select("src", "doc_id", "source", F.explode(F.transform(blocks, piece)).alias("p"))
+              .select("src", "doc_id", "source", "p.*"))
+    return (schedule.join(pieces, ["src", "block"])
+            .select("slot", "place", "doc_id", "source", F.col("n_words").cast("long").alias("n_words"), "text"))

@@ -93,3 +93,32 @@ def test_edges(spark):
     assert any(r["source"] is None for r in out)
     assert mixing.mix_report(docs(spark, awkward()).where("false")).count() == 0
     assert [r["taken"] for r in mixing.mix_report(docs(spark, ["", None])).collect()] == [0, 0]
+
+
+def test_the_mix_holds_the_words_that_are_counted(spark):
+    """Pieces in order of slots: whole blocks, the documents' own words, as many of each as mix_report takes."""
+    from netsieve.llm import mixing
+    from netsieve.llm.common import load
+    from llm_fixtures import SF001, awkward, docs
+    for d in (load(spark, SF001, "documents"), docs(spark, awkward(3000)), docs(spark, awkward(10)).where("false")):
+        mix = mixing.mixed(d).collect()
+        text = {}
+        for r in d.select("doc_id", "text").collect():
+            text.setdefault(r["doc_id"], []).append([w for w in re.split(r"[\x20\x09-\x0D]+", r["text"] or "") if w])
+        taken = {}
+        for r in mix:
+            words = r["text"].split(" ")
+            assert len(words) == r["n_words"] > 0
+            assert any(words == w[i:i + len(words)] for w in text[r["doc_id"]] for i in range(len(w)) if w[i] == words[0])
+            taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["n_words"]
+        want = {}
+        for r in mixing.mix_report(d).collect():
+            want[r["doc_id"]] = want.get(r["doc_id"], 0) + r["taken"]
+        assert taken == {k: v for k, v in want.items() if v}
+        # a slot holds one block: its pieces follow each other without a gap
+        by_slot = {}
+        for r in mix:
+            by_slot.setdefault(r["slot"], []).append((r["place"], r["n_words"]))
+        for slot in by_slot.values():
+            slot.sort()
+            assert slot[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(slot, slot[1:]))
