@@ -320,7 +320,7 @@ class ForestModel:
     """Trees by node; ``scores`` are the mean class shares of the leaves reached."""
 
     def __init__(self, features: str, classes, trees):
-        self.features, self.classes, self.trees = features, np.asarray(classes, float), trees
+        self.features, self.class_values, self.trees = features, np.asarray(classes, float), trees
 
     def _flat(self):
         """Trees as arrays: feature, threshold, left child, right child, class shares."""
@@ -335,7 +335,7 @@ class ForestModel:
         return flat
 
     def transform(self, df: DataFrame) -> DataFrame:
-        flat, classes = df.sparkSession.sparkContext.broadcast(self._flat()), self.classes
+        flat, classes = df.sparkSession.sparkContext.broadcast(self._flat()), self.class_values
         width = int(classes.max()) + 1 if (classes == classes.astype(int)).all() and classes.min() >= 0 else None
 
         @F.arrow_udf("array<double>")
@@ -375,7 +375,7 @@ class ForestModel:
         return total / total.sum() if total.sum() else total
 
     def state(self) -> dict:
-        return {"features": self.features, "classes": self.classes.tolist(),
+        return {"features": self.features, "classes": self.class_values.tolist(),
                 "trees": [[[str(v), *t[v]] for v in sorted(t)] for t in self.trees]}
 
     @classmethod

@@ -187,14 +187,14 @@ def fit_multinomial(df: DataFrame, features: str, label: str, c: float = 1.0, pe
 
 
 class LogisticModel:
-    """Coefficients by class; ``scores`` are the class probabilities."""
+    """Coefficients by class; ``scores`` are the class probabilities by class index."""
 
     def __init__(self, features: str, classes, coefficients, intercepts, steps: int = 0):
-        self.features, self.classes = features, np.asarray(classes, float)
+        self.features, self.class_values = features, np.asarray(classes, float)
         self.coefficients, self.intercepts, self.steps = np.asarray(coefficients, float), np.asarray(intercepts, float), steps
 
     def transform(self, df: DataFrame) -> DataFrame:
-        w, b, classes = self.coefficients, self.intercepts, self.classes
+        w, b, classes = self.coefficients, self.intercepts, self.class_values
         # one score an index up to the largest class, as a list of classes 0 .. k - 1 has
         width = int(classes.max()) + 1 if len(classes) and (classes == classes.astype(int)).all() and classes.min() >= 0 else None
 
@@ -220,7 +220,7 @@ class LogisticModel:
         return np.abs(self.coefficients).mean(axis=0)
 
     def state(self) -> dict:
-        return {"features": self.features, "classes": self.classes.tolist(), "coefficients": self.coefficients.tolist(),
+        return {"features": self.features, "classes": self.class_values.tolist(), "coefficients": self.coefficients.tolist(),
                 "intercepts": self.intercepts.tolist(), "steps": self.steps}
 
     @classmethod
