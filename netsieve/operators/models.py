@@ -4,8 +4,8 @@ scores classes, ``scores`` (ARRAY<DOUBLE>, one per class index).
 
 random_forest: Spark ML.  logistic_regression: Newton steps (logistic.py).  gaussian_nb: class statistics from one
 aggregate, scoring by column expressions.  knn: see knn.py.  svm: random Fourier
-features (RBF kernel approximation) + one-vs-rest LinearSVC.  gmm: one Spark ML
-GaussianMixture per class, scored as a mixture log-density in an Arrow UDF.
+features (RBF kernel approximation) + one-vs-rest LinearSVC.  gmm: EM of a mixture per class
+(mixture.py), scored as a mixture log-density in an Arrow UDF.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import (LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -24,6 +23,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from .forest import ForestModel, Grower, fit_forest
 from .knn import KNNClassifier
 from .logistic import LogisticModel, fit_multinomial
+from .mixture import fit_mixtures, starts
 
 SPARK_MAX_DEPTH = 30
 
@@ -354,67 +354,30 @@ def _gmm_score_udf(params):
 
 
 class GMMClassifier:
-    """One Gaussian mixture per class (components = min(n_components, class rows));
-    class score = mixture log density (covariance + 1e-6 on the diagonal, as the
-    reference's estimator regularises); softmax over classes; argmax (uniform priors)."""
+    """One Gaussian mixture per class (components = min(n_components, different class rows)),
+    fitted by EM for all classes at once (mixture.py); class score = mixture log density
+    (``reg_covar`` on the diagonal of every covariance); softmax over classes; argmax (uniform
+    priors).  Rows without a class are left out."""
 
     def __init__(self, n_components: int = 5, reg_covar: float = 1e-6, max_iter: int = 100,
-                 random_state: int = 42, parallelism: int = 4, covariance_type: str = "full"):
+                 random_state: int = 42, tol: float = 1e-3, covariance_type: str = "full"):
         strict("gmm", {"covariance_type": covariance_type}, {"covariance_type": ["full"]})
-        self.k, self.reg, self.max_iter, self.seed = int(n_components), reg_covar, max_iter, random_state
-        self.parallelism = int(parallelism)
+        self.k, self.reg, self.max_iter, self.seed = int(n_components), reg_covar, int(max_iter), random_state
+        self.tol = float(tol)
 
     def fit(self, df: DataFrame, features="features", label: str = "label_idx"):
-        """The per-class mixtures are independent chains of small EM jobs; they are fitted
-        from driver threads (as OneVsRest's ``parallelism``) so they share the executors.
-        Each fit is seeded, so the result does not depend on the interleaving."""
-        from concurrent.futures import ThreadPoolExecutor
-        from pyspark.util import inheritable_thread_target
-        counts = {r[0]: int(r[1]) for r in df.groupBy(label).count().collect()}
-        classes = sorted(counts)
-
-        def one(c):
-            part = df.where(F.col(label) == c).select(features)
-            k = max(1, min(self.k, counts[c]))
-            comps = []
-            if k == 1:
-                mu, cov = _moments(part, features)
-                comps.append((0.0, mu, cov + self.reg * np.eye(len(mu))))
-            else:
-                gm = GaussianMixture(k=k, featuresCol=features, maxIter=self.max_iter, seed=self.seed).fit(part)
-                w = gm.weights
-                for j, g in enumerate(gm.gaussians):
-                    mu = np.array(g.mean.toArray())
-                    cov = np.array(g.cov.toArray())
-                    comps.append((math.log(max(w[j], 1e-300)), mu, cov + self.reg * np.eye(len(mu))))
-            return comps
-
-        with ThreadPoolExecutor(max_workers=max(1, min(len(classes), self.parallelism))) as pool:
-            params = list(pool.map(inheritable_thread_target(one), classes))
-        return GMMModel(classes, params, features)
-
-
-def _moments(part: DataFrame, features: str):
-    """Mean and population covariance: the mean first, then one Arrow pass of centred outer
-    products, summed per cell (d x d rows reach the driver)."""
-    from pyspark.ml.stat import Summarizer
-    row = part.select(Summarizer.metrics("count", "mean").summary(F.col(features)).alias("s")).first()
-    n, mu = row["s"]["count"], row["s"]["mean"].toArray()
-    d = len(mu)
-
-    def outer(batches):
-        total = np.zeros((d, d))
-        for b in batches:
-            x = np.stack(b["x"].to_numpy()).astype(np.float64) - mu
-            total += x.T @ x
-        yield pd.DataFrame({"cell": np.arange(d * d), "v": total.reshape(-1)})
-
-    cells = (part.select(vector_to_array(features).alias("x")).mapInPandas(outer, "cell long, v double")
-             .groupBy("cell").agg(F.sum("v").alias("v")).collect())
-    cov = np.zeros(d * d)
-    for r in cells:
-        cov[r["cell"]] = r["v"] / n
-    return mu, cov.reshape(d, d)
+        rows = df.where(F.col(label).isNotNull()).select(vector_to_array(features).alias("x"),
+                                                         F.col(label).cast("double").alias("y"))
+        found = fit_mixtures(rows, starts(rows, self.k, self.reg, self.seed), self.reg, self.max_iter, self.tol)
+        return gmm_model(found, features)
+
+
+def gmm_model(mixtures: dict, features: str = "features") -> "GMMModel":
+    """The classifier of fitted mixtures, {class: Gaussians}."""
+    classes = sorted(mixtures)
+    params = [[(math.log(max(w, 1e-300)), mu, cov) for w, mu, cov in zip(m.weights, m.means, m.covs)]
+              for m in (mixtures[c] for c in classes)]
+    return GMMModel(classes, params, features)
 
 
 class GMMModel:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import fixtures
 from ..operators import models as M
 from ..operators.knn import KNNClassifier
+from ..operators.mixture import Gaussians, fit_mixtures
 from ..operators.prep import Preprocessor, PrepState, label_classes, label_index_expr
 from ..operators.split import split_stratified
 from ..operators.tuning import grid_search
@@ -132,6 +133,38 @@ def q_ml_gmm_single(spark, sf):
     return model.transform(sig).select("uid", "label", F.element_at(names, (F.col("prediction") + 1).cast("int")).alias("predicted"))
 
 
+_EM_STEPS = 8
+_EM_SQL = """
+with d as (select uid, label, ln(1 + orig_pkts) x from flows_signal),
+a as (select label, avg(x) m, var_pop(x) v from d group by label),
+s0 as (select label, j, 0.5::double w, m + j * sqrt(v) m, v + 1e-6 v from a, (values (-1), (1)) t(j))""" + "".join(f""",
+e{i} as (select d.uid, d.label, s.j, x, s.m, ln(s.w) - 0.5 * (ln(2 * pi() * s.v) + (x - s.m) ** 2 / s.v) q from d join s{i} s using (label)),
+r{i} as (select label, j, x, m, exp(q - max(q) over (partition by uid)) / sum(exp(q)) over (partition by uid) * exp(max(q) over (partition by uid)) r from e{i}),
+t{i} as (select label, j, any_value(m) m, sum(r) n, sum(r * (x - m)) / sum(r) g, sum(r * (x - m) ** 2) / sum(r) h from r{i} group by label, j),
+s{i + 1} as (select label, j, n / sum(n) over (partition by label) w, m + g m, h - g * g + 1e-6 v from t{i})"""
+    for i in range(_EM_STEPS)) + f"""
+, c as (select label, j, w, m, v from s{_EM_STEPS})
+select label, cast(row_number() over (partition by label order by j) - 1 as int) as component,
+  round(w, 6) as weight, round(m, 6) as mean, round(v, 6) as var from c"""
+
+
+@register("ml_gmm_em", _EM_SQL, ("flows_signal",))
+def q_ml_gmm_em(spark, sf):
+    """Eight EM steps of two components a class over one feature, all classes in one pass a step, from
+    starts one deviation below and above the class mean."""
+    sig = fixtures.flows_signal(spark, sf).withColumn("x", F.log1p("orig_pkts"))
+    classes = label_classes(sig, "label")
+    number = label_index_expr(PrepState("label", [], [], labels=classes), "label")
+    rows = sig.select(F.array("x").alias("x"), number.cast("double").alias("y"))
+    at = rows.groupBy("y").agg(F.avg(F.col("x")[0]).alias("m"), F.var_pop(F.col("x")[0]).alias("v")).collect()
+    start = {r["y"]: Gaussians([0.5, 0.5], [[r["m"] - r["v"] ** 0.5], [r["m"] + r["v"] ** 0.5]], [[[r["v"] + 1e-6]]] * 2)
+             for r in at}
+    found = fit_mixtures(rows, start, max_iter=_EM_STEPS, tol=float("-inf"))
+    return spark.createDataFrame(
+        [(classes[int(c)], j, round(float(g.weights[j]), 6), round(float(g.means[j, 0]), 6), round(float(g.covs[j, 0, 0]), 6))
+         for c, g in found.items() for j in range(2)], "label string, component int, weight double, mean double, var double")
+
+
 _NB_SQL = """
 with d as (select uid, label, """ + ", ".join(SIG_NUM) + """ from flows_signal),
 st as (select label, count(*) as n, """ + ", ".join(
