@@ -18,6 +18,7 @@ from .common import pieces, prepare, stored
 
 CACHE_SCHEMA = StructType([StructField("digest", StringType()), StructField("n_bytes", LongType()),
                            StructField("n_tokens", LongType()), StructField("tokenizer", StringType())])
+BROADCAST_MISSES = 200_000       # digests of 64 bytes
 ENCODE_BYTES = 128 * 1024        # of text encoded at once: an encoding takes many times its text
 _LOADED: dict = {}
 
@@ -65,6 +66,24 @@ def read_cache(spark: SparkSession, cache_path: str, tokenizer: str) -> DataFram
             .groupBy("digest").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens")))
 
 
+def missing_texts(docs: DataFrame, cache: DataFrame | None) -> DataFrame | None:
+    """Distinct ``digest, text`` of ``docs`` whose digest is not in ``cache``; None if all are.
+
+    What is missing is found from digests alone.  Up to BROADCAST_MISSES missing digests pick their
+    texts in the scan, so only those move; more are met where the distinct texts lie."""
+    distinct = docs.select("digest", "text").dropDuplicates(["digest"])
+    if cache is None:
+        return distinct
+    missing = stored(docs.select("digest").distinct().join(cache.select("digest"), "digest", "left_anti"), "token-misses")
+    n = missing.count()
+    if not n:
+        return None
+    if n > BROADCAST_MISSES:
+        return distinct.join(missing.hint("shuffle_merge"), "digest", "left_semi")
+    return (docs.select("digest", "text").join(F.broadcast(missing), "digest", "left_semi")
+            .dropDuplicates(["digest"]))
+
+
 def fill_cache(docs: DataFrame, cache_path: str, vocabulary: str) -> DataFrame:
     """Encode the distinct contents of ``docs`` (columns ``digest, text``) that the cache
     lacks and append their counts; returns the cache of this tokenizer version."""
@@ -80,9 +99,9 @@ def fill_cache(docs: DataFrame, cache_path: str, vocabulary: str) -> DataFrame:
                 pa.array(count(texts), pa.int64()), pa.array([tok] * len(texts), pa.string())],
                 names=CACHE_SCHEMA.names)
 
-    distinct = docs.select("digest", "text").dropDuplicates(["digest"])
-    if _exists(spark, cache_path):
-        distinct = distinct.join(read_cache(spark, cache_path, tok).select("digest"), "digest", "left_anti")
+    distinct = missing_texts(docs, read_cache(spark, cache_path, tok) if _exists(spark, cache_path) else None)
+    if distinct is None:
+        return read_cache(spark, cache_path, tok)
     distinct.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").partitionBy("tokenizer").parquet(cache_path)
     return read_cache(spark, cache_path, tok)
 
@@ -93,7 +112,8 @@ def token_counts(docs: DataFrame, vocabulary: str, cache_path: str, limit: int =
     The normalised content is the text itself, null as empty (any other normalisation could
     change the count); its digest is SHA-256.  A repeated content is encoded once, a
     repeated row is counted each time; an empty table gives an empty result; other columns
-    are not read.  The content is shuffled by digest once, after map-side de-duplication, so
+    are not read.  With a cache, digests alone are moved to find the misses.  Their content is
+    shuffled by digest once, after map-side de-duplication, so
     a third of all rows with one text is one row a task; the last join reads the run's counts
     as a written table, so that adaptive execution can split a hot digest.
     """

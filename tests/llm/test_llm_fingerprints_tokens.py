@@ -123,3 +123,23 @@ def test_other_tokenizers_keep_their_own_counts(spark):
     a = tokens.token_counts(d, queries.vocabulary("byte_bpe_50k.json"), cache).first()["n_tokens"]
     b = tokens.token_counts(d, queries.vocabulary("piece_bpe_32k.model"), cache).first()["n_tokens"]
     assert [a, b] == [brute_counts(["some Text to count, twice"], n)[0] for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+
+
+def test_only_misses_move_their_text(spark, monkeypatch):
+    cache = scratch_dir(spark, "test-cache")
+    vocabulary = queries.vocabulary("byte_bpe_50k.json")
+    known, new = [f"known text {i % 7}" for i in range(40)], ["new one", "new two", "new one"]
+    tokens.token_counts(docs(spark, known), vocabulary, cache).collect()
+    stored = tokens.read_cache(spark, cache, tokens.tokenizer_digest(vocabulary))
+
+    def keyed(texts):
+        return docs(spark, texts).select(F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text")
+
+    assert tokens.missing_texts(keyed(known), stored) is None       # no text is looked at
+    few = tokens.missing_texts(keyed(known + new), stored)
+    assert sorted(r["text"] for r in few.collect()) == ["new one", "new two"]
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")   # joined below the shuffle
+    monkeypatch.setattr(tokens, "BROADCAST_MISSES", 1)
+    many = tokens.missing_texts(keyed(known + new), stored)
+    assert sorted(r["text"] for r in many.collect()) == ["new one", "new two"]
