@@ -124,7 +124,8 @@ def test_ready_for_fit_raises_partitions(spark):
 
 
 def test_covariance_does_not_cancel(spark):
-    from pyspark.ml.functions import array_to_vector
-    df = spark.range(1000).select(array_to_vector(F.array((F.col("id") % 2 + 1e9).cast("double"), (F.col("id") % 5).cast("double"))).alias("f"))
-    mu, cov = M._moments(df, "f")
+    from netsieve.operators.mixture import fit_mixtures, starts
+    df = spark.range(1000).select(F.array((F.col("id") % 2 + 1e9).cast("double"), (F.col("id") % 5).cast("double")).alias("x"),
+                                  F.lit(0.0).alias("y"))
+    cov = fit_mixtures(df, starts(df, 1, reg=0.0), reg=0.0)[0.0].covs[0]
     assert cov[0, 0] == pytest.approx(0.25, rel=1e-9) and cov[1, 1] == pytest.approx(2.0, rel=1e-9)
