@@ -112,22 +112,48 @@ def model_scores_long(pred: DataFrame, classes, actual: str = "label_idx", score
     return score_matrix_long(wide, cols, actual, keep)
 
 
+def _score_steps(scores: DataFrame, class_col, score_col, pos_col, **kw) -> DataFrame:
+    """Positives and negatives of each distinct score with their running sums and totals."""
+    agg = (scores.where(F.col(score_col).isNotNull()).groupBy(class_col, score_col)
+                 .agg(F.sum(pos_col).cast("long").alias("pos"),
+                      F.sum(F.lit(1) - F.col(pos_col)).cast("long").alias("neg")))
+    return running_sums(agg, [F.col(score_col).desc()], ["pos", "neg"], [class_col], total_prefix="all_", **kw)
+
+
 def roc_curve(scores: DataFrame, class_col="class", score_col="score", pos_col="is_pos") -> DataFrame:
     """One-vs-rest ROC per class: at each distinct score (descending) the true and false
     positives at or above it, and their rates (null for a class without positives or
     negatives).  Ties are merged by one aggregate; the running sums are range-partitioned,
     so a class with billions of distinct scores is not put on one task, and the class totals
     come from the same statistics.  Rows without a score are left out."""
-    agg = (scores.where(F.col(score_col).isNotNull()).groupBy(class_col, score_col)
-                 .agg(F.sum(pos_col).cast("long").alias("pos"),
-                      F.sum(F.lit(1) - F.col(pos_col)).cast("long").alias("neg")))
-    cum = running_sums(agg, [F.col(score_col).desc()], ["pos", "neg"], [class_col], total_prefix="all_")
+    cum = _score_steps(scores, class_col, score_col, pos_col)
     return cum.select(class_col, F.col(score_col).alias("threshold"), "pos", "neg",
                       F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps"),
                       F.try_divide(F.col("cum_pos"), F.col("all_pos")).alias("tpr"),
                       F.try_divide(F.col("cum_neg"), F.col("all_neg")).alias("fpr"))
 
 
+def roc_points(scores: DataFrame, class_col="class", score_col="score", pos_col="is_pos") -> DataFrame:
+    """The curve as it is drawn: (class, threshold, tps, fps, tpr, fpr) from the start (0, 0), at
+    threshold infinity, through the points where its direction changes to the last one.
+
+    A point is left out where the step to it and the step from it are equal (the same positives
+    and the same negatives): it lies on the line between its neighbours, so the drawn curve and
+    its area stay.  The step from a point is the next point's counts, which lie in the next
+    range for the last row of a range.  Rows without a score are left out; a class without
+    positives or negatives has null rates."""
+    c = _score_steps(scores, class_col, score_col, pos_col, next_cols=["pos", "neg"])
+    first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+    turns = F.col("next_pos").isNull() | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+    zero = F.lit(0).cast("long")
+    start = F.struct(F.lit(float("inf")).alias("threshold"), zero.alias("tps"), zero.alias("fps"))
+    here = F.struct(F.col(score_col).cast("double").alias("threshold"), F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps"))
+    points = (c.where(first | turns).withColumn("_p", F.explode(F.when(first, F.array(start, here)).otherwise(F.array(here))))
+              .select(class_col, "all_pos", "all_neg", "_p.*"))
+    return points.select(class_col, "threshold", "tps", "fps", F.try_divide("tps", "all_pos").alias("tpr"),
+                         F.try_divide("fps", "all_neg").alias("fpr"))
+
+
 def roc_auc(curve: DataFrame, class_col="class") -> DataFrame:
     """Trapezoid area from (0, 0) through every curve point: each point adds
     neg * (2 * tps - pos) / (2 P N); a plain aggregate, no ordered pass.  Null for a class

@@ -180,31 +180,77 @@ def _local_sums(srt: DataFrame, group_cols, sum_cols) -> DataFrame:
     return srt.mapInPandas(run, schema)
 
 
+def _local_next(srt: DataFrame, group_cols, cols) -> DataFrame:
+    """Add ``_rs_n_<c>``: the value of ``cols`` in the next row of the same group and partition
+    of ``srt`` (null in the last one).  One pass over the Arrow batches, a row held back."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql.types import StructField, StructType
+
+    schema = StructType(list(srt.schema.fields) + [StructField(f"_rs_n_{c}", srt.schema[c].dataType) for c in cols])
+    groups, names = list(group_cols), list(cols)
+
+    def with_next(rows: pa.RecordBatch, after: pa.RecordBatch) -> pa.RecordBatch:
+        same = pa.array([True] * rows.num_rows)
+        for g in groups:
+            a, b = rows.column(g), after.column(g)
+            both_null = pc.and_(pc.is_null(a), pc.is_null(b))
+            same = pc.and_(same, pc.or_(pc.fill_null(pc.equal(a, b), False), both_null))
+        new = [pc.if_else(same, after.column(c), pa.scalar(None, after.column(c).type)) for c in names]
+        return pa.RecordBatch.from_arrays(rows.columns + new, names=schema.names)
+
+    def run(batches):
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if held is not None:
+                yield with_next(held, b.slice(0, 1))
+            if b.num_rows > 1:
+                yield with_next(b.slice(0, b.num_rows - 1), b.slice(1))
+            held = b.slice(b.num_rows - 1)
+        if held is not None:
+            none = [pa.nulls(1, held.column(c).type) for c in names]
+            yield pa.RecordBatch.from_arrays(held.columns + none, names=schema.names)
+
+    return srt.mapInArrow(run, schema)
+
+
 def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups: int | None = None,
                  num_partitions: int | None = None, prefix: str = "cum_",
-                 total_prefix: str | None = None) -> DataFrame:
+                 total_prefix: str | None = None, next_cols=(), next_prefix: str = "next_") -> DataFrame:
     """Inclusive running sums of ``sum_cols`` within each group under ``order_cols`` (a
     total order).  Same device as :func:`positional_index`: range partitions, a sum per
     (group, partition), offsets from the small statistics, local sums inside each range.
-    With ``total_prefix``, each row also gets its group's totals (from the statistics)."""
+    With ``total_prefix``, each row also gets its group's totals (from the statistics).  With
+    ``next_cols`` (columns without nulls) it gets their values in the group's next row: inside a
+    range by looking one row ahead, over its edge from the first rows of the ranges, which are
+    part of the statistics."""
+    next_cols = list(next_cols)
     group_cols = list(group_cols)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(c) for c in group_cols] + order
     n = _parts(df, num_partitions)
     srt = track(_range(df, keys, num_partitions).sortWithinPartitions(*keys)
                 .withColumn("_rs_pid", F.spark_partition_id()))
-    stats = srt.groupBy(*group_cols, "_rs_pid").agg(*[F.sum(c).alias(f"_rs_t_{c}") for c in sum_cols])
+    if next_cols:
+        srt = srt.withColumn("_rs_id", F.monotonically_increasing_id())
+    stats = srt.groupBy(*group_cols, "_rs_pid").agg(
+        *[F.sum(c).alias(f"_rs_t_{c}") for c in sum_cols],
+        *([F.min_by(F.struct(*next_cols), F.col("_rs_id")).alias("_rs_first")] if next_cols else []))
     before = Window.partitionBy(*group_cols).orderBy("_rs_pid").rowsBetween(Window.unboundedPreceding, -1)
     sel = [F.col(g).alias(f"_rs_g{i}") for i, g in enumerate(group_cols)] + [F.col("_rs_pid").alias("_rs_spid")]
     sel += [F.coalesce(F.sum(f"_rs_t_{c}").over(before), F.lit(0)).alias(f"_rs_o_{c}") for c in sum_cols]
     if total_prefix:
         whole = Window.partitionBy(*group_cols)
         sel += [F.sum(f"_rs_t_{c}").over(whole).alias(f"_rs_T_{c}") for c in sum_cols]
+    if next_cols:
+        sel.append(F.lead("_rs_first").over(Window.partitionBy(*group_cols).orderBy("_rs_pid")).alias("_rs_edge"))
     checkpoint_root(df.sparkSession)
     stats = stats.select(*sel).checkpoint(eager=True)
     if n_groups is not None and n + n_groups <= BROADCAST_ROWS:
         stats = F.broadcast(stats)
-    local = _local_sums(srt, group_cols, sum_cols)
+    local = _local_sums(_local_next(srt, group_cols, next_cols) if next_cols else srt, group_cols, sum_cols)
     cond = F.col("_rs_pid") == F.col("_rs_spid")
     for i, g in enumerate(group_cols):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_rs_g{i}"))
@@ -212,4 +258,5 @@ def running_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), *, n_groups
     totals = [F.col(f"_rs_T_{c}").alias(f"{total_prefix}{c}") for c in sum_cols] if total_prefix else []
     return j.select(*[F.col(c) for c in df.columns],
                     *[(F.col(f"_rs_o_{c}") + F.col(f"_rs_l_{c}")).alias(f"{prefix}{c}") for c in sum_cols],
-                    *totals)
+                    *totals,
+                    *[F.coalesce(F.col(f"_rs_n_{c}"), F.col(f"_rs_edge.{c}")).alias(f"{next_prefix}{c}") for c in next_cols])

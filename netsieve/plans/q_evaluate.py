@@ -182,6 +182,19 @@ def q_roc_curve(spark, sf):
                       r6("tpr").alias("tpr"), r6("fpr").alias("fpr"))
 
 
+@register("roc_points", "with " + _SCORES_SQL + ", " + _curve_sql("class") +
+          ", w as (select *, row_number() over o as rn, lead(pos) over o as npos, lead(neg) over o as nneg from c "
+          "window o as (partition by class order by score desc)), "
+          "p as (select class, cast(score as double) as threshold, tps, fps, p_all, n_all from w "
+          "where rn = 1 or npos is null or npos <> pos or nneg <> neg union all "
+          "select class, cast('infinity' as double), 0, 0, p_all, n_all from w where rn = 1) "
+          "select class, threshold, tps, fps, round(tps / p_all, 6) as tpr, round(fps / n_all, 6) as fpr from p", F2)
+def q_roc_points(spark, sf):
+    """The drawn curve per class: from (0, 0), without the points between equal steps."""
+    cur = ev.roc_points(class_scores(spark, sf))
+    return cur.select("class", "threshold", "tps", "fps", r6("tpr").alias("tpr"), r6("fpr").alias("fpr"))
+
+
 @register("roc_auc", "with " + _SCORES_SQL + ", " + _curve_sql("class") +
           " select class, round(sum(neg * (2 * tps - pos)) / (2 * max(p_all) * max(n_all)), 6) as auc "
           "from c group by class", F2)

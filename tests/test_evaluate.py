@@ -62,3 +62,49 @@ def test_roc_of_fitted_models(spark):
     neg.sort()
     wins = sum(bisect.bisect_left(neg, p) + (bisect.bisect_right(neg, p) - bisect.bisect_left(neg, p)) / 2 for p in pos)
     assert auc["scan"] == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-9)
+
+
+def drawn(scores):
+    """Points of one class, by plain loops: (threshold, tps, fps)."""
+    steps = {}
+    for s, y in scores:
+        p, n = steps.get(s, (0, 0))
+        steps[s] = (p + y, n + 1 - y)
+    keys, out, t, f = sorted(steps, reverse=True), [(float("inf"), 0, 0)], 0, 0
+    for i, k in enumerate(keys):
+        t, f = t + steps[k][0], f + steps[k][1]
+        if i in (0, len(keys) - 1) or steps[k] != steps[keys[i + 1]]:
+            out.append((k, t, f))
+    return out
+
+
+def area(points):
+    p, n = points[-1][1], points[-1][2]
+    return sum((b[2] - a[2]) * (a[1] + b[1]) for a, b in zip(points, points[1:])) / (2 * p * n)
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_drawn_curve_over_range_edges(spark, coalesce):
+    import random
+    rng = random.Random(3)
+    data = [("a", rng.randrange(400) / 400, int(rng.random() < 0.3)) for _ in range(3000)]
+    data += [("b", i / 500, 1 if i >= 250 else 0) for i in range(500)]           # two straight lines
+    data += [(None, 0.5, 1), (None, 0.5, 0), (None, 0.25, 1), (None, None, 1), ("pos", 0.1, 1)]
+    df = spark.createDataFrame(data, "class string, score double, is_pos int")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(key)
+    spark.conf.set(key, coalesce)
+    try:
+        got = ev.roc_points(df).collect()
+        auc = {r["class"]: r["auc"] for r in ev.roc_auc(ev.roc_curve(df)).collect()}
+    finally:
+        spark.conf.set(key, was)
+    for c in ("a", "b", None, "pos"):
+        want = drawn([(s, y) for k, s, y in data if k == c and s is not None])
+        mine = sorted(((r["threshold"], r["tps"], r["fps"]) for r in got if r["class"] == c), reverse=True)
+        assert mine == want
+        if c != "pos":
+            assert auc[c] == pytest.approx(area(want))
+    assert len([r for r in got if r["class"] == "b"]) == 4
+    assert {r["fpr"] for r in got if r["class"] == "pos"} == {None}
+    assert ev.roc_points(df.where("false")).count() == 0
