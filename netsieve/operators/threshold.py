@@ -47,6 +47,11 @@ def hash_key(uid, seed: int) -> F.Column:
     return F.md5(F.concat(id_text(uid), F.lit(f"|{seed}")))
 
 
+def _not_unique(uid, text) -> ValueError:
+    return ValueError(f"rows on both sides of a quota share the id {text!r} of {id_columns(uid)}: exact counts "
+                      "need ids that differ (row_id of a scan, or more columns)")
+
+
 def _sized(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
@@ -64,6 +69,7 @@ def hash_cuts(df: DataFrame, groups, quotas: DataFrame, n_rows: int, uid="uid",
 
     ``quotas`` has the group columns and ``_q``, an ascending array of positions (rows of a
     group without quotas get null).  Positions are by (md5(uid | seed), uid) inside a group;
+    Rows that share an id are not told apart: where a quota falls between them ValueError is raised.
     ``n_rows`` (the rows of ``df``) only sets how finely hashes are counted; ``n_groups`` is
     the rows of ``quotas``, where the caller has them at hand.
     """
@@ -91,13 +97,20 @@ def hash_cuts(df: DataFrame, groups, quotas: DataFrame, n_rows: int, uid="uid",
             .checkpoint(eager=True))
     inside = keyed.join(_sized(held, n_groups), same & (F.col("_b") == F.col("w_b")))
     order = Window.partitionBy(*names, "_b", "_i").orderBy("_h", "_u")
-    found = (inside.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") == F.col("_r"))
-             .groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("_i", F.struct("_h", "_u").alias("key")))).alias("_t")))
+    shared = F.lead(F.struct("_h", "_u")).over(order) == F.struct("_h", "_u")
+    found = (inside.withColumn("_rn", F.row_number().over(order)).withColumn("_s", F.coalesce(shared, F.lit(False)))
+             .where(F.col("_rn") == F.col("_r"))
+             .groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("_i", F.struct("_h", "_u").alias("key")))).alias("_t"),
+                                  F.max(F.when(F.col("_s"), F.col("_u"))).alias("_tie")))
     same_q = F.lit(True)
     for n in names:
         same_q = same_q & F.col(n).eqNullSafe(F.col(f"w{n}"))
     table = (q.select(*[F.col(n).alias(f"w{n}") for n in names], "_q").join(found, same_q, "left")
-             .select(*[F.col(f"w{n}").alias(n) for n in names], "_q", "_t").checkpoint(eager=True))
+             .select(*[F.col(f"w{n}").alias(n) for n in names], "_q", "_t", "_tie").checkpoint(eager=True))
+    tie = table.where("_tie is not null").first()
+    if tie is not None:
+        raise _not_unique(uid, tie["_tie"])
+    table = table.drop("_tie")
     mine = F.struct(hash_key(uid, seed).alias("_h"), id_text(uid).alias("_u"))
     past = F.aggregate(F.transform("_q", lambda k, i: F.when(k <= 0, F.lit(1)).when(
         mine > F.try_element_at(F.col("_t"), i.cast("int")), F.lit(1)).otherwise(F.lit(0))), F.lit(0), lambda a, b: a + b)
@@ -123,7 +136,8 @@ def _literal(value, dtype) -> F.Column:
 
 def value_thresholds(df: DataFrame, value: F.Column, positions, uid="uid"):
     """Keys ``(is null, value, uid)`` at the 1-based ``positions`` of the order (value
-    ascending, nulls last, uid).  A position below 1 or beyond the rows gives None."""
+    ascending, nulls last, uid).  A position below 1 or beyond the rows gives None.  ValueError where
+    the row at a position and the next one share value and uid."""
     d = df.select(value.alias("_v"), id_text(uid).alias("_u"))
     n, n_known = d.agg(F.count(F.lit(1)), F.count("_v")).first()
     asked = sorted({k for k in positions if 1 <= k <= n})
@@ -143,18 +157,25 @@ def value_thresholds(df: DataFrame, value: F.Column, positions, uid="uid"):
         ranked = positional_index(inside, ["_v", "_u"], ["_i"], n_groups=len(known), pos_col="_p")
         hit = F.lit(False)
         for i, k in enumerate(known):
-            hit = hit | ((F.col("_i") == i) & (F.col("_p") == k - below[i]))
-        found = {r["_i"]: r for r in ranked.where(hit).collect()}
+            hit = hit | ((F.col("_i") == i) & F.col("_p").between(k - below[i], k - below[i] + 1))
+        found = {(r["_i"], r["_p"]): r for r in ranked.where(hit).collect()}
         for i, k in enumerate(known):
-            row = found.get(i)
+            row, after = (found.get((i, k - below[i] + j)) for j in (0, 1))
             if row is None:                          # outside its bracket: order all values
-                row = positional_index(d.where("_v is not null"), ["_v", "_u"], pos_col="_p").where(F.col("_p") == k).first()
+                every = positional_index(d.where("_v is not null"), ["_v", "_u"], pos_col="_p")
+                at = {r["_p"]: r for r in every.where(F.col("_p").between(k, k + 1)).collect()}
+                row, after = at[k], at.get(k + 1)
+            if after is not None and (after["_v"], after["_u"]) == (row["_v"], row["_u"]):
+                raise _not_unique(uid, row["_u"])
             out[k] = (False, row["_v"], row["_u"])
     nulls = [k for k in asked if k > n_known]
     if nulls:
         ranked = positional_index(d.where("_v is null").select("_u"), ["_u"], pos_col="_p")
-        for r in ranked.where(F.col("_p").isin([k - n_known for k in nulls])).collect():
-            out[r["_p"] + n_known] = (True, None, r["_u"])
+        at = {r["_p"]: r["_u"] for r in ranked.where(F.col("_p").isin(sorted({k - n_known + j for k in nulls for j in (0, 1)}))).collect()}
+        for k in nulls:
+            if at.get(k - n_known + 1) == at[k - n_known]:
+                raise _not_unique(uid, at[k - n_known])
+            out[k] = (True, None, at[k - n_known])
     return n, out
 
 

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -56,3 +57,23 @@ def test_samplers(spark):
 def test_quota_rule():
     assert split.approximate_mode({"a": 5, "b": 5}, 5) == {"a": 3, "b": 2}       # tie: by name
     assert sampling.balanced_quota({"a": 10, "b": 40}, 3, max_rows_total=8) == 2
+
+
+def test_ids_that_repeat_raise_or_count_exactly(spark):
+    from netsieve.operators.sampling import sample_balanced, sample_exact_n
+    from netsieve.operators.split import split_time
+    df = spark.range(1000).select((F.col("id") % 10).cast("string").alias("uid"), F.col("id"), (F.col("id") % 2).alias("label"),
+                                  F.lit("f").alias("source_file"), F.lit(1.0).alias("ts"))
+    with pytest.raises(ValueError, match="share the id"):
+        sample_exact_n(df, 250).count()
+    assert sample_exact_n(df, 300).count() == 300                     # whole ids: no row shares the edge
+    with pytest.raises(ValueError, match="share the id"):
+        sample_exact_n(df.withColumn("uid", F.lit(None).cast("string")), 25).count()
+    with pytest.raises(ValueError, match="share the id"):
+        sample_balanced(df, max_rows_total=150).count()
+    with pytest.raises(ValueError, match="share the id"):
+        split_time(df.withColumn("uid", F.lit("x")), "ts", tiebreak="uid").count()
+    with pytest.raises(ValueError, match="share the id"):
+        split_time(df.withColumn("ts", F.lit(None).cast("double")).withColumn("uid", F.lit("x")), "ts", tiebreak="uid").count()
+    assert sample_exact_n(df, 250, uid=["uid", "id"]).count() == 250
+    assert sample_balanced(df, max_rows_total=150, uid=["uid", "id"]).count() == 2 * 76
