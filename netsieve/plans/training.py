@@ -32,8 +32,20 @@ from .defaults import merged
 EXTRACTORS = {"network_traffic": NetworkTrafficFeatures, "time_based": TimeBasedFeatures}
 
 
+def register_extractor(name: str, cls) -> None:
+    """Make a user's extractor (a :class:`FeatureExtractor` subclass without required arguments, or
+    any callable that returns an extractor) available by name to ``features.extractors``."""
+    if not callable(cls):
+        raise TypeError(f"extractor {name!r} must be a class or a callable that returns an extractor")
+    EXTRACTORS[name] = cls
+
+
 def build_extractor(names) -> CompositeFeatures:
-    return CompositeFeatures([EXTRACTORS[n]() for n in names if n in EXTRACTORS])
+    """The named extractors, in order; a name that is not registered raises."""
+    unknown = [n for n in names if n not in EXTRACTORS]
+    if unknown:
+        raise ValueError(f"unknown extractors {unknown}: known are {sorted(EXTRACTORS)}, others by register_extractor")
+    return CompositeFeatures([EXTRACTORS[n]() for n in names])
 
 
 def load_flows(spark: SparkSession, cfg: dict) -> tuple[DataFrame, int]:
@@ -97,6 +109,9 @@ def run_training(spark: SparkSession, config: dict | None = None, frame: DataFra
     feats, tr = cfg["features"], cfg["training"]
     target = feats.get("target_column", "label")
     seed = tr.get("seed", 42)
+    unknown = [n for n in tr.get("param_grids", {}) if n not in M.REGISTRY]
+    if unknown:
+        raise ValueError(f"grids for unknown models {unknown}: known are {sorted(M.REGISTRY)}")
     if frame is None:
         df, n_files = load_flows(spark, cfg)
     else:

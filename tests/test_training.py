@@ -1,5 +1,6 @@
 """The configured run end to end on CSV files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -51,3 +52,32 @@ def test_run_training_without_ids(spark, tmpdir_path):
     assert out["tuning"]["knn"].count() == 2
     assert {r["model"] for r in out["confusion"].collect()} == {"knn", "gaussian_nb"}
     assert {r["class"] for r in out["roc"].select("class").distinct().collect()} == {f"{m}/{c}" for m in ("knn", "gaussian_nb") for c in ("0.0", "1.0")}
+
+
+def test_user_extractor_by_name(spark):
+    from netsieve.functions.composite import FeatureExtractor
+    from netsieve.plans import training as T
+
+    class Doubled(FeatureExtractor):
+        name = "doubled"
+
+        def extract_features(self, df):
+            return df.withColumn("twice", df["id"] * 2)
+
+    try:
+        T.register_extractor("doubled", Doubled)
+        assert T.build_extractor(["doubled"]).extract_features(spark.range(3)).agg({"twice": "sum"}).first()[0] == 6
+    finally:
+        T.EXTRACTORS.pop("doubled", None)
+    with pytest.raises(ValueError, match="unknown extractors"):
+        T.build_extractor(["network_traffic", "doubled"])
+    with pytest.raises(TypeError):
+        T.register_extractor("x", 3)
+
+
+def test_grid_for_an_unknown_model_raises(spark):
+    frame = fixtures.flows_signal(spark, SF001)
+    cfg = {"training": {"hyperparameter_tuning": True, "param_grids": {"forrest": {"n_estimators": [5]}}, "models": {}},
+           "features": {"categorical_columns": ["proto"], "numerical_columns": ["duration"]}}
+    with pytest.raises(ValueError, match="unknown models"):
+        run_training(spark, cfg, frame)
