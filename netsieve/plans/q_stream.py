@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures
+from ..session import scratch_dir
 from ..sources.fixture_csv import write_csv_files
-from ..streaming import nb_model, stream_file_batches, stream_fit_snapshots, stream_nb_state, stream_nb_update
+from ..streaming import (nb_model, online_predictions, stream_file_batches, stream_fit_snapshots, stream_logistic_online,
+                         stream_nb_state, stream_nb_update)
 from .catalog import register
 from .q_features import NORM_SQL
 from .q_models import _NB_SQL
@@ -71,3 +73,14 @@ def q_stream_nb_model(spark, sf):
     d = write_csv_files(spark, sig, "stream-model", columns=SIG_COLS)
     model = nb_model(stream_nb_state(spark, d, SIG_NUM, batch_files=4, count=True), SIG_NUM)
     return model.transform(sig).select("uid", "label", F.col("prediction").alias("predicted"))
+
+
+@register("stream_logistic_online")
+def q_stream_logistic_online(spark, sf):
+    """A logistic model learned from arriving files, four a batch, each read once; the classes that
+    the last state gives to all rows."""
+    sig = fixtures.flows_signal(spark, sf)
+    d = write_csv_files(spark, sig, "stream-online", columns=SIG_COLS)
+    state = scratch_dir(spark, "online-state")
+    stream_logistic_online(spark, d, ["proto", "conn_state"], SIG_NUM, batch_files=4, state=state)
+    return online_predictions(spark, state, sig, keep=["uid", "label"])
