@@ -35,41 +35,52 @@ def bounded_sample(df: DataFrame, at_most: int, salt: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
-def select_features(sample: DataFrame, most: int = MAX_FEATURES) -> np.ndarray:
-    """Feature number per slot (-1: not used): the ``most`` slots that best tell ``y`` = 1
-    from 0 in ``sample`` (columns ``text, y``), among those in at least two texts.  The driver
-    gets one row a slot, 2^SLOT_BITS at most."""
+def select_features(sample: DataFrame, ys=("y",), most: int = MAX_FEATURES) -> np.ndarray:
+    """Feature number per slot (-1: not used): the ``most`` slots that best tell 1 from 0 in any of
+    the 0/1 columns ``ys`` of ``sample`` (columns ``text`` and ``ys``), among those in at least two
+    texts.  Every column ranks the slots by its own gain; a slot counts by its best rank, so each
+    column has its share.  One pass; the driver gets one row a slot, 2^SLOT_BITS at most."""
+    ys = list(ys)
+    names = ["n", *[f"n{i}" for i in range(len(ys))]]
+
     def count(batches):
-        total = np.zeros((2, 1 << SLOT_BITS), np.int64)
-        size = np.zeros(2, np.int64)
+        total = np.zeros((len(names), 1 << SLOT_BITS), np.int64)
+        size = np.zeros(len(names), np.int64)
         for b in pieces(batches, "text"):
             doc, slot = slots_of(b.column(0))
-            y = np.asarray(b.column(1)).astype(np.int64)
             key = np.unique(doc << SLOT_BITS | slot)
-            one = y[key >> SLOT_BITS]
-            slot = key & ((1 << SLOT_BITS) - 1)
-            for v in (0, 1):
-                total[v] += np.bincount(slot[one == v], minlength=1 << SLOT_BITS)
-            size += np.bincount(y, minlength=2)
-        at = np.flatnonzero(total.sum(axis=0))
-        at = np.append(at, -1)                          # slot -1: texts of each class
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.where(at < 0, size[0], total[0][at])),
-                                          pa.array(np.where(at < 0, size[1], total[1][at]))], names=["slot", "n0", "n1"])
-
-    got = (sample.select(F.coalesce("text", F.lit("")).alias("text"), F.col("y").cast("int").alias("y"))
-           .mapInArrow(count, "slot long, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
-    slot, n0, n1 = (np.asarray(got[c]) for c in ("slot", "n0", "n1"))
+            doc, slot = key >> SLOT_BITS, key & ((1 << SLOT_BITS) - 1)
+            total[0] += np.bincount(slot, minlength=1 << SLOT_BITS)
+            size[0] += b.num_rows
+            for i in range(len(ys)):
+                y = np.asarray(b.column(1 + i)) == 1
+                total[1 + i] += np.bincount(slot[y[doc]], minlength=1 << SLOT_BITS)
+                size[1 + i] += y.sum()
+        at = np.append(np.flatnonzero(total[0]), -1)    # slot -1: texts in all and of each column
+        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(np.where(at < 0, size[i], total[i][at])) for i in range(len(names))]],
+                                         names=["slot", *names])
+
+    got = (sample.select(F.coalesce("text", F.lit("")).alias("text"), *[F.col(y).cast("int").alias(f"y{i}") for i, y in enumerate(ys)])
+           .mapInArrow(count, "slot long, " + ", ".join(f"{c} long" for c in names))
+           .groupBy("slot").agg(*[F.sum(c).alias(c) for c in names]).toArrow())
+    slot, n = np.asarray(got["slot"]), np.asarray(got["n"])
     lookup = np.full(1 << SLOT_BITS, -1, np.int32)
     if not len(slot):
         return lookup
-    size = np.array([n0[slot < 0].sum(), n1[slot < 0].sum()], float)
-    keep = (slot >= 0) & (n0 + n1 >= 2)
-    slot, n0, n1 = slot[keep], n0[keep], n1[keep]
-    p0, p1 = (n0 + 0.5) / (size[0] + 1), (n1 + 0.5) / (size[1] + 1)
-    p = (n0 + n1 + 1) / (size.sum() + 2)
-    gain = np.abs(p1 - p0) / np.sqrt(p * (1 - p) + 1e-9)
-    best = np.lexsort((slot, -gain))[:most]
-    lookup[np.sort(slot[best])] = np.arange(len(best))
+    keep = (slot >= 0) & (n >= 2)
+    texts = float(n[slot < 0].sum())
+    p = (n[keep] + 1) / (texts + 2)
+    rank = np.full(keep.sum(), keep.sum())
+    for i in range(len(ys)):
+        n1 = np.asarray(got[f"n{i}"])
+        ones = float(n1[slot < 0].sum())
+        p1, p0 = (n1[keep] + 0.5) / (ones + 1), (n[keep] - n1[keep] + 0.5) / (texts - ones + 1)
+        gain = np.abs(p1 - p0) / np.sqrt(p * (1 - p) + 1e-9)
+        mine = np.empty(len(rank), np.int64)
+        mine[np.lexsort((slot[keep], -gain))] = np.arange(len(rank))
+        rank = np.minimum(rank, mine)
+    best = np.lexsort((slot[keep], rank))[:most]
+    lookup[np.sort(slot[keep][best])] = np.arange(len(best))
     return lookup
 
 

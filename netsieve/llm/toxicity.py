@@ -39,7 +39,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list, at_most: int
 
     The sample is about ``at_most`` labelled documents by a hash of doc_id, one an id (of
     several labels the largest, of several texts the smallest); rows of labels with a null in
-    a category teach nothing, a label without a document neither.  Without
+    a category teach nothing, a label without a document neither.  The features are those that tell
+    any category best, each by its own ranking.  Without
     labels every probability is the prior 1/2 and nothing is flagged."""
     spark = docs.sparkSession
     # one row an id on both sides, so the bound holds however often an id repeats
@@ -50,7 +51,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list, at_most: int
     sample = (docs.select("doc_id", "text").join(F.broadcast(lab), F.col("doc_id") == F.col("l_id"))
               .groupBy("doc_id", *[f"y{i}" for i in range(len(categories))]).agg(F.min("text").alias("text")))
     ys = [f"y{i}" for i in range(len(categories))]
-    lookup = select_features(sample.select("text", F.col("y0").alias("y")))
+    lookup = select_features(sample, ys)
     shared = spark.sparkContext.broadcast(lookup)
 
     def extract(batches):

@@ -60,6 +60,21 @@ def test_later_categories_use_earlier_ones(spark):
     assert out.where("first = (a = 1) and second = (b = 1) and third = (c = 1)").count() >= 390
 
 
+def test_features_tell_every_category(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        a, b = rng.random() < 0.5, rng.random() < 0.1
+        rows.append((("beta " if b else "") + word_text(rng, 20) + (" alpha" if a else ""), int(a), int(b)))
+    sample = spark.createDataFrame(rows, "text string, y0 int, y1 int")
+    has = lambda word, lookup: len(linear.weighted(pa.array([word]), lookup)[0]) > 0
+    one, both = linear.select_features(sample, ["y0"], 1), linear.select_features(sample, ["y0", "y1"], 2)
+    assert has("alpha", one) and not has("beta", one)
+    assert has("alpha", both) and has("beta", both)
+    assert (linear.select_features(sample, ["y0", "y0"], 50) == linear.select_features(sample, ["y0"], 50)).all()
+    assert (linear.select_features(sample.where("false"), ["y0", "y1"]) == -1).all()
+
+
 def test_co_training_learns_from_the_other_view(spark, monkeypatch):
     """Metadata of the labelled documents tells nothing; that of the others follows their class, and
     only the text view's labels can teach it."""
