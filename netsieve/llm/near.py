@@ -43,6 +43,7 @@ LINKS_A_TASK = 50_000
 PASSES = 8                       # orders in which the texts of larger buckets become neighbours
 DEPTH = 8                        # minima of a text by which it is put in order
 WINDOW = 256                     # texts before it that a text is compared with
+SLOTS = 1 << 18                  # hashed words whose frequency orders the words of a text
 COUNTS = 128                     # hashed word counts of a text, for the lower bound
 BLOOM_BITS = 1 << 25             # 4 MB on the driver and each worker, whatever the input
 _U = np.uint64
@@ -556,6 +557,47 @@ def compared(m: DataFrame, words: DataFrame) -> DataFrame:
     return _ends(out)
 
 
+def rarest(x: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Hashes of the rarest (word, number of its earlier occurrences) of a text: texts within the edits
+    that SIMILARITY allows have all but that many in common, so they share one of these."""
+    h, _ = labelled_kmers(x.astype(np.uint64), np.array([0, len(x)]), 1)
+    o = np.lexsort((h, often[(h % _U(SLOTS)).astype(np.int64)]))
+    return h[o[:int((1 - SIMILARITY) * len(x) + 1e-9) + 1]]
+
+
+def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> DataFrame:
+    """``node, centre``: every link left among the texts of large buckets (of open_members): these
+    meet in buckets of their rarest words, all of which are compared in units of bounded size.  Work
+    grows with the texts that share a word which is rare to each, not with the bucket."""
+    hot = stored(large.select("node", "n_words").distinct(), "near-rest")
+    texts = _some(words, hot).select(F.col("node").alias("w"), "words")
+    texts = stored(hot.join(texts, F.col("node") == F.col("w")).select("node.a", "node.b", "n_words", "words"), "near-rest-words")
+
+    def count(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for x in b.column(0):
+                h, _ = labelled_kmers((w := np.frombuffer(x.as_buffer(), np.uint32)).astype(np.uint64), np.array([0, len(w)]), 1)
+                np.add.at(total, (h % _U(SLOTS)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["slot", "n"])
+
+    got = texts.select("words").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[np.asarray(got["slot"])] = np.asarray(got["n"])
+    shared = words.sparkSession.sparkContext.broadcast(often)
+
+    def rare(batches):
+        for b in batches:
+            each = [rarest(np.frombuffer(x.as_buffer(), np.uint32), shared.value).view(np.int64) for x in b.column(3)]
+            row = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in each]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *each])), *[b.column(i).take(row) for i in range(3)]],
+                                             names=["bucket", "a", "b", "n_words"])
+
+    met = texts.mapInArrow(rare, "bucket long, a long, b long, n_words long").select("bucket", _node("a", "b"), "n_words")
+    return compared(open_members(stored(met, "near-rarest"), label), words)
+
+
 def bucket_links(found: DataFrame, words: DataFrame) -> _Links:
     """All links of the buckets ``found`` (see the module's docstring)."""
     so_far = _Links()
@@ -564,6 +606,9 @@ def bucket_links(found: DataFrame, words: DataFrame) -> _Links:
     large = stored(open_members(left.where(F.col("n") > CHUNK).select("bucket", "node", "n_words"), so_far.label), "near-large")
     if not large.isEmpty():
         so_far.add(stored(neighbours(large, words), "near-neighbours"))
+        left = stored(open_members(large.select("bucket", "node", "n_words"), so_far.label), "near-last")
+        if not left.isEmpty():
+            so_far.add(stored(remaining(left, words, so_far.label), "near-remaining"))
     return so_far
 
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from llm_fixtures import SF01, awkward, docs, word_text
 from netsieve.llm import near, queries
@@ -304,3 +305,21 @@ def test_recall_of_every_similar_pair_on_the_table(spark):
                 similar.append((i, ids[y]))
     assert len(similar) > 20
     assert sum(cls[i] == cls[j] for i, j in similar) >= 0.99 * len(similar)
+
+
+def test_links_that_the_orders_miss_are_found(spark, monkeypatch):
+    """Similar pairs among unlike texts of one large passage are linked without any help of the orders."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(25)]
+    texts = [base + [f"u{i}x{k}" for k in range(15)] for i in range(120)]
+    texts += [t[:25] + [f"w{i}" if k == i % 15 else x for k, x in enumerate(t[25:])] for i, t in enumerate(texts[:40])]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = near.sketched(docs)
+    found = rows.select(F.lit(1).cast("long").alias("bucket"), "node", "n_words")
+    words = near.candidate_words(docs, rows.select("node"))
+    monkeypatch.setattr(near, "CHUNK", 64)
+    monkeypatch.setattr(near, "star_rounds", lambda found, *a, **k: near.open_members(found, None))
+    monkeypatch.setattr(near, "neighbours", lambda large, words: large.select("node", "centre").where("false"))
+    got = near.bucket_links(found, words).label
+    assert got is not None and got.count() == 80 and got.select("root").distinct().count() == 40
