@@ -40,6 +40,7 @@ UNIT_WORDS = 1 << 20             # words of texts on one side of a unit of compa
 BUDGETS = (1,)                   # smallest texts that a text is aligned with in the first rounds
 FEW = 200_000                    # digests up to which they are broadcast to pick words without a shuffle
 LINKS_A_TASK = 50_000
+TEXTS_A_TASK = 1024              # rows of texts to align in a task, about: they are small and take long
 PASSES = 8                       # orders in which the texts of larger buckets become neighbours
 DEPTH = 8                        # minima of a text by which it is put in order
 WINDOW = 256                     # texts before it that a text is compared with
@@ -85,6 +86,7 @@ def labelled_kmers(words: np.ndarray, first: np.ndarray, k: int = KMER_WORDS):
             new = np.concatenate([[True], key[o][1:] != key[o][:-1]])
             idx = np.arange(len(o))
             occ = idx - np.maximum.accumulate(np.where(new, idx, 0))
+            o, occ = o[occ > 0], occ[occ > 0]            # the first of several is labelled as an only one
             sh = sh.copy()
             sh[o] = mix(sh[o] + occ.astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F))
     return sh, sh_first
@@ -140,22 +142,27 @@ def all_sketches(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return out, off
 
 
-def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
+def word_edits(a: np.ndarray, b: np.ndarray, most: int, marks=None) -> int:
     """Word edit distance of two hash sequences if at most ``most``, else ``most + 1``.
 
     A banded alignment: only diagonals within ``most`` edits are followed, each to its
-    furthest reach per number of edits.  Multiset difference, a lower bound, goes first; a pair
-    that BAND_EDITS edits do not settle is aligned a whole column of bits at a time.
+    furthest reach per number of edits.  Multiset differences, lower bounds, go first (``marks`` are
+    the :func:`word_marks` of both, where known); a pair that BAND_EDITS edits do not settle is
+    aligned a whole column of bits at a time.
     """
     n, m = len(a), len(b)
     if abs(n - m) > most:
         return most + 1
     if n and m:
-        ua, ca = np.unique(a, return_counts=True)
-        ub, cb = np.unique(b, return_counts=True)
-        _, ia, ib = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
-        if max(n, m) - int(np.minimum(ca[ia], cb[ib]).sum()) > most:
+        (wa, pa_), (wb, pb) = marks or (word_marks(a), word_marks(b))
+        least = max(n, m) - _in_common(wa, wb)
+        if least > most:
             return most + 1
+        # an edit breaks two pairs of neighbouring words at most
+        if min(n, m) > 1 and max(n, m) - 1 > 2 * most and max(n, m) - 1 - _in_common(pa_, pb) > 2 * most:
+            return most + 1
+        if least > BAND_EDITS:
+            return min(_column_edits(a.tolist(), b.tolist()), most + 1)
 
     def reach(i: int, j: int) -> int:
         step = 16
@@ -192,6 +199,17 @@ def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return most + 1
 
 
+def word_marks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled words, and pairs of neighbouring words, of a text."""
+    x, at = x.astype(np.uint64), np.array([0, len(x)])
+    return labelled_kmers(x, at, 1)[0], labelled_kmers(x, at, 2)[0]
+
+
+def _in_common(a: np.ndarray, b: np.ndarray) -> int:
+    s = np.sort(np.concatenate([a, b]))
+    return int(np.count_nonzero(s[1:] == s[:-1]))
+
+
 def _column_edits(a: list, b: list) -> int:
     """Edit distance, the rows of a column of the alignment as bits of one number (a, b not empty)."""
     where: dict = {}
@@ -209,10 +227,10 @@ def _column_edits(a: list, b: list) -> int:
     return d
 
 
-def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> bool:
+def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY, marks=None) -> bool:
     longer = max(len(a), len(b))
     most = int((1 - threshold) * longer + 1e-9)
-    return longer > 0 and word_edits(a, b, most) <= most
+    return longer > 0 and word_edits(a, b, most, marks) <= most
 
 
 def _node(a, b) -> F.Column:
@@ -354,7 +372,7 @@ def neighbours(large: DataFrame, words: DataFrame) -> DataFrame:
     placed = stored(j.mapInArrow(keyed, "order int, place binary, a long, b long, ca long, cb long, n_words long"), "near-places")
     w = _some(words, hot).select(F.col("node.a").alias("wa"), F.col("node.b").alias("wb"), "words")
     rows = (placed.join(w, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb")
-            .repartitionByRange("order", "place", "a", "b").sortWithinPartitions("order", "place", "a", "b"))
+            .repartitionByRange(_tasks(placed), "order", "place", "a", "b").sortWithinPartitions("order", "place", "a", "b"))
 
     def slide(batches):
         near_by = _Neighbours()
@@ -390,19 +408,19 @@ class _Neighbours:
         """Links of a text to those before it; then it is one of them."""
         if order != self.order:
             self.start(order)
-        n, counts = len(text), word_counts(text).astype(np.int32)
+        n, counts, marks = len(text), word_counts(text).astype(np.int32), word_marks(text)
         longer = np.maximum(self.size, n)
         most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
         d = self.counts - counts
         more = np.maximum(d, 0).sum(axis=1)
         links = []
         for i in np.flatnonzero((np.abs(self.size - n) <= most) & (np.maximum(more, more - d.sum(axis=1)) <= most)).tolist():
-            other, its_comp, its_text = self.held[i]
+            other, its_comp, its_text, its_marks = self.held[i]
             p, q = self.root(comp), self.root(its_comp)
-            if p != q and similar(text, its_text):
+            if p != q and similar(text, its_text, marks=(marks, its_marks)):
                 self.up[p] = q
                 links.append((*node, *other))
-        self.held.append((node, comp, text))
+        self.held.append((node, comp, text, marks))
         self.size, self.counts = np.append(self.size, n), np.concatenate([self.counts, counts[None]])
         self.total += n
         drop = 0
@@ -527,6 +545,16 @@ def compared(m: DataFrame, words: DataFrame) -> DataFrame:
     u = _units(marked.join(size, "bucket").join(w, F.col("node") == F.col("w")),
                F.greatest(F.ceil(F.col("n") / F.lit(CHUNK)), F.ceil(F.col("all_words") / F.lit(UNIT_WORDS))))
 
+    return linked_units(u.select(*_flat(u), "words"), _tasks(marked))
+
+
+def _tasks(rows: DataFrame) -> int:
+    return max(1, -(-rows.count() // TEXTS_A_TASK))
+
+
+def linked_units(u: DataFrame, tasks: int) -> DataFrame:
+    """``node, centre``: links between the two sides of each unit (rows as of :func:`_flat`, and words)
+    that join components; a pair is aligned only while its ends are not joined."""
     def read_words(col):
         text = np.empty(len(col["words"]), object)
         text[:] = [np.frombuffer(x.as_py(), np.uint32) for x in col["words"]]
@@ -534,7 +562,7 @@ def compared(m: DataFrame, words: DataFrame) -> DataFrame:
 
     def link(batches):
         for key, own, ids, size, text in _by_unit(batches, read_words):
-            counts = np.stack([word_counts(t) for t in text])
+            counts, marks = np.stack([word_counts(t) for t in text]), [word_marks(t) for t in text]
             up: dict = {}
 
             def root(c):
@@ -547,14 +575,13 @@ def compared(m: DataFrame, words: DataFrame) -> DataFrame:
             for x, y in open_pairs(*_sides(key, own), size, ids[:, 2:], counts):
                 for i, j in zip(x.tolist(), y.tolist()):
                     p, q = root(comp[i]), root(comp[j])
-                    if p != q and similar(text[i], text[j]):
+                    if p != q and similar(text[i], text[j], marks=(marks[i], marks[j])):
                         up[p] = q
                         links.append((*ids[i, :2], *ids[j, :2]))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([int(x[c]) for x in links], pa.int64()) for c in range(4)], names=["a", "b", "c", "d"])
 
-    out = u.select(*_flat(u), "words").repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(link, "a long, b long, c long, d long")
-    return _ends(out)
+    return _ends(u.repartition(tasks, *UNIT).sortWithinPartitions(*UNIT).mapInArrow(link, "a long, b long, c long, d long"))
 
 
 def rarest(x: np.ndarray, often: np.ndarray) -> np.ndarray:
@@ -566,9 +593,12 @@ def rarest(x: np.ndarray, often: np.ndarray) -> np.ndarray:
 
 
 def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> DataFrame:
-    """``node, centre``: every link left among the texts of large buckets (of open_members): these
-    meet in buckets of their rarest words, all of which are compared in units of bounded size.  Work
-    grows with the texts that share a word which is rare to each, not with the bucket."""
+    """``node, centre``: every link left among the texts of large buckets (of open_members).
+
+    Texts meet in buckets of their rarest words.  Each text stands in one block of at most about CHUNK
+    texts or UNIT_WORDS words of its largest bucket; two blocks are a unit for those of their texts that
+    meet with lengths and components that allow a link.  So a text goes once to each unit, however many
+    words it shares there, and work grows with the texts that share a word which is rare to each."""
     hot = stored(large.select("node", "n_words").distinct(), "near-rest")
     texts = _some(words, hot).select(F.col("node").alias("w"), "words")
     texts = stored(hot.join(texts, F.col("node") == F.col("w")).select("node.a", "node.b", "n_words", "words"), "near-rest-words")
@@ -594,8 +624,66 @@ def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *each])), *[b.column(i).take(row) for i in range(3)]],
                                              names=["bucket", "a", "b", "n_words"])
 
-    met = texts.mapInArrow(rare, "bucket long, a long, b long, n_words long").select("bucket", _node("a", "b"), "n_words")
-    return compared(open_members(stored(met, "near-rarest"), label), words)
+    met = stored(texts.mapInArrow(rare, "bucket long, a long, b long, n_words long").select("bucket", _node("a", "b"), "n_words"), "near-rarest")
+    several = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    m = open_members(met.join(stored(several, "near-several"), "bucket", "left_semi"), label).select("bucket", "node", "n_words", "comp")
+    home = large.groupBy("node").agg(F.max(F.struct("n", "centre")).alias("top"), F.first("n_words").alias("n_words"))
+    home = stored(home.select(F.col("node").alias("t"), F.col("top.centre").alias("home"), "n_words"), "near-homes")
+    size = home.groupBy(F.col("home").alias("h")).agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)), F.ceil(F.sum("n_words") / F.lit(UNIT_WORDS))).alias("parts"))
+    block = stored(home.join(size, F.col("home") == F.col("h")).select("t", F.xxhash64("home", F.pmod(F.xxhash64("t"), F.col("parts"))).alias("block")), "near-blocks")
+    m = m.join(block, F.col("node") == F.col("t")).select("bucket", "block", "n_words", "node.a", "node.b", F.col("comp.a").alias("ca"), F.col("comp.b").alias("cb"))
+
+    def read_rows(col):
+        return _several(col, "bucket"), _several(col, "block", "a", "b", "ca", "cb", "n_words")
+
+    def pack(batches):
+        held, n = [], 0
+        for _, x in _by_unit(batches, read_rows):
+            held.append(meeting(x))
+            n += len(held[-1])
+            if n > 1 << 20:
+                held = [np.unique(np.concatenate(held), axis=0)]
+                n = len(held[0])
+        yield from _packed(held)
+
+    def merge(batches):
+        for key, rows in _by_unit(batches, lambda col: (_several(col, "lo", "hi"), np.array([x.as_py() for x in col["rows"]], object))):
+            x = np.unique(np.concatenate([np.frombuffer(r, np.int64).reshape(-1, 6) for r in rows]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), v)) for v in (0, *key[0].tolist())] + [pa.array(np.ascontiguousarray(x[:, i])) for i in range(6)],
+                                             names=["bucket", "lo", "hi", "own", "a", "b", "ca", "cb", "n_words"])
+
+    packed = (m.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(pack, "lo long, hi long, rows binary")
+              .repartition("lo", "hi").sortWithinPartitions("lo", "hi"))
+    u = stored(packed.mapInArrow(merge, "bucket long, lo long, hi long, own long, a long, b long, ca long, cb long, n_words long"), "near-units")
+    w = texts.select(F.col("a").alias("wa"), F.col("b").alias("wb"), "words")
+    return linked_units(u.join(w, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb"), _tasks(u))
+
+
+def meeting(x: np.ndarray) -> np.ndarray:
+    """Rows (lo, hi, *row) of the texts of a bucket, once for each unit of two blocks in which a text has
+    a partner that lengths and components leave open; ``x`` has a row (block, a, b, ca, cb, n_words) a text."""
+    x = x[np.argsort(x[:, 0], kind="stable")]
+    blocks, starts = np.unique(x[:, 0], return_index=True)
+    out = [np.zeros((0, 8), np.int64)]
+    for at in range(0, len(x), 256):
+        y = x[at:at + 256]
+        ok = np.abs(y[:, None, 5] - x[None, :, 5]) <= (1 - SIMILARITY) * np.maximum(y[:, None, 5], x[None, :, 5]) + 1e-9
+        ok &= (y[:, None, 3] != x[None, :, 3]) | (y[:, None, 4] != x[None, :, 4])
+        i, other = np.nonzero(np.logical_or.reduceat(ok, starts, axis=1))
+        ends = np.stack([y[i, 0], blocks[other]], axis=1)
+        out.append(np.concatenate([np.sort(ends, axis=1), y[i]], axis=1))
+    return np.concatenate(out)
+
+
+def _packed(held: list):
+    """Distinct rows of :func:`meeting`, one record a unit."""
+    x = np.unique(np.concatenate([np.zeros((0, 8), np.int64), *held]), axis=0)
+    cut = np.flatnonzero((x[1:, :2] != x[:-1, :2]).any(axis=1)) + 1
+    units = np.split(x, cut) if len(x) else []
+    for at in range(0, len(units), 64):
+        some = units[at:at + 64]
+        yield pa.RecordBatch.from_arrays([pa.array([int(u[0, i]) for u in some], pa.int64()) for i in range(2)]
+                                         + [pa.array([np.ascontiguousarray(u[:, 2:]).tobytes() for u in some], pa.binary())], names=["lo", "hi", "rows"])
 
 
 def bucket_links(found: DataFrame, words: DataFrame) -> _Links:

@@ -323,3 +323,19 @@ def test_links_that_the_orders_miss_are_found(spark, monkeypatch):
     monkeypatch.setattr(near, "neighbours", lambda large, words: large.select("node", "centre").where("false"))
     got = near.bucket_links(found, words).label
     assert got is not None and got.count() == 80 and got.select("root").distinct().count() == 40
+
+
+def test_first_of_several_is_labelled_as_an_only_one():
+    sh, at = near.labelled_kmers(np.array([5, 7, 5, 7, 5, 7], np.uint64), np.array([0, 4, 6]), 2)
+    twice, once = (set(sh[a:b].tolist()) for a, b in zip(at[:-1], at[1:]))
+    assert len(twice) == 3 and once < twice
+
+
+def test_texts_meet_once_a_unit():
+    """A text goes to the units of blocks where it has an open partner, once each, and to no other."""
+    row = lambda block, i, comp, n: [block, i, i, comp, comp, n]
+    x = np.array([row(2, 1, 1, 100), row(2, 2, 2, 90), row(1, 3, 1, 100), row(1, 4, 4, 300), row(3, 5, 5, 100)], np.int64)
+    got = sorted(tuple(r[[0, 1, 3]].tolist()) for r in near.meeting(x))
+    assert got == [(1, 2, 2), (1, 2, 3), (1, 3, 3), (1, 3, 5), (2, 2, 1), (2, 2, 2), (2, 3, 1), (2, 3, 2), (2, 3, 5)]
+    (b,) = near._packed([near.meeting(x)] * 3)
+    assert [np.frombuffer(r.as_py(), np.int64).reshape(-1, 6).shape[0] for r in b.column(2)] == [2, 2, 2, 3]
