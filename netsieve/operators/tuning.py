@@ -73,7 +73,8 @@ def _spark_grid(estimator, grid, folds, label, features, k, metric, parallelism,
 
 def _factory_grid(factory, grid, folds, label, features, k, parallelism):
     """Every (settings, fold) pair is an independent fit; driver threads run ``parallelism``
-    of them at a time."""
+    of them at a time.  A factory with ``grid_scores`` scores all pairs in one pass, with the same
+    result."""
     names = list(grid)
     combos = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
 
@@ -83,9 +84,14 @@ def _factory_grid(factory, grid, folds, label, features, k, parallelism):
         right = (F.col("prediction") == F.col(label)).cast("double")
         return model.transform(folds.where(F.col("fold") == f)).agg(F.avg(F.coalesce(right, F.lit(0.0)))).first()[0]
 
-    tasks = [(c, f) for c in combos for f in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        got = list(pool.map(inheritable_thread_target(score), tasks))
+    shared = getattr(factory, "grid_scores", None)
+    scores = shared(combos, folds, features, label, "fold") if shared and k > 1 else None
+    if scores is not None:
+        got = [s.get(f) for s in scores for f in range(k)]
+    else:
+        tasks = [(c, f) for c in combos for f in range(k)]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            got = list(pool.map(inheritable_thread_target(score), tasks))
     per = [[x for x in got[i * k:(i + 1) * k] if x is not None] for i in range(len(combos))]
     means = [statistics.fmean(x) if x else 0.0 for x in per]
     best = _first_best(means)
