@@ -264,8 +264,9 @@ def parsed(rows: DataFrame, n: int, keep, header=None, value: str = "value") ->
     text = F.regexp_replace(F.col(value), "\r$", "")
     names = [f"_c{i}" for i in range(n)]
     ddl = ", ".join(f"{c} string" for c in [*names, EXTRA])
-    out = (rows.where(F.trim(text) != "").select(F.from_csv(text, ddl, {**CSV, "multiLine": "true"}).alias("r"), *keep)
-           .select("r.*", *keep).where(F.col(EXTRA).isNull()))
+    # inline: a record is parsed once, not again by the tests below and by each reader of a column
+    out = (rows.where(F.trim(text) != "").select(F.inline(F.array(F.from_csv(text, ddl, {**CSV, "multiLine": "true"}))), *keep)
+           .where(F.col(EXTRA).isNull()))
     if header is not None:
         same = F.lit(True)
         for c, h in zip(names, header):

@@ -174,6 +174,9 @@ def stream_fit_snapshots(spark: SparkSession, folder: str, model_configs: dict,
 
     def handle(df: DataFrame, batch_id: int):
         ids = "uid" if "uid" in df.columns else "row_id"
+        if categorical is not None and numerical is not None:
+            df = df.select(*[c for c in df.columns if c in {ids, target, *categorical, *numerical}])
+        df = track(df)                               # the split reads its rows several times: parsed once
         parts = track(split_stratified(df, target, uid=ids))
         train = parts.where(F.col("split") == "train")
         prep = Preprocessor(target, categorical, numerical).fit(train)
