@@ -21,6 +21,8 @@ texts, so a link is sought only between two texts that are not yet in one compon
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -40,6 +42,11 @@ UNIT_WORDS = 1 << 20             # words of texts on one side of a unit of compa
 BUDGETS = (1,)                   # smallest texts that a text is aligned with in the first rounds
 FEW = 200_000                    # digests up to which they are broadcast to pick words without a shuffle
 LINKS_A_TASK = 50_000
+ROWS_A_TASK = 20_000             # rows of ids in a task, about, of the steps between the comparisons
+SMALL = 50_000                   # rows of ids up to which a table is broadcast to its join
+MARK_WORDS = 1 << 16             # words of texts whose marks are made at once
+LONG = 2048                      # words up to which a text is aligned with several others at once
+AT_ONCE = 1 << 24                # distinct words of a text, times words of the others it is aligned with at once
 TEXTS_A_TASK = 1024              # rows of texts to align in a task, about: they are small and take long
 PASSES = 8                       # orders in which the texts of larger buckets become neighbours
 DEPTH = 8                        # minima of a text by which it is put in order
@@ -154,15 +161,13 @@ def word_edits(a: np.ndarray, b: np.ndarray, most: int, marks=None) -> int:
     if abs(n - m) > most:
         return most + 1
     if n and m:
-        (wa, pa_), (wb, pb) = marks or (word_marks(a), word_marks(b))
-        least = max(n, m) - _in_common(wa, wb)
+        least = least_edits(n, m, most, *(marks or (word_marks(a), word_marks(b))))
         if least > most:
             return most + 1
-        # an edit breaks two pairs of neighbouring words at most
-        if min(n, m) > 1 and max(n, m) - 1 > 2 * most and max(n, m) - 1 - _in_common(pa_, pb) > 2 * most:
-            return most + 1
-        if least > BAND_EDITS:
-            return min(_column_edits(a.tolist(), b.tolist()), most + 1)
+    # a diagonal costs about as much as two columns, and more of them are followed each time
+    band = min(BAND_EDITS, isqrt(max(n, m) // 2))
+    if n and m and least > band:
+        return min(_column_edits(a.tolist(), b.tolist()), most + 1)
 
     def reach(i: int, j: int) -> int:
         step = 16
@@ -180,7 +185,7 @@ def word_edits(a: np.ndarray, b: np.ndarray, most: int, marks=None) -> int:
     if f.get(goal) == n:
         return 0
     for d in range(1, most + 1):
-        if d > BAND_EDITS:
+        if d > band and n and m:
             return min(_column_edits(a.tolist(), b.tolist()), most + 1)
         g = {}
         slack = most - d
@@ -201,8 +206,29 @@ def word_edits(a: np.ndarray, b: np.ndarray, most: int, marks=None) -> int:
 
 def word_marks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Labelled words, and pairs of neighbouring words, of a text."""
-    x, at = x.astype(np.uint64), np.array([0, len(x)])
-    return labelled_kmers(x, at, 1)[0], labelled_kmers(x, at, 2)[0]
+    return next(all_marks([x]))
+
+
+def all_marks(texts):
+    """:func:`word_marks` of each text; those of about MARK_WORDS words are made at once, as a short text
+    costs little more than its share of them."""
+    size = np.cumsum([0, *map(len, texts)])
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(size, size[i] + MARK_WORDS, side="right")) - 1)
+        x, at = np.concatenate(texts[i:j]).astype(np.uint64), size[i:j + 1] - size[i]
+        yield from zip(*[np.split(marks, first[1:-1]) for marks, first in (labelled_kmers(x, at, k) for k in (1, 2))])
+        i = j
+
+
+def least_edits(n: int, m: int, most: int, marks_a: tuple, marks_b: tuple) -> int:
+    """A lower bound of the edits between texts of n and m words, by their :func:`word_marks`; the second
+    part of it only where the first is ``most`` or less."""
+    least = max(n, m) - _in_common(marks_a[0], marks_b[0])
+    # an edit breaks two pairs of neighbouring words at most
+    if least <= most and min(n, m) > 1:
+        least = max(least, (max(n, m) - _in_common(marks_a[1], marks_b[1])) // 2)
+    return least
 
 
 def _in_common(a: np.ndarray, b: np.ndarray) -> int:
@@ -215,16 +241,61 @@ def _column_edits(a: list, b: list) -> int:
     where: dict = {}
     for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
-    every, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, d = every, 0, len(a)
+    every = (1 << len(a)) - 1
+    up, down = every, 0
     for y in b:
         eq = where.get(y, 0)
         level = (((eq & up) + up) ^ up) | eq | down
         plus, minus = down | (every & ~(level | up)), up & level
-        d += bool(plus & last) - bool(minus & last)
         plus, minus = (plus << 1 | 1) & every, minus << 1 & every
         up, down = minus | (every & ~(level | plus)), plus & level
-    return d
+    return len(b) + up.bit_count() - down.bit_count()
+
+
+def edits_to(a: np.ndarray, others: list) -> np.ndarray:
+    """Edit distances of ``a`` to each of ``others`` (none empty): :func:`_column_edits` with the others
+    as the rows of one column, a free bit after each that takes its carry."""
+    size = np.array([len(x) for x in others])
+    starts = np.concatenate([[0], np.cumsum(size + 1)])
+    words, column = np.unique(a, return_inverse=True)
+    text = np.concatenate(others)
+    bit = np.arange(len(text)) + np.repeat(np.arange(len(others)), size)
+    row = np.minimum(np.searchsorted(words, text), len(words) - 1)
+    hit = words[row] == text
+    at = np.zeros((len(words) + 2, starts[-1]), bool)
+    at[row[hit], bit[hit]] = True
+    at[-2, bit] = at[-1, starts[:-1]] = True
+    *where, every, first = (int.from_bytes(x.tobytes(), "little") for x in np.packbits(at, axis=1, bitorder="little"))
+    up, down = every, 0
+    for c in column.tolist():
+        eq = where[c]
+        level = (((eq & up) + up) ^ up) | eq | down
+        plus, minus = down | (every & ~(level | up)), up & level
+        plus, minus = (plus << 1 | first) & every, minus << 1 & every
+        up, down = minus | (every & ~(level | plus)), plus & level
+    more, less = (np.unpackbits(np.frombuffer(x.to_bytes(-(-int(starts[-1]) // 8), "little"), np.uint8), bitorder="little")[:starts[-1]] for x in (up, down))
+    return len(a) + np.add.reduceat(more.astype(np.int64) - less, starts[:-1])
+
+
+def each_similar(a: np.ndarray, others: list, still, marks: tuple):
+    """Places of the ``others`` that are similar to ``a``, in order; a place for which ``still`` does not
+    hold when its turn comes is passed over.  ``marks``: :func:`word_marks` of a, and of each other."""
+    most = [int((1 - SIMILARITY) * max(len(a), len(x)) + 1e-9) for x in others]
+    at, step = 0, 8
+    while at < len(others):
+        some = [i for i in range(at, min(at + step, len(others)))
+                if still(i) and least_edits(len(a), len(others[i]), most[i], marks[0], marks[1][i]) <= most[i]]
+        at, step = at + step, 2 * step
+        while some:
+            n = total = 0
+            while n < len(some) and max(len(a), len(others[some[n]])) <= LONG and len(a) * (total + len(others[some[n]])) <= AT_ONCE:
+                total += len(others[some[n]])
+                n += 1
+            now, some = some[:max(1, n)], some[max(1, n):]
+            if len(now) > 1:
+                yield from [i for i, d in zip(now, edits_to(a, [others[i] for i in now]).tolist()) if d <= most[i]]
+            elif still(now[0]) and similar(a, others[now[0]], marks=(marks[0], marks[1][now[0]])):
+                yield now[0]
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY, marks=None) -> bool:
@@ -233,6 +304,17 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY, marks=N
     return longer > 0 and word_edits(a, b, most, marks) <= most
 
 
+def few_tasks(df: DataFrame, rows: int, each: int = ROWS_A_TASK) -> DataFrame:
+    """``df``, of ``rows`` rows at most, in tasks of about ``each`` rows where it would be in more.  Not
+    for the result of a sort-merge join, which holds its memory for each partition until the task ends."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df``, of ids only, to be broadcast to a join if it (or what bounds it) has few rows."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= SMALL else df
+
+
 def _node(a, b) -> F.Column:
     return F.struct(F.col(a).alias("a"), F.col(b).alias("b")).alias("node")
 
@@ -266,16 +348,17 @@ def open_members(found: DataFrame, label: DataFrame | None) -> DataFrame:
     """``bucket, n, node, n_words, comp, centre, c_words, c_comp``: the members of the buckets that
     hold more than one component, with the bucket's size and its smallest text."""
     found = found.select("bucket", "node", "n_words")
+    rows = found.count()
     if label is None:
         found = found.withColumn("comp", F.col("node"))
     else:
         k = label.select(F.col("node").alias("k"), "root")
-        found = stored(found.join(k, F.col("node") == F.col("k"), "left")
+        found = stored(found.join(small(k), F.col("node") == F.col("k"), "left")
                        .select("bucket", "node", "n_words", F.coalesce("root", "node").alias("comp")), "near-comps")
     per = (found.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"),
                                        F.min(F.struct("node", "n_words", "comp")).alias("c")).where("lo != hi")
            .select("bucket", "n", F.col("c.node").alias("centre"), F.col("c.n_words").alias("c_words"), F.col("c.comp").alias("c_comp")))
-    return found.join(stored(per, "near-mixed"), "bucket")
+    return found.join(small(stored(few_tasks(per, rows), "near-mixed")), "bucket")
 
 
 def to_centres(found: DataFrame) -> DataFrame:
@@ -291,10 +374,11 @@ def joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
     if label is None:
         return components(links)
     k = label.select(F.col("node").alias("k"), "root")
+    k = small(k)
     ends = (links.join(k, F.col("node") == F.col("k"), "left").select(F.coalesce("root", "node").alias("node"), "centre")
             .join(k, F.col("centre") == F.col("k"), "left").select("node", F.coalesce("root", "centre").alias("centre"))
             .where("node != centre").distinct())
-    ends = stored(ends, "near-ends")
+    ends = stored(few_tasks(ends, links.count()), "near-ends")
     if ends.isEmpty():
         return label
     up = components(ends).select(F.col("node").alias("r"), F.col("root").alias("top"))
@@ -330,7 +414,7 @@ def star_rounds(found: DataFrame, words: DataFrame, so_far: _Links, budgets=BUDG
         if budget is not None:
             w = Window.partitionBy("node").orderBy(F.desc("shared"), "centre")
             pairs = pairs.withColumn("i", F.row_number().over(w)).where(F.col("i") <= budget)
-        pairs = stored(pairs.select("node", "centre"), "near-pairs")
+        pairs = stored(few_tasks(pairs.select("node", "centre"), found.count()), "near-pairs")
         if not pairs.isEmpty():
             so_far.add(stored(verified(pairs, words), "near-verified"))
             tried = pairs if tried is None else tried.unionByName(pairs)
@@ -354,8 +438,8 @@ def neighbours(large: DataFrame, words: DataFrame) -> DataFrame:
     """``node, centre``: links among the texts of large buckets that are neighbours in one of PASSES
     orders by further minima (see the module's docstring).  A task holds WINDOW texts of at most
     UNIT_WORDS words together, and one more."""
-    hot = stored(large.groupBy("node").agg(F.first("n_words").alias("n_words"), F.first("comp").alias("comp"),
-                                    F.max(F.struct("n", "centre")).alias("top")).select("node", F.col("top.centre").alias("centre"), "n_words", "comp"), "near-hot")
+    hot = large.groupBy("node").agg(F.first("n_words").alias("n_words"), F.first("comp").alias("comp"), F.max(F.struct("n", "centre")).alias("top"))
+    hot = stored(few_tasks(hot.select("node", F.col("top.centre").alias("centre"), "n_words", "comp"), large.count()), "near-hot")
     ids = [F.col("node.a").alias("a"), F.col("node.b").alias("b"), F.col("comp.a").alias("ca"), F.col("comp.b").alias("cb")]
 
     def keyed(batches):
@@ -371,20 +455,22 @@ def neighbours(large: DataFrame, words: DataFrame) -> DataFrame:
     j = _with_words(hot, words).select(*ids, "n_words", "x", "y", (F.col("node") == F.col("centre")).alias("itself"))
     placed = stored(j.mapInArrow(keyed, "order int, place binary, a long, b long, ca long, cb long, n_words long"), "near-places")
     w = _some(words, hot).select(F.col("node.a").alias("wa"), F.col("node.b").alias("wb"), "words")
-    rows = (placed.join(w, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb")
-            .repartitionByRange(_tasks(placed), "order", "place", "a", "b").sortWithinPartitions("order", "place", "a", "b"))
+    tasks = _tasks(placed)
+    rows = (small(placed).join(w, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb")
+            .repartitionByRange(tasks, "order", "place", "a", "b").coalesce(tasks).sortWithinPartitions("order", "place", "a", "b"))
 
     def slide(batches):
         near_by = _Neighbours()
         for b in batches:
             col = {c: b.column(c) for c in b.schema.names}
             links = []
-            for order, a, c, ca, cb, w in zip(*[col[x].to_pylist() for x in ("order", "a", "b", "ca", "cb")], col["words"]):
-                links += near_by.meet(order, (a, c), (ca, cb), np.frombuffer(w.as_buffer(), np.uint32).copy())
+            texts = [np.frombuffer(w.as_buffer(), np.uint32).copy() for w in col["words"]]
+            for order, a, c, ca, cb, text, marks in zip(*[col[x].to_pylist() for x in ("order", "a", "b", "ca", "cb")], texts, all_marks(texts)):
+                links += near_by.meet(order, (a, c), (ca, cb), text, marks)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([int(x[c]) for x in links], pa.int64()) for c in range(4)], names=["a", "b", "c", "d"])
 
-    return _ends(rows.select("order", "a", "b", "ca", "cb", "words").mapInArrow(slide, "a long, b long, c long, d long"))
+    return few_tasks(_ends(rows.select("order", "a", "b", "ca", "cb", "words").mapInArrow(slide, "a long, b long, c long, d long")), tasks * TEXTS_A_TASK)
 
 
 class _Neighbours:
@@ -404,22 +490,22 @@ class _Neighbours:
             c = self.up[c]
         return c
 
-    def meet(self, order, node: tuple, comp: tuple, text: np.ndarray) -> list[tuple]:
+    def meet(self, order, node: tuple, comp: tuple, text: np.ndarray, marks: tuple) -> list[tuple]:
         """Links of a text to those before it; then it is one of them."""
         if order != self.order:
             self.start(order)
-        n, counts, marks = len(text), word_counts(text).astype(np.int32), word_marks(text)
+        n, counts = len(text), word_counts(text).astype(np.int32)
         longer = np.maximum(self.size, n)
         most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
         d = self.counts - counts
         more = np.maximum(d, 0).sum(axis=1)
         links = []
-        for i in np.flatnonzero((np.abs(self.size - n) <= most) & (np.maximum(more, more - d.sum(axis=1)) <= most)).tolist():
-            other, its_comp, its_text, its_marks = self.held[i]
-            p, q = self.root(comp), self.root(its_comp)
-            if p != q and similar(text, its_text, marks=(marks, its_marks)):
+        near = [self.held[i] for i in np.flatnonzero((np.abs(self.size - n) <= most) & (np.maximum(more, more - d.sum(axis=1)) <= most)).tolist()]
+        for i in each_similar(text, [x[2] for x in near], lambda i: self.root(comp) != self.root(near[i][1]), (marks, [x[3] for x in near])):
+            p, q = self.root(comp), self.root(near[i][1])
+            if p != q:
                 self.up[p] = q
-                links.append((*node, *other))
+                links.append((*node, *near[i][0]))
         self.held.append((node, comp, text, marks))
         self.size, self.counts = np.append(self.size, n), np.concatenate([self.counts, counts[None]])
         self.total += n
@@ -536,13 +622,15 @@ def compared(m: DataFrame, words: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key[hit, 0]), *[pa.array(np.ascontiguousarray(ids[hit, i])) for i in range(4)], pa.array(size[hit])],
                                                  names=["bucket", "a", "b", "ca", "cb", "n_words"])
 
-    marked = (u.select(*_flat(u), "counts").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    rows = m.count()
+    marked = (few_tasks(u.select(*_flat(u), "counts").repartition(*UNIT), rows, TEXTS_A_TASK).sortWithinPartitions(*UNIT)
               .mapInArrow(mark, "bucket long, a long, b long, ca long, cb long, n_words long"))
-    marked = stored(marked.distinct().select("bucket", _node("a", "b"), F.struct(F.col("ca").alias("a"), F.col("cb").alias("b")).alias("comp"),
-                                             "n_words"), "near-marked")
-    size = marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("all_words"))
+    marked = stored(few_tasks(marked.distinct().select("bucket", _node("a", "b"), F.struct(F.col("ca").alias("a"), F.col("cb").alias("b")).alias("comp"),
+                                                       "n_words"), rows), "near-marked")
+    rows = marked.count()
+    size = few_tasks(marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("all_words")), rows)
     w = _some(words, marked).select(F.col("node").alias("w"), "words")
-    u = _units(marked.join(size, "bucket").join(w, F.col("node") == F.col("w")),
+    u = _units(small(marked.join(small(size, rows), "bucket"), rows).join(w, F.col("node") == F.col("w")),
                F.greatest(F.ceil(F.col("n") / F.lit(CHUNK)), F.ceil(F.col("all_words") / F.lit(UNIT_WORDS))))
 
     return linked_units(u.select(*_flat(u), "words"), _tasks(marked))
@@ -562,7 +650,7 @@ def linked_units(u: DataFrame, tasks: int) -> DataFrame:
 
     def link(batches):
         for key, own, ids, size, text in _by_unit(batches, read_words):
-            counts, marks = np.stack([word_counts(t) for t in text]), [word_marks(t) for t in text]
+            counts, marks = np.stack([word_counts(t) for t in text]), list(all_marks(text))
             up: dict = {}
 
             def root(c):
@@ -573,15 +661,21 @@ def linked_units(u: DataFrame, tasks: int) -> DataFrame:
             comp = list(map(tuple, ids[:, 2:].tolist()))
             links = []
             for x, y in open_pairs(*_sides(key, own), size, ids[:, 2:], counts):
-                for i, j in zip(x.tolist(), y.tolist()):
-                    p, q = root(comp[i]), root(comp[j])
-                    if p != q and similar(text[i], text[j], marks=(marks[i], marks[j])):
-                        up[p] = q
-                        links.append((*ids[i, :2], *ids[j, :2]))
+                for js in np.split(np.arange(len(x)), np.flatnonzero(x[1:] != x[:-1]) + 1):
+                    if not len(js):
+                        continue
+                    i, js = int(x[js[0]]), y[js].tolist()
+                    for k in each_similar(text[i], [text[j] for j in js], lambda k: root(comp[i]) != root(comp[js[k]]), (marks[i], [marks[j] for j in js])):
+                        p, q = root(comp[i]), root(comp[js[k]])
+                        if p != q:
+                            up[p] = q
+                            links.append((*ids[i, :2], *ids[js[k], :2]))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([int(x[c]) for x in links], pa.int64()) for c in range(4)], names=["a", "b", "c", "d"])
 
-    return _ends(u.repartition(tasks, *UNIT).sortWithinPartitions(*UNIT).mapInArrow(link, "a long, b long, c long, d long"))
+    # coalesced, as a session may deal them to many more partitions
+    links = u.repartition(tasks, *UNIT).coalesce(4 * tasks).sortWithinPartitions(*UNIT).mapInArrow(link, "a long, b long, c long, d long")
+    return few_tasks(_ends(links), tasks * TEXTS_A_TASK)
 
 
 def rarest(x: np.ndarray, often: np.ndarray) -> np.ndarray:
@@ -599,9 +693,10 @@ def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> Da
     texts or UNIT_WORDS words of its largest bucket; two blocks are a unit for those of their texts that
     meet with lengths and components that allow a link.  So a text goes once to each unit, however many
     words it shares there, and work grows with the texts that share a word which is rare to each."""
-    hot = stored(large.select("node", "n_words").distinct(), "near-rest")
+    hot = stored(few_tasks(large.select("node", "n_words").distinct(), large.count()), "near-rest")
+    n_hot = hot.count()
     texts = _some(words, hot).select(F.col("node").alias("w"), "words")
-    texts = stored(hot.join(texts, F.col("node") == F.col("w")).select("node.a", "node.b", "n_words", "words"), "near-rest-words")
+    texts = stored(small(hot).join(texts, F.col("node") == F.col("w")).select("node.a", "node.b", "n_words", "words"), "near-rest-words")
 
     def count(batches):
         total = np.zeros(SLOTS, np.int64)
@@ -612,7 +707,8 @@ def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> Da
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["slot", "n"])
 
-    got = texts.select("words").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    slots = texts.select("words").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    got = few_tasks(slots, SLOTS).toArrow()
     often = np.zeros(SLOTS, np.int64)
     often[np.asarray(got["slot"])] = np.asarray(got["n"])
     shared = words.sparkSession.sparkContext.broadcast(often)
@@ -625,13 +721,15 @@ def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> Da
                                              names=["bucket", "a", "b", "n_words"])
 
     met = stored(texts.mapInArrow(rare, "bucket long, a long, b long, n_words long").select("bucket", _node("a", "b"), "n_words"), "near-rarest")
-    several = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    n_met = met.count()
+    several = few_tasks(met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), n_met)
     m = open_members(met.join(stored(several, "near-several"), "bucket", "left_semi"), label).select("bucket", "node", "n_words", "comp")
     home = large.groupBy("node").agg(F.max(F.struct("n", "centre")).alias("top"), F.first("n_words").alias("n_words"))
-    home = stored(home.select(F.col("node").alias("t"), F.col("top.centre").alias("home"), "n_words"), "near-homes")
+    home = stored(few_tasks(home.select(F.col("node").alias("t"), F.col("top.centre").alias("home"), "n_words"), n_hot), "near-homes")
     size = home.groupBy(F.col("home").alias("h")).agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)), F.ceil(F.sum("n_words") / F.lit(UNIT_WORDS))).alias("parts"))
-    block = stored(home.join(size, F.col("home") == F.col("h")).select("t", F.xxhash64("home", F.pmod(F.xxhash64("t"), F.col("parts"))).alias("block")), "near-blocks")
-    m = m.join(block, F.col("node") == F.col("t")).select("bucket", "block", "n_words", "node.a", "node.b", F.col("comp.a").alias("ca"), F.col("comp.b").alias("cb"))
+    block = home.join(small(size, n_hot), F.col("home") == F.col("h")).select("t", F.xxhash64("home", F.pmod(F.xxhash64("t"), F.col("parts"))).alias("block"))
+    block = stored(block, "near-blocks")
+    m = m.join(small(block), F.col("node") == F.col("t")).select("bucket", "block", "n_words", "node.a", "node.b", F.col("comp.a").alias("ca"), F.col("comp.b").alias("cb"))
 
     def read_rows(col):
         return _several(col, "bucket"), _several(col, "block", "a", "b", "ca", "cb", "n_words")
@@ -652,11 +750,11 @@ def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), v)) for v in (0, *key[0].tolist())] + [pa.array(np.ascontiguousarray(x[:, i])) for i in range(6)],
                                              names=["bucket", "lo", "hi", "own", "a", "b", "ca", "cb", "n_words"])
 
-    packed = (m.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(pack, "lo long, hi long, rows binary")
-              .repartition("lo", "hi").sortWithinPartitions("lo", "hi"))
+    packed = (few_tasks(m.repartition("bucket"), n_met).sortWithinPartitions("bucket").mapInArrow(pack, "lo long, hi long, rows binary"))
+    packed = few_tasks(packed.repartition("lo", "hi"), n_met).sortWithinPartitions("lo", "hi")
     u = stored(packed.mapInArrow(merge, "bucket long, lo long, hi long, own long, a long, b long, ca long, cb long, n_words long"), "near-units")
     w = texts.select(F.col("a").alias("wa"), F.col("b").alias("wb"), "words")
-    return linked_units(u.join(w, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb"), _tasks(u))
+    return linked_units(small(u).join(w, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb"), _tasks(u))
 
 
 def meeting(x: np.ndarray) -> np.ndarray:
@@ -709,7 +807,8 @@ def _bloom(nodes: DataFrame) -> np.ndarray:
     shuffling words of documents without candidates; the join behind it is exact."""
     slot = nodes.select(F.explode(F.array(*_bloom_slots(F.col("node.a"), F.col("node.b")))).alias("s"))
     words = (slot.select(F.shiftright("s", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit"))
-             .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow())
+             .groupBy("w").agg(F.bit_or("bit").alias("bits")))
+    words = few_tasks(words, BLOOM_BITS // 64).toArrow()
     out = np.zeros(BLOOM_BITS // 64, np.int64)
     out[np.asarray(words["w"])] = np.asarray(words["bits"])
     return out
@@ -750,23 +849,29 @@ def candidate_words(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _some(words: DataFrame, nodes: DataFrame, column: str = "node") -> DataFrame:
     """The words of ``nodes``: where these are few they are broadcast, so that the others are not
     shuffled for nothing."""
-    ids = nodes.select(F.col(column).alias("some")).distinct()
-    return words.join(F.broadcast(ids), F.col("node") == F.col("some"), "left_semi") if ids.limit(FEW + 1).count() <= FEW else words
+    ids, rows = nodes.select(F.col(column).alias("some")).distinct(), nodes.count()
+    if rows > FEW and ids.limit(FEW + 1).count() > FEW:
+        return words
+    return words.join(F.broadcast(few_tasks(ids, rows)), F.col("node") == F.col("some"), "left_semi")
 
 
 def _with_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs (node, centre) and the words of both, as ``x`` and ``y``."""
-    w = _some(words, pairs).select(F.col("node").alias("wn"), F.col("words").alias("x"))
+    few = pairs.count() <= SMALL
+    w = (words if few else _some(words, pairs)).select(F.col("node").alias("wn"), F.col("words").alias("x"))
     c = _some(words, pairs, "centre").select(F.col("node").alias("wc"), F.col("words").alias("y"))
-    return pairs.join(w, F.col("node") == F.col("wn")).drop("wn").join(c, F.col("centre") == F.col("wc")).drop("wc")
+    both = (F.broadcast(pairs) if few else pairs).join(w, F.col("node") == F.col("wn")).drop("wn").join(c, F.col("centre") == F.col("wc")).drop("wc")
+    # a few pairs are dealt out again: a common centre has many, other tasks next to none
+    return both.repartition(_tasks(pairs)) if few else both
 
 
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs (node, centre) whose texts are similar enough."""
     @F.arrow_udf("boolean")
     def close(x: pa.Array, y: pa.Array) -> pa.Array:
-        return pa.array([similar(np.frombuffer(p.as_buffer(), np.uint32), np.frombuffer(q.as_buffer(), np.uint32))
-                         for p, q in zip(x, y)], pa.bool_())
+        texts = [np.frombuffer(t.as_buffer(), np.uint32) for pair in zip(x, y) for t in pair]
+        marks = all_marks(texts)
+        return pa.array([similar(a, b, marks=(next(marks), next(marks))) for a, b in zip(texts[::2], texts[1::2])], pa.bool_())
 
     return _with_words(pairs, words).where(close("x", "y")).select("node", "centre")
 
@@ -777,10 +882,10 @@ def components(links: DataFrame) -> DataFrame:
     Each round gives every node its smallest neighbour (or itself), replaces the ends of
     links by those, and drops loops; node digests are random, so links shrink geometrically.
     Every round is written, so a lost executor repeats one round at most."""
-    both = stored(links.select(F.col("node").alias("u"), F.col("centre").alias("v"))
-                  .unionByName(links.select(F.col("centre").alias("u"), F.col("node").alias("v"))).distinct(), "near-links")
-    tasks = max(1, -(-both.count() // LINKS_A_TASK))         # links only get fewer
-    kept = lambda df, tag: stored(df.coalesce(tasks), tag)
+    rows = 2 * links.count()                                 # links only get fewer
+    kept = lambda df, tag: stored(few_tasks(df, rows, LINKS_A_TASK), tag)
+    both = kept(links.select(F.col("node").alias("u"), F.col("centre").alias("v"))
+                .unionByName(links.select(F.col("centre").alias("u"), F.col("node").alias("v"))).distinct(), "near-links")
     label = None
     while True:
         up = kept(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p")), "near-up")
@@ -831,11 +936,13 @@ def classes(docs: DataFrame) -> DataFrame:
     root = none.withColumnRenamed("centre", "root") if linked.label is None else linked.label
     degree = (links.select("node").unionByName(links.select(F.col("centre").alias("node")))
               .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
-    placed = stored(nodes.select("node", "top", "copies").join(root.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left")
-                    .drop("k").join(degree.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left")
-                    .select("node", "top", "copies", F.coalesce("root", "node").alias("root"),
-                            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "near-placed")
-    group = stored(placed.groupBy("root").agg(F.min("top").alias("lead"), F.sum("copies").alias("class_size")), "near-groups")
+    n, linked_texts = rows.count(), 0 if linked.label is None else linked.label.count()
+    degree = few_tasks(degree, linked_texts)
+    placed = (nodes.select("node", "top", "copies").join(small(root.withColumnRenamed("node", "k"), linked_texts), F.col("node") == F.col("k"), "left")
+              .drop("k").join(small(degree.withColumnRenamed("node", "k"), linked_texts), F.col("node") == F.col("k"), "left")
+              .select("node", "top", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    placed = stored(placed, "near-placed")
+    group = stored(few_tasks(placed.groupBy("root").agg(F.min("top").alias("lead"), F.sum("copies").alias("class_size")), n), "near-groups")
     by_node = stored(placed.join(group.withColumnRenamed("root", "k"), F.col("root") == F.col("k"))
                      .select(F.col("node").alias("k"), "n_links", "lead", "class_size"), "near-classes")
     return (rows.select("doc_id", "rk", "node").join(by_node, F.col("node") == F.col("k"))

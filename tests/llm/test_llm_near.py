@@ -339,3 +339,35 @@ def test_texts_meet_once_a_unit():
     assert got == [(1, 2, 2), (1, 2, 3), (1, 3, 3), (1, 3, 5), (2, 2, 1), (2, 2, 2), (2, 3, 1), (2, 3, 2), (2, 3, 5)]
     (b,) = near._packed([near.meeting(x)] * 3)
     assert [np.frombuffer(r.as_py(), np.int64).reshape(-1, 6).shape[0] for r in b.column(2)] == [2, 2, 2, 3]
+
+
+def test_marks_of_many_texts_are_those_of_each(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 9, n).astype(np.uint32) for n in (1, 2, 30, 5, 70, 1, 12)]
+    monkeypatch.setattr(near, "MARK_WORDS", 40)
+    for x, (words, pairs) in zip(texts, near.all_marks(texts), strict=True):
+        for k, got in ((1, words), (2, pairs)):
+            want, _ = near.labelled_kmers(x.astype(np.uint64), np.array([0, len(x)]), k)
+            assert got.tolist() == want.tolist()
+
+
+def test_a_text_is_aligned_with_many_at_once(monkeypatch):
+    """The same links as one alignment a pair, by a few common alignments."""
+    rng = random.Random(4)
+    base = list(range(60))
+    group = [np.array([hash(w) % 2**31 for w in changed(rng, base, rng.choice((3, 9, 12, 14)))], np.uint32) for _ in range(120)]
+    a, others = group[0], group[1:]
+    far = [edits(a.tolist(), x.tolist()) for x in others]
+    assert near.edits_to(a, others).tolist() == far
+    want = [i for i, x in enumerate(others) if far[i] <= int(0.2 * max(len(a), len(x)) + 1e-9)]
+    assert 0 < len(want) < len(others)
+    marks = list(near.all_marks(group))
+    single = []
+    monkeypatch.setattr(near, "similar", lambda *a, f=near.similar, **k: single.append(1) or f(*a, **k))
+    assert list(near.each_similar(a, others, lambda i: True, (marks[0], marks[1:]))) == want
+    assert len(single) <= 6
+    for name, value in (("LONG", 59), ("AT_ONCE", 10_000)):
+        with monkeypatch.context() as m:
+            m.setattr(near, name, value)
+            assert list(near.each_similar(a, others, lambda i: True, (marks[0], marks[1:]))) == want
+    assert list(near.each_similar(a, others, lambda i: i != want[0], (marks[0], marks[1:]))) == want[1:]
