@@ -45,6 +45,7 @@ LINKS_A_TASK = 50_000
 ROWS_A_TASK = 20_000             # rows of ids in a task, about, of the steps between the comparisons
 SMALL = 50_000                   # rows of ids up to which a table is broadcast to its join
 MARK_WORDS = 1 << 16             # words of texts whose marks are made at once
+CACHED = 1 << 16                 # k-mers of texts that are sketched at once
 LONG = 2048                      # words up to which a text is aligned with several others at once
 AT_ONCE = 1 << 24                # distinct words of a text, times words of the others it is aligned with at once
 TEXTS_A_TASK = 1024              # rows of texts to align in a task, about: they are small and take long
@@ -111,19 +112,34 @@ def order_sketches(words: np.ndarray, first: np.ndarray, k: int = SKETCH_WORDS)
     # 24 bits hold a place, or that of a run of places where a text has more
     wide = np.array([max(0, int(x - 1).bit_length() - 24) for x in n], np.uint64)
     pos = (np.arange(len(sh)) - np.repeat(starts, n)).astype(np.uint64) >> np.repeat(wide, n)
+    ends, rows, i = starts + n, np.flatnonzero(has), 0
+    while i < len(starts):                                       # as many texts at once as a core's cache holds
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + CACHED, side="right")))
+        at = slice(int(starts[i]), int(ends[j - 1]))
+        out[:, rows[i:j]] = _least_two(sh[at], pos[at], starts[i:j] - starts[i], wide[i:j])
+        i = j
+    return out
+
+
+def _least_two(sh: np.ndarray, pos: np.ndarray, starts: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Hashes of the two least k-mers of each text under each band, in text order."""
+    out = np.empty((BANDS, len(starts)), np.uint64)
+    v, t = np.empty_like(sh), np.empty_like(sh)
     with np.errstate(over="ignore"):
         for j in range(BANDS):
-            v = (sh ^ _ODD[j, 0]) * _ODD[j, 1]
-            v ^= v >> _U(31)
-            v *= _U(0x94D049BB133111EB)
-            v &= _TOP
-            v |= pos
+            np.bitwise_xor(sh, _ODD[j, 0], out=v)
+            np.multiply(v, _ODD[j, 1], out=v)
+            np.right_shift(v, _U(31), out=t)
+            np.bitwise_xor(v, t, out=v)
+            np.multiply(v, _U(0x94D049BB133111EB), out=v)
+            np.bitwise_and(v, _TOP, out=v)
+            np.bitwise_or(v, pos, out=v)
             a = np.minimum.reduceat(v, starts)
             v[_slots(v, a, starts, wide)] = _U(2**64 - 1)
             b = np.minimum.reduceat(v, starts)
             swap = (a & ~_TOP) > (b & ~_TOP)                     # keep text order
             x, y = np.where(swap, b, a) & _TOP, np.where(swap, a, b) & _TOP
-            out[j, has] = mix(x * _U(0x9E3779B97F4A7C15) + mix(y) + _U(j))
+            out[j] = mix(x * _U(0x9E3779B97F4A7C15) + mix(y) + _U(j))
     return out
 
 
@@ -689,10 +705,11 @@ def rarest(x: np.ndarray, often: np.ndarray) -> np.ndarray:
 def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> DataFrame:
     """``node, centre``: every link left among the texts of large buckets (of open_members).
 
-    Texts meet in buckets of their rarest words.  Each text stands in one block of at most about CHUNK
+    Texts meet in buckets of their rarest words, where lengths, components and hashed word counts rule
+    out most pairs before any text is sent.  Each text stands in one block of at most about CHUNK
     texts or UNIT_WORDS words of its largest bucket; two blocks are a unit for those of their texts that
-    meet with lengths and components that allow a link.  So a text goes once to each unit, however many
-    words it shares there, and work grows with the texts that share a word which is rare to each."""
+    meet with a pair left open.  So a text goes once to each unit, however many words it shares there,
+    and only to those where it may have a link; the other pairs cost a comparison of COUNTS bytes."""
     hot = stored(few_tasks(large.select("node", "n_words").distinct(), large.count()), "near-rest")
     n_hot = hot.count()
     texts = _some(words, hot).select(F.col("node").alias("w"), "words")
@@ -728,16 +745,23 @@ def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> Da
     home = stored(few_tasks(home.select(F.col("node").alias("t"), F.col("top.centre").alias("home"), "n_words"), n_hot), "near-homes")
     size = home.groupBy(F.col("home").alias("h")).agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)), F.ceil(F.sum("n_words") / F.lit(UNIT_WORDS))).alias("parts"))
     block = home.join(small(size, n_hot), F.col("home") == F.col("h")).select("t", F.xxhash64("home", F.pmod(F.xxhash64("t"), F.col("parts"))).alias("block"))
-    block = stored(block, "near-blocks")
-    m = m.join(small(block), F.col("node") == F.col("t")).select("bucket", "block", "n_words", "node.a", "node.b", F.col("comp.a").alias("ca"), F.col("comp.b").alias("cb"))
+
+    @F.arrow_udf("binary")
+    def counted(x: pa.Array) -> pa.Array:
+        return pa.array([np.minimum(word_counts(np.frombuffer(p.as_buffer(), np.uint32)), 255).astype(np.uint8).tobytes() for p in x], pa.binary())
+
+    counts = texts.select(_node("a", "b"), counted("words").alias("counts"))
+    block = stored(small(block, n_hot).join(counts, F.col("t") == F.col("node")).select("t", "block", "counts"), "near-blocks")
+    m = m.join(small(block), F.col("node") == F.col("t")).select("bucket", "block", "n_words", "node.a", "node.b", F.col("comp.a").alias("ca"), F.col("comp.b").alias("cb"), "counts")
 
     def read_rows(col):
-        return _several(col, "bucket"), _several(col, "block", "a", "b", "ca", "cb", "n_words")
+        return (_several(col, "bucket"), _several(col, "block", "a", "b", "ca", "cb", "n_words"),
+                np.frombuffer(text_bytes(col["counts"])[0].tobytes(), np.uint8).reshape(-1, COUNTS))
 
     def pack(batches):
         held, n = [], 0
-        for _, x in _by_unit(batches, read_rows):
-            held.append(meeting(x))
+        for _, x, counts in _by_unit(batches, read_rows):
+            held.append(meeting(x, counts))
             n += len(held[-1])
             if n > 1 << 20:
                 held = [np.unique(np.concatenate(held), axis=0)]
@@ -757,20 +781,36 @@ def remaining(large: DataFrame, words: DataFrame, label: DataFrame | None) -> Da
     return linked_units(small(u).join(w, (F.col("a") == F.col("wa")) & (F.col("b") == F.col("wb"))).drop("wa", "wb"), _tasks(u))
 
 
-def meeting(x: np.ndarray) -> np.ndarray:
+def meeting(x: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
     """Rows (lo, hi, *row) of the texts of a bucket, once for each unit of two blocks in which a text has
-    a partner that lengths and components leave open; ``x`` has a row (block, a, b, ca, cb, n_words) a text."""
-    x = x[np.argsort(x[:, 0], kind="stable")]
-    blocks, starts = np.unique(x[:, 0], return_index=True)
-    out = [np.zeros((0, 8), np.int64)]
+    a partner that lengths, components and ``counts`` (hashed word counts, cut off at any value) leave
+    open; ``x`` has a row (block, a, b, ca, cb, n_words) a text."""
+    o = np.argsort(x[:, 5], kind="stable")
+    size, comp, block = x[o, 5], x[o, 3:5], x[o, 0]
+    counts = None if counts is None else counts[o]
+    units = [np.zeros((0, 3), np.int64)]
     for at in range(0, len(x), 256):
-        y = x[at:at + 256]
-        ok = np.abs(y[:, None, 5] - x[None, :, 5]) <= (1 - SIMILARITY) * np.maximum(y[:, None, 5], x[None, :, 5]) + 1e-9
-        ok &= (y[:, None, 3] != x[None, :, 3]) | (y[:, None, 4] != x[None, :, 4])
-        i, other = np.nonzero(np.logical_or.reduceat(ok, starts, axis=1))
-        ends = np.stack([y[i, 0], blocks[other]], axis=1)
-        out.append(np.concatenate([np.sort(ends, axis=1), y[i]], axis=1))
-    return np.concatenate(out)
+        own = np.arange(at, min(at + 256, len(x)))
+        # in order of length, the partners of a text that is not the longer one follow it
+        other = np.arange(at, np.searchsorted(size, size[own[-1]] / SIMILARITY + 1, side="right"))
+        ok = size[other][None] - size[own][:, None] <= (1 - SIMILARITY) * size[other][None] + 1e-9
+        ok &= other[None] > own[:, None]
+        ok &= (comp[own][:, None] != comp[other][None]).any(axis=2)
+        p, q = np.nonzero(ok)
+        p, q = own[p], other[q]
+        for k in range(0, len(p), 8192):
+            a, b = p[k:k + 8192], q[k:k + 8192]
+            if counts is not None:
+                d = counts[a].astype(np.int16) - counts[b]
+                more = np.maximum(d, 0).sum(axis=1, dtype=np.int64)
+                left = np.maximum(more, more - d.sum(axis=1, dtype=np.int64)) <= ((1 - SIMILARITY) * size[b] + 1e-9).astype(np.int64)
+                a, b = a[left], b[left]
+            lo, hi = np.minimum(block[a], block[b]), np.maximum(block[a], block[b])
+            units.append(np.unique(np.concatenate([np.stack([lo, hi, a], axis=1), np.stack([lo, hi, b], axis=1)]), axis=0))
+    got = np.concatenate(units)
+    if len(units) > 2:
+        got = np.unique(got, axis=0)
+    return np.concatenate([got[:, :2], x[o[got[:, 2]]]], axis=1)
 
 
 def _packed(held: list):

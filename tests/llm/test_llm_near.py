@@ -371,3 +371,33 @@ def test_a_text_is_aligned_with_many_at_once(monkeypatch):
             m.setattr(near, name, value)
             assert list(near.each_similar(a, others, lambda i: True, (marks[0], marks[1:]))) == want
     assert list(near.each_similar(a, others, lambda i: i != want[0], (marks[0], marks[1:]))) == want[1:]
+
+
+def test_word_counts_rule_out_pairs_before_texts_are_sent():
+    """Texts of a word that is rare to each go to a unit only where their word counts leave a pair open."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 2**31, rng.integers(90, 130)).astype(np.uint32) for _ in range(400)]
+    for i in range(30):                                          # near copies of the first ones
+        texts[300 + i] = np.where(rng.random(len(texts[i])) < 0.1, 7, texts[i]).astype(np.uint32)
+    size, counts = np.array([len(t) for t in texts]), np.stack([near.word_counts(t) for t in texts])
+    i = np.arange(len(texts))
+    x = np.stack([i % 9, i, i, i // 2, i // 2, size], axis=1)
+    want = set()
+    for p, q in near.open_pairs(i, i, size, x[:, 3:5], counts):
+        for a, b in zip(p.tolist(), q.tolist()):
+            want |= {(*sorted((a % 9, b % 9)), c) for c in (a, b)}
+    got = near.meeting(x, np.minimum(counts, 255).astype(np.uint8))
+    assert sorted(want) == sorted(map(tuple, got[:, [0, 1, 3]].tolist()))
+    assert {300, 0, 329, 29} <= set(got[:, 3].tolist()) and 10 * len(got) < len(near.meeting(x))
+    low = near.meeting(x, np.minimum(counts, 1).astype(np.uint8))    # cut off, a pair may only be left open
+    assert want <= set(map(tuple, low[:, [0, 1, 3]].tolist()))
+
+
+def test_sketches_do_not_depend_on_what_is_made_at_once(monkeypatch):
+    rng = np.random.default_rng(6)
+    n = [0, 3, 700, 1, 0, 90, 2500, 40, 0]
+    words, first = rng.integers(0, 2**63, sum(n), dtype=np.uint64), np.concatenate([[0], np.cumsum(n)])
+    want = near.order_sketches(words, first)
+    for at_once in (1, 64, 800):
+        monkeypatch.setattr(near, "CACHED", at_once)
+        assert np.array_equal(near.order_sketches(words, first), want)
